@@ -151,7 +151,7 @@ def _vocab_oracle(token_source: str, specials: list[str], min_freq: int = 1,
     """``token_source`` yields ``(doc_ord, pos, token)``."""
     return f"""
 WITH t AS ({token_source}),
-g AS (SELECT token, count(*) AS freq, min(doc_ord * 4294967296 + pos) AS f FROM t
+g AS (SELECT token, count(*) AS freq, min(CAST(doc_ord AS HUGEINT) * 4294967296 + pos) AS f FROM t
       WHERE token NOT IN {_specials_in(specials)} {extra_where}
       GROUP BY token HAVING count(*) >= {min_freq})
 SELECT CAST(row_number() OVER (ORDER BY f) + {len(specials) - 1} AS BIGINT) AS id, token,
@@ -201,3 +201,216 @@ def q_vocab_from_list(spark, sf_dir):
     conv = conversations(spark, sf_dir)
     listing = conv.select("doc_ord", F.posexplode(tx.words("text")).alias("pos", "token"))
     return vb.vocab_from_list(listing, "token", "doc_ord", "pos")
+
+
+# ---------------------------------------------------------------------------
+# Shared corpus shapes for the pipeline queries
+# ---------------------------------------------------------------------------
+
+from lingotile.operators import encode as en  # noqa: E402
+from lingotile.operators import split as sp  # noqa: E402
+from lingotile.plans.common import joined_ids  # noqa: E402
+
+# A four-language map (the default three plus German, which
+# the test corpus also contains), in corpus order.
+LANG4 = {"es": 0, "en": 1, "fr": 2, "de": 3}
+LABEL_SQL = "(CASE lang WHEN 'es' THEN 0 WHEN 'en' THEN 1 WHEN 'fr' THEN 2 WHEN 'de' THEN 3 END)"
+# Corpus order of the labelled corpus: languages in map order, then doc_id.
+LORD_SQL = f"({LABEL_SQL} * 1099511627776 + doc_id)"
+
+
+def labelled_docs(spark, sf_dir):
+    """Documents with ``label`` from LANG4 and ``doc_ord`` = language order,
+    then id (label << 40 | doc_id)."""
+    d = sp.encode_label(documents(spark, sf_dir), LANG4)
+    return d.withColumn("doc_ord", F.shiftleft(F.col("label").cast("bigint"), 40) + F.col("doc_id"))
+
+
+def _vocab_cte(token_source: str, specials: list[str], min_freq: int = 1) -> str:
+    return "(" + _vocab_oracle(token_source, specials, min_freq) + ")"
+
+
+def _encode_oracle(list_expr: str, vocab_sql: str, table: str = "documents",
+                   id_expr: str = "doc_id", unk: int = 1) -> str:
+    return f"""
+WITH v AS {vocab_sql},
+src AS (SELECT {id_expr} AS doc_id, {list_expr} AS w FROM {table}),
+t AS (SELECT doc_id, unnest(w) AS token, generate_subscripts(w, 1) AS pos FROM src),
+e AS (SELECT t.doc_id, t.pos, coalesce(v.id, {unk}) AS id FROM t LEFT JOIN v ON v.token = t.token)
+SELECT s.doc_id, CAST(count(e.id) AS BIGINT) AS n_tokens,
+       coalesce(string_agg(CAST(e.id AS VARCHAR), ',' ORDER BY e.pos), '') AS ids
+FROM src s LEFT JOIN e ON e.doc_id = s.doc_id GROUP BY s.doc_id
+"""
+
+
+def _ids_out(df, ids="ids"):
+    return df.select("doc_id", F.size(ids).cast("bigint").alias("n_tokens"), joined_ids(ids).alias("ids"))
+
+
+WORDS_DOC = _exploded_sql(S.words_sql("text"))
+EDGE_CONV = _exploded_sql(S.edgegrams_sql("text", 3), "conversations", CONV_ORD_SQL)
+EDGE_LORD = _exploded_sql(S.edgegrams_sql("text", 3), "documents", LORD_SQL)
+
+# Default alphabet as SQL: characters de-duplicated by first position.
+CHAR_VOCAB_SQL = (
+    "(SELECT CAST(row_number() OVER (ORDER BY p) + 1 AS BIGINT) AS id, c AS token FROM ("
+    "SELECT c, min(p) AS p FROM (SELECT unnest(l) AS c, generate_subscripts(l, 1) AS p FROM "
+    f"(SELECT regexp_extract_all({S.q(vb.DEFAULT_ALPHABET)}, '(?s).') AS l)) GROUP BY c) "
+    "UNION ALL SELECT 0, '<pad>' UNION ALL SELECT 1, '<unk>')")
+
+
+# ---------------------------------------------------------------------------
+# V1, V5, V6, V8, V10
+# ---------------------------------------------------------------------------
+
+@register("char_vocab", f"""
+WITH v AS {CHAR_VOCAB_SQL},
+c AS (SELECT unnest({S.chars_sql('text')}) AS token FROM documents),
+f AS (SELECT token, count(*) AS n FROM c GROUP BY token)
+SELECT v.id, v.token, CAST(coalesce(f.n, 0) AS BIGINT) AS corpus_freq
+FROM v LEFT JOIN f ON f.token = v.token
+""")
+def q_char_vocab(spark, sf_dir):
+    """Default alphabet vocabulary with each entry's frequency in the corpus."""
+    docs = documents(spark, sf_dir)
+    freq = (docs.select(F.explode(tx.chars("text")).alias("token"))
+            .groupBy("token").agg(F.count(F.lit(1)).alias("corpus_freq")))
+    v = vb.char_vocab(spark)
+    return v.join(freq, "token", "left").select(
+        "id", "token", F.coalesce("corpus_freq", F.lit(0)).cast("bigint").alias("corpus_freq"))
+
+
+@register("classifier_vocab", _vocab_oracle(EDGE_LORD, tx.SPECIALS_SHORT))
+def q_classifier_vocab(spark, sf_dir):
+    """Growing edgegram vocabulary built over all labelled texts (es, en, fr,
+    de order), before any split."""
+    docs = labelled_docs(spark, sf_dir)
+    return vb.build_vocab(vb.token_rows(docs, tx.edgegrams("text", 3)), specials=tx.SPECIALS_SHORT)
+
+
+def _extend_oracle() -> str:
+    return f"""
+WITH base AS {_vocab_cte(EDGE_CONV, tx.SPECIALS_SHORT)},
+t AS ({_exploded_sql(S.edgegrams_sql("text", 3))}),
+g AS (SELECT token, count(*) AS freq, min(CAST(doc_ord AS HUGEINT) * 4294967296 + pos) AS f FROM t
+      WHERE token NOT IN (SELECT token FROM base) GROUP BY token)
+SELECT * FROM base
+UNION ALL
+SELECT CAST(row_number() OVER (ORDER BY f) + (SELECT max(id) FROM base) AS BIGINT), token,
+       CAST(freq AS BIGINT), false FROM g
+"""
+
+
+@register("vocab_extend", _extend_oracle())
+def q_vocab_extend(spark, sf_dir):
+    """Edgegram vocabulary of the conversations, grown with the documents."""
+    conv = conversations(spark, sf_dir)
+    base = vb.build_vocab(vb.token_rows(conv, tx.edgegrams("text", 3)), specials=tx.SPECIALS_SHORT)
+    docs = documents(spark, sf_dir)
+    return vb.extend_vocab(base, vb.token_rows(docs, tx.edgegrams("text", 3)))
+
+
+@register("vocab_sizes", f"""
+SELECT 'word_lower' AS vocab, CAST(count(*) AS BIGINT) AS size FROM {_vocab_cte(_exploded_sql(S.lower_words_sql("text")), tx.SPECIALS_WORD)}
+UNION ALL SELECT 'word', CAST(count(*) AS BIGINT) FROM {_vocab_cte(WORDS_DOC, tx.SPECIALS_WORD)}
+UNION ALL SELECT 'word_min2', CAST(count(*) AS BIGINT) FROM {_vocab_cte(WORDS_DOC, tx.SPECIALS_WORD, 2)}
+UNION ALL SELECT 'edgegram', CAST(count(*) AS BIGINT) FROM {_vocab_cte(_exploded_sql(S.edgegrams_sql("text", 3)), tx.SPECIALS_SHORT)}
+UNION ALL SELECT 'char', CAST(count(*) AS BIGINT) FROM {CHAR_VOCAB_SQL}
+""")
+def q_vocab_sizes(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    vocabs = {
+        "word_lower": vb.word_vocab(docs, lowercase=True),
+        "word": vb.build_vocab(vb.token_rows(docs, tx.words("text"))),
+        "word_min2": vb.build_vocab(vb.token_rows(docs, tx.words("text")), min_freq=2),
+        "edgegram": vb.build_vocab(vb.token_rows(docs, tx.edgegrams("text", 3)),
+                                   specials=tx.SPECIALS_SHORT),
+        "char": vb.char_vocab(spark),
+    }
+    out = None
+    for name, v in vocabs.items():
+        part = v.agg(F.count(F.lit(1)).cast("bigint").alias("size")).select(
+            F.lit(name).alias("vocab"), "size")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@register("vocab_preview", f"SELECT * FROM {_vocab_cte(WORDS_DOC, tx.SPECIALS_WORD)} WHERE id < 12")
+def q_vocab_preview(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    return vb.vocab_preview(vb.build_vocab(vb.token_rows(docs, tx.words("text"))), 12)
+
+
+# ---------------------------------------------------------------------------
+# E1-E7 encode
+# ---------------------------------------------------------------------------
+
+@register("encode_chars", _encode_oracle(S.chars_sql("text"), CHAR_VOCAB_SQL))
+def q_encode_chars(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    return _ids_out(en.encode(docs, tx.chars("text"), vb.char_vocab(spark)))
+
+
+@register("encode_words", _encode_oracle(S.words_sql("text"), _vocab_cte(WORDS_DOC, tx.SPECIALS_WORD, 2)))
+def q_encode_words(spark, sf_dir):
+    """Words against the min_freq=2 vocabulary: singletons become <unk>."""
+    docs = documents(spark, sf_dir)
+    v = vb.build_vocab(vb.token_rows(docs, tx.words("text")), min_freq=2)
+    return _ids_out(en.encode(docs, tx.words("text"), v))
+
+
+@register("encode_words_lower_vocab", _encode_oracle(
+    S.words_sql("text"), _vocab_cte(_exploded_sql(S.lower_words_sql("text")), tx.SPECIALS_WORD)))
+def q_encode_words_lower_vocab(spark, sf_dir):
+    """Words as written against the lower-cased corpus vocabulary."""
+    docs = documents(spark, sf_dir)
+    return _ids_out(en.encode(docs, tx.words("text"), vb.word_vocab(docs, lowercase=True)))
+
+
+RULE_CONV = _exploded_sql(S.rule_sql("text", "es"), "conversations", CONV_ORD_SQL)
+
+
+@register("numericalize", _encode_oracle(S.rule_by_lang_sql("text", "lang"),
+                                         _vocab_cte(RULE_CONV, tx.SPECIALS_WORD)))
+def q_numericalize(spark, sf_dir):
+    """Rule tokens of each document (its own language's rule) numericalised
+    with a vocabulary built from the conversations."""
+    conv = conversations(spark, sf_dir)
+    v = vb.build_vocab(vb.token_rows(conv, tx.rule_tokens("text", "es")))
+    docs = documents(spark, sf_dir)
+    return _ids_out(en.encode(docs, tx.rule_tokens("text", F.col("lang")), v))
+
+
+@register("encode_edgegram", _encode_oracle(S.edgegrams_sql("text", 3),
+                                            _vocab_cte(EDGE_CONV, tx.SPECIALS_SHORT)))
+def q_encode_edgegram(spark, sf_dir):
+    """Frozen edgegram vocabulary (from conversations): unseen grams -> <unk>."""
+    conv = conversations(spark, sf_dir)
+    v = vb.build_vocab(vb.token_rows(conv, tx.edgegrams("text", 3)), specials=tx.SPECIALS_SHORT)
+    docs = documents(spark, sf_dir)
+    return _ids_out(en.encode(docs, tx.edgegrams("text", 3), v))
+
+
+@register("encode_growing", _encode_oracle(S.edgegrams_sql("text", 3), "(" + _extend_oracle() + ")"))
+def q_encode_growing(spark, sf_dir):
+    """Encode with growth: the vocabulary is extended with the documents'
+    unseen grams first, then every gram has an id."""
+    conv = conversations(spark, sf_dir)
+    base = vb.build_vocab(vb.token_rows(conv, tx.edgegrams("text", 3)), specials=tx.SPECIALS_SHORT)
+    docs = documents(spark, sf_dir)
+    grams = tx.edgegrams("text", 3)
+    grown = vb.extend_vocab(base, vb.token_rows(docs, grams))
+    return _ids_out(en.encode(docs, grams, grown))
+
+
+@register("unk_rate", f"""
+WITH e AS ({_encode_oracle(S.words_sql("text"), _vocab_cte(WORDS_DOC, tx.SPECIALS_WORD, 2))})
+SELECT d.lang, CAST(sum(e.n_tokens) AS BIGINT) AS n_tokens,
+       CAST(sum(len(list_filter(string_split(e.ids, ','), lambda x: x = '1'))) AS BIGINT) AS n_unk,
+       CAST(sum(len(list_filter(string_split(e.ids, ','), lambda x: x = '1'))) AS DOUBLE) / sum(e.n_tokens) AS unk_rate
+FROM e JOIN documents d ON d.doc_id = e.doc_id GROUP BY d.lang
+""")
+def q_unk_rate(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    v = vb.build_vocab(vb.token_rows(docs, tx.words("text")), min_freq=2)
+    return en.unk_rate(en.encode(docs, tx.words("text"), v), "ids", "lang")

@@ -11,6 +11,7 @@ import sys
 import time
 
 import duckdb
+import pandas as pd
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
@@ -19,7 +20,7 @@ from lingotile.plans.common import TABLES  # noqa: E402
 
 
 def _norm(v):
-    if v is None:
+    if v is None or v is pd.NA or v is pd.NaT:
         return None
     if isinstance(v, float):
         if math.isnan(v):
@@ -71,8 +72,9 @@ def compare(spark, name: str, sf_dir: str, con=None) -> dict:
     if sc != oc:
         res["status"] = f"COLUMNS {sc} vs {oc}"
     elif sr != orow:
-        diff_s = [r for r in sr if r not in set(orow)][:3]
-        diff_o = [r for r in orow if r not in set(sr)][:3]
+        so, ss = set(orow), set(sr)
+        diff_s = [r for r in sr if r not in so][:3]
+        diff_o = [r for r in orow if r not in ss][:3]
         res["status"] = "VALUES"
         res["only_spark"] = [repr(r)[:300] for r in diff_s]
         res["only_oracle"] = [repr(r)[:300] for r in diff_o]
