@@ -414,3 +414,284 @@ def q_unk_rate(spark, sf_dir):
     docs = documents(spark, sf_dir)
     v = vb.build_vocab(vb.token_rows(docs, tx.words("text")), min_freq=2)
     return en.unk_rate(en.encode(docs, tx.words("text"), v), "ids", "lang")
+
+
+# ---------------------------------------------------------------------------
+# E8-E12 collate / fixed length / batches, D1-D7 decode
+# ---------------------------------------------------------------------------
+
+MD5_SQL = "md5(concat_ws('|', '{seed}', CAST(doc_id AS VARCHAR)))"
+VOCAB_WORDS_SQL = _vocab_cte(WORDS_DOC, tx.SPECIALS_WORD)
+CLS_VOCAB_SQL = _vocab_cte(EDGE_LORD, tx.SPECIALS_SHORT)
+
+
+def _id_list_cte(list_expr: str, vocab_sql: str, src: str) -> str:
+    """-> (doc_id, ids BIGINT[]) for every row of ``src`` (doc_id, text)."""
+    return f"""(
+  WITH v AS {vocab_sql},
+  t AS (SELECT doc_id, unnest(w) AS token, generate_subscripts(w, 1) AS pos
+        FROM (SELECT doc_id, {list_expr} AS w FROM {src})),
+  e AS (SELECT t.doc_id, list(coalesce(v.id, 1) ORDER BY t.pos) AS ids
+        FROM t LEFT JOIN v ON v.token = t.token GROUP BY t.doc_id)
+  SELECT s.doc_id, coalesce(e.ids, CAST([] AS BIGINT[])) AS ids FROM {src} s LEFT JOIN e ON e.doc_id = s.doc_id)"""
+
+
+COLLATE_SQL = f"""
+WITH b AS (SELECT doc_id, {LABEL_SQL} AS label, text,
+                  CAST(floor((row_number() OVER (ORDER BY {MD5_SQL.format(seed=42)}, doc_id) - 1) / 16) AS BIGINT) AS batch_id
+           FROM documents),
+i AS {_id_list_cte(S.words_sql("text"), VOCAB_WORDS_SQL, "b")},
+x AS (SELECT b.doc_id, b.label, b.batch_id, list_concat([CAST(2 AS BIGINT)], i.ids, [CAST(3 AS BIGINT)]) AS ids
+      FROM b JOIN i ON i.doc_id = b.doc_id),
+p AS (SELECT *, max(len(ids)) OVER (PARTITION BY batch_id) AS m FROM x)
+SELECT batch_id, doc_id, label,
+       list_concat(ids, list_transform(range(m - len(ids)), lambda k: CAST(0 AS BIGINT))) AS ids FROM p
+"""
+
+
+def _collate(spark, sf_dir):
+    docs = labelled_docs(spark, sf_dir)
+    v = vb.build_vocab(vb.token_rows(documents(spark, sf_dir), tx.words("text")))
+    b = sp.assign_batches(docs, 16, shuffle_seed=42)
+    e = en.encode(b, tx.words("text"), v)
+    e = e.withColumn("ids", en.add_bos_eos("ids"))
+    return sp.pad_batches(e, "ids", "batch_id"), v
+
+
+@register("collate", f"SELECT batch_id, doc_id, label, array_to_string(ids, ',') AS ids FROM ({COLLATE_SQL})")
+def q_collate(spark, sf_dir):
+    """Shuffled batches of 16: <bos> ids <eos>, padded to the batch maximum."""
+    e, _ = _collate(spark, sf_dir)
+    return e.select("batch_id", "doc_id", "label", joined_ids("ids").alias("ids"))
+
+
+@register("decode_words", f"""
+WITH c AS ({COLLATE_SQL}),
+v AS {VOCAB_WORDS_SQL},
+t AS (SELECT doc_id, unnest(ids) AS id, generate_subscripts(ids, 1) AS pos FROM c),
+d AS (SELECT t.doc_id, t.pos, coalesce(v.token, '<unk>') AS token FROM t LEFT JOIN v ON v.id = t.id)
+SELECT doc_id, string_agg(token, ' ' ORDER BY pos) AS decoded FROM d WHERE token <> '<pad>' GROUP BY doc_id
+""")
+def q_decode_words(spark, sf_dir):
+    """Decode the collated batches: padding dropped, <bos>/<eos> kept."""
+    e, v = _collate(spark, sf_dir)
+    return en.decode(e, "ids", v, out="decoded", sep=" ").select("doc_id", "decoded")
+
+
+FIXED_SQL = f"""
+WITH d AS (SELECT doc_id, {LABEL_SQL} AS label, text FROM documents),
+i AS {_id_list_cte(S.edgegrams_sql("text", 3), CLS_VOCAB_SQL, "d")}
+SELECT d.doc_id, d.label,
+       list_concat(i.ids, list_transform(range(100), lambda k: CAST(0 AS BIGINT)))[1:100] AS ids
+FROM d JOIN i ON i.doc_id = d.doc_id
+"""
+
+
+def _fixed(spark, sf_dir):
+    docs = labelled_docs(spark, sf_dir)
+    v = vb.build_vocab(vb.token_rows(docs, tx.edgegrams("text", 3)), specials=tx.SPECIALS_SHORT)
+    e = en.encode(docs, tx.edgegrams("text", 3), v)
+    return e.withColumn("ids", en.pad_or_truncate("ids", 100)), v
+
+
+@register("fixed_length", f"SELECT doc_id, label, array_to_string(ids, ',') AS ids FROM ({FIXED_SQL})")
+def q_fixed_length(spark, sf_dir):
+    """Classifier input: edgegram ids truncated or 0-padded to 100."""
+    e, _ = _fixed(spark, sf_dir)
+    return e.select("doc_id", "label", joined_ids("ids").alias("ids"))
+
+
+@register("decode_edgegram", f"""
+WITH f AS ({FIXED_SQL}), v AS {CLS_VOCAB_SQL},
+t AS (SELECT doc_id, unnest(ids) AS id, generate_subscripts(ids, 1) AS pos FROM f),
+d AS (SELECT t.doc_id, t.pos, coalesce(v.token, '<unk>') AS token FROM t LEFT JOIN v ON v.id = t.id)
+SELECT f.doc_id, coalesce(x.decoded, '') AS decoded FROM f LEFT JOIN
+  (SELECT doc_id, string_agg(token, ' ' ORDER BY pos) AS decoded FROM d WHERE token <> '<pad>' GROUP BY doc_id) x
+  ON x.doc_id = f.doc_id
+""")
+def q_decode_edgegram(spark, sf_dir):
+    e, v = _fixed(spark, sf_dir)
+    return en.decode(e, "ids", v, out="decoded", sep=" ").select("doc_id", "decoded")
+
+
+@register("decode_tokens", f"""
+WITH f AS ({FIXED_SQL}), v AS {CLS_VOCAB_SQL},
+t AS (SELECT doc_id, unnest(ids) AS id, generate_subscripts(ids, 1) AS pos FROM f),
+d AS (SELECT t.doc_id, t.pos, coalesce(v.token, '<unk>') AS token FROM t LEFT JOIN v ON v.id = t.id)
+SELECT doc_id, string_agg(token, chr(31) ORDER BY pos) AS tokens FROM d GROUP BY doc_id
+""")
+def q_decode_tokens(spark, sf_dir):
+    """id -> token for every position, padding shown."""
+    e, v = _fixed(spark, sf_dir)
+    t = en.decode_tokens(e, "ids", v, out="tokens")
+    return t.select("doc_id", joined("tokens").alias("tokens"))
+
+
+@register("decode_chars", f"""
+WITH v AS {CHAR_VOCAB_SQL},
+t AS (SELECT doc_id, unnest(w) AS token, generate_subscripts(w, 1) AS pos
+      FROM (SELECT doc_id, {S.chars_sql('text')} AS w FROM documents)),
+d AS (SELECT t.doc_id, t.pos, coalesce(v.token, '<unk>') AS token FROM t LEFT JOIN v ON v.token = t.token)
+SELECT s.doc_id, coalesce(x.decoded, '') AS decoded FROM documents s LEFT JOIN
+  (SELECT doc_id, string_agg(token, '' ORDER BY pos) AS decoded FROM d GROUP BY doc_id) x ON x.doc_id = s.doc_id
+""")
+def q_decode_chars(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    v = vb.char_vocab(spark)
+    e = en.encode(docs, tx.chars("text"), v)
+    return en.decode(e, "ids", v, out="decoded", sep="").select("doc_id", "decoded")
+
+
+@register("decode_rule_tokens", f"""
+WITH v AS {_vocab_cte(RULE_CONV, tx.SPECIALS_WORD)},
+t AS (SELECT doc_id, unnest(w) AS token, generate_subscripts(w, 1) AS pos
+      FROM (SELECT doc_id, {S.rule_by_lang_sql('text', 'lang')} AS w FROM documents)),
+d AS (SELECT t.doc_id, t.pos, coalesce(v.token, '<unk>') AS token FROM t LEFT JOIN v ON v.token = t.token)
+SELECT s.doc_id, coalesce(x.decoded, '') AS decoded FROM documents s LEFT JOIN
+  (SELECT doc_id, string_agg(token, ' ' ORDER BY pos) AS decoded FROM d GROUP BY doc_id) x ON x.doc_id = s.doc_id
+""")
+def q_decode_rule_tokens(spark, sf_dir):
+    """Rule tokens through a conversations vocabulary and back: unseen
+    tokens come back as <unk>."""
+    conv = conversations(spark, sf_dir)
+    v = vb.build_vocab(vb.token_rows(conv, tx.rule_tokens("text", "es")))
+    docs = documents(spark, sf_dir)
+    e = en.encode(docs, tx.rule_tokens("text", F.col("lang")), v)
+    return en.decode(e, "ids", v, out="decoded", sep=" ").select("doc_id", "decoded")
+
+
+@register("roundtrip_char", f"""
+WITH v AS {CHAR_VOCAB_SQL},
+t AS (SELECT doc_id, unnest({S.chars_sql('text')}) AS token FROM documents),
+u AS (SELECT t.doc_id, count(*) FILTER (WHERE v.id IS NULL) AS n_unk FROM t LEFT JOIN v ON v.token = t.token
+      GROUP BY t.doc_id)
+SELECT d.lang, CAST(count(*) AS BIGINT) AS n_docs,
+       CAST(count(*) FILTER (WHERE coalesce(u.n_unk, 0) = 0) AS BIGINT) AS n_roundtrip
+FROM documents d LEFT JOIN u ON u.doc_id = d.doc_id GROUP BY d.lang
+""")
+def q_roundtrip_char(spark, sf_dir):
+    """decode(encode(text)) == text, counted per language."""
+    docs = documents(spark, sf_dir)
+    v = vb.char_vocab(spark)
+    e = en.decode(en.encode(docs, tx.chars("text"), v), "ids", v, out="decoded", sep="")
+    return e.groupBy("lang").agg(
+        F.count(F.lit(1)).cast("bigint").alias("n_docs"),
+        F.count(F.when(F.col("decoded") == F.col("text"), 1)).cast("bigint").alias("n_roundtrip"))
+
+
+@register("prepare_for_scoring", f"""
+WITH c AS (SELECT {CONV_ORD_SQL} AS doc_id, text FROM conversations),
+i AS {_id_list_cte(S.edgegrams_sql("text", 3), CLS_VOCAB_SQL, "c")}
+SELECT doc_id, array_to_string(list_concat(ids, list_transform(range(100), lambda k: CAST(0 AS BIGINT)))[1:100], ',') AS ids
+FROM i
+""")
+def q_prepare_for_scoring(spark, sf_dir):
+    """New texts (conversation turns) encoded with the frozen classifier
+    vocabulary and fixed to length 100."""
+    docs = labelled_docs(spark, sf_dir)
+    v = vb.build_vocab(vb.token_rows(docs, tx.edgegrams("text", 3)), specials=tx.SPECIALS_SHORT)
+    conv = conversations(spark, sf_dir)
+    e = en.encode(conv, tx.edgegrams("text", 3), v)
+    return e.select("doc_id", joined_ids(en.pad_or_truncate("ids", 100)).alias("ids"))
+
+
+@register("batches", """
+SELECT doc_id, CAST(floor((row_number() OVER (ORDER BY doc_id) - 1) / 32) AS BIGINT) AS batch_id FROM documents
+""")
+def q_batches(spark, sf_dir):
+    """Unshuffled mini-batches of 32 in corpus order."""
+    return sp.assign_batches(documents(spark, sf_dir), 32).select("doc_id", "batch_id")
+
+
+# ---------------------------------------------------------------------------
+# P1-P8 splits and labels, S10 default labels
+# ---------------------------------------------------------------------------
+
+STRAT_SQL = f"""
+WITH d AS (SELECT doc_id, {LABEL_SQL} AS label FROM documents),
+c AS (SELECT label, count(*) AS n FROM d GROUP BY label),
+q1 AS (SELECT label, n, floor(CAST(n AS DECIMAL(30,10)) * 0.8) AS base,
+              CAST(n AS DECIMAL(30,10)) * 0.8 - floor(CAST(n AS DECIMAL(30,10)) * 0.8) AS frac,
+              (SELECT floor(CAST(sum(n) AS DECIMAL(30,10)) * 0.8) FROM c) AS n_train FROM c),
+q2 AS (SELECT label, CAST(base + CASE WHEN row_number() OVER (ORDER BY frac DESC, label)
+                                          <= n_train - sum(base) OVER () THEN 1 ELSE 0 END AS BIGINT) AS quota FROM q1),
+r AS (SELECT doc_id, label, row_number() OVER (PARTITION BY label ORDER BY {MD5_SQL.format(seed=42)}, doc_id) - 1 AS rk FROM d)
+SELECT r.doc_id, r.label, CASE WHEN rk < quota THEN 'train' ELSE 'val' END AS split FROM r JOIN q2 ON q2.label = r.label
+"""
+
+
+def _strat(spark, sf_dir):
+    docs = labelled_docs(spark, sf_dir).select("doc_id", "label")
+    return sp.stratified_split(docs, 0.8, 42)
+
+
+@register("stratified_split", STRAT_SQL)
+def q_stratified_split(spark, sf_dir):
+    """Stratified 80/20 split by language label, seed 42."""
+    return _strat(spark, sf_dir).select("doc_id", "label", "split")
+
+
+def _random_split_sql(ratio: str, clamp: bool) -> str:
+    cut = f"floor(count(*) OVER () * {ratio})"
+    if clamp:
+        cut = f"CASE WHEN count(*) OVER () > 1 THEN greatest(1, least({cut}, count(*) OVER () - 1)) ELSE 1 END"
+    return f"""
+SELECT doc_id, CASE WHEN rk < cut THEN 'train' ELSE 'val' END AS split FROM (
+  SELECT doc_id, row_number() OVER (ORDER BY {MD5_SQL.format(seed=42)}, doc_id) - 1 AS rk, {cut} AS cut FROM documents)
+"""
+
+
+@register("random_split", _random_split_sql("0.8", False))
+def q_random_split(spark, sf_dir):
+    return sp.random_split(documents(spark, sf_dir), 0.8, 42).select("doc_id", "split")
+
+
+@register("random_split_clamped", _random_split_sql("0.0005", True))
+def q_random_split_clamped(spark, sf_dir):
+    """Fallback split with a ratio whose cut rounds to 0: clamped to 1 row."""
+    return sp.random_split(documents(spark, sf_dir), 0.0005, 42, clamp=True).select("doc_id", "split")
+
+
+@register("can_stratify", f"""
+WITH c AS (SELECT {LABEL_SQL} AS label, count(*) AS n FROM documents GROUP BY 1)
+SELECT CAST(count(*) AS BIGINT) AS n_labels, CAST(min(n) AS BIGINT) AS min_count,
+       CAST(sum(n) AS BIGINT) AS n_rows, count(*) > 1 AND min(n) >= 2 AND sum(n) > 1 AS can_stratify FROM c
+""")
+def q_can_stratify(spark, sf_dir):
+    return sp.can_stratify(labelled_docs(spark, sf_dir))
+
+
+LANG4_NAME_SQL = "(CASE label WHEN 0 THEN 'es' WHEN 1 THEN 'en' WHEN 2 THEN 'fr' WHEN 3 THEN 'de' ELSE CAST(label AS VARCHAR) END)"
+
+
+@register("split_distribution", f"""
+SELECT split, {LANG4_NAME_SQL} AS language, label, CAST(count(*) AS BIGINT) AS n FROM ({STRAT_SQL}) GROUP BY split, label
+""")
+def q_split_distribution(spark, sf_dir):
+    return sp.split_distribution(_strat(spark, sf_dir), LANG4)
+
+
+@register("batch_counts", f"""
+SELECT split, CAST(count(*) AS BIGINT) AS n, CAST(least(16, count(*)) AS BIGINT) AS batch_size,
+       CAST(ceil(count(*) / least(16, count(*))) AS BIGINT) AS n_batches FROM ({STRAT_SQL}) GROUP BY split
+""")
+def q_batch_counts(spark, sf_dir):
+    return sp.batch_counts(_strat(spark, sf_dir), 16)
+
+
+@register("label_map", f"SELECT doc_id, {LABEL_SQL} AS label, lang AS language FROM documents")
+def q_label_map(spark, sf_dir):
+    """language -> label -> language through the map and its inverse."""
+    d = sp.encode_label(documents(spark, sf_dir), LANG4)
+    return sp.decode_label(d, LANG4, "label", "language").select("doc_id", "label", "language")
+
+
+@register("default_labels", """
+SELECT doc_id, 0 AS default_label,
+       CASE WHEN (row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1) % 2 = 0 THEN 1 ELSE 0 END AS alt_label
+FROM documents
+""")
+def q_default_labels(spark, sf_dir):
+    """No labels -> 0; demo labels alternate 1, 0 within each language."""
+    d = sp.with_default_label(documents(spark, sf_dir), "default_label")
+    return sp.alternate_label(d, "doc_ord", "lang", "alt_label").select("doc_id", "default_label", "alt_label")
