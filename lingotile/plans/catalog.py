@@ -695,3 +695,228 @@ def q_default_labels(spark, sf_dir):
     """No labels -> 0; demo labels alternate 1, 0 within each language."""
     d = sp.with_default_label(documents(spark, sf_dir), "default_label")
     return sp.alternate_label(d, "doc_ord", "lang", "alt_label").select("doc_id", "default_label", "alt_label")
+
+
+# ---------------------------------------------------------------------------
+# C2, C5-C7 comparison extras
+# ---------------------------------------------------------------------------
+
+from lingotile.operators import compare as cmp  # noqa: E402
+from lingotile.operators import nn  # noqa: E402
+from lingotile.plans.common import table  # noqa: E402
+
+VOCAB_EDGE_SQL = _vocab_cte(_exploded_sql(S.edgegrams_sql("text", 3)), tx.SPECIALS_SHORT)
+
+
+@register("tokenizer_examples", f"""
+WITH s AS (SELECT doc_id, lang, text FROM (
+             SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id) AS rn FROM documents) WHERE rn <= 2),
+tk AS (SELECT lang, doc_id, text, 'char' AS tokenizer, {S.chars_sql('text')} AS t FROM s
+       UNION ALL SELECT lang, doc_id, text, 'word', {S.words_sql('text')} FROM s
+       UNION ALL SELECT lang, doc_id, text, 'edgegram', {S.edgegrams_sql('text', 3)} FROM s),
+ex AS (SELECT doc_id, tokenizer, unnest(t) AS token, generate_subscripts(t, 1) AS pos FROM tk),
+vc AS {CHAR_VOCAB_SQL}, vw AS {VOCAB_WORDS_SQL}, ve AS {VOCAB_EDGE_SQL},
+ids AS (SELECT ex.doc_id, ex.tokenizer, list(coalesce(vc.id, vw.id, ve.id, 1) ORDER BY ex.pos) AS ids
+        FROM ex
+        LEFT JOIN vc ON ex.tokenizer = 'char' AND vc.token = ex.token
+        LEFT JOIN vw ON ex.tokenizer = 'word' AND vw.token = ex.token
+        LEFT JOIN ve ON ex.tokenizer = 'edgegram' AND ve.token = ex.token
+        GROUP BY ex.doc_id, ex.tokenizer)
+SELECT tk.lang AS language, tk.tokenizer, tk.text, {S.join_list('tk.t')} AS tokens,
+       CAST(len(tk.t) AS BIGINT) AS n_tokens,
+       coalesce(array_to_string(ids.ids[1:12], ','), '') AS ids_preview, CAST(NULL AS VARCHAR) AS error
+FROM tk LEFT JOIN ids ON ids.doc_id = tk.doc_id AND ids.tokenizer = tk.tokenizer
+""")
+def q_tokenizer_examples(spark, sf_dir):
+    """First two texts per language through char, word and edgegram."""
+    docs = documents(spark, sf_dir)
+    specs = [tx.char_spec(), tx.word_spec(), tx.edgegram_spec(3)]
+    vocabs = {"char": vb.char_vocab(spark),
+              "word": vb.build_vocab(vb.token_rows(docs, tx.words("text"))),
+              "edgegram": vb.build_vocab(vb.token_rows(docs, tx.edgegrams("text", 3)),
+                                         specials=tx.SPECIALS_SHORT)}
+    ex = cmp.collect_examples(docs, specs, vocabs, max_samples=2)
+    return ex.select("language", "tokenizer", "text", joined("tokens").alias("tokens"), "n_tokens",
+                     joined_ids("ids_preview").alias("ids_preview"), "error")
+
+
+LANGS_SORTED = ["de", "en", "es", "fr"]
+
+
+@register("summary_pivot", "SELECT tokenizer, " + ", ".join(
+    f"max(avg_tokens) FILTER (WHERE language = '{lg}') AS {lg}" for lg in LANGS_SORTED)
+    + " FROM (" + _summary_oracle("SELECT lang, text FROM documents", "lang", _summary_specs_sql(),
+                                  {"char": CHAR_VOCAB_SIZE}) + ") GROUP BY tokenizer")
+def q_summary_pivot(spark, sf_dir):
+    """Average tokens per text: tokenizers x languages."""
+    summary = q_tokenizer_summary(spark, sf_dir)
+    return cmp.pivot_avg_tokens(summary, LANGS_SORTED)
+
+
+@register("corpus_profile", """
+SELECT lang AS language, CAST(count(*) AS BIGINT) AS n_lines, arg_min(text, doc_id) AS sample
+FROM documents GROUP BY lang
+""")
+def q_corpus_profile(spark, sf_dir):
+    return cmp.corpus_profile(documents(spark, sf_dir))
+
+
+@register("word_vs_edgegram", _summary_oracle(
+    "SELECT lang, text FROM documents", "lang",
+    [("word", S.words_sql("text"), 4), ("edgegram", S.edgegrams_sql("text", 3), 2)], {}))
+def q_word_vs_edgegram(spark, sf_dir):
+    """Word against edgegram: corpus vocabulary size and tokens per text."""
+    return cmp.summarize_tokenizers(documents(spark, sf_dir), [tx.word_spec(), tx.edgegram_spec(3)],
+                                    round_digits=None)
+
+
+# ---------------------------------------------------------------------------
+# M1-M8, M13: embedding features and scoring
+# ---------------------------------------------------------------------------
+
+EMB_DIM = 64
+HIDDEN_IDS = list(range(0, 8))
+OUTPUT_IDS = list(range(8, 12))
+
+POOLED_SQL = f"""
+WITH v AS {CHAR_VOCAB_SQL},
+d AS (SELECT doc_id, {LABEL_SQL} AS label, text FROM documents),
+t AS (SELECT doc_id, unnest({S.chars_sql('text')}) AS token FROM d),
+c AS (SELECT t.doc_id, coalesce(v.id, 1) AS id, count(*) AS w FROM t LEFT JOIN v ON v.token = t.token
+      GROUP BY 1, 2 HAVING coalesce(v.id, 1) <> 0),
+ed AS (SELECT vec_id, CAST(unnest(embedding) AS DOUBLE) AS x, generate_subscripts(embedding, 1) - 1 AS dim FROM embeddings),
+p AS (SELECT c.doc_id, ed.dim, sum(c.w * ed.x) / sum(c.w) AS val FROM c JOIN ed ON ed.vec_id = c.id GROUP BY 1, 2),
+g AS (SELECT d.doc_id, d.label, r.dim FROM d CROSS JOIN (SELECT range AS dim FROM range({EMB_DIM})) r),
+pooled_rows AS (SELECT g.doc_id, g.label, g.dim, coalesce(p.val, 0.0) AS val FROM g
+                LEFT JOIN p ON p.doc_id = g.doc_id AND p.dim = g.dim)
+"""
+
+LOGITS_SQL = POOLED_SQL + f""",
+pooled AS (SELECT doc_id, label, list(val ORDER BY dim) AS vec FROM pooled_rows GROUP BY 1, 2),
+w1 AS (SELECT vec_id AS j, CAST(embedding AS DOUBLE[]) AS w FROM embeddings WHERE vec_id BETWEEN {HIDDEN_IDS[0]} AND {HIDDEN_IDS[-1]}),
+w2 AS (SELECT vec_id - {OUTPUT_IDS[0]} AS k, CAST(embedding[1:{len(HIDDEN_IDS)}] AS DOUBLE[]) AS w FROM embeddings
+       WHERE vec_id BETWEEN {OUTPUT_IDS[0]} AND {OUTPUT_IDS[-1]}),
+h AS (SELECT pooled.doc_id, pooled.label, list(greatest(list_dot_product(w1.w, pooled.vec), 0.0) ORDER BY w1.j) AS h
+      FROM pooled CROSS JOIN w1 GROUP BY 1, 2),
+lg AS (SELECT h.doc_id, h.label, list(list_dot_product(w2.w, h.h) ORDER BY w2.k) AS logits
+       FROM h CROSS JOIN w2 GROUP BY 1, 2),
+sc AS (SELECT doc_id, label, logits, list_position(logits, list_max(logits)) - 1 AS pred,
+              list_max(logits) + ln(list_sum(list_transform(logits, lambda z: exp(z - list_max(logits))))) AS lse
+       FROM lg)
+"""
+
+
+def _pooled(spark, sf_dir):
+    docs = labelled_docs(spark, sf_dir)
+    e = en.encode(docs, tx.chars("text"), vb.char_vocab(spark))
+    emb = table(spark, sf_dir, "embeddings")
+    return nn.mean_pool(e, "ids", emb, EMB_DIM), emb
+
+
+def _scored(spark, sf_dir):
+    p, emb = _pooled(spark, sf_dir)
+    w1 = nn.weights_from_table(emb, HIDDEN_IDS)
+    w2 = nn.weights_from_table(emb, OUTPUT_IDS, width=len(HIDDEN_IDS))
+    s = p.withColumn("logits", nn.mlp_logits("pooled", [(w1, None), (w2, None)]))
+    return (s.withColumn("pred", nn.argmax("logits"))
+            .withColumn("loss", nn.cross_entropy("logits", "label")))
+
+
+@register("mean_pool", POOLED_SQL + "SELECT doc_id, CAST(dim AS BIGINT) AS dim, round(val, 4) AS value FROM pooled_rows")
+def q_mean_pool(spark, sf_dir):
+    """Padding-aware mean of the character embeddings of each document."""
+    p, _ = _pooled(spark, sf_dir)
+    return p.select("doc_id", F.posexplode("pooled").alias("dim", "value")).select(
+        "doc_id", F.col("dim").cast("bigint").alias("dim"), F.round("value", 4).alias("value"))
+
+
+@register("lookup_embeddings", f"""
+WITH v AS {CHAR_VOCAB_SQL},
+t AS (SELECT doc_id, unnest({S.chars_sql('text')}) AS token FROM documents),
+i AS (SELECT t.doc_id, coalesce(v.id, 1) AS id FROM t LEFT JOIN v ON v.token = t.token)
+SELECT i.doc_id, CAST(count(e.vec_id) AS BIGINT) AS n_found, round(sum(CAST(e.embedding[1] AS DOUBLE)), 4) AS sum_dim0
+FROM i LEFT JOIN embeddings e ON e.vec_id = i.id GROUP BY i.doc_id
+""")
+def q_lookup_embeddings(spark, sf_dir):
+    """Every character id of every document looked up in the embedding table."""
+    docs = documents(spark, sf_dir)
+    e = en.encode(docs, tx.chars("text"), vb.char_vocab(spark))
+    rows = nn.lookup_embeddings(e, "ids", table(spark, sf_dir, "embeddings"))
+    return rows.groupBy("doc_id").agg(
+        F.count("vec").cast("bigint").alias("n_found"),
+        F.round(F.sum(F.element_at("vec", 1)), 4).alias("sum_dim0"))
+
+
+@register("flatten_embeddings", f"""
+WITH v AS {CHAR_VOCAB_SQL},
+t AS (SELECT doc_id, unnest(w) AS token, generate_subscripts(w, 1) AS pos
+      FROM (SELECT doc_id, {S.chars_sql('text')} AS w FROM documents)),
+i AS (SELECT t.doc_id, t.pos, coalesce(v.id, 1) AS id FROM t LEFT JOIN v ON v.token = t.token),
+f AS (SELECT d.doc_id, p.pos, coalesce(i.id, 0) AS id FROM documents d CROSS JOIN (SELECT range + 1 AS pos FROM range(4)) p
+      LEFT JOIN i ON i.doc_id = d.doc_id AND i.pos = p.pos),
+ed AS (SELECT vec_id, CAST(unnest(embedding) AS DOUBLE) AS x, generate_subscripts(embedding, 1) - 1 AS dim FROM embeddings)
+SELECT f.doc_id, CAST((f.pos - 1) * {EMB_DIM} + ed.dim AS BIGINT) AS idx, round(ed.x, 4) AS value
+FROM f JOIN ed ON ed.vec_id = f.id
+""")
+def q_flatten_embeddings(spark, sf_dir):
+    """Fixed-length (4) character ids -> one 4 x 64 vector per document."""
+    docs = documents(spark, sf_dir)
+    e = en.encode(docs, tx.chars("text"), vb.char_vocab(spark))
+    e = e.withColumn("ids", en.pad_or_truncate("ids", 4))
+    f = nn.flatten_embeddings(e, "ids", table(spark, sf_dir, "embeddings"), 4, EMB_DIM)
+    return f.select("doc_id", F.posexplode("flat").alias("idx", "value")).select(
+        "doc_id", F.col("idx").cast("bigint").alias("idx"), F.round("value", 4).alias("value"))
+
+
+@register("mlp_logits", LOGITS_SQL + """
+SELECT doc_id, CAST(k - 1 AS BIGINT) AS class, round(z, 4) AS logit
+FROM (SELECT doc_id, unnest(logits) AS z, generate_subscripts(logits, 1) AS k FROM sc)
+""")
+def q_mlp_logits(spark, sf_dir):
+    """Mean-pooled features through an 8-unit ReLU layer and a 4-class output."""
+    s = _scored(spark, sf_dir)
+    return s.select("doc_id", F.posexplode("logits").alias("class", "z")).select(
+        "doc_id", F.col("class").cast("bigint").alias("class"), F.round("z", 4).alias("logit"))
+
+
+@register("predict", LOGITS_SQL + "SELECT doc_id, CAST(pred AS INTEGER) AS pred FROM sc")
+def q_predict(spark, sf_dir):
+    return _scored(spark, sf_dir).select("doc_id", "pred")
+
+
+@register("predict_proba", LOGITS_SQL + """
+SELECT doc_id, CAST(k - 1 AS BIGINT) AS class, round(p, 6) AS prob FROM (
+  SELECT doc_id, unnest(list_transform(logits, lambda z: exp(z - lse))) AS p, generate_subscripts(logits, 1) AS k FROM sc)
+""")
+def q_predict_proba(spark, sf_dir):
+    s = _scored(spark, sf_dir).withColumn("proba", nn.softmax("logits"))
+    return s.select("doc_id", F.posexplode("proba").alias("class", "p")).select(
+        "doc_id", F.col("class").cast("bigint").alias("class"), F.round("p", 6).alias("prob"))
+
+
+@register("cross_entropy", LOGITS_SQL + "SELECT doc_id, label, round(lse - logits[label + 1], 6) AS loss FROM sc")
+def q_cross_entropy(spark, sf_dir):
+    return _scored(spark, sf_dir).select("doc_id", "label", F.round("loss", 6).alias("loss"))
+
+
+@register("epoch_metrics", LOGITS_SQL + """,
+b AS (SELECT *, floor((row_number() OVER (ORDER BY label, doc_id) - 1) / 16) AS batch_id, lse - logits[label + 1] AS loss FROM sc),
+pb AS (SELECT batch_id, avg(loss) AS bl, count(*) AS n, sum(CASE WHEN pred = label THEN 1 ELSE 0 END) AS c FROM b GROUP BY 1)
+SELECT CAST(count(*) AS BIGINT) AS n_batches, round(avg(bl), 6) AS loss, CAST(sum(c) AS DOUBLE) / sum(n) AS accuracy FROM pb
+""")
+def q_epoch_metrics(spark, sf_dir):
+    """Loss as the mean of per-batch means (batches of 16, corpus order) and accuracy."""
+    s = sp.assign_batches(_scored(spark, sf_dir), 16)
+    m = nn.batch_mean_loss(s, "loss", "batch_id", "pred", "label")
+    return m.select("n_batches", F.round("loss", 6).alias("loss"), "accuracy")
+
+
+@register("per_class_accuracy", LOGITS_SQL + f""",
+m AS (SELECT * FROM (VALUES ('es', 0), ('en', 1), ('fr', 2), ('de', 3)) m(language, label)),
+per AS (SELECT label, count(*) AS n, sum(CASE WHEN pred = label THEN 1 ELSE 0 END) AS c FROM sc GROUP BY 1)
+SELECT m.language, m.label, CAST(coalesce(per.n, 0) AS BIGINT) AS total, CAST(coalesce(per.c, 0) AS BIGINT) AS correct,
+       CASE WHEN per.n > 0 THEN CAST(per.c AS DOUBLE) / per.n END AS accuracy
+FROM m LEFT JOIN per ON per.label = m.label
+""")
+def q_per_class_accuracy(spark, sf_dir):
+    return nn.evaluate_predictions(_scored(spark, sf_dir), LANG4)
