@@ -125,6 +125,9 @@ class TokenizerSpec:
     sep: str = " "
     growing: bool = False
     requires: tuple = field(default_factory=tuple)
+    # Optional DataFrame-level step for tokenizers that need a join
+    # (``prepare(df, text_col, key) -> df`` adding the column ``fn`` reads).
+    prepare: Callable | None = None
 
     def tokens(self, text: Column | str, lang: Column | str | None = None) -> Column:
         t = F.col(text) if isinstance(text, str) else text

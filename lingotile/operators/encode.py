@@ -51,7 +51,7 @@ def _lookup(rows: DataFrame, rows_key: str, vocab: DataFrame, vocab_key: str, va
     # Hot/cold split: the top ``hot_rows`` tokens by frequency (bounded) are
     # broadcast; only the remaining, lighter keys are shuffled.
     hot = (vocab.where(F.col("freq").isNotNull())
-           .orderBy(F.col("freq").desc(), F.col("id")).limit(hot_rows)
+           .orderBy(F.col("freq").desc(), F.col(vocab_key)).limit(hot_rows)
            .select(F.col(vocab_key).alias("_k"), F.col(value).alias("_hot")))
     probed = rows.join(F.broadcast(hot), rows[rows_key] == hot["_k"], "left").drop("_k")
     hit = probed.where(F.col("_hot").isNotNull()).withColumnRenamed("_hot", out)

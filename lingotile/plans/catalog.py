@@ -920,3 +920,99 @@ FROM m LEFT JOIN per ON per.label = m.label
 """)
 def q_per_class_accuracy(spark, sf_dir):
     return nn.evaluate_predictions(_scored(spark, sf_dir), LANG4)
+
+
+# ---------------------------------------------------------------------------
+# T5 / E6 / D5 WordPiece over a vocabulary derived from the corpus
+# ---------------------------------------------------------------------------
+
+from lingotile.operators import wordpiece as wpc  # noqa: E402
+
+WP_VOCAB_SQL = f"""(
+  WITH w AS (SELECT word, count(*) AS wf FROM (SELECT unnest({S.pretokenize_sql('text')}) AS word FROM documents) GROUP BY word),
+  c1 AS (SELECT word, wf, unnest(range(0, length(word))) AS s FROM w),
+  c2 AS (SELECT word, wf, s, unnest(range(1, least(4, length(word) - s) + 1)) AS l FROM c1),
+  p AS (SELECT CASE WHEN s = 0 THEN substr(word, 1, l) ELSE '##' || substr(word, s + 1, l) END AS piece,
+               sum(wf) AS freq FROM c2 GROUP BY 1),
+  k AS (SELECT piece, freq FROM p WHERE freq >= 2 AND piece NOT IN {_specials_in(wpc.WP_SPECIALS)})
+  SELECT CAST(row_number() OVER (ORDER BY md5(piece), piece) + {len(wpc.WP_SPECIALS) - 1} AS BIGINT) AS id,
+         piece AS token, CAST(freq AS BIGINT) AS freq, false AS is_special FROM k
+  UNION ALL {_specials_values(wpc.WP_SPECIALS)})"""
+
+WP_TOKENS_SQL = f"""
+WITH RECURSIVE v AS {WP_VOCAB_SQL},
+pre AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS pos
+        FROM (SELECT doc_id, {S.pretokenize_sql('text')} AS w FROM documents)),
+dw AS (SELECT DISTINCT word FROM pre),
+mx AS (SELECT max(length(regexp_replace(token, '^##', ''))) AS m FROM v),
+c1 AS (SELECT word, unnest(range(0, length(word))) AS s FROM dw WHERE length(word) <= {wpc.MAX_CHARS_PER_WORD}),
+c2 AS (SELECT word, s, unnest(range(1, least((SELECT m FROM mx), length(word) - s) + 1)) AS l FROM c1),
+best AS (SELECT c2.word, c2.s, max(c2.s + c2.l) AS e FROM c2 JOIN v
+           ON v.token = CASE WHEN c2.s = 0 THEN substr(c2.word, 1, c2.l) ELSE '##' || substr(c2.word, c2.s + 1, c2.l) END
+         GROUP BY 1, 2),
+walk AS (
+  SELECT word, 0 AS pos, CAST([] AS VARCHAR[]) AS pieces FROM dw WHERE length(word) <= {wpc.MAX_CHARS_PER_WORD}
+  UNION ALL
+  SELECT w.word, b.e, list_append(w.pieces, CASE WHEN w.pos = 0 THEN substr(w.word, 1, b.e)
+                                                 ELSE '##' || substr(w.word, w.pos + 1, b.e - w.pos) END)
+  FROM walk w JOIN best b ON b.word = w.word AND b.s = w.pos),
+done AS (SELECT word, pieces FROM walk WHERE pos = length(word)),
+wp AS (SELECT dw.word, coalesce(done.pieces, ['[UNK]']) AS pieces FROM dw LEFT JOIN done ON done.word = dw.word),
+toks AS (SELECT pre.doc_id, flatten(list(wp.pieces ORDER BY pre.pos)) AS t FROM pre JOIN wp ON wp.word = pre.word
+         GROUP BY pre.doc_id),
+dt AS (SELECT d.doc_id, coalesce(toks.t, CAST([] AS VARCHAR[])) AS t FROM documents d LEFT JOIN toks ON toks.doc_id = d.doc_id)
+"""
+
+
+def _wp(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    v = wpc.wordpiece_vocab_from_corpus(docs)
+    return wpc.wordpiece_tokenize(docs, v), v
+
+
+@register("wordpiece_vocab", f"SELECT * FROM {WP_VOCAB_SQL}")
+def q_wordpiece_vocab(spark, sf_dir):
+    """A WordPiece vocabulary derived from the corpus (pieces up to 4 chars)."""
+    return wpc.wordpiece_vocab_from_corpus(documents(spark, sf_dir))
+
+
+@register("wordpiece_tokens", WP_TOKENS_SQL + f"""
+SELECT doc_id, CAST(len(t) AS BIGINT) AS n_tokens, {S.join_list('t')} AS tokens FROM dt
+""")
+def q_wordpiece_tokens(spark, sf_dir):
+    t, _ = _wp(spark, sf_dir)
+    return t.select("doc_id", F.size("tokens").cast("bigint").alias("n_tokens"), joined("tokens").alias("tokens"))
+
+
+@register("encode_wordpiece", WP_TOKENS_SQL + """,
+x AS (SELECT doc_id, unnest(t) AS token, generate_subscripts(t, 1) AS pos FROM dt),
+e AS (SELECT x.doc_id, string_agg(CAST(coalesce(v.id, 1) AS VARCHAR), ',' ORDER BY x.pos) AS ids, count(*) AS n
+      FROM x LEFT JOIN v ON v.token = x.token GROUP BY x.doc_id)
+SELECT dt.doc_id, CAST(coalesce(e.n, 0) AS BIGINT) AS n_tokens, coalesce(e.ids, '') AS ids
+FROM dt LEFT JOIN e ON e.doc_id = dt.doc_id
+""")
+def q_encode_wordpiece(spark, sf_dir):
+    """WordPiece ids without [CLS]/[SEP]."""
+    t, v = _wp(spark, sf_dir)
+    return _ids_out(en.encode(t, "tokens", v, out="ids"))
+
+
+def _cleanup_sql(expr: str) -> str:
+    for a, b in wpc.CLEANUP_REPLACEMENTS:
+        expr = f"replace({expr}, {S.q(a)}, {S.q(b)})"
+    return expr
+
+
+@register("decode_wordpiece", WP_TOKENS_SQL + f""",
+x AS (SELECT doc_id, unnest(t) AS token, generate_subscripts(t, 1) AS pos FROM dt),
+j AS (SELECT doc_id, string_agg(token, ' ' ORDER BY pos) AS s FROM x
+      WHERE token NOT IN {_specials_in(wpc.WP_SPECIALS)} GROUP BY doc_id)
+SELECT dt.doc_id, trim({_cleanup_sql("replace(coalesce(j.s, ''), ' ##', '')")}) AS decoded
+FROM dt LEFT JOIN j ON j.doc_id = dt.doc_id
+""")
+def q_decode_wordpiece(spark, sf_dir):
+    """ids -> text: specials skipped, ## pieces glued, spaces cleaned up."""
+    t, v = _wp(spark, sf_dir)
+    e = en.encode(t, "tokens", v, out="ids")
+    d = en.decode_tokens(e.drop("tokens"), "ids", v, out="pieces", skip=wpc.WP_SPECIALS, unknown_dropped=True)
+    return d.select("doc_id", wpc.decode_wordpiece("pieces").alias("decoded"))

@@ -60,3 +60,10 @@ def join_list(expr: str) -> str:
 
 def join_ids(expr: str) -> str:
     return f"array_to_string(list_transform({expr}, lambda i: CAST(i AS VARCHAR)), ',')"
+
+
+def pretokenize_sql(text: str) -> str:
+    from lingotile.operators.wordpiece import CONTROL_RE, PRETOKEN_RE
+
+    return (f"regexp_extract_all(regexp_replace(coalesce({text}, ''), {q(CONTROL_RE)}, '', 'g'), "
+            f"{q(PRETOKEN_RE)})")
