@@ -1016,3 +1016,117 @@ def q_decode_wordpiece(spark, sf_dir):
     e = en.encode(t, "tokens", v, out="ids")
     d = en.decode_tokens(e.drop("tokens"), "ids", v, out="pieces", skip=wpc.WP_SPECIALS, unknown_dropped=True)
     return d.select("doc_id", wpc.decode_wordpiece("pieces").alias("decoded"))
+
+
+# ---------------------------------------------------------------------------
+# S1-S8 sources, K3/K4 sinks: write the documents out, read them back
+# ---------------------------------------------------------------------------
+
+from lingotile.session import scratch_path  # noqa: E402
+from lingotile.sources import readers as rd  # noqa: E402
+from lingotile.sources import sinks as sk  # noqa: E402
+
+LINES_SQL = f"""
+SELECT line AS text FROM (
+  SELECT regexp_replace(unnest(string_split(coalesce(text, ''), chr(10))), {S.q(tx.STRIP_RE)}, '', 'g') AS line,
+         lang FROM documents) WHERE line <> ''
+"""
+LINES_BY_LANG_SQL = f"""
+SELECT lang, line AS text FROM (
+  SELECT regexp_replace(unnest(string_split(coalesce(text, ''), chr(10))), {S.q(tx.STRIP_RE)}, '', 'g') AS line,
+         lang FROM documents) WHERE line <> ''
+"""
+
+
+def _write_lines(spark, sf_dir, by_lang: bool = False) -> str:
+    path = scratch_path(spark, "lines")
+    docs = table(spark, sf_dir, "documents").select(
+        F.coalesce(F.col("text"), F.lit("")).alias("text"), "lang")
+    if by_lang:
+        docs.write.partitionBy("lang").text(path)
+    else:
+        docs.select("text").write.text(path)
+    return path
+
+
+@register("src_lines", LINES_SQL)
+def q_src_lines(spark, sf_dir):
+    """Documents written as text files and read back as stripped non-blank lines."""
+    return rd.read_lines(spark, _write_lines(spark, sf_dir)).select("text")
+
+
+@register("src_lines_lenient", LINES_SQL)
+def q_src_lines_lenient(spark, sf_dir):
+    """Lenient reader: a missing file contributes no rows."""
+    path = _write_lines(spark, sf_dir)
+    got = rd.read_lines(spark, path, missing="empty")
+    none = rd.read_lines(spark, path + "-missing", missing="empty")
+    return got.unionByName(none).select("text")
+
+
+def _lang_paths(path: str, langs) -> dict[str, str]:
+    return {lg: f"{path}/lang={lg}" for lg in langs}
+
+
+@register("read_corpus", LINES_BY_LANG_SQL)
+def q_read_corpus(spark, sf_dir):
+    """One text file set per language, read in language order."""
+    path = _write_lines(spark, sf_dir, by_lang=True)
+    return rd.read_corpus(spark, _lang_paths(path, LANG4)).select("lang", "text")
+
+
+@register("read_labelled_txt", f"""
+SELECT lang, {LABEL_SQL.replace("WHEN 'de' THEN 3 ", "")} AS label, text FROM ({LINES_BY_LANG_SQL})
+WHERE lang IN ('es', 'en', 'fr')
+""")
+def q_read_labelled_txt(spark, sf_dir):
+    """Labelled TXT loader: the Spanish, English and French files."""
+    path = _write_lines(spark, sf_dir, by_lang=True)
+    p = _lang_paths(path, ["es", "en", "fr"])
+    return rd.read_labelled_txt(spark, p["es"], p["en"], p["fr"]).select("lang", "label", "text")
+
+
+@register("load_auto", f"""
+SELECT lang, {LABEL_SQL.replace("WHEN 'de' THEN 3 ", "")} AS label, text FROM ({LINES_BY_LANG_SQL})
+WHERE lang IN ('es', 'en', 'fr')
+""")
+def q_load_auto(spark, sf_dir):
+    """Source fallback chain: the CSV path does not exist, so TXT files are used."""
+    path = _write_lines(spark, sf_dir, by_lang=True)
+    df, _ = rd.load_auto(spark, csv_path=path + "-no-such.csv", txt_files=_lang_paths(path, ["es", "en", "fr"]))
+    return df.select("lang", "label", "text")
+
+
+def _write_csv(spark, sf_dir, label_col: bool) -> str:
+    path = scratch_path(spark, "csv")
+    docs = table(spark, sf_dir, "documents")
+    if label_col:
+        out = sp.encode_label(docs, LANG4, out="lang_id").select("text", "lang_id")
+    else:
+        out = docs.select("text", F.initcap("lang").alias("language"))
+    (out.write.option("header", True).option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    return path
+
+
+@register("src_csv_language", f"SELECT coalesce(text, '') AS text, {LABEL_SQL} AS label FROM documents")
+def q_src_csv_language(spark, sf_dir):
+    """CSV with a mixed-case language column (quoted newlines and quotes)."""
+    path = _write_csv(spark, sf_dir, label_col=False)
+    return rd.read_labelled_csv(spark, path, language_map=LANG4).select("text", "label")
+
+
+@register("src_csv_label", f"SELECT coalesce(text, '') AS text, {LABEL_SQL} AS label FROM documents")
+def q_src_csv_label(spark, sf_dir):
+    """CSV with a numeric label column (language column ignored)."""
+    path = _write_csv(spark, sf_dir, label_col=True)
+    return rd.read_labelled_csv(spark, path, label_col="lang_id").select("text", "label")
+
+
+@register("vocab_written", _vocab_oracle(_exploded_sql(S.words_sql("text")), tx.SPECIALS_WORD))
+def q_vocab_written(spark, sf_dir):
+    """Vocabulary written as parquet and read back."""
+    docs = documents(spark, sf_dir)
+    path = scratch_path(spark, "vocab")
+    sk.write_vocab(vb.build_vocab(vb.token_rows(docs, tx.words("text"))), path)
+    return sk.read_vocab(spark, path)
