@@ -1130,3 +1130,103 @@ def q_vocab_written(spark, sf_dir):
     path = scratch_path(spark, "vocab")
     sk.write_vocab(vb.build_vocab(vb.token_rows(docs, tx.words("text"))), path)
     return sk.read_vocab(spark, path)
+
+
+# ---------------------------------------------------------------------------
+# M9-M16: classifier training, evaluation, jobs (rows-only checks)
+# ---------------------------------------------------------------------------
+
+from lingotile.operators import classifier as clf  # noqa: E402
+from lingotile.plans import jobs  # noqa: E402
+
+# A small network so the registered query stays quick; the job defaults
+# follow the reference (see TrainConfig).
+QUERY_TRAIN_CFG = dict(embedding_dim=16, hidden_dim=16, num_layers=1, epochs=3,
+                       iters_per_epoch=6, max_features=2000, language_map=LANG4)
+
+
+def _train(spark, sf_dir, **over):
+    cfg = clf.TrainConfig(**{**QUERY_TRAIN_CFG, **over})
+    corpus = labelled_docs(spark, sf_dir).select("doc_id", "doc_ord", "lang", "label", "text")
+    return jobs.run_training(spark, cfg, corpus=corpus), cfg
+
+
+@register("language_classifier")
+def q_language_classifier(spark, sf_dir):
+    """Fit on the stratified training part; predictions for the validation part."""
+    res, cfg = _train(spark, sf_dir)
+    val = res["split"].where(F.col("split") == "val")
+    return clf.predict_language(res["model"], val, cfg.language_map).select(
+        "doc_id", "label", "pred", "predicted_language")
+
+
+@register("training_history")
+def q_training_history(spark, sf_dir):
+    """Per-round train/validation loss and accuracy."""
+    res, _ = _train(spark, sf_dir)
+    return res["history"]
+
+
+@register("pipeline_info")
+def q_pipeline_info(spark, sf_dir):
+    res, _ = _train(spark, sf_dir, epochs=1)
+    return jobs.info_frame(spark, res["pipeline_info"])
+
+
+@register("evaluation_summary")
+def q_evaluation_summary(spark, sf_dir):
+    """Overall accuracy, per-language accuracy map, total validation samples."""
+    res, _ = _train(spark, sf_dir, epochs=1)
+    return res["evaluation"]
+
+
+@register("run_comparison")
+def q_run_comparison(spark, sf_dir):
+    """The comparison job over the whole documents table (summary output)."""
+    docs = documents(spark, sf_dir)
+    out = jobs.run_comparison(spark, docs, languages=LANGS_SORTED,
+                              wordpiece_vocab=wpc.wordpiece_vocab_from_corpus(docs))
+    return out["summary"]
+
+
+# ---------------------------------------------------------------------------
+# Streaming: documents read as a file stream
+# ---------------------------------------------------------------------------
+
+from lingotile.streaming import stream as st  # noqa: E402
+
+
+@register("stream_encode_chars", _encode_oracle(S.chars_sql("text"), CHAR_VOCAB_SQL))
+def q_stream_encode_chars(spark, sf_dir):
+    """Character encoding of a documents stream, per micro-batch."""
+    stream = st.read_table_stream(spark, sf_dir, "documents.parquet").select(
+        "doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    out = scratch_path(spark, "stream-enc")
+    q = st.encode_batches(stream, lambda b: tx.chars("text"), vb.char_vocab(spark), out,
+                          scratch_path(spark, "stream-ckpt"))
+    q.awaitTermination()
+    return _ids_out(spark.read.parquet(out))
+
+
+@register("stream_vocab_growth", _vocab_oracle(_exploded_sql(S.edgegrams_sql("text", 3)), tx.SPECIALS_SHORT))
+def q_stream_vocab_growth(spark, sf_dir):
+    """Growing edgegram vocabulary maintained over a documents stream."""
+    stream = st.read_table_stream(spark, sf_dir, "documents.parquet").select(
+        F.col("doc_id").alias("doc_ord"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    root = scratch_path(spark, "stream-vocab")
+    q = st.grow_vocab_batches(stream, lambda b: tx.edgegrams("text", 3), root,
+                              scratch_path(spark, "stream-ckpt"))
+    q.awaitTermination()
+    return st.vocab_from_versions(spark, root)
+
+
+@register("stream_predict")
+def q_stream_predict(spark, sf_dir):
+    """A fitted classifier scoring a documents stream (memory sink)."""
+    res, cfg = _train(spark, sf_dir, epochs=1)
+    stream = st.read_table_stream(spark, sf_dir, "documents.parquet")
+    name = "lingotile_stream_predict_" + scratch_path(spark, "q").rsplit("-", 1)[1]
+    pred = st.predict_stream(res["model"], stream, cfg.language_map).select("doc_id", "lang", "pred")
+    q = pred.writeStream.format("memory").queryName(name).trigger(availableNow=True).start()
+    q.awaitTermination()
+    return spark.table(name)
