@@ -39,9 +39,11 @@ def _regroup(rows: DataFrame, key: str, value: str, out: str) -> DataFrame:
 
 
 def _lookup(rows: DataFrame, rows_key: str, vocab: DataFrame, vocab_key: str, value: str,
-            out: str, broadcast_rows: int, hot_rows: int) -> DataFrame:
+            out: str, broadcast_rows: int | None = None, hot_rows: int | None = None) -> DataFrame:
     """Left-join ``rows`` to ``vocab(vocab_key -> value)`` as column ``out``
     (null when absent)."""
+    broadcast_rows = BROADCAST_VOCAB_ROWS if broadcast_rows is None else broadcast_rows
+    hot_rows = HOT_TOKENS if hot_rows is None else hot_rows
     side = vocab.select(F.col(vocab_key).alias("_k"), F.col(value).alias(out))
     small, is_small = broadcast_if_small(side, broadcast_rows)
     if is_small:
@@ -62,7 +64,7 @@ def _lookup(rows: DataFrame, rows_key: str, vocab: DataFrame, vocab_key: str, va
 
 def encode(df: DataFrame, tokens: Column | str, vocab: DataFrame, key: str = "doc_id",
            out: str = "ids", unk_id: int = 1, lowercase: bool = False,
-           broadcast_rows: int = BROADCAST_VOCAB_ROWS, hot_rows: int = HOT_TOKENS,
+           broadcast_rows: int | None = None, hot_rows: int | None = None,
            partitions: int | None = None) -> DataFrame:
     """Adds ``out ARRAY<BIGINT>``: token ids in order, unknown -> ``unk_id``.
     ``key`` must be unique per row; rows with no tokens get ``[]``."""
@@ -81,8 +83,8 @@ def encode(df: DataFrame, tokens: Column | str, vocab: DataFrame, key: str = "do
 def decode_tokens(df: DataFrame, ids: Column | str, vocab: DataFrame, key: str = "doc_id",
                   out: str = "tokens", unk_token: str = UNK, drop_pad: bool = False,
                   skip: list[str] | None = None, unknown_dropped: bool = False,
-                  broadcast_rows: int = BROADCAST_VOCAB_ROWS,
-                  hot_rows: int = HOT_TOKENS) -> DataFrame:
+                  broadcast_rows: int | None = None,
+                  hot_rows: int | None = None) -> DataFrame:
     """Adds ``out ARRAY<STRING>``: ids mapped back through the vocabulary;
     unknown ids become ``unk_token`` (or are dropped), optionally the
     padding token and other listed tokens are dropped."""

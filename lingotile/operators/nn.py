@@ -28,7 +28,9 @@ def _col(c: Column | str) -> Column:
 def _emb_side(emb: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     side = emb.select(F.col(id_col).cast("bigint").alias("_eid"),
                       F.col(vec_col).cast("array<double>").alias("_vec"))
-    side, _ = broadcast_if_small(side, BROADCAST_EMBEDDING_ROWS)
+    from lingotile.operators import nn as _self
+
+    side, _ = broadcast_if_small(side, _self.BROADCAST_EMBEDDING_ROWS)
     return side
 
 

@@ -53,13 +53,14 @@ def quantile_buckets(df: DataFrame, key: str, n_buckets: int,
 
 def global_rank(df: DataFrame, order_cols: list[str], out: str = "rank", start: int = 0,
                 bucket: Column | None = None, n_rows: int | None = None,
-                small_rows: int = SMALL_RANK_ROWS) -> DataFrame:
+                small_rows: int | None = None) -> DataFrame:
     """Adds ``out`` = start + 0-based position of each row in ``order_cols``
     order.  ``order_cols`` must be unique per row.  ``bucket`` (optional)
     must be non-decreasing in that order; otherwise quantile buckets over
     the first order column (numeric) are used.  ``df`` should be
     materialised by the caller: it is read more than once."""
     order = [F.col(c) for c in order_cols]
+    small_rows = SMALL_RANK_ROWS if small_rows is None else small_rows
     if n_rows is None:
         small = row_count_at_most(df, small_rows)
         n_rows = None if not small else -1

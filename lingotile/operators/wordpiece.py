@@ -43,7 +43,6 @@ CLEANUP_REPLACEMENTS = [(" .", "."), (" ?", "?"), (" !", "!"), (" ,", ","), (" '
                         (" 're", "'re")]
 # ---------------------------------------------------------------------------
 
-BROADCAST_WORDS = 2_000_000
 
 
 def pretokenize(text: Column | str) -> Column:
@@ -73,7 +72,9 @@ def wordpiece_table(words: DataFrame, vocab: DataFrame, max_chars: int = MAX_CHA
     max_piece = vocab.select(F.max(F.length(F.regexp_replace("token", "^##", "")))).first()[0] or 1
     fit = words.where(F.length("word") <= max_chars).select("word")
     cands = _candidates(fit, int(max_piece))
-    toks, _ = broadcast_if_small(vocab.select(F.col("token").alias("piece")), BROADCAST_WORDS)
+    from lingotile.operators import encode as _enc
+
+    toks, _ = broadcast_if_small(vocab.select(F.col("token").alias("piece")), _enc.BROADCAST_VOCAB_ROWS)
     hits = cands.join(toks, "piece", "left_semi")
     best = hits.groupBy("word", "s").agg(F.max(F.col("s") + F.col("l")).alias("e"))
     ends = best.groupBy("word").agg(F.map_from_entries(F.collect_list(F.struct("s", "e"))).alias("_m"))
@@ -110,7 +111,7 @@ def wordpiece_tokenize(df: DataFrame, vocab: DataFrame, text_col: str = "text",
     words = (rows.where(F.col("word").isNotNull()).groupBy("word")
              .agg(F.count(F.lit(1)).alias("freq")))
     table = wordpiece_table(words, vocab, max_chars)
-    looked = _lookup(rows, "word", table, "word", "pieces", "_p", BROADCAST_WORDS, 1_000_000)
+    looked = _lookup(rows, "word", table, "word", "pieces", "_p")
     grouped = _regroup(looked, key, "_p", "_pp")
     return base.join(grouped.select(key, F.flatten("_pp").alias(out)), key, "inner")
 
