@@ -24,6 +24,13 @@ from lingotile.operators.ranking import broadcast_if_small
 
 BROADCAST_VOCAB_ROWS = 2_000_000
 HOT_TOKENS = 1_000_000
+# Vocabularies up to this size are also turned into dense array literals
+# (model constants, like a lookup table compiled into the plan): a
+# single-character vocabulary indexed by code point for encoding, and any
+# small vocabulary indexed by id for decoding.  No explode, join or
+# regroup: a pure projection.
+LITERAL_VOCAB_ROWS = 4096
+MAX_LITERAL_CODE_POINT = 65535
 
 
 def _col(c: Column | str) -> Column:
@@ -62,6 +69,54 @@ def _lookup(rows: DataFrame, rows_key: str, vocab: DataFrame, vocab_key: str, va
     return hit.unionByName(cold)
 
 
+def _small_vocab_rows(vocab: DataFrame) -> list | None:
+    """The (id, token) rows of a vocabulary proven to be small, else None."""
+    from lingotile.operators.ranking import row_count_at_most
+
+    if not row_count_at_most(vocab, LITERAL_VOCAB_ROWS):
+        return None
+    return [(int(r[0]), r[1]) for r in vocab.select("id", "token").collect()]
+
+
+def char_id_table(rows: list) -> list | None:
+    """Dense code point -> id list when every token is one code point."""
+    if not rows or any(t is None or len(t) != 1 for _, t in rows):
+        return None
+    top = max(ord(t) for _, t in rows)
+    if top > MAX_LITERAL_CODE_POINT:
+        return None
+    table = [None] * (top + 1)
+    for i, t in rows:
+        if table[ord(t)] is None:
+            table[ord(t)] = i
+    return table
+
+
+def encode_with_table(tokens: Column, table: list, unk_id: int = 1) -> Column:
+    """Single-character tokens -> ids through a code-point-indexed literal."""
+    arr = F.array(*[F.lit(v).cast("bigint") for v in table])
+    return F.transform(tokens, lambda c: F.coalesce(
+        F.try_element_at(arr, F.ascii(c) + 1), F.lit(unk_id).cast("bigint")))
+
+
+def decode_with_table(ids: Column, rows: list, unk_token: str | None, drop: list[str]) -> Column:
+    """ids -> tokens through an id-indexed literal (unknown id -> unk_token,
+    or dropped when ``unk_token`` is None); tokens in ``drop`` removed."""
+    top = max(i for i, _ in rows)
+    table = [None] * (top + 1)
+    for i, t in rows:
+        table[i] = t
+    arr = F.array(*[F.lit(t).cast("string") for t in table])
+    looked = F.transform(ids, lambda i: F.when((i >= 0) & (i <= top), F.try_element_at(arr, (i + 1).cast("int"))))
+    if unk_token is not None:
+        looked = F.transform(looked, lambda t: F.coalesce(t, F.lit(unk_token)))
+    else:
+        looked = F.filter(looked, lambda t: t.isNotNull())
+    if drop:
+        looked = F.filter(looked, lambda t: ~t.isin(*drop))
+    return looked
+
+
 def encode(df: DataFrame, tokens: Column | str, vocab: DataFrame, key: str = "doc_id",
            out: str = "ids", unk_id: int = 1, lowercase: bool = False,
            broadcast_rows: int | None = None, hot_rows: int | None = None,
@@ -71,6 +126,10 @@ def encode(df: DataFrame, tokens: Column | str, vocab: DataFrame, key: str = "do
     toks = _col(tokens)
     if lowercase:
         toks = F.transform(toks, F.lower)
+    small = _small_vocab_rows(vocab)
+    table = char_id_table(small) if small is not None else None
+    if table is not None:
+        return df.withColumn(out, encode_with_table(toks, table, unk_id))
     base = df.repartition(partitions, key) if partitions else df.repartition(key)
     rows = base.select(key, F.posexplode_outer(toks).alias("pos", "token"))
     looked = _lookup(rows, "token", vocab, "token", "id", "_id", broadcast_rows, hot_rows)
@@ -88,14 +147,16 @@ def decode_tokens(df: DataFrame, ids: Column | str, vocab: DataFrame, key: str =
     """Adds ``out ARRAY<STRING>``: ids mapped back through the vocabulary;
     unknown ids become ``unk_token`` (or are dropped), optionally the
     padding token and other listed tokens are dropped."""
+    drop = list(skip or []) + ([PAD] if drop_pad else [])
+    small = _small_vocab_rows(vocab)
+    if small:
+        return df.withColumn(out, decode_with_table(_col(ids), small,
+                                                    None if unknown_dropped else unk_token, drop))
     base = df.repartition(key)
     rows = base.select(key, F.posexplode_outer(_col(ids)).alias("pos", "_i"))
     looked = _lookup(rows, "_i", vocab, "id", "token", "_t", broadcast_rows, hot_rows)
     tok = F.col("_t") if unknown_dropped else F.coalesce(F.col("_t"), F.lit(unk_token))
     looked = looked.withColumn("_t", F.when(F.col("pos").isNotNull(), tok))
-    drop = list(skip or [])
-    if drop_pad:
-        drop.append(PAD)
     if drop:
         looked = looked.where(F.col("pos").isNull() | F.col("_t").isNull() | ~F.col("_t").isin(*drop))
     if unknown_dropped:
