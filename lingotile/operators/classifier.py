@@ -34,7 +34,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lingotile.functions.text import WORD_RE
+from lingotile.functions.text import FAST_WORD_RE, PY_ONLY_WS_RE
 from lingotile.operators.nn import batch_mean_loss, evaluate_predictions, evaluation_summary
 from lingotile.operators.split import DEFAULT_LANGUAGE_MAP, assign_batches, decode_label
 
@@ -66,7 +66,8 @@ class TrainConfig:
 
 def tokenizer_sql(ngram: int, max_length: int | None, text_col: str = "text") -> str:
     """Edgegram tokens as a Spark SQL expression (raw literal for the regex)."""
-    words = f"regexp_extract_all(coalesce({text_col}, ''), R'{WORD_RE}', 0)"
+    spaced = f"regexp_replace(coalesce({text_col}, ''), R'{PY_ONLY_WS_RE}', ' ')"
+    words = f"regexp_extract_all({spaced}, R'{FAST_WORD_RE}', 0)"
     grams = (f"flatten(transform({words}, w -> CASE WHEN length(w) < {ngram} THEN array(w) "
              f"ELSE array(substring(w, 1, {ngram}), substring(w, -{ngram}, {ngram})) END))")
     return f"slice({grams}, 1, {max_length})" if max_length else grams
@@ -103,13 +104,14 @@ def _mlp(cfg: TrainConfig, layers: list[int], iters: int, step: float, init=None
     return m
 
 
-def _epoch_metrics(scored: DataFrame, batch_size: int) -> tuple[float, float]:
+def _epoch_metrics(scored: DataFrame) -> tuple[float, float]:
+    """Loss (mean of per-batch mean cross-entropy) and accuracy; rows carry
+    their ``batch_id`` (assigned once before training)."""
     p = vector_to_array("probability")
     s = scored.withColumn("loss", -F.log(F.greatest(F.element_at(p, F.col("label").cast("int") + 1),
                                                     F.lit(1e-15))))
     s = s.withColumn("pred", F.col("prediction").cast("int"))
-    b = assign_batches(s, batch_size)
-    row = batch_mean_loss(b, "loss", "batch_id", "pred", "label").first()
+    row = batch_mean_loss(s, "loss", "batch_id", "pred", "label").first()
     return float(row.loss), float(row.accuracy)
 
 
@@ -125,8 +127,11 @@ def train_with_history(train: DataFrame, val: DataFrame, vocab: DataFrame,
         raise ValueError("validation set is empty")
     vocabulary = feature_vocabulary(vocab, cfg.max_features)
     feats = PipelineModel(feature_pipeline(vocabulary, cfg.max_length, cfg.ngram))
-    tr = feats.transform(train).persist()
-    va = feats.transform(val).persist()
+    # Batches are fixed once (training batches shuffled with the seed,
+    # validation batches in corpus order), then features are cached.
+    order = "doc_ord" if "doc_ord" in val.columns else "doc_id"
+    tr = feats.transform(assign_batches(train, cfg.batch_size, shuffle_seed=cfg.seed)).persist()
+    va = feats.transform(assign_batches(val, cfg.batch_size, order_col=order)).persist()
     layers = _layers(len(vocabulary), len(cfg.language_map), cfg)
 
     history, best, best_loss, bad, plateau = [], None, float("inf"), 0, 0
@@ -135,8 +140,8 @@ def train_with_history(train: DataFrame, val: DataFrame, vocab: DataFrame,
         for epoch in range(1, cfg.epochs + 1):
             model = _mlp(cfg, layers, cfg.iters_per_epoch, step, weights).fit(tr)
             weights = model.weights
-            tr_loss, tr_acc = _epoch_metrics(model.transform(tr), cfg.batch_size)
-            va_loss, va_acc = _epoch_metrics(model.transform(va), cfg.batch_size)
+            tr_loss, tr_acc = _epoch_metrics(model.transform(tr))
+            va_loss, va_acc = _epoch_metrics(model.transform(va))
             history.append((epoch, tr_loss, va_loss, tr_acc, va_acc, step))
             if va_loss < best_loss:
                 best_loss, best, bad, plateau = va_loss, model, 0, 0

@@ -66,9 +66,64 @@ def _candidates(words: DataFrame, max_piece: int | Column) -> DataFrame:
     return w.withColumn("piece", _piece(F.col("word"), F.col("s"), F.col("l")))
 
 
+# Vocabularies up to this size are shipped to the tasks as a set and the
+# greedy match runs per distinct word inside ``mapInPandas``; larger ones use
+# the relational plan below.
+SET_MATCH_VOCAB_ROWS = 1_000_000
+
+
+def greedy_pieces(word: str, vocab: set, max_piece: int, max_chars: int, unk: str) -> list:
+    """Greedy longest-match-first split of one word (``##`` continuations)."""
+    if len(word) > max_chars:
+        return [unk]
+    out, start, n = [], 0, len(word)
+    while start < n:
+        end = min(n, start + max_piece)
+        piece = None
+        while end > start:
+            cand = word[start:end] if start == 0 else "##" + word[start:end]
+            if cand in vocab:
+                piece = cand
+                break
+            end -= 1
+        if piece is None:
+            return [unk]
+        out.append(piece)
+        start = end
+    return out
+
+
+def _set_match_table(words: DataFrame, vocab: DataFrame, max_piece: int, max_chars: int,
+                     unk: str) -> DataFrame:
+    spark = words.sparkSession
+    tokens = spark.sparkContext.broadcast(frozenset(r[0] for r in vocab.select("token").collect()))
+
+    def match(batches):
+        import pandas as pd
+
+        v = tokens.value
+        for pdf in batches:
+            pieces = [greedy_pieces(w, v, max_piece, max_chars, unk) for w in pdf["word"]]
+            yield pd.DataFrame({"word": pdf["word"], "pieces": pieces})
+
+    matched = words.select("word").mapInPandas(match, "word string, pieces array<string>")
+    return words.join(matched, "word", "inner")
+
+
 def wordpiece_table(words: DataFrame, vocab: DataFrame, max_chars: int = MAX_CHARS_PER_WORD,
                     unk: str = WP_UNK) -> DataFrame:
     """``words(word, ...)`` (distinct) -> adds ``pieces ARRAY<STRING>``."""
+    from lingotile.operators.ranking import row_count_at_most
+
+    if row_count_at_most(vocab, SET_MATCH_VOCAB_ROWS):
+        max_piece = vocab.select(F.max(F.length(F.regexp_replace("token", "^##", "")))).first()[0] or 1
+        return _set_match_table(words, vocab, int(max_piece), max_chars, unk)
+    return relational_wordpiece_table(words, vocab, max_chars, unk)
+
+
+def relational_wordpiece_table(words: DataFrame, vocab: DataFrame, max_chars: int = MAX_CHARS_PER_WORD,
+                               unk: str = WP_UNK) -> DataFrame:
+    """Catalyst-only plan for vocabularies too large to ship as a set."""
     max_piece = vocab.select(F.max(F.length(F.regexp_replace("token", "^##", "")))).first()[0] or 1
     fit = words.where(F.length("word") <= max_chars).select("word")
     cands = _candidates(fit, int(max_piece))

@@ -25,3 +25,21 @@ def test_decode_wordpiece(spark):
     got = [r.s for r in df.select(wp.decode_wordpiece("t").alias("s")).collect()]
     assert got == ["unaffable!", "I don't."]
     assert F is not None
+
+
+def test_set_and_relational_paths_agree(spark):
+    from lingotile.plans.common import documents
+    from pyspark.sql import functions as F
+
+    docs = documents(spark, "/root/testdata/sf0.001")
+    v = vb.materialize(wp.wordpiece_vocab_from_corpus(docs))
+    words = (docs.select(F.explode(wp.pretokenize("text")).alias("word")).groupBy("word")
+             .agg(F.count(F.lit(1)).alias("freq")))
+    a = {r.word: list(r.pieces) for r in wp.wordpiece_table(words, v).collect()}
+    b = {r.word: list(r.pieces) for r in wp.relational_wordpiece_table(words, v).collect()}
+    assert a == b and len(a) > 1000
+    thin = v.where(F.col("is_special") | (F.col("freq") >= 200))
+    a = {r.word: list(r.pieces) for r in wp.wordpiece_table(words, thin).collect()}
+    b = {r.word: list(r.pieces) for r in wp.relational_wordpiece_table(words, thin).collect()}
+    assert a == b
+    assert any(p == ["[UNK]"] for p in a.values())
