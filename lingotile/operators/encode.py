@@ -1,11 +1,12 @@
 """Encode / decode / pad / batch as dictionary joins and array expressions.
 
 Encoding explodes ``(key, pos, token)``, looks each token up in the
-vocabulary with a join, and regroups per key ordered by ``pos``.  The input
-is hash-partitioned by key once (shuffling the raw text, which is smaller
-than the exploded token rows), so with a broadcast vocabulary the explode,
-the join, the regroup and the join back to the other columns all run in one
-stage without another exchange.
+vocabulary with a join, and regroups per key ordered by ``pos``.  All
+tokens of a document are produced by one task, so the map-side partial
+``collect_list`` already completes each document: with a broadcast
+vocabulary the only exchange moves one id array per document, never the
+text or the token rows.  Small key columns named in ``keep`` travel with
+the rows; other columns are joined back only when asked for.
 
 Vocabulary sides are broadcast only behind a row-count check.  Larger
 vocabularies take the hot/cold path: the most frequent tokens (a bounded
@@ -37,12 +38,29 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _regroup(rows: DataFrame, key: str, value: str, out: str) -> DataFrame:
-    """``(key, pos, value)`` rows -> ``(key, out ARRAY)`` ordered by pos.
-    Rows with null ``pos`` (from ``posexplode_outer``) keep empty docs."""
+def _regroup(rows: DataFrame, key: str, value: str, out: str,
+             carry: list[str] | None = None) -> DataFrame:
+    """``(key, pos, value)`` rows -> ``(key, *carry, out ARRAY)`` ordered by
+    pos.  Rows with null ``pos`` (from ``posexplode_outer``) keep empty docs.
+    A document's rows all come from one task, so the partial aggregation
+    completes it map-side: the exchange moves one array per document."""
+    carry = list(carry or [])
     packed = F.when(F.col("pos").isNotNull(), F.struct(F.col("pos"), F.col(value).alias("v")))
-    agg = rows.groupBy(key).agg(F.array_sort(F.collect_list(packed)).alias("_s"))
-    return agg.select(key, F.transform("_s", lambda s: s["v"]).alias(out))
+    agg = rows.groupBy(key).agg(F.array_sort(F.collect_list(packed)).alias("_s"),
+                                *[F.first(c).alias(c) for c in carry])
+    return agg.select(key, *carry, F.transform("_s", lambda s: s["v"]).alias(out))
+
+
+def _carried(df: DataFrame, key: str, keep: list[str] | None) -> list[str]:
+    return [c for c in (keep or []) if c != key]
+
+
+def _attach(df: DataFrame, grouped: DataFrame, key: str, keep: list[str] | None) -> DataFrame:
+    """``keep=None``: every input column is wanted, so join the result back
+    (one shuffle of the input); otherwise the carried columns suffice."""
+    if keep is None:
+        return df.join(grouped, on=key, how="inner")
+    return grouped
 
 
 def _lookup(rows: DataFrame, rows_key: str, vocab: DataFrame, vocab_key: str, value: str,
@@ -78,25 +96,45 @@ def _small_vocab_rows(vocab: DataFrame) -> list | None:
     return [(int(r[0]), r[1]) for r in vocab.select("id", "token").collect()]
 
 
-def char_id_table(rows: list) -> list | None:
-    """Dense code point -> id list when every token is one code point."""
-    if not rows or any(t is None or len(t) != 1 for _, t in rows):
+MAX_MULTI_CHAR_LITERALS = 64
+
+
+def char_id_table(rows: list) -> tuple[list, dict] | None:
+    """Dense code point -> id list for the single-character entries, plus the
+    (few) multi-character entries (the specials); None when the vocabulary
+    is not character-like."""
+    if not rows or any(t is None or t == "" for _, t in rows):
+        return None
+    single = [(i, t) for i, t in rows if len(t) == 1]
+    multi = {t: i for i, t in rows if len(t) != 1}
+    if not single or len(multi) > MAX_MULTI_CHAR_LITERALS:
         return None
-    top = max(ord(t) for _, t in rows)
+    top = max(ord(t) for _, t in single)
     if top > MAX_LITERAL_CODE_POINT:
         return None
     table = [None] * (top + 1)
-    for i, t in rows:
+    for i, t in single:
         if table[ord(t)] is None:
             table[ord(t)] = i
-    return table
+    return table, multi
+
+
+def encode_with_table(tokens: Column, table: tuple[list, dict], unk_id: int = 1) -> Column:
+    """Token -> id through literals: single characters by code point,
+    multi-character tokens through the small map of such entries."""
+    dense, multi = table
+    arr = F.array(*[F.lit(v).cast("bigint") for v in dense])
+    if multi:
+        m = F.create_map(*[x for t, i in multi.items() for x in (F.lit(t), F.lit(i).cast("bigint"))])
+    unk = F.lit(unk_id).cast("bigint")
 
+    def lookup(c):
+        one = F.try_element_at(arr, F.ascii(c) + 1)
+        if not multi:
+            return F.coalesce(F.when(F.length(c) == 1, one), unk)
+        return F.coalesce(F.when(F.length(c) == 1, one).otherwise(F.element_at(m, c)), unk)
 
-def encode_with_table(tokens: Column, table: list, unk_id: int = 1) -> Column:
-    """Single-character tokens -> ids through a code-point-indexed literal."""
-    arr = F.array(*[F.lit(v).cast("bigint") for v in table])
-    return F.transform(tokens, lambda c: F.coalesce(
-        F.try_element_at(arr, F.ascii(c) + 1), F.lit(unk_id).cast("bigint")))
+    return F.transform(tokens, lookup)
 
 
 def decode_with_table(ids: Column, rows: list, unk_token: str | None, drop: list[str]) -> Column:
@@ -119,29 +157,32 @@ def decode_with_table(ids: Column, rows: list, unk_token: str | None, drop: list
 
 def encode(df: DataFrame, tokens: Column | str, vocab: DataFrame, key: str = "doc_id",
            out: str = "ids", unk_id: int = 1, lowercase: bool = False,
-           broadcast_rows: int | None = None, hot_rows: int | None = None,
-           partitions: int | None = None) -> DataFrame:
+           keep: list[str] | None = None,
+           broadcast_rows: int | None = None, hot_rows: int | None = None) -> DataFrame:
     """Adds ``out ARRAY<BIGINT>``: token ids in order, unknown -> ``unk_id``.
-    ``key`` must be unique per row; rows with no tokens get ``[]``."""
+    ``key`` must be unique per row; rows with no tokens get ``[]``.  The
+    result has ``key``, the ``keep`` columns and ``out`` (``keep=None``:
+    all input columns, joined back)."""
     toks = _col(tokens)
     if lowercase:
         toks = F.transform(toks, F.lower)
     small = _small_vocab_rows(vocab)
     table = char_id_table(small) if small is not None else None
     if table is not None:
-        return df.withColumn(out, encode_with_table(toks, table, unk_id))
-    base = df.repartition(partitions, key) if partitions else df.repartition(key)
-    rows = base.select(key, F.posexplode_outer(toks).alias("pos", "token"))
+        res = df.withColumn(out, encode_with_table(toks, table, unk_id))
+        return res if keep is None else res.select(key, *_carried(df, key, keep), out)
+    carry = _carried(df, key, keep)
+    rows = df.select(key, *carry, F.posexplode_outer(toks).alias("pos", "token"))
     looked = _lookup(rows, "token", vocab, "token", "id", "_id", broadcast_rows, hot_rows)
     looked = looked.withColumn(
         "_id", F.when(F.col("pos").isNotNull(), F.coalesce(F.col("_id"), F.lit(unk_id).cast("bigint"))))
-    ids = _regroup(looked, key, "_id", out)
-    return base.join(ids, on=key, how="inner")
+    return _attach(df, _regroup(looked, key, "_id", out, carry), key, keep)
 
 
 def decode_tokens(df: DataFrame, ids: Column | str, vocab: DataFrame, key: str = "doc_id",
                   out: str = "tokens", unk_token: str = UNK, drop_pad: bool = False,
                   skip: list[str] | None = None, unknown_dropped: bool = False,
+                  keep: list[str] | None = None,
                   broadcast_rows: int | None = None,
                   hot_rows: int | None = None) -> DataFrame:
     """Adds ``out ARRAY<STRING>``: ids mapped back through the vocabulary;
@@ -150,10 +191,11 @@ def decode_tokens(df: DataFrame, ids: Column | str, vocab: DataFrame, key: str =
     drop = list(skip or []) + ([PAD] if drop_pad else [])
     small = _small_vocab_rows(vocab)
     if small:
-        return df.withColumn(out, decode_with_table(_col(ids), small,
-                                                    None if unknown_dropped else unk_token, drop))
-    base = df.repartition(key)
-    rows = base.select(key, F.posexplode_outer(_col(ids)).alias("pos", "_i"))
+        res = df.withColumn(out, decode_with_table(_col(ids), small,
+                                                   None if unknown_dropped else unk_token, drop))
+        return res if keep is None else res.select(key, *_carried(df, key, keep), out)
+    carry = _carried(df, key, keep)
+    rows = df.select(key, *carry, F.posexplode_outer(_col(ids)).alias("pos", "_i"))
     looked = _lookup(rows, "_i", vocab, "id", "token", "_t", broadcast_rows, hot_rows)
     tok = F.col("_t") if unknown_dropped else F.coalesce(F.col("_t"), F.lit(unk_token))
     looked = looked.withColumn("_t", F.when(F.col("pos").isNotNull(), tok))
@@ -161,15 +203,15 @@ def decode_tokens(df: DataFrame, ids: Column | str, vocab: DataFrame, key: str =
         looked = looked.where(F.col("pos").isNull() | F.col("_t").isNull() | ~F.col("_t").isin(*drop))
     if unknown_dropped:
         looked = looked.where(F.col("pos").isNull() | F.col("_t").isNotNull())
-    toks = _regroup(looked, key, "_t", out)
-    return base.join(toks, on=key, how="inner")
+    return _attach(df, _regroup(looked, key, "_t", out, carry), key, keep)
 
 
 def decode(df: DataFrame, ids: Column | str, vocab: DataFrame, key: str = "doc_id",
-           out: str = "decoded", sep: str = " ", unk_token: str = UNK) -> DataFrame:
+           out: str = "decoded", sep: str = " ", unk_token: str = UNK,
+           keep: list[str] | None = None) -> DataFrame:
     """Reference decoding: unknown id -> ``<unk>``, ``<pad>`` dropped, tokens
     joined with ``sep`` (``""`` for characters, ``" "`` for words/grams)."""
-    t = decode_tokens(df, ids, vocab, key, "_dt", unk_token=unk_token, drop_pad=True)
+    t = decode_tokens(df, ids, vocab, key, "_dt", unk_token=unk_token, drop_pad=True, keep=keep)
     return t.withColumn(out, F.array_join("_dt", sep)).drop("_dt")
 
 

@@ -76,6 +76,29 @@ def flatten_embeddings(df: DataFrame, ids: Column | str, emb: DataFrame, seq_len
     return df.join(flat, key, "inner")
 
 
+def flatten_chunks(df: DataFrame, ids: Column | str, emb: DataFrame, seq_len: int, dim: int,
+                   key: str = "doc_id", pad_id: int = 0, out: str = "flat", id_col: str = "vec_id",
+                   vec_col: str = "embedding") -> DataFrame:
+    """Whole-text flatten: the id sequence is cut into consecutive windows
+    of ``seq_len`` (the last one padded), and each window becomes one
+    ``seq_len x dim`` vector -> rows ``(key, chunk, out)``.  Padding ids map
+    to the zero vector.  Each group holds at most ``seq_len`` vectors."""
+    # Documents are hash-partitioned by key first: the (key, chunk) regroup
+    # then needs no exchange, so embedding vectors are never shuffled.
+    rows = df.repartition(key).select(key, F.posexplode(_col(ids)).alias("pos", "id"))
+    rows = rows.select(key, F.floor(F.col("pos") / seq_len).alias("chunk"),
+                       (F.col("pos") % seq_len).alias("slot"), "id")
+    side = _emb_side(emb, id_col, vec_col)
+    zero = F.array_repeat(F.lit(0.0), dim)
+    looked = rows.join(side, rows["id"] == side["_eid"], "left")
+    vec = F.when(F.col("id") == pad_id, zero).otherwise(F.coalesce(F.col("_vec"), zero))
+    grouped = looked.groupBy(key, "chunk").agg(
+        F.array_sort(F.collect_list(F.struct("slot", vec.alias("v")))).alias("_s"))
+    flat = F.flatten(F.transform("_s", lambda s: s["v"]))
+    padded = F.concat(flat, F.array_repeat(F.lit(0.0), F.lit(seq_len * dim) - F.size(flat)))
+    return grouped.select(key, F.col("chunk").cast("bigint").alias("chunk"), padded.alias(out))
+
+
 def _dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda acc, v: acc + v)
 

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lingotile.functions.text import TokenizerSpec
-from lingotile.operators.encode import _lookup, _regroup
+from lingotile.operators.encode import _attach, _carried, _lookup, _regroup
 from lingotile.operators.ranking import broadcast_if_small, global_rank, md5_bucket
 
 # ---------------------------------------------------------------------------
@@ -69,7 +69,7 @@ def _candidates(words: DataFrame, max_piece: int | Column) -> DataFrame:
 # Vocabularies up to this size are shipped to the tasks as a set and the
 # greedy match runs per distinct word inside ``mapInPandas``; larger ones use
 # the relational plan below.
-SET_MATCH_VOCAB_ROWS = 1_000_000
+SET_MATCH_VOCAB_ROWS = 500_000
 
 
 def greedy_pieces(word: str, vocab: set, max_piece: int, max_chars: int, unk: str) -> list:
@@ -159,16 +159,19 @@ def relational_wordpiece_table(words: DataFrame, vocab: DataFrame, max_chars: in
 
 
 def wordpiece_tokenize(df: DataFrame, vocab: DataFrame, text_col: str = "text", key: str = "doc_id",
-                       out: str = "tokens", max_chars: int = MAX_CHARS_PER_WORD) -> DataFrame:
-    """Adds ``out ARRAY<STRING>``: the WordPiece tokens of ``text_col``."""
-    base = df.repartition(key)
-    rows = base.select(key, F.posexplode_outer(pretokenize(text_col)).alias("pos", "word"))
+                       out: str = "tokens", max_chars: int = MAX_CHARS_PER_WORD,
+                       keep: list[str] | None = None) -> DataFrame:
+    """Adds ``out ARRAY<STRING>``: the WordPiece tokens of ``text_col``
+    (result columns: ``key``, ``keep``, ``out``; ``keep=None`` = all)."""
+    carry = _carried(df, key, keep)
+    rows = df.select(key, *carry, F.posexplode_outer(pretokenize(text_col)).alias("pos", "word"))
     words = (rows.where(F.col("word").isNotNull()).groupBy("word")
              .agg(F.count(F.lit(1)).alias("freq")))
     table = wordpiece_table(words, vocab, max_chars)
     looked = _lookup(rows, "word", table, "word", "pieces", "_p")
-    grouped = _regroup(looked, key, "_p", "_pp")
-    return base.join(grouped.select(key, F.flatten("_pp").alias(out)), key, "inner")
+    grouped = _regroup(looked, key, "_p", "_pp", carry)
+    grouped = grouped.select(key, *carry, F.flatten("_pp").alias(out))
+    return _attach(df, grouped, key, keep)
 
 
 def wordpiece_spec(vocab: DataFrame, name: str = "wordpiece") -> TokenizerSpec:

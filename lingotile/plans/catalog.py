@@ -348,7 +348,7 @@ def q_vocab_preview(spark, sf_dir):
 @register("encode_chars", _encode_oracle(S.chars_sql("text"), CHAR_VOCAB_SQL))
 def q_encode_chars(spark, sf_dir):
     docs = documents(spark, sf_dir)
-    return _ids_out(en.encode(docs, tx.chars("text"), vb.char_vocab(spark)))
+    return _ids_out(en.encode(docs, tx.chars("text"), vb.char_vocab(spark), keep=[]))
 
 
 @register("encode_words", _encode_oracle(S.words_sql("text"), _vocab_cte(WORDS_DOC, tx.SPECIALS_WORD, 2)))
@@ -356,7 +356,7 @@ def q_encode_words(spark, sf_dir):
     """Words against the min_freq=2 vocabulary: singletons become <unk>."""
     docs = documents(spark, sf_dir)
     v = vb.build_vocab(vb.token_rows(docs, tx.words("text")), min_freq=2)
-    return _ids_out(en.encode(docs, tx.words("text"), v))
+    return _ids_out(en.encode(docs, tx.words("text"), v, keep=[]))
 
 
 @register("encode_words_lower_vocab", _encode_oracle(
@@ -364,7 +364,7 @@ def q_encode_words(spark, sf_dir):
 def q_encode_words_lower_vocab(spark, sf_dir):
     """Words as written against the lower-cased corpus vocabulary."""
     docs = documents(spark, sf_dir)
-    return _ids_out(en.encode(docs, tx.words("text"), vb.word_vocab(docs, lowercase=True)))
+    return _ids_out(en.encode(docs, tx.words("text"), vb.word_vocab(docs, lowercase=True), keep=[]))
 
 
 RULE_CONV = _exploded_sql(S.rule_sql("text", "es"), "conversations", CONV_ORD_SQL)
@@ -378,7 +378,7 @@ def q_numericalize(spark, sf_dir):
     conv = conversations(spark, sf_dir)
     v = vb.build_vocab(vb.token_rows(conv, tx.rule_tokens("text", "es")))
     docs = documents(spark, sf_dir)
-    return _ids_out(en.encode(docs, tx.rule_tokens("text", F.col("lang")), v))
+    return _ids_out(en.encode(docs, tx.rule_tokens("text", F.col("lang")), v, keep=[]))
 
 
 @register("encode_edgegram", _encode_oracle(S.edgegrams_sql("text", 3),
@@ -388,7 +388,7 @@ def q_encode_edgegram(spark, sf_dir):
     conv = conversations(spark, sf_dir)
     v = vb.build_vocab(vb.token_rows(conv, tx.edgegrams("text", 3)), specials=tx.SPECIALS_SHORT)
     docs = documents(spark, sf_dir)
-    return _ids_out(en.encode(docs, tx.edgegrams("text", 3), v))
+    return _ids_out(en.encode(docs, tx.edgegrams("text", 3), v, keep=[]))
 
 
 @register("encode_growing", _encode_oracle(S.edgegrams_sql("text", 3), "(" + _extend_oracle() + ")"))
@@ -400,7 +400,7 @@ def q_encode_growing(spark, sf_dir):
     docs = documents(spark, sf_dir)
     grams = tx.edgegrams("text", 3)
     grown = vb.extend_vocab(base, vb.token_rows(docs, grams))
-    return _ids_out(en.encode(docs, grams, grown))
+    return _ids_out(en.encode(docs, grams, grown, keep=[]))
 
 
 @register("unk_rate", f"""
@@ -413,7 +413,7 @@ FROM e JOIN documents d ON d.doc_id = e.doc_id GROUP BY d.lang
 def q_unk_rate(spark, sf_dir):
     docs = documents(spark, sf_dir)
     v = vb.build_vocab(vb.token_rows(docs, tx.words("text")), min_freq=2)
-    return en.unk_rate(en.encode(docs, tx.words("text"), v), "ids", "lang")
+    return en.unk_rate(en.encode(docs, tx.words("text"), v, keep=["lang"]), "ids", "lang")
 
 
 # ---------------------------------------------------------------------------
@@ -453,7 +453,7 @@ def _collate(spark, sf_dir):
     docs = labelled_docs(spark, sf_dir)
     v = vb.build_vocab(vb.token_rows(documents(spark, sf_dir), tx.words("text")))
     b = sp.assign_batches(docs, 16, shuffle_seed=42)
-    e = en.encode(b, tx.words("text"), v)
+    e = en.encode(b, tx.words("text"), v, keep=["label", "batch_id"])
     e = e.withColumn("ids", en.add_bos_eos("ids"))
     return sp.pad_batches(e, "ids", "batch_id"), v
 
@@ -475,7 +475,7 @@ SELECT doc_id, string_agg(token, ' ' ORDER BY pos) AS decoded FROM d WHERE token
 def q_decode_words(spark, sf_dir):
     """Decode the collated batches: padding dropped, <bos>/<eos> kept."""
     e, v = _collate(spark, sf_dir)
-    return en.decode(e, "ids", v, out="decoded", sep=" ").select("doc_id", "decoded")
+    return en.decode(e, "ids", v, out="decoded", sep=" ", keep=[]).select("doc_id", "decoded")
 
 
 FIXED_SQL = f"""
@@ -490,7 +490,7 @@ FROM d JOIN i ON i.doc_id = d.doc_id
 def _fixed(spark, sf_dir):
     docs = labelled_docs(spark, sf_dir)
     v = vb.build_vocab(vb.token_rows(docs, tx.edgegrams("text", 3)), specials=tx.SPECIALS_SHORT)
-    e = en.encode(docs, tx.edgegrams("text", 3), v)
+    e = en.encode(docs, tx.edgegrams("text", 3), v, keep=["label"])
     return e.withColumn("ids", en.pad_or_truncate("ids", 100)), v
 
 
@@ -511,7 +511,7 @@ SELECT f.doc_id, coalesce(x.decoded, '') AS decoded FROM f LEFT JOIN
 """)
 def q_decode_edgegram(spark, sf_dir):
     e, v = _fixed(spark, sf_dir)
-    return en.decode(e, "ids", v, out="decoded", sep=" ").select("doc_id", "decoded")
+    return en.decode(e, "ids", v, out="decoded", sep=" ", keep=[]).select("doc_id", "decoded")
 
 
 @register("decode_tokens", f"""
@@ -523,7 +523,7 @@ SELECT doc_id, string_agg(token, chr(31) ORDER BY pos) AS tokens FROM d GROUP BY
 def q_decode_tokens(spark, sf_dir):
     """id -> token for every position, padding shown."""
     e, v = _fixed(spark, sf_dir)
-    t = en.decode_tokens(e, "ids", v, out="tokens")
+    t = en.decode_tokens(e, "ids", v, out="tokens", keep=[])
     return t.select("doc_id", joined("tokens").alias("tokens"))
 
 
@@ -538,8 +538,8 @@ SELECT s.doc_id, coalesce(x.decoded, '') AS decoded FROM documents s LEFT JOIN
 def q_decode_chars(spark, sf_dir):
     docs = documents(spark, sf_dir)
     v = vb.char_vocab(spark)
-    e = en.encode(docs, tx.chars("text"), v)
-    return en.decode(e, "ids", v, out="decoded", sep="").select("doc_id", "decoded")
+    e = en.encode(docs, tx.chars("text"), v, keep=[])
+    return en.decode(e, "ids", v, out="decoded", sep="", keep=[]).select("doc_id", "decoded")
 
 
 @register("decode_rule_tokens", f"""
@@ -556,8 +556,8 @@ def q_decode_rule_tokens(spark, sf_dir):
     conv = conversations(spark, sf_dir)
     v = vb.build_vocab(vb.token_rows(conv, tx.rule_tokens("text", "es")))
     docs = documents(spark, sf_dir)
-    e = en.encode(docs, tx.rule_tokens("text", F.col("lang")), v)
-    return en.decode(e, "ids", v, out="decoded", sep=" ").select("doc_id", "decoded")
+    e = en.encode(docs, tx.rule_tokens("text", F.col("lang")), v, keep=[])
+    return en.decode(e, "ids", v, out="decoded", sep=" ", keep=[]).select("doc_id", "decoded")
 
 
 @register("roundtrip_char", f"""
@@ -573,7 +573,8 @@ def q_roundtrip_char(spark, sf_dir):
     """decode(encode(text)) == text, counted per language."""
     docs = documents(spark, sf_dir)
     v = vb.char_vocab(spark)
-    e = en.decode(en.encode(docs, tx.chars("text"), v), "ids", v, out="decoded", sep="")
+    e = en.decode(en.encode(docs, tx.chars("text"), v, keep=["lang", "text"]), "ids", v, out="decoded", sep="",
+                  keep=["lang", "text"])
     return e.groupBy("lang").agg(
         F.count(F.lit(1)).cast("bigint").alias("n_docs"),
         F.count(F.when(F.col("decoded") == F.col("text"), 1)).cast("bigint").alias("n_roundtrip"))
@@ -591,7 +592,7 @@ def q_prepare_for_scoring(spark, sf_dir):
     docs = labelled_docs(spark, sf_dir)
     v = vb.build_vocab(vb.token_rows(docs, tx.edgegrams("text", 3)), specials=tx.SPECIALS_SHORT)
     conv = conversations(spark, sf_dir)
-    e = en.encode(conv, tx.edgegrams("text", 3), v)
+    e = en.encode(conv, tx.edgegrams("text", 3), v, keep=[])
     return e.select("doc_id", joined_ids(en.pad_or_truncate("ids", 100)).alias("ids"))
 
 
@@ -808,7 +809,7 @@ sc AS (SELECT doc_id, label, logits, list_position(logits, list_max(logits)) - 1
 
 def _pooled(spark, sf_dir):
     docs = labelled_docs(spark, sf_dir)
-    e = en.encode(docs, tx.chars("text"), vb.char_vocab(spark))
+    e = en.encode(docs, tx.chars("text"), vb.char_vocab(spark), keep=["label"])
     emb = table(spark, sf_dir, "embeddings")
     return nn.mean_pool(e, "ids", emb, EMB_DIM), emb
 
@@ -840,32 +841,34 @@ FROM i LEFT JOIN embeddings e ON e.vec_id = i.id GROUP BY i.doc_id
 def q_lookup_embeddings(spark, sf_dir):
     """Every character id of every document looked up in the embedding table."""
     docs = documents(spark, sf_dir)
-    e = en.encode(docs, tx.chars("text"), vb.char_vocab(spark))
+    e = en.encode(docs, tx.chars("text"), vb.char_vocab(spark), keep=[])
     rows = nn.lookup_embeddings(e, "ids", table(spark, sf_dir, "embeddings"))
     return rows.groupBy("doc_id").agg(
         F.count("vec").cast("bigint").alias("n_found"),
         F.round(F.sum(F.element_at("vec", 1)), 4).alias("sum_dim0"))
 
 
+FLAT_T = 16
+
+
 @register("flatten_embeddings", f"""
 WITH v AS {CHAR_VOCAB_SQL},
-t AS (SELECT doc_id, unnest(w) AS token, generate_subscripts(w, 1) AS pos
+t AS (SELECT doc_id, unnest(w) AS token, generate_subscripts(w, 1) - 1 AS pos
       FROM (SELECT doc_id, {S.chars_sql('text')} AS w FROM documents)),
 i AS (SELECT t.doc_id, t.pos, coalesce(v.id, 1) AS id FROM t LEFT JOIN v ON v.token = t.token),
-f AS (SELECT d.doc_id, p.pos, coalesce(i.id, 0) AS id FROM documents d CROSS JOIN (SELECT range + 1 AS pos FROM range(4)) p
-      LEFT JOIN i ON i.doc_id = d.doc_id AND i.pos = p.pos),
-ed AS (SELECT vec_id, CAST(unnest(embedding) AS DOUBLE) AS x, generate_subscripts(embedding, 1) - 1 AS dim FROM embeddings)
-SELECT f.doc_id, CAST((f.pos - 1) * {EMB_DIM} + ed.dim AS BIGINT) AS idx, round(ed.x, 4) AS value
-FROM f JOIN ed ON ed.vec_id = f.id
+e AS (SELECT vec_id, list_sum(CAST(embedding AS DOUBLE[])) AS s FROM embeddings)
+SELECT i.doc_id, CAST(i.pos // {FLAT_T} AS BIGINT) AS chunk, CAST({FLAT_T} * {EMB_DIM} AS INTEGER) AS n_values,
+       round(sum(CASE WHEN i.id = 0 THEN 0.0 ELSE coalesce(e.s, 0.0) END), 3) AS total
+FROM i LEFT JOIN e ON e.vec_id = i.id GROUP BY 1, 2
 """)
 def q_flatten_embeddings(spark, sf_dir):
-    """Fixed-length (4) character ids -> one 4 x 64 vector per document."""
+    """Every document's character ids, cut into consecutive windows of 16,
+    each flattened to a 16 x 64 vector (summarised per window)."""
     docs = documents(spark, sf_dir)
-    e = en.encode(docs, tx.chars("text"), vb.char_vocab(spark))
-    e = e.withColumn("ids", en.pad_or_truncate("ids", 4))
-    f = nn.flatten_embeddings(e, "ids", table(spark, sf_dir, "embeddings"), 4, EMB_DIM)
-    return f.select("doc_id", F.posexplode("flat").alias("idx", "value")).select(
-        "doc_id", F.col("idx").cast("bigint").alias("idx"), F.round("value", 4).alias("value"))
+    e = en.encode(docs, tx.chars("text"), vb.char_vocab(spark), keep=[])
+    f = nn.flatten_chunks(e, "ids", table(spark, sf_dir, "embeddings"), FLAT_T, EMB_DIM)
+    return f.select("doc_id", "chunk", F.size("flat").alias("n_values"),
+                    F.round(F.aggregate("flat", F.lit(0.0), lambda acc, x: acc + x), 3).alias("total"))
 
 
 @register("mlp_logits", LOGITS_SQL + """
@@ -967,7 +970,7 @@ dt AS (SELECT d.doc_id, coalesce(toks.t, CAST([] AS VARCHAR[])) AS t FROM docume
 def _wp(spark, sf_dir):
     docs = documents(spark, sf_dir)
     v = wpc.wordpiece_vocab_from_corpus(docs)
-    return wpc.wordpiece_tokenize(docs, v), v
+    return wpc.wordpiece_tokenize(docs, v, keep=[]), v
 
 
 @register("wordpiece_vocab", f"SELECT * FROM {WP_VOCAB_SQL}")
@@ -994,7 +997,7 @@ FROM dt LEFT JOIN e ON e.doc_id = dt.doc_id
 def q_encode_wordpiece(spark, sf_dir):
     """WordPiece ids without [CLS]/[SEP]."""
     t, v = _wp(spark, sf_dir)
-    return _ids_out(en.encode(t, "tokens", v, out="ids"))
+    return _ids_out(en.encode(t, "tokens", v, out="ids", keep=[]))
 
 
 def _cleanup_sql(expr: str) -> str:
@@ -1013,8 +1016,8 @@ FROM dt LEFT JOIN j ON j.doc_id = dt.doc_id
 def q_decode_wordpiece(spark, sf_dir):
     """ids -> text: specials skipped, ## pieces glued, spaces cleaned up."""
     t, v = _wp(spark, sf_dir)
-    e = en.encode(t, "tokens", v, out="ids")
-    d = en.decode_tokens(e.drop("tokens"), "ids", v, out="pieces", skip=wpc.WP_SPECIALS, unknown_dropped=True)
+    e = en.encode(t, "tokens", v, out="ids", keep=[])
+    d = en.decode_tokens(e, "ids", v, out="pieces", skip=wpc.WP_SPECIALS, unknown_dropped=True, keep=[])
     return d.select("doc_id", wpc.decode_wordpiece("pieces").alias("decoded"))
 
 

@@ -46,7 +46,8 @@ def run_comparison(spark: SparkSession, corpus: DataFrame, languages: list[str]
     part = corpus if batch_lang is None else corpus.where(F.col("lang") == batch_lang)
     part = sp.alternate_label(part, "doc_ord", None, "label")
     b = sp.assign_batches(part, batch_size, shuffle_seed=shuffle_seed)
-    e = en.encode(b, tx.words("text"), words_vocab).withColumn("ids", en.add_bos_eos("ids"))
+    e = en.encode(b, tx.words("text"), words_vocab, keep=["batch_id", "label"]).withColumn(
+        "ids", en.add_bos_eos("ids"))
     batches = sp.pad_batches(e, "ids", "batch_id").select("batch_id", "doc_id", "ids", "label")
     return {"summary": summary, "examples": examples, "batches": batches,
             "word_vocab": words_vocab, "word_vocab_lower": word_lower}

@@ -34,7 +34,7 @@ def encode_batches(stream: DataFrame, tokens_fn, vocab: DataFrame, out_path: str
     keep = keep or []
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        enc = en.encode(batch, tokens_fn(batch), vocab, key=key)
+        enc = en.encode(batch, tokens_fn(batch), vocab, key=key, keep=keep)
         enc.select(key, *keep, "ids").write.mode("append").parquet(out_path)
 
     return (stream.writeStream.foreachBatch(handle)

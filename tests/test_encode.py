@@ -78,4 +78,18 @@ def test_encode_plan_single_exchange_with_broadcast(spark):
     docs = documents(spark, "/root/testdata/sf0.001")
     e = en.encode(docs, tx.chars("text"), vb.char_vocab(spark))
     plan = e._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
+    assert "Join" not in plan and "Exchange hashpartitioning" not in plan   # pure projection
+    v = vb.materialize(vb.build_vocab(vb.token_rows(docs, tx.words("text"))))
+    w = en.encode(docs, tx.words("text"), v)
+    plan = w._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
+    assert plan.count("Exchange hashpartitioning") == 1     # docs by key only; regroup is local
+
+
+def test_char_literal_path_with_multichar_tokens(spark):
+    v = vb.char_vocab(spark, "abc")
+    toks = spark.createDataFrame([(0, ["a", "<pad>", "zz", "c", "<unk>", "é"])], "doc_id bigint, t array<string>")
+    e = en.encode(toks, "t", v)
+    assert _ids(e) == [[2, 0, 1, 4, 1, 1]]
+    plan = e._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan

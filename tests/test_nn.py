@@ -39,3 +39,11 @@ def test_mlp_and_batch_loss(spark):
                               "batch_id int, loss double, pred int, label int")
     m = nn.batch_mean_loss(b).first()
     assert m.loss == (2.0 + 10.0) / 2 and math.isclose(m.accuracy, 2 / 3)
+
+
+def test_flatten_chunks_whole_text(spark):
+    emb = spark.createDataFrame([(0, [9.0, 9.0]), (1, [1.0, 2.0]), (2, [3.0, 4.0])],
+                                "vec_id bigint, embedding array<float>")
+    df = spark.createDataFrame([(0, [1, 2, 0, 2, 1])], "doc_id bigint, ids array<bigint>")
+    got = {r.chunk: list(r.flat) for r in nn.flatten_chunks(df, "ids", emb, 2, 2).collect()}
+    assert got == {0: [1.0, 2.0, 3.0, 4.0], 1: [0.0, 0.0, 3.0, 4.0], 2: [1.0, 2.0, 0.0, 0.0]}
