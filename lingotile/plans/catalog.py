@@ -809,7 +809,7 @@ sc AS (SELECT doc_id, label, logits, list_position(logits, list_max(logits)) - 1
 
 def _pooled(spark, sf_dir):
     docs = labelled_docs(spark, sf_dir)
-    e = en.encode(docs, tx.chars("text"), vb.char_vocab(spark), keep=["label"])
+    e = en.encode(docs, tx.chars("text"), vb.char_vocab(spark), keep=["label", "doc_ord"])
     emb = table(spark, sf_dir, "embeddings")
     return nn.mean_pool(e, "ids", emb, EMB_DIM), emb
 
