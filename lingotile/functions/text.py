@@ -10,6 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from typing import Callable
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -144,6 +145,9 @@ class TokenizerSpec:
     # Optional DataFrame-level step for tokenizers that need a join
     # (``prepare(df, text_col, key) -> df`` adding the column ``fn`` reads).
     prepare: Callable | None = None
+    # True when ``fn`` yields ``struct<tokens, error>`` (a Python tokenizer
+    # that may raise): summaries then stop at the first failing text.
+    safe: bool = False
 
     def tokens(self, text: Column | str, lang: Column | str | None = None) -> Column:
         t = F.col(text) if isinstance(text, str) else text
@@ -151,6 +155,27 @@ class TokenizerSpec:
         return self.fn(t, lg)
 
 
+def python_tokenizer_spec(name: str, tokenize, n_special: int = 2, sep: str = " ") -> TokenizerSpec:
+    """Escape hatch for any Python ``str -> list[str]`` tokenizer: an
+    Arrow-batched pandas UDF returning ``struct<tokens, error>``; an
+    exception on a text is captured as its message instead of failing the
+    job."""
+
+    @F.pandas_udf("tokens array<string>, error string")
+    def _apply(texts: pd.Series) -> pd.DataFrame:
+        toks, errs = [], []
+        for t in texts:
+            try:
+                toks.append([str(x) for x in tokenize("" if t is None else t)])
+                errs.append(None)
+            except Exception as e:  # captured per text, as the comparison expects
+                toks.append(None)
+                errs.append(str(e))
+        return pd.DataFrame({"tokens": toks, "error": errs})
+
+    return TokenizerSpec(name, lambda t, lg: _apply(t), n_special=n_special, sep=sep, safe=True)
+
+
 def char_spec() -> TokenizerSpec:
     return TokenizerSpec("char", lambda t, lg: chars(t), n_special=2, sep="")
 

@@ -1233,3 +1233,37 @@ def q_stream_predict(spark, sf_dir):
     q = pred.writeStream.format("memory").queryName(name).trigger(availableNow=True).start()
     q.awaitTermination()
     return spark.table(name)
+
+
+# ---------------------------------------------------------------------------
+# T6 / C3: a Python tokenizer that can fail, error capture in the summary
+# ---------------------------------------------------------------------------
+
+
+def ascii_words(text: str) -> list[str]:
+    """Whitespace words of ASCII-only text; raises on any other text."""
+    text.encode("ascii")
+    return text.split()
+
+
+@register("safe_tokenizer_summary", f"""
+WITH d AS (SELECT doc_id, lang, coalesce(text, '') AS text,
+                  regexp_matches(coalesce(text, ''), '[^\\x{{0}}-\\x{{7f}}]') AS bad FROM documents),
+cut AS (SELECT lang, count(*) AS n_all, min(CASE WHEN bad THEN doc_id END) AS c FROM d GROUP BY lang),
+k AS (SELECT d.lang, {S.words_sql('d.text')} AS t FROM d JOIN cut ON cut.lang = d.lang
+      WHERE cut.c IS NULL OR d.doc_id < cut.c),
+st AS (SELECT lang, count(*) AS n, sum(len(t)) AS s, min(len(t)) AS mn, max(len(t)) AS mx FROM k GROUP BY lang),
+ob AS (SELECT lang, count(DISTINCT tok) AS o FROM (SELECT lang, unnest(t) AS tok FROM k) GROUP BY lang),
+al AS (SELECT count(DISTINCT tok) AS n FROM (SELECT unnest(t) AS tok FROM k) WHERE tok NOT IN ('<pad>', '<unk>'))
+SELECT cut.lang AS language, 'ascii_words' AS tokenizer, CAST(cut.n_all AS BIGINT) AS num_samples,
+       CAST(st.s AS DOUBLE) / st.n AS avg_tokens, CAST(st.mn AS BIGINT) AS min_tokens,
+       CAST(st.mx AS BIGINT) AS max_tokens, CAST(nullif(ob.o, 0) AS BIGINT) AS observed_vocab_size,
+       CAST(2 + (SELECT n FROM al) AS BIGINT) AS tokenizer_vocab_size, cut.c IS NOT NULL AS has_error
+FROM cut LEFT JOIN st ON st.lang = cut.lang LEFT JOIN ob ON ob.lang = cut.lang
+""")
+def q_safe_tokenizer_summary(spark, sf_dir):
+    """A Python tokenizer that raises on non-ASCII text: per language, texts
+    before the first failure are summarised and the failure is reported."""
+    spec = tx.python_tokenizer_spec("ascii_words", ascii_words)
+    s = summarize_tokenizers(documents(spark, sf_dir), [spec], round_digits=None)
+    return s.withColumn("has_error", F.col("error").isNotNull()).drop("error")

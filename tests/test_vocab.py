@@ -93,3 +93,28 @@ def test_python_round(spark):
     df = spark.createDataFrame([(0.125,), (2.675,), (1.005,)], "x double")
     got = [r.y for r in df.select(cmp.python_round(F.col("x"), 2).alias("y")).collect()]
     assert got == [round(0.125, 2), round(2.675, 2), round(1.005, 2)]
+
+
+def test_python_tokenizer_error_capture(spark):
+    from fixtures import texts_df
+
+    def strict(t):
+        if "!" in t:
+            raise ValueError("bang")
+        return t.split()
+
+    rows = [(0, 0, "es", "a b c"), (1, 1, "es", "d e"), (2, 2, "es", "boom !"), (3, 3, "es", "f g h i"),
+            (4, 4, "en", "! first"), (5, 5, "fr", "x y")]
+    df = spark.createDataFrame(rows, "doc_id bigint, doc_ord bigint, lang string, text string")
+    spec = tx.python_tokenizer_spec("strict", strict)
+    s = {r.language: r for r in cmp.summarize_tokenizers(df, [spec, tx.word_spec()]).collect()
+         if r.tokenizer == "strict"}
+    assert (s["es"].num_samples, s["es"].avg_tokens, s["es"].min_tokens, s["es"].max_tokens) == (4, 2.5, 2, 3)
+    assert s["es"].observed_vocab_size == 5 and s["es"].error == "bang"
+    assert s["en"].num_samples == 1 and s["en"].avg_tokens is None and s["en"].error == "bang"
+    assert s["fr"].error is None and s["fr"].avg_tokens == 2.0
+    v = vb.build_vocab(vb.token_rows(df, tx.words("text")), specials=tx.SPECIALS_SHORT)
+    ex = cmp.collect_examples(df, [spec], {"strict": v}, max_samples=1).collect()
+    en_row = [r for r in ex if r.language == "en"][0]
+    assert en_row.error == "ERROR: bang" and en_row.tokens is None
+    assert texts_df is not None
