@@ -93,7 +93,9 @@ def build_vocab(tokens_df: DataFrame, min_freq: int = 1,
     if min_freq > 1:
         agg = agg.where(F.col("freq") >= min_freq)
     body = _rank_tokens(agg, len(specials))
-    return specials_frame(spark, specials).unionByName(body)
+    # The finished table is written once: encoders check its size and
+    # broadcast it, which must not re-run the ranking each time.
+    return materialize(specials_frame(spark, specials).unionByName(body))
 
 
 def word_vocab(df: DataFrame, text_col: str = "text", order_col: str = "doc_ord",
@@ -122,7 +124,7 @@ def extend_vocab(vocab: DataFrame, tokens_df: DataFrame) -> DataFrame:
     new = seen.join(vocab.select("token"), on="token", how="left_anti")
     next_id = vocab.agg(F.max("id")).first()[0]
     next_id = 0 if next_id is None else int(next_id) + 1
-    return vocab.unionByName(_rank_tokens(new, next_id))
+    return materialize(vocab.unionByName(_rank_tokens(new, next_id)))
 
 
 def char_vocab(spark: SparkSession, alphabet: str | None = None) -> DataFrame:

@@ -33,6 +33,9 @@ def local_session(master: str | None = None, shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Regroups (collect_list per document) keep hashing instead of
+        # falling back to sort-based aggregation after 128 keys per task.
+        .config("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "65536")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
