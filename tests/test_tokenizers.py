@@ -71,3 +71,24 @@ def test_rule_tokenizer_assertions(spark):
     got = df.select("i", tx.rule_tokens("text", F.col("lang")).alias("t")).orderBy("i").collect()
     for (lg, t, want), r in zip(cases, got):
         assert "|".join(r.t) == want, (lg, t, list(r.t))
+
+
+def test_rule_tokenizers_match_python_regex_engine(spark):
+    """The same patterns in an independent engine (Python `regex`) agree
+    with Spark on every document."""
+    import re
+
+    import regex
+
+    def conv(p):
+        return regex.compile(re.sub(r"\\x\{([0-9a-fA-F]+)\}", lambda m: "\\U%08x" % int(m.group(1), 16), p))
+
+    d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = d.select("text", *[tx.rule_tokens("text", lg).alias(lg) for lg in ("es", "en", "fr")]).collect()
+    pats = {lg: conv(tx.RULE_PATTERNS[lg]) for lg in ("es", "en", "fr")}
+    clitic = conv(tx.EN_CLITIC_RE)
+    for r in rows:
+        t = r.text or ""
+        assert list(r.es) == pats["es"].findall(t)
+        assert list(r.fr) == pats["fr"].findall(t)
+        assert list(r.en) == pats["en"].findall(clitic.sub(r"\1 \2", t))
