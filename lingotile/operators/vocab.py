@@ -66,13 +66,28 @@ def token_rows(df: DataFrame, tokens: Column, order_col: str = "doc_ord",
                      F.posexplode(tokens).alias("pos", "token"))
 
 
+POS_BITS = 21   # positions below 2^21 and ordinals below 2^42 pack into 63 bits
+ORD_LIMIT = 1 << 42
+
+
 def _first_occurrence(tokens_df: DataFrame) -> DataFrame:
+    """Per token: frequency and first ``(doc_ord, pos)``.  The pair is packed
+    into one BIGINT when it fits (a long minimum aggregates faster than a
+    struct minimum); rows that do not fit keep an exact struct minimum, and
+    the two are combined lexicographically."""
+    d, p = F.col("doc_ord"), F.col("pos").cast("bigint")
+    fits = (d >= 0) & (d < ORD_LIMIT) & (p >= 0) & (p < (1 << POS_BITS))
     agg = tokens_df.groupBy("token").agg(
         F.count(F.lit(1)).alias("freq"),
-        F.min(F.struct("doc_ord", "pos")).alias("_first"))
-    return agg.select("token", "freq",
-                      F.col("_first.doc_ord").alias("first_doc"),
-                      F.col("_first.pos").cast("bigint").alias("first_pos"))
+        F.min(F.when(fits, F.shiftleft(d, POS_BITS) + p)).alias("_packed"),
+        F.min(F.when(~fits, F.struct(d.alias("doc_ord"), p.alias("pos")))).alias("_other"))
+    packed = F.struct(F.shiftright("_packed", POS_BITS).alias("doc_ord"),
+                      (F.col("_packed") % (1 << POS_BITS)).alias("pos"))
+    first = F.when(F.col("_other").isNull(), packed).when(F.col("_packed").isNull(), F.col("_other")) \
+        .otherwise(F.least(packed, F.col("_other")))
+    return agg.select("token", "freq", first.alias("_first")).select(
+        "token", "freq", F.col("_first.doc_ord").alias("first_doc"),
+        F.col("_first.pos").cast("bigint").alias("first_pos"))
 
 
 def _rank_tokens(agg: DataFrame, start: int) -> DataFrame:

@@ -118,3 +118,11 @@ def test_python_tokenizer_error_capture(spark):
     en_row = [r for r in ex if r.language == "en"][0]
     assert en_row.error == "ERROR: bang" and en_row.tokens is None
     assert texts_df is not None
+
+
+def test_first_occurrence_packed_and_unpacked_agree(spark):
+    rows = [(5, 3, "a"), (5, 1, "b"), (2, 9, "a"), ((1 << 43) + 1, 0, "c"), ((1 << 43), 4, "c"),
+            (7, (1 << 22) + 5, "d"), (7, 2, "d"), (1 << 43, 0, "e"), (3, 0, "e")]
+    df = spark.createDataFrame(rows, "doc_ord bigint, pos int, token string")
+    got = {r.token: (r.first_doc, r.first_pos, r.freq) for r in vb._first_occurrence(df).collect()}
+    assert got == {"a": (2, 9, 2), "b": (5, 1, 1), "c": ((1 << 43), 4, 2), "d": (7, 2, 2), "e": (3, 0, 2)}
