@@ -24,8 +24,6 @@ WS_CLASS = (r"\x{09}-\x{0d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
 PAD, UNK, BOS, EOS = "<pad>", "<unk>", "<bos>", "<eos>"
 SPECIALS_WORD = [PAD, UNK, BOS, EOS]   # word / corpus vocabularies: ids 0..3
 SPECIALS_SHORT = [PAD, UNK]            # char / edgegram / rule vocabularies: ids 0..1
-# ---------------------------------------------------------------------------
-
 # The same whitespace set as characters (for trimming).
 WS_CHARS = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200b))
             + "\u2028\u2029\u202f\u205f\u3000")

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lingotile.functions.text import TokenizerSpec
+from lingotile.operators import encode as enc
 from lingotile.operators.encode import _attach, _carried, _lookup, _regroup
 from lingotile.operators.ranking import broadcast_if_small, global_rank, md5_bucket
 
@@ -44,7 +45,6 @@ CLEANUP_REPLACEMENTS = [(" .", "."), (" ?", "?"), (" !", "!"), (" ,", ","), (" '
 # ---------------------------------------------------------------------------
 
 
-
 def pretokenize(text: Column | str) -> Column:
     """Cleaned text split on whitespace, punctuation and CJK characters."""
     t = F.col(text) if isinstance(text, str) else text
@@ -127,9 +127,7 @@ def relational_wordpiece_table(words: DataFrame, vocab: DataFrame, max_chars: in
     max_piece = vocab.select(F.max(F.length(F.regexp_replace("token", "^##", "")))).first()[0] or 1
     fit = words.where(F.length("word") <= max_chars).select("word")
     cands = _candidates(fit, int(max_piece))
-    from lingotile.operators import encode as _enc
-
-    toks, _ = broadcast_if_small(vocab.select(F.col("token").alias("piece")), _enc.BROADCAST_VOCAB_ROWS)
+    toks, _ = broadcast_if_small(vocab.select(F.col("token").alias("piece")), enc.BROADCAST_VOCAB_ROWS)
     hits = cands.join(toks, "piece", "left_semi")
     best = hits.groupBy("word", "s").agg(F.max(F.col("s") + F.col("l")).alias("e"))
     ends = best.groupBy("word").agg(F.map_from_entries(F.collect_list(F.struct("s", "e"))).alias("_m"))

@@ -215,6 +215,7 @@ from lingotile.plans.common import joined_ids  # noqa: E402
 # the test corpus also contains), in corpus order.
 LANG4 = {"es": 0, "en": 1, "fr": 2, "de": 3}
 LABEL_SQL = "(CASE lang WHEN 'es' THEN 0 WHEN 'en' THEN 1 WHEN 'fr' THEN 2 WHEN 'de' THEN 3 END)"
+LABEL3_SQL = "(CASE lang WHEN 'es' THEN 0 WHEN 'en' THEN 1 WHEN 'fr' THEN 2 END)"   # default 3-language map
 # Corpus order of the labelled corpus: languages in map order, then doc_id.
 LORD_SQL = f"({LABEL_SQL} * 1099511627776 + doc_id)"
 
@@ -1079,7 +1080,7 @@ def q_read_corpus(spark, sf_dir):
 
 
 @register("read_labelled_txt", f"""
-SELECT lang, {LABEL_SQL.replace("WHEN 'de' THEN 3 ", "")} AS label, text FROM ({LINES_BY_LANG_SQL})
+SELECT lang, {LABEL3_SQL} AS label, text FROM ({LINES_BY_LANG_SQL})
 WHERE lang IN ('es', 'en', 'fr')
 """)
 def q_read_labelled_txt(spark, sf_dir):
@@ -1090,7 +1091,7 @@ def q_read_labelled_txt(spark, sf_dir):
 
 
 @register("load_auto", f"""
-SELECT lang, {LABEL_SQL.replace("WHEN 'de' THEN 3 ", "")} AS label, text FROM ({LINES_BY_LANG_SQL})
+SELECT lang, {LABEL3_SQL} AS label, text FROM ({LINES_BY_LANG_SQL})
 WHERE lang IN ('es', 'en', 'fr')
 """)
 def q_load_auto(spark, sf_dir):

@@ -13,7 +13,6 @@ concurrently, which keeps the id order deterministic.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from lingotile.operators import encode as en
 from lingotile.operators import vocab as vb
@@ -101,4 +100,4 @@ def vocab_from_versions(spark: SparkSession, root: str) -> DataFrame:
     latest = latest_vocab_version(spark, root)
     if latest is None:
         raise FileNotFoundError(f"no vocabulary version under {root}")
-    return read_vocab(spark, latest[1]).select("id", "token", "freq", "is_special").where(F.lit(True))
+    return read_vocab(spark, latest[1])
