@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lingotile.functions.text import FAST_WORD_RE, PY_ONLY_WS_RE
-from lingotile.operators.nn import batch_mean_loss, evaluate_predictions, evaluation_summary
+from lingotile.operators.nn import evaluate_predictions, evaluation_summary
 from lingotile.operators.split import DEFAULT_LANGUAGE_MAP, assign_batches, decode_label
 
 
@@ -104,15 +104,19 @@ def _mlp(cfg: TrainConfig, layers: list[int], iters: int, step: float, init=None
     return m
 
 
-def _epoch_metrics(scored: DataFrame) -> tuple[float, float]:
-    """Loss (mean of per-batch mean cross-entropy) and accuracy; rows carry
-    their ``batch_id`` (assigned once before training)."""
+def _epoch_metrics(scored: DataFrame) -> dict[str, tuple[float, float]]:
+    """Per part (``_part``): loss (mean of per-batch mean cross-entropy) and
+    accuracy, in one job; rows carry their ``batch_id`` (assigned once)."""
     p = vector_to_array("probability")
     s = scored.withColumn("loss", -F.log(F.greatest(F.element_at(p, F.col("label").cast("int") + 1),
                                                     F.lit(1e-15))))
     s = s.withColumn("pred", F.col("prediction").cast("int"))
-    row = batch_mean_loss(s, "loss", "batch_id", "pred", "label").first()
-    return float(row.loss), float(row.accuracy)
+    per_batch = s.groupBy("_part", "batch_id").agg(
+        F.avg("loss").alias("_bl"), F.count(F.lit(1)).alias("_n"),
+        F.sum(F.when(F.col("pred") == F.col("label"), 1).otherwise(0)).alias("_c"))
+    rows = per_batch.groupBy("_part").agg(F.avg("_bl").alias("loss"),
+                                          (F.sum("_c") / F.sum("_n")).alias("accuracy")).collect()
+    return {r["_part"]: (float(r.loss), float(r.accuracy)) for r in rows}
 
 
 def train_with_history(train: DataFrame, val: DataFrame, vocab: DataFrame,
@@ -130,8 +134,10 @@ def train_with_history(train: DataFrame, val: DataFrame, vocab: DataFrame,
     # Batches are fixed once (training batches shuffled with the seed,
     # validation batches in corpus order), then features are cached.
     order = "doc_ord" if "doc_ord" in val.columns else "doc_id"
-    tr = feats.transform(assign_batches(train, cfg.batch_size, shuffle_seed=cfg.seed)).persist()
-    va = feats.transform(assign_batches(val, cfg.batch_size, order_col=order)).persist()
+    tr = feats.transform(assign_batches(train, cfg.batch_size, shuffle_seed=cfg.seed)
+                         .withColumn("_part", F.lit("train"))).persist()
+    va = feats.transform(assign_batches(val, cfg.batch_size, order_col=order)
+                         .withColumn("_part", F.lit("val"))).persist()
     layers = _layers(len(vocabulary), len(cfg.language_map), cfg)
 
     history, best, best_loss, bad, plateau = [], None, float("inf"), 0, 0
@@ -140,8 +146,8 @@ def train_with_history(train: DataFrame, val: DataFrame, vocab: DataFrame,
         for epoch in range(1, cfg.epochs + 1):
             model = _mlp(cfg, layers, cfg.iters_per_epoch, step, weights).fit(tr)
             weights = model.weights
-            tr_loss, tr_acc = _epoch_metrics(model.transform(tr))
-            va_loss, va_acc = _epoch_metrics(model.transform(va))
+            m = _epoch_metrics(model.transform(tr.unionByName(va)))
+            (tr_loss, tr_acc), (va_loss, va_acc) = m["train"], m["val"]
             history.append((epoch, tr_loss, va_loss, tr_acc, va_acc, step))
             if va_loss < best_loss:
                 best_loss, best, bad, plateau = va_loss, model, 0, 0

@@ -104,10 +104,10 @@ def _set_match_table(words: DataFrame, vocab: DataFrame, max_piece: int, max_cha
         v = tokens.value
         for pdf in batches:
             pieces = [greedy_pieces(w, v, max_piece, max_chars, unk) for w in pdf["word"]]
-            yield pd.DataFrame({"word": pdf["word"], "pieces": pieces})
+            yield pd.DataFrame({"word": pdf["word"], "freq": pdf["freq"], "pieces": pieces})
 
-    matched = words.select("word").mapInPandas(match, "word string, pieces array<string>")
-    return words.join(matched, "word", "inner")
+    return words.select("word", F.col("freq").cast("bigint").alias("freq")).mapInPandas(
+        match, "word string, freq bigint, pieces array<string>")
 
 
 def wordpiece_table(words: DataFrame, vocab: DataFrame, max_chars: int = MAX_CHARS_PER_WORD,
