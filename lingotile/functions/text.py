@@ -158,6 +158,9 @@ def python_tokenizer_spec(name: str, tokenize, n_special: int = 2, sep: str = "
     Arrow-batched pandas UDF returning ``struct<tokens, error>``; an
     exception on a text is captured as its message instead of failing the
     job."""
+    from lingotile.session import ship_package
+
+    ship_package()
 
     @F.pandas_udf("tokens array<string>, error string")
     def _apply(texts: pd.Series) -> pd.DataFrame:

@@ -95,7 +95,10 @@ def greedy_pieces(word: str, vocab: set, max_piece: int, max_chars: int, unk: st
 
 def _set_match_table(words: DataFrame, vocab: DataFrame, max_piece: int, max_chars: int,
                      unk: str) -> DataFrame:
+    from lingotile.session import ship_package
+
     spark = words.sparkSession
+    ship_package(spark)
     tokens = spark.sparkContext.broadcast(frozenset(r[0] for r in vocab.select("token").collect()))
 
     def match(batches):

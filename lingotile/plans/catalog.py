@@ -24,7 +24,14 @@ ORACLES: dict[str, str] = {}
 
 def register(name: str, oracle: str | None = None):
     def deco(fn):
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            from lingotile.session import ship_package
+
+            ship_package(spark)   # workers import lingotile for the pandas UDFs
+            return fn(spark, sf_dir)
+
+        run.__name__, run.__doc__ = fn.__name__, fn.__doc__
+        QUERIES[name] = run
         if oracle is not None:
             ORACLES[name] = oracle
         return fn

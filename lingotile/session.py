@@ -65,3 +65,37 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex}"
+
+
+def ship_package(spark: SparkSession | None = None) -> None:
+    """Make ``lingotile`` importable in the Python workers (needed by the
+    pandas UDFs): the package is zipped once per SparkContext, written into
+    the shared checkpoint folder through the Hadoop FileSystem API and
+    registered with ``addPyFile``, which distributes it to every executor."""
+    import io
+    import zipfile
+
+    spark = spark or SparkSession.getActiveSession()
+    if spark is None:
+        return
+    sc = spark.sparkContext
+    if getattr(sc, "_lingotile_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
+        for base, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    zf.write(full, os.path.join("lingotile", os.path.relpath(full, root)))
+    path = scratch_path(spark, "lingotile-pkg") + ".zip"
+    jvm = sc._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    out = p.getFileSystem(sc._jsc.hadoopConfiguration()).create(p)
+    try:
+        out.write(bytearray(buf.getvalue()))
+    finally:
+        out.close()
+    sc.addPyFile(path)
+    sc._lingotile_shipped = True
