@@ -120,14 +120,15 @@ def _epoch_metrics(scored: DataFrame) -> dict[str, tuple[float, float]]:
 
 
 def train_with_history(train: DataFrame, val: DataFrame, vocab: DataFrame,
-                       cfg: TrainConfig) -> tuple[PipelineModel, DataFrame]:
+                       cfg: TrainConfig, n_train: int | None = None,
+                       n_val: int | None = None) -> tuple[PipelineModel, DataFrame]:
     """Warm-started rounds with history and early stopping; returns the best
     model and ``history(epoch, train_loss, val_loss, train_accuracy,
-    val_accuracy, step_size)``."""
+    val_accuracy, step_size)``.  Known part sizes skip the emptiness jobs."""
     spark = train.sparkSession
-    if train.isEmpty():
+    if (n_train == 0) if n_train is not None else train.isEmpty():
         raise ValueError("train set is empty")
-    if val.isEmpty():
+    if (n_val == 0) if n_val is not None else val.isEmpty():
         raise ValueError("validation set is empty")
     vocabulary = feature_vocabulary(vocab, cfg.max_features)
     feats = PipelineModel(feature_pipeline(vocabulary, cfg.max_length, cfg.ngram))

@@ -94,11 +94,13 @@ def run_training(spark: SparkSession, cfg: clf.TrainConfig | None = None,
     vocab = vb.materialize(vb.build_vocab(vb.token_rows(corpus, tx.edgegrams("text", cfg.ngram)),
                                           specials=tx.SPECIALS_SHORT))
     parts = vb.materialize(split_corpus(corpus, cfg))
+    sizes = {r["split"]: r["n"] for r in parts.groupBy("split").agg(F.count(F.lit(1)).alias("n")).collect()}
+    n_train, n_val = sizes.get("train", 0), sizes.get("val", 0)
     train = parts.where(F.col("split") == "train")
     val = parts.where(F.col("split") == "val")
-    model, history = clf.train_with_history(train, val, vocab, cfg)
+    model, history = clf.train_with_history(train, val, vocab, cfg, n_train, n_val)
     per_class, evaluation = clf.evaluate_model(model, val, cfg.language_map)
-    info = pipeline_info(cfg, vb.vocab_size(vocab), train.count(), val.count())
+    info = pipeline_info(cfg, vb.vocab_size(vocab), n_train, n_val)
     if artifacts_dir:
         clf.save_model(model, f"{artifacts_dir.rstrip('/')}/model")
         sk.write_run_summary(spark, f"{artifacts_dir.rstrip('/')}/training_summary",
