@@ -25,3 +25,17 @@ def test_every_query_has_callable_and_oracle_names_match():
 def test_oracle_parity_small(spark, name):
     r = compare(spark, name, "/root/testdata/sf0.001", duck("/root/testdata/sf0.001"))
     assert r["status"] == "ok", r
+
+
+def test_package_shipped_to_workers(spark):
+    from pyspark import SparkFiles
+
+    from lingotile.session import ship_package
+
+    ship_package(spark)
+    import os
+
+    shipped = [f for f in os.listdir(SparkFiles.getRootDirectory()) if f.startswith("lingotile-pkg")]
+    assert shipped
+    df = E.queries()["safe_tokenizer_summary"](spark, "/root/testdata/sf0.001")
+    assert df.count() == 4
