@@ -51,3 +51,17 @@ def test_streaming_predict_and_encode(spark):
     batch = vb.build_vocab(vb.token_rows(documents(spark, "/root/testdata/sf0.001"), tx.edgegrams("text")),
                            specials=tx.SPECIALS_SHORT)
     assert sorted(map(tuple, grown.collect())) == sorted(map(tuple, batch.collect()))
+
+
+def test_stateless_tokenizers_on_a_stream(spark):
+    from lingotile.functions import text as tx
+    from lingotile.streaming import stream as st
+
+    s = st.read_table_stream(spark, "/root/testdata/sf0.001", "documents.parquet")
+    toks = st.tokens_stream(s, tx.edgegram_spec(3)).select("doc_id", F.size("tokens").alias("n"))
+    q = toks.writeStream.format("memory").queryName("tok_stream_test").trigger(availableNow=True).start()
+    q.awaitTermination()
+    got = {r.doc_id: r.n for r in spark.table("tok_stream_test").collect()}
+    batch = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select(
+        "doc_id", F.size(tx.edgegrams("text")).alias("n"))
+    assert got == {r.doc_id: r.n for r in batch.collect()}
