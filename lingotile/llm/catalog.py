@@ -7,10 +7,27 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lingotile.llm import quality, secrets, shard
+from lingotile.llm import pack, pieces, quality, secrets, shard
 from lingotile.llm.common import table
 
 
+def tokenizer_file(name: str) -> str:
+    """Path of a public tokenizer's file, the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    made = pieces.digests(F.col("text"), tokenizer_file("piece_bpe_32k.model"))
+    return docs.select("doc_id", made.alias("_r")).select("doc_id", "_r.*")
+
+
+def op5_bin_completion_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack.pack(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return docs.select("doc_id", secrets.report(F.col("text")).alias("_r")).select("doc_id", "_r.*")
@@ -25,6 +42,8 @@ def op9_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_sentencepiece": op4_sentencepiece,
+    "op5_bin_completion_packing": op5_bin_completion_packing,
     "op6_secret_scan": op6_secret_scan,
     "op7_host_quality": op7_host_quality,
     "op9_hash_tree_shards": op9_hash_tree_shards,
