@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lingotile.llm import pack, pieces, quality, secrets, shard
+from lingotile.llm import minhash, pack, pieces, quality, secrets, shard
 from lingotile.llm.common import table
 
 
@@ -41,12 +41,17 @@ def op9_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard.assign(table(spark, sf_dir, "documents"), shards=8)
 
 
+def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=2)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_sentencepiece": op4_sentencepiece,
     "op5_bin_completion_packing": op5_bin_completion_packing,
     "op6_secret_scan": op6_secret_scan,
     "op7_host_quality": op7_host_quality,
     "op9_hash_tree_shards": op9_hash_tree_shards,
+    "op10_minhash_dedup": op10_minhash_dedup,
 }
 
 ORACLES: dict[str, str] = {
