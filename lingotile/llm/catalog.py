@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lingotile.llm import minhash, pack, pieces, quality, secrets, shard
+from lingotile.llm import minhash, pack, pieces, quality, secrets, shard, substrings
 from lingotile.llm.common import table
 
 
@@ -18,6 +18,10 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.report(table(spark, sf_dir, "documents"))
+
+
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     made = pieces.digests(F.col("text"), tokenizer_file("piece_bpe_32k.model"))
@@ -46,6 +50,7 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_suffix_array_dedup": op3_suffix_array_dedup,
     "op4_sentencepiece": op4_sentencepiece,
     "op5_bin_completion_packing": op5_bin_completion_packing,
     "op6_secret_scan": op6_secret_scan,

@@ -50,6 +50,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     if not _scratch:
         atexit.register(lambda: _clear(spark, _scratch))
     _scratch.append(path)
+    spark._jvm.System.gc()  # lets Spark's cleaner drop the shuffle files of finished jobs
     return spark.read.schema(schema).parquet(path)
 
 
