@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lingotile.llm import minhash, pack, pieces, quality, secrets, shard, substrings
+from lingotile.llm import (language, minhash, multi_index, pack, pieces, quality, secrets, sentences, shard,
+                            substrings)
 from lingotile.llm.common import table
 
 
@@ -18,6 +19,14 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.search(table(spark, sf_dir, "embeddings"))
+
+
+def op2_word_backoff_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.report(table(spark, sf_dir, "documents"))
 
@@ -41,6 +50,10 @@ def op7_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents"))
 
 
+def op8_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentences.trim(table(spark, sf_dir, "documents"))
+
+
 def op9_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard.assign(table(spark, sf_dir, "documents"), shards=8)
 
@@ -50,11 +63,14 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_inverted_multi_index": op1_inverted_multi_index,
+    "op2_word_backoff_language": op2_word_backoff_language,
     "op3_suffix_array_dedup": op3_suffix_array_dedup,
     "op4_sentencepiece": op4_sentencepiece,
     "op5_bin_completion_packing": op5_bin_completion_packing,
     "op6_secret_scan": op6_secret_scan,
     "op7_host_quality": op7_host_quality,
+    "op8_sentence_spans": op8_sentence_spans,
     "op9_hash_tree_shards": op9_hash_tree_shards,
     "op10_minhash_dedup": op10_minhash_dedup,
 }
