@@ -60,14 +60,19 @@ def with_rules(rows: DataFrame, text_col: str = "text", min_words: int = 10, max
     """``rows`` plus ``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed``."""
     kept = rows.columns
     text = F.coalesce(F.col(text_col), F.lit(""))
-    a = rows.select(*kept, text.alias("_t"),
-                    F.filter(F.split(text, SPACE_RUN), lambda w: w != "").alias("_w"))
+
+    def bound(df: DataFrame, value: Column, name: str, *columns) -> DataFrame:
+        # A one-row explode: filters above it cannot copy the expression into
+        # themselves, so each array is computed once.
+        return df.select(*kept, *columns, F.explode(F.array(value)).alias(name))
+
+    a = bound(rows, F.filter(F.split(text, SPACE_RUN), lambda w: w != ""), "_w", text.alias("_t"))
     last = F.size("_w") - WINDOW
     hashes = F.when(last >= 0, F.transform(
         F.sequence(F.lit(0), F.greatest(last, F.lit(0))),
         lambda i: F.xxhash64(*[F.get(F.col("_w"), i + k) for k in range(WINDOW)])))
-    b = a.select(*kept, "_t", F.size("_w").cast("bigint").alias("n_words"), hashes.alias("_h"))
-    c = b.select(*kept, "_t", "n_words", _repeated_positions(F.col("_h")).alias("_r"))
+    b = bound(a, hashes, "_h", "_t", F.size("_w").cast("bigint").alias("n_words"))
+    c = bound(b, _repeated_positions(F.col("_h")), "_r", "_t", "n_words")
     d = c.select(*kept, "n_words",
                  F.length(_without(F.col("_t"), SPACES)).cast("bigint").alias("word_chars"),
                  (F.length("_t") - F.length(_without(F.col("_t"), SYMBOLS))).cast("bigint").alias("n_symbols"),
