@@ -29,7 +29,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MARK = "▁"
-CACHE_WORDS = 1_000_000      # words kept per worker; a full cache is emptied
+CACHE_WORDS = 400_000        # words kept per worker; a full cache is emptied
 CACHE_WORD_LENGTH = 64     # longer words are encoded without being kept
 _INF = float("inf")
 
