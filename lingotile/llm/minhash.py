@@ -6,12 +6,13 @@
    first filled bin in its own fixed random order of all bins.  Bands of
    ``rows`` bins give bucket keys; with 40 bands of 5 a pair at the limit of
    0.8 shares no bucket with probability 1.2e-7.
-3. Every bucket links its members to its smallest member: a star, linear in
+3. Every bucket links its members to its most central one: a star, linear in
    the bucket.  Each distinct edge is confirmed on the full sets.
 4. A star misses pairs that are near each other but not near the centre.  So
    members of a bucket that the confirmed edges have not yet connected are
    compared across components: those outside the bucket's largest component
-   with all members of others.  Nothing is capped.
+   with the members of others, unless set sizes or the triangle inequality of
+   the Jaccard distance rule the pair out.  Nothing is capped.
 5. Components of the confirmed edges; the smallest id names a component.
 
 Edge cases: null, empty and blank texts have empty sets and link to nothing;
@@ -24,6 +25,7 @@ hashes, classes 128-bit hashes.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -87,37 +89,106 @@ def full_sets(text: Column, width: int) -> Column:
     return run(text)
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The ``pairs(a, b)`` with 100 * intersection >= percent * union."""
-    sized = sets.select("node", F.size("shingles").cast("bigint").alias("n"))
-    side = lambda c: sized.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"))
-    # Sizes alone rule out most false pairs before any set is moved.
-    fit = pairs.join(side("a"), "a").join(side("b"), "b").where(
-        100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-    full = (fit.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("s_a")), "a")
+def compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``pairs(a, b)`` with their Jaccard distance on the full sets and
+    whether they link (100 * intersection >= percent * union)."""
+    full = (pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("s_a")), "a")
             .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("s_b")), "b"))
-    common = F.size(F.array_intersect("s_a", "s_b")).cast("bigint")
-    return full.withColumn("_c", common).where(
-        100 * F.col("_c") >= percent * (F.col("n_a") + F.col("n_b") - F.col("_c"))).select("a", "b")
-
-
-def residual_pairs(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Distinct pairs that share a bucket but not yet a component.  In each
+    both = full.select("a", "b", F.size(F.array_intersect("s_a", "s_b")).cast("bigint").alias("_c"),
+                       (F.size("s_a") + F.size("s_b")).cast("bigint").alias("_n"))
+    return both.select("a", "b", (1 - F.col("_c") / (F.col("_n") - F.col("_c"))).alias("distance"),
+                       (100 * F.col("_c") >= percent * (F.col("_n") - F.col("_c"))).alias("linked"))
+
+
+def central(members: DataFrame) -> DataFrame:
+    """``members(bucket, node, n)`` with each bucket's centre: the member whose
+    buckets are the largest in all.  Among edited copies of one text that is
+    the text nearest to most of them."""
+    weight = members.groupBy("node").agg(F.sum("n").alias("w"))
+    heavy = members.join(weight, "node").groupBy("bucket").agg(F.max(F.struct("w", "node")).alias("_m")).select(
+        "bucket", F.col("_m.node").alias("center"))
+    return members.select("bucket", "node").join(heavy, "bucket")
+
+
+def _block_links(opened: list, others: list, percent: int) -> list[tuple[bytes, bytes]]:
+    """Links between one block of a bucket's open members and one block of all
+    its members; a member is ``(node, n, label, d, shingles)``."""
+    n_b, d_b = (np.array([m[k] for m in others]) for k in (1, 3))
+    may = []
+    for _, n, label, d, _ in opened:
+        ok = (np.abs(d_b - d) <= 1 - percent / 100 + 1e-9) & (
+            100 * np.minimum(n_b, n) >= percent * np.maximum(n_b, n))
+        may.append(ok & np.array([m[2] != label for m in others]))
+    asked = np.flatnonzero(np.any(may, axis=0))
+    if not len(asked):
+        return []
+    shingles = np.concatenate([others[j][4] for j in asked])
+    starts = np.concatenate([[0], np.cumsum(n_b[asked])[:-1]])
+    values, codes = np.unique(shingles, return_inverse=True)
+    held, found = np.zeros(len(values), np.int32), []
+    for ok, (node, n, _, _, mine) in zip(may, opened):
+        if ok.any():
+            at = np.searchsorted(values, mine)
+            at = at[values[np.minimum(at, len(values) - 1)] == mine]
+            held[at] = 1
+            common = np.add.reduceat(held[codes], starts)
+            held[at] = 0
+            hit = ok[asked] & (100 * common >= percent * (n + n_b[asked] - common))
+            found += [(node, others[asked[j]][0]) for j in np.flatnonzero(hit)]
+    return found
+
+
+def _links_of_blocks(percent: int):
+    """mapInPandas function over rows sorted by block."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, opened, others, found = None, [], [], []
+        for batch in batches:
+            for bucket, block_a, block_b, open_, *member in batch.itertuples(index=False, name=None):
+                if (bucket, block_a, block_b) != key:
+                    if opened and others:
+                        found += _block_links(opened, others, percent)
+                    key, opened, others = (bucket, block_a, block_b), [], []
+                (opened if open_ else others).append(member)
+            yield pd.DataFrame(found, columns=["a", "b"])
+            found = []
+        if opened and others:
+            yield pd.DataFrame(_block_links(opened, others, percent), columns=["a", "b"])
+
+    return run
+
+
+OPEN_SHINGLES, BLOCK_SHINGLES = 100_000, 400_000
+
+
+def residual_links(members: DataFrame, stars: DataFrame, sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Distinct links within buckets that the stars did not find.  In each
     bucket the members outside its largest component meet the members of all
-    other components."""
-    known = members.join(labels, "node", "left").select(
-        "bucket", "node", F.coalesce("label", "node").alias("label"))
+    other components, in blocks of bounded size, unless set sizes or the
+    distances to the bucket's centre (a metric) rule a link out.  Pairs with
+    the centre are known already, so buckets of two are done."""
+    far = stars.select(F.col("a").alias("center"), F.col("b").alias("node"), "distance")
+    sizes = sets.select("node", F.size("shingles").cast("bigint").alias("n"))
+    known = members.where("node != center").join(labels, "node", "left").join(far, ["center", "node"]).join(
+        sizes, "node").select("bucket", "node", "n", F.coalesce("label", "node").alias("label"),
+                              F.col("distance").alias("d"))
     known = materialize(known, "members")
-    sizes = known.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
-    mixed = sizes.groupBy("bucket").agg(F.max_by("label", F.struct("n", "label")).alias("main"),
-                                        F.count(F.lit(1)).alias("parts")).where("parts > 1").drop("parts")
-    open_ = known.join(mixed, "bucket")
-    rest = open_.where(F.col("label") != F.col("main")).select(
-        "bucket", F.col("node").alias("a"), F.col("label").alias("la"))
-    others = open_.select("bucket", F.col("node").alias("b"), F.col("label").alias("lb"),
-                          (F.col("label") == F.col("main")).alias("in_main"))
-    return rest.join(others, "bucket").where(
-        (F.col("la") != F.col("lb")) & (F.col("in_main") | (F.col("a") < F.col("b")))).select("a", "b").distinct()
+    parts = known.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("s"))
+    mixed = parts.groupBy("bucket").agg(F.max(F.struct("k", "label", "s")).alias("main"), F.sum("s").alias("s"),
+                                        F.count(F.lit(1)).alias("parts")).where("parts > 1")
+    blocks = lambda total, size: F.ceil(total / size).cast("bigint")
+    mixed = mixed.select("bucket", F.col("main.label").alias("main"),
+                         blocks(F.col("s") - F.col("main.s"), OPEN_SHINGLES).alias("na"),
+                         blocks(F.col("s"), BLOCK_SHINGLES).alias("nb"))
+    full = known.join(mixed, "bucket").join(sets, "node")
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
+    keys, carried = ["bucket", "block_a", "block_b"], ["node", "n", "label", "d", "shingles"]
+    mine = lambda n: F.pmod(F.xxhash64("node"), F.col(n))
+    opened = full.where(F.col("label") != F.col("main")).withColumn("block_a", mine("na")).withColumn("block_b", every("nb"))
+    others = full.withColumn("block_b", mine("nb")).withColumn("block_a", every("na"))
+    rows = opened.select(*keys, F.lit(True).alias("open"), *carried).union(
+        others.select(*keys, F.lit(False), *carried))
+    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(
+        _links_of_blocks(percent), "a binary, b binary").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
@@ -130,17 +201,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("buckets").alias("buckets")),
         "classes")
     keyed = classes.select("node", F.explode("buckets").alias("bucket"))
-    shared = keyed.groupBy("bucket").agg(F.min("node").alias("center"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = materialize(keyed.join(shared.drop("n"), "bucket"), "buckets")
+    shared = keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    members = materialize(central(materialize(keyed.join(shared, "bucket"), "buckets")), "stars")
     # Full sets of the classes that share a bucket, from one text of each.
     involved = members.select("node").distinct().join(classes.select("node", "rep"), "node")
     sets = texts.join(involved.withColumnRenamed("node", "_node"), F.col("doc_id") == F.col("rep")).select(
         "_node", full_sets(F.col("text"), width).alias("_f")).where(F.col("_node") == F.col("_f.node"))
     sets = materialize(sets.select("_f.*").dropDuplicates(["node"]), "sets")
     stars = members.select(F.col("center").alias("a"), F.col("node").alias("b")).where("a != b").distinct()
-    edges = materialize(confirmed(stars, sets, percent), "links")
+    stars = materialize(compared(stars, sets, percent), "stars")
+    edges = stars.where("linked").select("a", "b")
     labels = components(edges)
-    more = materialize(confirmed(residual_pairs(members.select("bucket", "node"), labels), sets, percent), "links")
+    more = materialize(residual_links(members, stars, sets, labels, percent), "links")
     if not more.isEmpty():
         labels = components(edges.union(more))
     named = labels.join(classes.select("node", "rep", "copies"), "node")

@@ -175,43 +175,48 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY, max_nodes: int = 6_00
     bound = -(-total // capacity)
     best: list[Block] | None = None
     best_n = None
-    # A frame: (counts so far, blocks so far as a linked list, sequences, waste, untried fillings, longest)
     left = {n: c for n, c in counts.items() if c}
 
-    def options(left: dict[int, int]) -> tuple[int, list[tuple[int, ...]]]:
+    def frame(block: Block | None, lost: int, n: int) -> tuple:
+        """What one more level needs: the block that led here and its untried fillings."""
         longest = max(left)
-        rest = dict(left)
-        rest[longest] -= 1
-        sizes = sorted(n for n, c in rest.items() if c)
-        return longest, fillings(sizes, rest, capacity - longest)
-
-    longest, todo = options(left)
-    stack = [(left, None, 0, 0, longest, iter(todo))]
+        left[longest] -= 1
+        sizes = sorted(s for s, c in left.items() if c)
+        todo = iter(fillings(sizes, left, capacity - longest))
+        left[longest] += 1
+        return block, lost, n, longest, todo
+
+    def apply(block: Block, sign: int) -> None:
+        for s in block.lengths:
+            left[s] = left.get(s, 0) - sign * block.times
+            if not left[s]:
+                del left[s]
+
+    stack = [frame(None, 0, 0)]
     nodes = 0
     while stack and (best is None or nodes < max_nodes and best_n > bound):
-        left, chain, n, waste, longest, todo = stack[-1]
+        block, lost, n, longest, todo = stack[-1]
         filling = next(todo, None)
         if filling is None:
             stack.pop()
+            if block:
+                apply(block, -1)
             continue
         nodes += 1
         need = Counter((longest, *filling))
         most = min(left[s] // k for s, k in need.items())
         times = (most + 1) // 2  # the other half stays free to fit with others
-        lost = waste + times * (capacity - longest - sum(filling))
+        lost += times * (capacity - longest - sum(filling))
         if best is not None and total + lost > (best_n - 1) * capacity:
             continue  # cannot save a sequence any more
-        rest = {s: c - need[s] * times for s, c in left.items() if c > need[s] * times}
-        link = (chain, Block((longest, *filling), times))
-        if rest:
-            longest, todo = options(rest)
-            stack.append((rest, link, n + times, lost, longest, iter(todo)))
-        elif best is None or n + times < best_n:
-            best_n, best = n + times, []
-            while link:
-                link, block = link
-                best.append(block)
-            best.reverse()
+        block = Block((longest, *filling), times)
+        apply(block, 1)
+        if left:
+            stack.append(frame(block, lost, n + times))
+        else:
+            if best is None or n + times < best_n:
+                best_n, best = n + times, [f[0] for f in stack if f[0]] + [block]
+            apply(block, -1)
     return best
 
 
