@@ -32,7 +32,7 @@ LONGEST = 4
 UNKNOWN = "und"
 LETTERS = re.compile(r"[^\W\d_]+")
 FLUSH = 300_000
-CACHE_WORDS = 300_000
+CACHE_WORDS = 800_000
 
 
 def words_of(text: str | None) -> list[str]:
