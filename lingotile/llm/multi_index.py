@@ -16,8 +16,9 @@ where they are spread evenly over a sphere (there no index can do better).
 Reranking uses the original vectors in double precision.  The centroids are
 fitted to at most ``SAMPLE`` rows chosen by hash; every row is indexed.
 
-Cells and their queries meet in blocks of bounded size, so a hot cell is many
-tasks.  Of equal vectors only the ``k + 1`` smallest ids can be results, so
+Cells of one first-half centroid form a tile; tiles and their queries meet in
+blocks of bounded size, so a hot cell is many tasks, and only the ``k`` nearest
+of a block leave it.  Of equal vectors only the ``k + 1`` smallest ids can be results, so
 further copies are not searched; equal query vectors are searched once.
 
 Edge cases: vectors that are null, zero, hold null or non-finite components,
@@ -42,7 +43,7 @@ from lingotile.llm.common import materialize
 
 SAMPLE = 20_000
 ROUNDS = 15
-CELL_BLOCK, QUERY_BLOCK = 4096, 512
+TILE_BLOCK, QUERY_BLOCK = 4096, 512
 POINTS = "vec_id bigint, embedding array<double>"
 
 
@@ -146,36 +147,43 @@ def probe(q: np.ndarray, index: Index, first: int, radius2: float | None, miss:
 
 
 def _probes(index: Index, first: int, second: bool, miss: float, blocks: np.ndarray):
-    """mapInPandas function: (query, vector) -> a row for each block of each cell."""
+    """mapInPandas function: (query, vector, radius) -> a row for each block of
+    each first-half centroid, with the second-half centroids to look at there."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        k2 = index.counts.shape[1]
         for b in batches:
+            rows = []
             for row in b.itertuples(index=False):
-                q = np.asarray(row.embedding)
                 radius2 = row.radius ** 2 * (1 + 1e-9) if second else None
-                cells = np.array(probe(q, index, first, radius2, miss)[1 if second else 0], np.int64)
-                cells = cells[index.counts.ravel()[cells] > 0] if len(cells) else cells
-                if not len(cells):
-                    continue
-                n = blocks[cells]
-                yield pd.DataFrame({"query": row.query, "cell": np.repeat(cells, n),
-                                    "block": np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n),
-                                    "embedding": [row.embedding] * int(n.sum())})
+                cells = np.array(probe(np.asarray(row.embedding), index, first, radius2, miss)[int(second)], np.int64)
+                cells = np.sort(cells[index.counts.ravel()[cells] > 0]) if len(cells) else cells
+                for tile in np.unique(cells // k2):
+                    inner = cells[cells // k2 == tile] % k2
+                    rows += [(row.query, tile, block, inner, row.embedding, row.radius)
+                             for block in range(int(blocks[tile]))]
+            yield pd.DataFrame(rows, columns=["query", "tile", "block", "inner", "embedding", "radius"])
 
     return run
 
 
 def _nearest(k: int):
-    """cogroup function of one block of a cell and one block of its queries."""
+    """cogroup function of one block of a tile and one block of its queries:
+    the ``k`` nearest within the query's radius, ties by id."""
     def run(key, queries: pd.DataFrame, points: pd.DataFrame) -> pd.DataFrame:
         found = []
         if len(queries) and len(points):
-            x, ids = np.stack(points["embedding"]), points["vec_id"].to_numpy()
-            for query, q in zip(queries["query"], queries["embedding"]):
-                d = np.sqrt(((x - q) ** 2).sum(1))
-                # All up to the k-th distance, so that ties go by id.
-                best = np.flatnonzero(d <= np.partition(d, min(k, len(d)) - 1)[min(k, len(d)) - 1])
-                best = best[np.lexsort((ids[best], d[best]))][:k]
-                found.append(pd.DataFrame({"query": query, "vec_id": ids[best], "score": d[best]}))
+            x, ids, inner = np.stack(points["embedding"]), points["vec_id"].to_numpy(), points["inner"].to_numpy()
+            for query, cells, q, radius in queries[["query", "inner", "embedding", "radius"]].itertuples(index=False):
+                wanted = np.zeros(max(int(inner.max()), int(cells.max())) + 1, bool)
+                wanted[cells] = True
+                at = np.flatnonzero(wanted[inner])
+                d = np.sqrt(((x[at] - q) ** 2).sum(1))
+                at, d = at[d <= radius], d[d <= radius]
+                if len(at):
+                    near = d <= np.partition(d, min(k, len(d)) - 1)[min(k, len(d)) - 1]
+                    at, d = at[near], d[near]
+                    best = np.lexsort((ids[at], d))[:k]
+                    found.append(pd.DataFrame({"query": query, "vec_id": ids[at[best]], "score": d[best]}))
         return pd.concat(found) if found else pd.DataFrame({"query": [], "vec_id": [], "score": []})
 
     return run
@@ -184,15 +192,15 @@ def _nearest(k: int):
 def _rerank(probes: DataFrame, entries: DataFrame, k: int) -> DataFrame:
     """The k nearest entries found in each block for each query."""
     probes = materialize(probes.withColumn("part", F.pmod(F.xxhash64("query"), F.lit(1 << 30))), "probes")
-    load = probes.groupBy("cell").agg(F.countDistinct("query").alias("n")).withColumn(
-        "parts", F.ceil(F.col("n") / QUERY_BLOCK)).select("cell", "parts")
-    asked = probes.join(load, "cell").withColumn("part", F.col("part") % F.col("parts"))
-    held = entries.join(load, "cell").withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)))
-    keys = ["cell", "block", "part"]
+    load = probes.groupBy("tile").agg(F.countDistinct("query").alias("n")).withColumn(
+        "parts", F.ceil(F.col("n") / QUERY_BLOCK)).select("tile", "parts")
+    asked = probes.join(load, "tile").withColumn("part", F.col("part") % F.col("parts"))
+    held = entries.join(load, "tile").withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)))
+    keys = ["tile", "block", "part"]
     asked, held = (x.withColumn("block", F.col("block").cast("bigint")).withColumn("part", F.col("part").cast("bigint"))
                    for x in (asked, held))
-    return asked.select(*keys, "query", "embedding").groupBy(*keys).cogroup(
-        held.select(*keys, "vec_id", "embedding").groupBy(*keys)).applyInPandas(
+    return asked.select(*keys, "query", "inner", "embedding", "radius").groupBy(*keys).cogroup(
+        held.select(*keys, "vec_id", "inner", "embedding").groupBy(*keys)).applyInPandas(
         _nearest(k), "query bigint, vec_id bigint, score double")
 
 
@@ -233,16 +241,15 @@ def search(vectors: DataFrame, every: int = 100, k: int = 10, centroids: int = 6
     for c0, c1, n in coded.groupBy("c0", "c1").agg(F.count(F.lit(1))).collect():  # centroids squared, at most
         counts[c0, c1] = n
     index = Index(both, (stats[0][0], stats[1][0]), (stats[0][1], stats[1][1]), counts)
-    blocks = -(-counts.ravel() // CELL_BLOCK)
-    per_cell = F.array(*[F.lit(int(b)) for b in np.maximum(blocks, 1)]) if blocks.max() > 1 else None
-    cell = F.col("c0") * shape[1] + F.col("c1")
-    block = F.pmod(F.xxhash64("vec_id"), F.get(per_cell, cell.cast("int"))) if per_cell is not None else F.lit(0)
-    entries = coded.select("vec_id", "embedding", cell.alias("cell"), block.cast("bigint").alias("block"))
+    blocks = np.maximum(-(-counts.sum(1) // TILE_BLOCK), 1)
+    block = F.pmod(F.xxhash64("vec_id"), F.get(F.array(*[F.lit(int(b)) for b in blocks]), F.col("c0").cast("int")))
+    entries = coded.select("vec_id", "embedding", F.col("c0").alias("tile"), F.col("c1").alias("inner"),
+                           block.cast("bigint").alias("block"))
     # Equal query vectors share one search, named by their smallest id.
     asking = points.where(F.col("vec_id") % every == 0)
     asking = materialize(asking.groupBy("embedding").agg(F.min("vec_id").alias("query")), "queries")
-    schema = "query bigint, cell bigint, block bigint, embedding array<double>"
-    near = materialize(_rerank(asking.withColumn("radius", F.lit(0.0)).mapInPandas(
+    schema = "query bigint, tile bigint, block bigint, inner array<bigint>, embedding array<double>, radius double"
+    near = materialize(_rerank(asking.withColumn("radius", F.lit(float("inf"))).mapInPandas(
         _probes(index, first, False, miss, blocks), schema), entries, k + 1), "near")
     place = Window.partitionBy("query").orderBy("score", "vec_id")
     kth = near.withColumn("_r", F.row_number().over(place)).where(F.col("_r") <= k + 1).groupBy("query").agg(
