@@ -6,7 +6,7 @@ that occur twice or more in it.  Failures are then counted by host; a host's
 rate is shrunk towards the rate of all hosts with a beta prior fitted to the
 hosts themselves (method of moments), so a host with few documents is judged
 by the prior and a host with many by its own record.  A host whose shrunk
-rate is over ``max_rate`` loses all its documents.
+rate and own rate are both over ``max_rate`` loses all its documents.
 
 Edge cases: a null or empty text has no words and fails; a null host is a
 host of its own without a verdict (its documents are judged alone); repeated
@@ -110,7 +110,8 @@ def judge(docs: DataFrame, text_col: str = "text", host_col: str = "source", max
     hosts = materialize(scored.where(F.col("_host").isNotNull()).groupBy("_host").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col("base_failed").cast("bigint")).alias("f")), "hosts")
     alpha, beta = beta_prior(hosts)
-    bad = hosts.where((F.col("f") + alpha) / (F.col("n") + (alpha + beta)) > max_rate).select(
+    shrunk = (F.col("f") + alpha) / (F.col("n") + (alpha + beta))
+    bad = hosts.where((shrunk > max_rate) & (F.col("f") > max_rate * F.col("n"))).select(
         F.col("_host").alias("_bad"))
     # Rejected hosts only; a hot host is split by the adaptive skew join.
     out = scored.join(bad, F.col("_host") == F.col("_bad"), "left")
@@ -148,7 +149,7 @@ h AS (SELECT source, count(*) AS n, sum(base_failed::INT) AS f FROM b WHERE sour
 s AS (SELECT count(*) AS h, sum(n)::DOUBLE AS n, sum(f)::DOUBLE AS f, sum(f::DOUBLE * f / n) AS q FROM h),
 p AS (SELECT f / n AS m, q / n - f / n * f / n AS v, f / n * (1 - f / n) AS ch, h / n AS hn FROM s),
 k AS (SELECT m, CASE WHEN v - ch * hn > 0 THEN least(greatest((ch - v) / (v - ch * hn), 1), 1e6) ELSE 1e6 END AS k FROM p),
-bad AS (SELECT source FROM h, k WHERE (f + m * k) / (n + k) > 0.6)
+bad AS (SELECT source FROM h, k WHERE (f + m * k) / (n + k) > 0.6 AND f > 0.6 * n)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND (source IS NULL OR source NOT IN (SELECT source FROM bad)) AS kept FROM b
 """
