@@ -66,22 +66,22 @@ def gram_hashes(data: np.ndarray, width: int) -> np.ndarray:
         return mix((sums[width:] - sums[:-width]) * _down[:n - width + 1])
 
 
-def _last_least(values: np.ndarray, window: int) -> np.ndarray:
-    """Position of the least value (the last of equals) in each window."""
-    n = len(values)
-    least, at, width = values, np.arange(n), 1
-
-    def better(l1, a1, l2, a2):
-        right = l2 <= l1
-        return np.where(right, l2, l1), np.where(right, a2, a1)
-
+def _slide(values: np.ndarray, window: int, least_or_most) -> np.ndarray:
+    """``least_or_most`` (a numpy ufunc) of every ``window`` values."""
+    width = 1
     while 2 * width <= window:
-        least, at = better(least[:-width], at[:-width], least[width:], at[width:])
+        values = least_or_most(values[:-width], values[width:])
         width *= 2
-    if (shift := window - width):
-        m = len(least) - shift
-        least, at = better(least[:m], at[:m], least[shift:], at[shift:])
-    return at
+    shift = window - width
+    return least_or_most(values[:-shift], values[shift:]) if shift else values
+
+
+def window_minima(values: np.ndarray, window: int) -> np.ndarray:
+    """Positions that hold the least value of some window (all equals do): the
+    greatest minimum of the windows around a position is its own value."""
+    edge = np.zeros(window - 1, values.dtype)
+    least = _slide(values, window, np.minimum)
+    return np.flatnonzero(_slide(np.concatenate([edge, least, edge]), window, np.maximum) == values)
 
 
 def anchors_in(data: bytes, length: int, context: int) -> tuple[np.ndarray, np.ndarray]:
@@ -90,9 +90,7 @@ def anchors_in(data: bytes, length: int, context: int) -> tuple[np.ndarray, np.n
     hashes, found = [], []
     for lo in range(0, max(0, len(raw) - length + 1), CHUNK - length + 1):
         h = gram_hashes(raw[lo:lo + CHUNK], gram)
-        at = _last_least(h, context + 1)
-        at = at[np.concatenate([[True], at[1:] != at[:-1]])] if len(at) else at
-        at = np.unique(at)
+        at = window_minima(h, context + 1)
         hashes.append(h[at].view(np.int64))
         found.append(at + lo)
     if not found:
