@@ -17,8 +17,9 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Tables at most this long are ranked with one plain window (one task).
-SMALL_RANK_ROWS = 2_000_000
+# Tables at most this long are ranked with one plain window (one task): only
+# an empty one, as whole rows go through that task.
+SMALL_RANK_ROWS = 0
 # Aim for this many rows per bucket on the parallel path.
 ROWS_PER_BUCKET = 500_000
 MAX_BUCKETS = 8192
