@@ -23,7 +23,7 @@ import tempfile
 import numpy as np
 
 BLOCK = 1 << 15
-MEMORY_BYTES = 64 << 20
+MEMORY_BYTES = 16 << 20
 NONE = np.iinfo(np.int64).max
 
 

@@ -157,7 +157,7 @@ def _links_of_blocks(percent: int):
     return run
 
 
-OPEN_SHINGLES, BLOCK_SHINGLES = 100_000, 400_000
+OPEN_SHINGLES, BLOCK_SHINGLES = 50_000, 200_000
 
 
 def residual_links(members: DataFrame, stars: DataFrame, sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
