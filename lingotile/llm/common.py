@@ -51,7 +51,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
         atexit.register(lambda: _clear(spark, _scratch))
     _scratch.append(path)
     spark._jvm.System.gc()  # lets Spark's cleaner drop the shuffle files of finished jobs
-    return spark.read.schema(schema).parquet(path)
+    out = spark.read.schema(schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Deletes materialized tables that no later step reads: what was made
+    from them has been written too, so nothing goes back to them."""
+    for made in tables:
+        _clear(made.sparkSession, [made.scratch_path])
+        _scratch.remove(made.scratch_path)
 
 
 def rank_in_group(df: DataFrame, group: list[str], part: str, order: list[str], out: str) -> DataFrame:

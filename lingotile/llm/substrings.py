@@ -35,7 +35,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lingotile.llm.common import materialize
+from lingotile.llm.common import materialize, release
 from lingotile.llm.hashing import mix
 from lingotile.llm.induced import MEMORY_BYTES, Store, repeated
 
@@ -46,7 +46,10 @@ SYMBOLS = FIRST_DIGIT + DIGIT_BASE
 
 _ODD = 0x9E3779B97F4A7C15
 _BYTE = np.random.default_rng(200).integers(0, 2 ** 64, 256, dtype=np.uint64, endpoint=False)
-CHUNK = 1 << 20
+CHUNK = 1 << 16
+# Contracted symbols a shard aims at, and the most shards of a job: beyond
+# them shards grow and are sorted on disk.
+SHARD_SYMBOLS, MAX_SHARDS = 2_000_000, 100_000
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -273,19 +276,24 @@ def removals(texts: DataFrame, length: int = LENGTH, context: int = CONTEXT, kee
     by_text = found.groupBy("_rid").agg(F.collect_list("pos").alias("pos"), F.collect_list("fp").alias("fp"))
     involved = by_text.join(texts, "_rid").withColumn("cid", class_ids(F.col("text"), F.col("pos"), length, context))
     involved = materialize(involved, "involved")
+    release(found)
     each = involved.select("_rid", F.explode(F.arrays_zip("pos", "fp", "cid")).alias("_a")).select("_rid", "_a.*")
     classes = materialize(each.groupBy("fp", "cid").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("_rid", "pos")).alias("at")), "classes")
     several = classes.groupBy("fp").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("fp")
-    chosen = classes.join(several, "fp").select("fp", (F.col("n") > 1).alias("many"), "at.*")
+    chosen = materialize(classes.join(several, "fp").select("fp", (F.col("n") > 1).alias("many"), "at.*"), "chosen")
+    release(classes)
+    symbols = chosen.count() * (2 * context + DIGITS + 1)
+    shards = min(MAX_SHARDS, symbols // SHARD_SYMBOLS + 1)
     wanted = chosen.groupBy("_rid").agg(F.collect_list("pos").alias("pos"), F.collect_list("fp").alias("fp"),
                                         F.collect_list("many").alias("many"))
     around = wanted.join(involved.select("_rid", "text"), "_rid").select(
         "_rid", "pos", "fp", "many", contexts(F.col("text"), F.col("pos"), length, context).alias("_c"))
     strings = around.select("_rid", F.explode(F.arrays_zip("fp", "pos", "many", "_c.left", "_c.right")).alias("_s")).select(
         "_s.fp", "_rid", "_s.pos", "_s.many", "_s.left", "_s.right")
-    spans = materialize(strings.repartition("fp").sortWithinPartitions("fp").mapInPandas(
+    spans = materialize(strings.repartition(shards, "fp").sortWithinPartitions("fp").mapInPandas(
         sort_shard(length, context), "_rid bigint, pos bigint, spans array<bigint>"), "spans")
+    release(chosen)
     partial = spans.groupBy("_rid").agg(F.collect_list("pos").alias("_pp"), F.collect_list("spans").alias("_ps"))
     done = involved.select("_rid", "text", "pos").join(partial, "_rid", "left").select(
         "_rid", _outcome(F.col("text"), F.col("pos"), F.col("_pp"), F.col("_ps"), length, context).alias("_o"))
