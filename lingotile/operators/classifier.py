@@ -135,10 +135,14 @@ def train_with_history(train: DataFrame, val: DataFrame, vocab: DataFrame,
     # Batches are fixed once (training batches shuffled with the seed,
     # validation batches in corpus order), then features are cached.
     order = "doc_ord" if "doc_ord" in val.columns else "doc_id"
-    tr = feats.transform(assign_batches(train, cfg.batch_size, shuffle_seed=cfg.seed)
-                         .withColumn("_part", F.lit("train"))).persist()
-    va = feats.transform(assign_batches(val, cfg.batch_size, order_col=order)
-                         .withColumn("_part", F.lit("val"))).persist()
+    # Only ids are ranked, and only features are kept.
+    def part(rows: DataFrame, name: str, **how) -> DataFrame:
+        made = feats.transform(rows).select("doc_id", "label", "features", F.lit(name).alias("_part"))
+        keys = rows.select(*dict.fromkeys(["doc_id", order]))
+        return made.join(assign_batches(keys, cfg.batch_size, **how).select("doc_id", "batch_id"), "doc_id").persist()
+
+    tr = part(train, "train", shuffle_seed=cfg.seed)
+    va = part(val, "val", order_col=order)
     layers = _layers(len(vocabulary), len(cfg.language_map), cfg)
 
     history, best, best_loss, bad, plateau = [], None, float("inf"), 0, 0

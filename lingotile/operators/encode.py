@@ -75,14 +75,14 @@ def _lookup(rows: DataFrame, rows_key: str, vocab: DataFrame, vocab_key: str, va
         return rows.join(small, rows[rows_key] == small["_k"], "left").drop("_k")
     if "freq" not in vocab.columns or hot_rows <= 0:
         return rows.join(side, rows[rows_key] == side["_k"], "left").drop("_k")
-    # Hot/cold split: the top ``hot_rows`` tokens by frequency (bounded) are
+    # Hot/cold split: the specials (no frequency) and the top ``hot_rows`` tokens by frequency (bounded) are
     # broadcast; only the remaining, lighter keys are shuffled.
-    hot = (vocab.where(F.col("freq").isNotNull())
-           .orderBy(F.col("freq").desc(), F.col(vocab_key)).limit(hot_rows)
+    hot = (vocab.orderBy(F.col("freq").desc_nulls_first(), F.col(vocab_key)).limit(hot_rows)
            .select(F.col(vocab_key).alias("_k"), F.col(value).alias("_hot")))
     probed = rows.join(F.broadcast(hot), rows[rows_key] == hot["_k"], "left").drop("_k")
-    hit = probed.where(F.col("_hot").isNotNull()).withColumnRenamed("_hot", out)
-    miss = probed.where(F.col("_hot").isNull()).drop("_hot")
+    known = F.col("_hot").isNotNull() | F.col(rows_key).isNull()   # empty documents match nothing
+    hit = probed.where(known).withColumnRenamed("_hot", out)
+    miss = probed.where(~known).drop("_hot")
     cold = miss.join(side, miss[rows_key] == side["_k"], "left").drop("_k")
     return hit.unionByName(cold)
 

@@ -11,6 +11,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
@@ -59,17 +61,19 @@ def mean_pool(df: DataFrame, ids: Column | str, emb: DataFrame, dim: int, key: s
 
 
 def flatten_embeddings(df: DataFrame, ids: Column | str, emb: DataFrame, seq_len: int, dim: int,
-                       key: str = "doc_id", out: str = "flat", id_col: str = "vec_id",
+                       key: str = "doc_id", pad_id: int = 0, out: str = "flat", id_col: str = "vec_id",
                        vec_col: str = "embedding") -> DataFrame:
     """Adds ``out``: the ``seq_len x dim`` embeddings concatenated in
-    position order; a sequence of another length raises."""
+    position order; padding ids map to the zero vector, a sequence of
+    another length raises."""
     checked = df.withColumn("_len_ok", F.when(F.size(_col(ids)) == seq_len, F.lit(True)).otherwise(
         F.raise_error(F.concat(F.lit(f"Expected seq_len={seq_len} for flatten mode, got "),
                                F.size(_col(ids)).cast("string")))))
     rows = lookup_embeddings(checked.where(F.col("_len_ok")), ids, emb, key, id_col, vec_col)
     zero = F.array_repeat(F.lit(0.0), dim)
     packed = rows.groupBy(key).agg(
-        F.array_sort(F.collect_list(F.struct("pos", F.coalesce("vec", zero).alias("vec")))).alias("_s"))
+        F.array_sort(F.collect_list(F.struct("pos", F.when(F.col("id") == pad_id, zero).otherwise(
+            F.coalesce("vec", zero)).alias("vec")))).alias("_s"))
     flat = packed.select(key, F.flatten(F.transform("_s", lambda s: s["vec"])).alias(out))
     return df.join(flat, key, "inner")
 
@@ -104,13 +108,16 @@ def _dot(a: Column, b: Column) -> Column:
 def dense_layer(x: Column, weights: list[list[float]], bias: list[float] | None = None,
                 relu: bool = False) -> Column:
     """``W x + b`` (optionally ReLU) with literal weights (rows = outputs)."""
-    bias = bias or [0.0] * len(weights)
-    outs = []
-    for row, b in zip(weights, bias):
-        w = F.array(*[F.lit(float(v)) for v in row])
-        y = _dot(w, x) + F.lit(float(b))
-        outs.append(F.greatest(y, F.lit(0.0)) if relu else y)
-    return F.array(*outs)
+    rows = json.dumps([[*map(float, row), float(b)] for row, b in zip(weights, bias or [0.0] * len(weights))])
+    matrix = F.from_json(F.lit(rows), "array<array<double>>")   # one constant, not a literal per weight
+    n = len(weights[0])
+
+    def layer(h: Column) -> Column:
+        y = F.transform(matrix, lambda r: _dot(F.slice(r, 1, n), h) + F.element_at(r, n + 1))
+        return F.transform(y, lambda v: F.greatest(v, F.lit(0.0))) if relu else y
+
+    # ``x`` is bound once per row, not evaluated again for every output.
+    return F.element_at(F.transform(F.array(x), layer), 1)
 
 
 def mlp_logits(x: Column | str, layers: list[tuple[list[list[float]], list[float]]]) -> Column:

@@ -17,9 +17,6 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Tables at most this long are ranked with one plain window (one task): only
-# an empty one, as whole rows go through that task.
-SMALL_RANK_ROWS = 0
 # Aim for this many rows per bucket on the parallel path.
 ROWS_PER_BUCKET = 500_000
 MAX_BUCKETS = 8192
@@ -45,6 +42,8 @@ def quantile_buckets(df: DataFrame, key: str, n_buckets: int,
         return df.withColumn(out, F.lit(0.0))
     probs = [i / n_buckets for i in range(1, n_buckets)]
     qs = df.approxQuantile(key, probs, 1.0 / (4 * n_buckets))
+    if not qs:   # no key at all
+        return df.withColumn(out, F.lit(0.0))
     splits = [float("-inf")] + sorted(set(float(q) for q in qs)) + [float("inf")]
     tmp = f"{out}_key"
     keyed = df.withColumn(tmp, F.col(key).cast("double"))
@@ -53,28 +52,17 @@ def quantile_buckets(df: DataFrame, key: str, n_buckets: int,
 
 
 def global_rank(df: DataFrame, order_cols: list[str], out: str = "rank", start: int = 0,
-                bucket: Column | None = None, n_rows: int | None = None,
-                small_rows: int | None = None) -> DataFrame:
+                bucket: Column | None = None, n_rows: int | None = None) -> DataFrame:
     """Adds ``out`` = start + 0-based position of each row in ``order_cols``
     order.  ``order_cols`` must be unique per row.  ``bucket`` (optional)
     must be non-decreasing in that order; otherwise quantile buckets over
     the first order column (numeric) are used.  ``df`` should be
     materialised by the caller: it is read more than once."""
     order = [F.col(c) for c in order_cols]
-    small_rows = SMALL_RANK_ROWS if small_rows is None else small_rows
-    if n_rows is None:
-        small = row_count_at_most(df, small_rows)
-        n_rows = None if not small else -1
-    else:
-        small = n_rows <= small_rows
-    if small:
-        w = Window.orderBy(*order)
-        return df.withColumn(out, (F.row_number().over(w) - 1 + start).cast("bigint"))
-
     if bucket is not None:
         b = df.withColumn("_bucket", bucket)
     else:
-        total = n_rows if n_rows and n_rows > 0 else df.count()
+        total = df.count() if n_rows is None else n_rows
         n_buckets = max(2, min(MAX_BUCKETS, total // ROWS_PER_BUCKET + 1))
         b = quantile_buckets(df, order_cols[0], n_buckets)
     return rank_in_buckets(b, order, "_bucket", out, start).drop("_bucket")
@@ -88,14 +76,16 @@ def rank_in_buckets(df: DataFrame, order: list[Column], bucket_col: str, out: st
     counts = df.groupBy(*parts, bucket_col).agg(F.count(F.lit(1)).alias("_n"))
     w_off = Window.partitionBy(*parts).orderBy(bucket_col).rowsBetween(
         Window.unboundedPreceding, -1)
-    offsets = counts.select(*parts, bucket_col,
+    names = [*parts, bucket_col]
+    offsets = counts.select(*[F.col(c).alias(f"_o_{c}") for c in names],
                             F.coalesce(F.sum("_n").over(w_off), F.lit(0)).alias("_off"))
     w_local = Window.partitionBy(*parts, bucket_col).orderBy(*order)
     local = df.withColumn("_local", F.row_number().over(w_local))
     # counts has at most |groups| x |buckets| rows: a bounded broadcast.
-    joined = local.join(F.broadcast(offsets), on=[*parts, bucket_col], how="inner")
+    same = [F.col(c).eqNullSafe(F.col(f"_o_{c}")) for c in names]   # a null group is a group
+    joined = local.join(F.broadcast(offsets), same, "inner")
     return joined.withColumn(out, (F.col("_off") + F.col("_local") - 1 + start).cast("bigint")) \
-        .drop("_off", "_local")
+        .drop("_off", "_local", *[f"_o_{c}" for c in names])
 
 
 def md5_order_key(seed: int | str, id_col: str) -> Column:

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lingotile.operators.ranking import global_rank, md5_bucket, md5_order_key, rank_in_buckets
@@ -20,12 +20,6 @@ from lingotile.operators.ranking import global_rank, md5_bucket, md5_order_key,
 DEFAULT_LANGUAGE_MAP = {"es": 0, "en": 1, "fr": 2}
 
 
-def lang_map_frame(spark: SparkSession, language_map: dict[str, int] | None = None) -> DataFrame:
-    m = language_map or DEFAULT_LANGUAGE_MAP
-    return spark.createDataFrame([(k, int(v), i) for i, (k, v) in enumerate(m.items())],
-                                 "lang string, label int, lang_ord int")
-
-
 def encode_label(df: DataFrame, language_map: dict[str, int] | None = None,
                  lang_col: str = "lang", out: str = "label", strict: bool = True) -> DataFrame:
     """Language code -> integer label.  ``strict`` raises on a language
@@ -99,14 +93,37 @@ def stratified_split(df: DataFrame, ratio: float = 0.8, seed: int = 42, id_col:
     order go to ``train``, the rest to ``val``.  ``0 < ratio < 1``."""
     if not 0 < ratio < 1:
         raise ValueError("train_ratio must be between 0 and 1 (exclusive).")
-    keyed = df.withColumn("_key", md5_order_key(seed, id_col))
-    keyed = keyed.withColumn("_bucket", md5_bucket(F.col("_key"), hex_digits))
-    counts = keyed.groupBy(label_col).agg(F.count(F.lit(1)).alias("n"))
-    q = quotas(counts, ratio, label_col).select(label_col, "quota")   # one row per label
-    ranked = rank_in_buckets(keyed, [F.col("_key"), F.col(id_col)], "_bucket", "_rank", 0, [label_col])
-    return (ranked.join(F.broadcast(q), label_col)
-            .withColumn(out, F.when(F.col("_rank") < F.col("quota"), "train").otherwise("val"))
-            .drop("_key", "_bucket", "_rank", "quota"))
+    keys = df.select(F.col(id_col).alias("_id"), F.col(label_col).alias("label"))
+    keys = keys.withColumn("_key", md5_order_key(seed, "_id"))
+    keys = keys.withColumn("_bucket", md5_bucket(F.col("_key"), hex_digits))
+    counts = keys.groupBy("label", "_bucket").agg(F.count(F.lit(1)).alias("n"))
+    q = quotas(counts.groupBy("label").agg(F.sum("n").alias("n")), ratio).select(
+        F.col("label").alias("_label"), "quota")   # one row per label
+    last = _last_taken(keys, counts, q)
+    taken = (F.col("_key") < F.col("_last_key")) | (
+        (F.col("_key") == F.col("_last_key")) & (F.col(id_col) <= F.col("_last_id")))
+    return (df.withColumn("_key", md5_order_key(seed, id_col))
+            .join(F.broadcast(last), F.col(label_col).eqNullSafe(F.col("_label")), "left")
+            .withColumn(out, F.when(taken, "train").otherwise("val"))
+            .drop("_key", "_label", "_last_key", "_last_id"))
+
+
+def _last_taken(keys: DataFrame, counts: DataFrame, q: DataFrame) -> DataFrame:
+    """``(_label, _last_key, _last_id)``: the last row each label's quota
+    takes (none for a quota of 0).  Only the keys of the bucket that the quota
+    ends in are sorted; all other rows are told apart by this row alone, so
+    the table that is split is not shuffled."""
+    before = Window.partitionBy("label").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    ends = counts.select(F.col("label").alias("_l"), F.col("_bucket").alias("_b"), "n",
+                         F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_off"))
+    ends = ends.join(F.broadcast(q), F.col("_l").eqNullSafe(F.col("_label"))).where(
+        (F.col("_off") < F.col("quota")) & (F.col("quota") <= F.col("_off") + F.col("n"))).select(
+        "_label", "_b", (F.col("quota") - F.col("_off")).alias("_take"))
+    inside = keys.join(F.broadcast(ends), F.col("label").eqNullSafe(F.col("_label"))
+                       & (F.col("_bucket") == F.col("_b")))
+    w = Window.partitionBy("_label").orderBy("_key", "_id")
+    return inside.withColumn("_pos", F.row_number().over(w)).where(F.col("_pos") == F.col("_take")).select(
+        "_label", F.col("_key").alias("_last_key"), F.col("_id").alias("_last_id"))
 
 
 def random_split(df: DataFrame, ratio: float = 0.8, seed: int = 42, id_col: str = "doc_id",

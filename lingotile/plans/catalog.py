@@ -460,8 +460,8 @@ SELECT batch_id, doc_id, label,
 def _collate(spark, sf_dir):
     docs = labelled_docs(spark, sf_dir)
     v = vb.build_vocab(vb.token_rows(documents(spark, sf_dir), tx.words("text")))
-    b = sp.assign_batches(docs, 16, shuffle_seed=42)
-    e = en.encode(b, tx.words("text"), v, keep=["label", "batch_id"])
+    b = sp.assign_batches(docs.select("doc_id"), 16, shuffle_seed=42)   # ranks ids, not texts
+    e = en.encode(docs, tx.words("text"), v, keep=["label"]).join(b, "doc_id")
     e = e.withColumn("ids", en.add_bos_eos("ids"))
     return sp.pad_batches(e, "ids", "batch_id"), v
 
@@ -509,8 +509,23 @@ def q_fixed_length(spark, sf_dir):
     return e.select("doc_id", "label", joined_ids("ids").alias("ids"))
 
 
+# Whole id lists, padded to at least 100 and never cut.
+PADDED_SQL = f"""
+WITH d AS (SELECT doc_id, text FROM documents),
+i AS {_id_list_cte(S.edgegrams_sql("text", 3), CLS_VOCAB_SQL, "d")}
+SELECT doc_id, list_concat(ids, list_transform(range(100 - len(ids)), lambda k: CAST(0 AS BIGINT))) AS ids FROM i
+"""
+
+
+def _padded(spark, sf_dir):
+    docs = labelled_docs(spark, sf_dir)
+    v = vb.build_vocab(vb.token_rows(docs, tx.edgegrams("text", 3)), specials=tx.SPECIALS_SHORT)
+    e = en.encode(docs, tx.edgegrams("text", 3), v, keep=[])
+    return e.withColumn("ids", en.pad_to("ids", 100)), v
+
+
 @register("decode_edgegram", f"""
-WITH f AS ({FIXED_SQL}), v AS {CLS_VOCAB_SQL},
+WITH f AS ({PADDED_SQL}), v AS {CLS_VOCAB_SQL},
 t AS (SELECT doc_id, unnest(ids) AS id, generate_subscripts(ids, 1) AS pos FROM f),
 d AS (SELECT t.doc_id, t.pos, coalesce(v.token, '<unk>') AS token FROM t LEFT JOIN v ON v.id = t.id)
 SELECT f.doc_id, coalesce(x.decoded, '') AS decoded FROM f LEFT JOIN
@@ -518,19 +533,20 @@ SELECT f.doc_id, coalesce(x.decoded, '') AS decoded FROM f LEFT JOIN
   ON x.doc_id = f.doc_id
 """)
 def q_decode_edgegram(spark, sf_dir):
-    e, v = _fixed(spark, sf_dir)
+    """Every gram of the whole texts; padding dropped."""
+    e, v = _padded(spark, sf_dir)
     return en.decode(e, "ids", v, out="decoded", sep=" ", keep=[]).select("doc_id", "decoded")
 
 
 @register("decode_tokens", f"""
-WITH f AS ({FIXED_SQL}), v AS {CLS_VOCAB_SQL},
+WITH f AS ({PADDED_SQL}), v AS {CLS_VOCAB_SQL},
 t AS (SELECT doc_id, unnest(ids) AS id, generate_subscripts(ids, 1) AS pos FROM f),
 d AS (SELECT t.doc_id, t.pos, coalesce(v.token, '<unk>') AS token FROM t LEFT JOIN v ON v.id = t.id)
 SELECT doc_id, string_agg(token, chr(31) ORDER BY pos) AS tokens FROM d GROUP BY doc_id
 """)
 def q_decode_tokens(spark, sf_dir):
     """id -> token for every position, padding shown."""
-    e, v = _fixed(spark, sf_dir)
+    e, v = _padded(spark, sf_dir)
     t = en.decode_tokens(e, "ids", v, out="tokens", keep=[])
     return t.select("doc_id", joined("tokens").alias("tokens"))
 
@@ -1087,24 +1103,22 @@ def q_read_corpus(spark, sf_dir):
 
 
 @register("read_labelled_txt", f"""
-SELECT lang, {LABEL3_SQL} AS label, text FROM ({LINES_BY_LANG_SQL})
-WHERE lang IN ('es', 'en', 'fr')
+SELECT lang, {LABEL_SQL} AS label, text FROM ({LINES_BY_LANG_SQL})
 """)
 def q_read_labelled_txt(spark, sf_dir):
-    """Labelled TXT loader: the Spanish, English and French files."""
+    """Labelled TXT loader: the files of all languages."""
     path = _write_lines(spark, sf_dir, by_lang=True)
-    p = _lang_paths(path, ["es", "en", "fr"])
-    return rd.read_labelled_txt(spark, p["es"], p["en"], p["fr"]).select("lang", "label", "text")
+    return rd.read_labelled_txt(spark, files=_lang_paths(path, LANG4), language_map=LANG4).select("lang", "label", "text")
 
 
 @register("load_auto", f"""
-SELECT lang, {LABEL3_SQL} AS label, text FROM ({LINES_BY_LANG_SQL})
-WHERE lang IN ('es', 'en', 'fr')
+SELECT lang, {LABEL_SQL} AS label, text FROM ({LINES_BY_LANG_SQL})
 """)
 def q_load_auto(spark, sf_dir):
     """Source fallback chain: the CSV path does not exist, so TXT files are used."""
     path = _write_lines(spark, sf_dir, by_lang=True)
-    df, _ = rd.load_auto(spark, csv_path=path + "-no-such.csv", txt_files=_lang_paths(path, ["es", "en", "fr"]))
+    df, _ = rd.load_auto(spark, csv_path=path + "-no-such.csv", txt_files=_lang_paths(path, LANG4),
+                         language_map=LANG4)
     return df.select("lang", "label", "text")
 
 
@@ -1236,14 +1250,15 @@ def q_stream_vocab_growth(spark, sf_dir):
 
 @register("stream_predict")
 def q_stream_predict(spark, sf_dir):
-    """A fitted classifier scoring a documents stream (memory sink)."""
+    """A fitted classifier scoring a documents stream (parquet sink)."""
     res, cfg = _train(spark, sf_dir, epochs=1)
     stream = st.read_table_stream(spark, sf_dir, "documents.parquet")
-    name = "lingotile_stream_predict_" + scratch_path(spark, "q").rsplit("-", 1)[1]
+    out = scratch_path(spark, "stream-pred")
     pred = st.predict_stream(res["model"], stream, cfg.language_map).select("doc_id", "lang", "pred")
-    q = pred.writeStream.format("memory").queryName(name).trigger(availableNow=True).start()
+    q = (pred.writeStream.format("parquet").option("path", out)
+         .option("checkpointLocation", scratch_path(spark, "stream-ckpt")).trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.table(name)
+    return spark.read.schema(pred.schema).parquet(out)
 
 
 # ---------------------------------------------------------------------------

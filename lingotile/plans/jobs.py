@@ -44,6 +44,8 @@ def run_comparison(spark: SparkSession, corpus: DataFrame, languages: list[str]
 
     words_vocab = vb.build_vocab(vb.token_rows(corpus, tx.words("text")))
     part = corpus if batch_lang is None else corpus.where(F.col("lang") == batch_lang)
+    if batch_lang is not None and part.isEmpty():
+        raise ValueError(f"the corpus has no text in language {batch_lang!r}")
     part = sp.alternate_label(part, "doc_ord", None, "label")
     b = sp.assign_batches(part, batch_size, shuffle_seed=shuffle_seed)
     e = en.encode(b, tx.words("text"), words_vocab, keep=["batch_id", "label"]).withColumn(

@@ -48,7 +48,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     Uses the directory the cluster configured (``spark.checkpoint.dir`` or
     an already-set SparkContext checkpoint dir).  Only when neither is set
-    (local tests) a private folder under the system temp dir is created.
+    on a local master (tests) a private folder under the system temp dir is
+    created; any other master without one is an error.
     """
     sc = spark.sparkContext
     current = sc._jsc.sc().getCheckpointDir()
@@ -56,6 +57,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current.get()
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="lingotile-ckpt-")
     sc.setCheckpointDir(configured)
     return sc._jsc.sc().getCheckpointDir().get()

@@ -21,20 +21,27 @@ from lingotile.sources.readers import path_exists
 
 def read_table_stream(spark: SparkSession, directory: str, file_name: str,
                       max_files_per_trigger: int = 1) -> DataFrame:
-    """Stream the parquet files ``file_name`` (glob) of a directory."""
-    schema = spark.read.parquet(f"{directory.rstrip('/')}/{file_name}").schema
-    return (spark.readStream.schema(schema).option("pathGlobFilter", file_name)
-            .option("maxFilesPerTrigger", max_files_per_trigger).parquet(directory))
+    """Stream a parquet table: the part files of the folder ``file_name``, or
+    the files of that name (glob) if it is no folder."""
+    path = f"{directory.rstrip('/')}/{file_name}"
+    reader = (spark.readStream.schema(spark.read.parquet(path).schema)
+              .option("maxFilesPerTrigger", max_files_per_trigger))
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).isDirectory(p):
+        return reader.parquet(path)
+    return reader.option("pathGlobFilter", file_name).parquet(directory)
 
 
 def encode_batches(stream: DataFrame, tokens_fn, vocab: DataFrame, out_path: str,
                    checkpoint: str, key: str = "doc_id", keep: list[str] | None = None):
-    """Encode each micro-batch with a frozen vocabulary and append it as parquet."""
+    """Encode each micro-batch with a frozen vocabulary and write it to
+    ``<out_path>/batch=<id>``; a batch that is retried replaces its folder."""
     keep = keep or []
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         enc = en.encode(batch, tokens_fn(batch), vocab, key=key, keep=keep)
-        enc.select(key, *keep, "ids").write.mode("append").parquet(out_path)
+        enc.select(key, *keep, "ids").write.mode("overwrite").parquet(
+            f"{out_path.rstrip('/')}/batch={batch_id}")
 
     return (stream.writeStream.foreachBatch(handle)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
@@ -90,10 +97,6 @@ def tokens_stream(stream: DataFrame, spec, text_col: str = "text", lang_col: str
     return stream.withColumn(out, spec.tokens(text_col, lang_col))
 
 
-def vocab_path_ready(spark: SparkSession, path: str) -> bool:
-    return path_exists(spark, f"{path}/_SUCCESS")
-
-
 def vocab_from_versions(spark: SparkSession, root: str) -> DataFrame:
     from lingotile.sources.sinks import read_vocab
 

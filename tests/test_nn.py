@@ -27,6 +27,9 @@ def test_mean_pool_padding_and_empty(spark):
     assert np.allclose(got[0], [(1 + 3 + 3) / 3, (2 + 4 + 4) / 3]) and got[1] == [0.0, 0.0]
     flat = nn.flatten_embeddings(df.where(F.col("doc_id") == 0), "ids", emb, 5, 2).first().flat
     assert list(flat) == [1.0, 2.0, 3.0, 4.0, 3.0, 4.0, 0.0, 0.0, 0.0, 0.0]
+    marked = spark.createDataFrame([(0, [9.0, 9.0]), (1, [1.0, 2.0])], "vec_id bigint, embedding array<float>")
+    one = spark.createDataFrame([(0, [1, 0])], "doc_id bigint, ids array<bigint>")
+    assert list(nn.flatten_embeddings(one, "ids", marked, 2, 2).first().flat) == [1.0, 2.0, 0.0, 0.0]
 
 
 def test_mlp_and_batch_loss(spark):

@@ -22,7 +22,6 @@ def test_summary_scans_corpus_once(spark):
 
 def test_parallel_rank_has_no_global_window(spark, monkeypatch):
     docs = documents(spark, "/root/testdata/sf0.001")
-    monkeypatch.setattr(ranking, "SMALL_RANK_ROWS", 0)
     b = sp.assign_batches(docs, 8, shuffle_seed=42)
     plan = _plan(b)
     assert "SinglePartition" not in plan.split("BroadcastExchange")[0]   # the per-bucket offsets are the only global step

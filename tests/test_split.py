@@ -48,11 +48,20 @@ def test_random_split_clamp_and_global_rank(spark, monkeypatch):
     s = sp.random_split(d, 0.8, 42)
     assert s.where(F.col("split") == "train").count() == int(n * 0.8)
     want = {r.doc_id: r.batch_id for r in sp.assign_batches(d, 7).collect()}
-    monkeypatch.setattr(ranking, "SMALL_RANK_ROWS", 0)
     monkeypatch.setattr(ranking, "ROWS_PER_BUCKET", 10)
     assert {r.doc_id: r.batch_id for r in sp.assign_batches(d, 7).collect()} == want
 
 
+def test_null_labels_and_groups_keep_their_rows(spark):
+    d = spark.createDataFrame([(i, i, None if i % 3 else "a") for i in range(30)],
+                              "doc_id bigint, doc_ord bigint, label string")
+    got = {(r["label"], r["split"]): r["count"] for r in
+           sp.stratified_split(d, 0.8, 1).groupBy("label", "split").count().collect()}
+    assert got == {("a", "train"): 8, ("a", "val"): 2, (None, "train"): 16, (None, "val"): 4}
+    assert sp.alternate_label(d, "doc_ord", "label", "alt").count() == 30
+    assert sp.assign_batches(d.limit(0), 4).count() == 0
+
+
 def test_can_stratify_and_labels(spark):
     one = spark.createDataFrame([(0, 0), (1, 1), (2, 1)], "doc_id bigint, label int")
     assert sp.can_stratify(one).first().can_stratify is False

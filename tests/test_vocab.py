@@ -69,7 +69,6 @@ def test_parallel_rank_path_equals_single_task(spark, monkeypatch):
     docs = documents(spark, "/root/testdata/sf0.01")
     plain = vb.build_vocab(vb.token_rows(docs, tx.words("text")))
     want = [tuple(r) for r in plain.orderBy("id").collect()]
-    monkeypatch.setattr(ranking, "SMALL_RANK_ROWS", 0)
     monkeypatch.setattr(ranking, "ROWS_PER_BUCKET", 5000)
     par = vb.build_vocab(vb.token_rows(docs, tx.words("text")))
     assert [tuple(r) for r in par.orderBy("id").collect()] == want
