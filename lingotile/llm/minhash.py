@@ -80,13 +80,14 @@ def signed(text: Column, width: int, bands: int, rows: int) -> Column:
 
 
 def full_sets(text: Column, width: int) -> Column:
-    """Struct ``(node, shingles)``."""
+    """Struct ``(node, shingles)``.  Not deterministic in name, so that the
+    optimizer does not copy it into a filter on its result."""
     @F.pandas_udf("node binary, shingles array<bigint>")
     def run(texts: pd.Series) -> pd.DataFrame:
         sets = [shingle_set(t, width) for t in texts]
         return pd.DataFrame({"node": [class_key(s) for s in sets], "shingles": [s.view(np.int64) for s in sets]})
 
-    return run(text)
+    return run.asNondeterministic()(text)
 
 
 def compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
