@@ -247,16 +247,24 @@ def cut(data: bytes, spans: np.ndarray) -> bytes:
     return b"".join(kept) + data[at:]
 
 
-def _outcome(text: Column, pos: Column, part_pos: Column, part_spans: Column, length: int, context: int) -> Column:
-    @F.pandas_udf("n_removed bigint, n_spans bigint, kept_sha256 string, kept binary")
+def _outcome(text: Column, pos: Column, part_pos: Column, part_spans: Column, length: int, context: int,
+             keep_rest: bool) -> Column:
+    """Struct of the figures or, with ``keep_rest``, of the remaining text:
+    without the bytes of a cut character, null where nothing is removed."""
+    fields = "kept string" if keep_rest else "n_removed bigint, n_spans bigint, kept_sha256 string"
+
+    @F.pandas_udf(fields)
     def run(texts: pd.Series, lists: pd.Series, part: pd.Series, spans: pd.Series) -> pd.DataFrame:
         rows = []
         for t, at, pp, ps in zip(texts, lists, part, spans):
             data = _bytes(t)
             gone = covered_spans(len(data), at, pp, ps, length, context)
             rest = cut(data, gone)
-            rows.append((int((gone[:, 1] - gone[:, 0]).sum()), len(gone), hashlib.sha256(rest).hexdigest(), rest))
-        return pd.DataFrame(rows, columns=["n_removed", "n_spans", "kept_sha256", "kept"])
+            if keep_rest:
+                rows.append((rest.decode("utf-8", "ignore") if len(gone) else None,))
+            else:
+                rows.append((int((gone[:, 1] - gone[:, 0]).sum()), len(gone), hashlib.sha256(rest).hexdigest()))
+        return pd.DataFrame(rows, columns=["kept"] if keep_rest else ["n_removed", "n_spans", "kept_sha256"])
 
     return run(text, pos, part_pos, part_spans)
 
@@ -266,9 +274,9 @@ def numbered(docs: DataFrame) -> DataFrame:
 
 
 def removals(texts: DataFrame, length: int = LENGTH, context: int = CONTEXT, keep_rest: bool = True) -> DataFrame:
-    """``(_rid, n_removed, n_spans, kept_sha256, kept)`` for the texts
-    (``_rid, text``) that hold an anchor found twice or more; ``kept`` has the
-    remaining bytes."""
+    """``(_rid, n_removed, n_spans, kept_sha256)`` or, with ``keep_rest``,
+    ``(_rid, kept)`` for the texts (``_rid, text``) that hold an anchor found
+    twice or more; ``kept`` is null where nothing is removed."""
     made = texts.select("_rid", anchors(F.col("text"), length, context).alias("_a"))
     at = made.select("_rid", F.explode(F.arrays_zip("_a.fp", "_a.pos")).alias("_a")).select("_rid", "_a.fp", "_a.pos")
     twice = at.groupBy("fp").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("fp")
@@ -296,8 +304,8 @@ def removals(texts: DataFrame, length: int = LENGTH, context: int = CONTEXT, kee
     release(chosen)
     partial = spans.groupBy("_rid").agg(F.collect_list("pos").alias("_pp"), F.collect_list("spans").alias("_ps"))
     done = involved.select("_rid", "text", "pos").join(partial, "_rid", "left").select(
-        "_rid", _outcome(F.col("text"), F.col("pos"), F.col("_pp"), F.col("_ps"), length, context).alias("_o"))
-    return done.select("_rid", "_o.n_removed", "_o.n_spans", "_o.kept_sha256", *["_o.kept"] * keep_rest)
+        "_rid", _outcome(F.col("text"), F.col("pos"), F.col("_pp"), F.col("_ps"), length, context, keep_rest).alias("_o"))
+    return done.select("_rid", "_o.*")
 
 
 def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
@@ -320,11 +328,6 @@ def without_repeats(docs: DataFrame, text_col: str = "text", length: int = LENGT
     rows = numbered(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")))
     gone = removals(rows.select("_rid", F.coalesce(F.col("row")[text_col], F.lit("")).alias("text")), length, context)
 
-    @F.pandas_udf("string")
-    def readable(parts: pd.Series) -> pd.Series:
-        return parts.map(lambda b: None if b is None else b.decode("utf-8", "ignore"))
-
-    changed = gone.where("n_removed > 0").select("_rid", readable(F.col("kept")).alias("_kept"))
-    out = rows.join(changed, "_rid", "left")
-    return out.select(*[(F.coalesce("_kept", F.col("row")[c]) if c == text_col else F.col("row")[c]).alias(c)
+    out = rows.join(gone, "_rid", "left")
+    return out.select(*[(F.coalesce("kept", F.col("row")[c]) if c == text_col else F.col("row")[c]).alias(c)
                         for c in docs.columns])
