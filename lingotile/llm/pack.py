@@ -6,13 +6,15 @@ corpus) and then carried out by Spark: pieces are ranked within their length
 by many tasks, and (length, rank) says sequence and offset.
 
 The plan: the longest remaining length opens a sequence; undominated fillings
-of the rest are enumerated (a filling is dominated when its documents fit
-into the documents of another), best fit first; each is applied to half of the sequences that the counts allow, so a
+of the rest are enumerated over all lengths left (a filling is dominated when
+its documents fit into the documents of another), best fit first, by a table
+of the sums that can be reached; each is applied to half of the sequences that the counts allow, so a
 plan has at most a few thousand blocks at any size.  Depth-first search keeps the best complete
 plan as incumbent, starting from the first (best-fit) dive, and leaves a
 branch once its waste exceeds what a better plan may waste.  It ends when the
-lower bound ceil(total / capacity) is met or ``max_nodes`` nodes were
-visited; that bound limits the proof of optimality, not what is packed.
+lower bound ceil(total / capacity) is met or ``max_nodes`` fillings were
+looked at after the first dive; that bound limits the proof of optimality, not
+what is packed or which fillings can be found.
 
 Edge cases: a null or empty text still has its closing id; repeated rows are
 packed each; an empty table gives an empty plan and result.
@@ -24,7 +26,9 @@ import bisect
 import re
 import struct
 import zlib
+from array import array
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -132,39 +136,61 @@ def dominates(a: tuple[int, ...], b: tuple[int, ...]) -> bool:
     return True
 
 
-def fillings(sizes: list[int], left: dict[int, int], room: int, branch: int = 6, width: int = 24) -> list[tuple[int, ...]]:
-    """Undominated fillings of ``room`` from the ascending ``sizes`` with
-    ``left`` documents each, best fit first.  Each level tries the ``branch``
-    longest sizes that fit, and the size that would fill the room exactly."""
-    found: list[tuple[int, ...]] = []
-
-    def extend(room: int, top: int, chosen: tuple[int, ...]) -> bool:
-        """True once a perfect filling has been found enough times."""
-        used = Counter(chosen)
-        hi = bisect.bisect_right(sizes, min(room, top))
-        options = []
-        i = hi - 1
-        while i >= 0 and len(options) < branch:
-            if left[sizes[i]] > used[sizes[i]]:
-                options.append(sizes[i])
-            i -= 1
-        if not options:
-            found.append(chosen)
-            return len(found) >= width
-        for s in options:
-            if extend(room - s, s, (*chosen, s)):
-                return True
-            if room == s:
+class Fillings:
+    """Every filling of ``room`` from the documents ``left``, best fit first
+    and longest documents first; one document of the size ``taken`` opened the
+    sequence and is not there to fill with.  ``lowest[t]`` is how far the
+    ascending ``sizes`` must go for a sum of ``t``, so no step is taken that
+    does not end in a filling.
+
+    A level of the search holds two short arrays, some 8 KB.  ``left`` is read
+    as it is when the next filling is asked for: the search has then undone
+    what it tried."""
+
+    def __init__(self, left: dict[int, int], room: int, taken: int):
+        self.left, self.room, self.taken = left, room, taken
+        self.sizes = array("i", sorted(s for s in left if s <= room and self.free(s)))
+        self.lowest = array("i", [len(self.sizes)]) * (room + 1)
+        self.lowest[0] = -1
+        whole, sums = (1 << room + 1) - 1, 1  # bit t: t is a sum of the sizes so far
+        for j, s in enumerate(self.sizes):
+            before, n, step = sums, min(self.free(s), room // s), 1
+            while n:  # 1, 2, 4, ... documents at a time, as many as there are
+                k = min(step, n)
+                sums |= sums << k * s & whole
+                n, step = n - k, 2 * step
+            for t in _bits(sums & ~before):
+                self.lowest[t] = j
+            if sums == whole:
                 break
-        return False
 
-    extend(room, room, ())
-    found.sort(key=lambda f: (room - sum(f), len(f)))
-    kept: list[tuple[int, ...]] = []
-    for f in found:
-        if f not in kept and not any(dominates(k, f) for k in kept):
-            kept.append(f)
-    return kept
+    def free(self, size: int) -> int:
+        return self.left[size] - (size == self.taken)
+
+    def of_sum(self, total: int, top: int) -> Iterator[tuple[int, ...]]:
+        """Fillings of exactly ``total`` from the ``top`` shortest sizes."""
+        if not total:
+            yield ()
+            return
+        for j in range(min(top, bisect.bisect_right(self.sizes, total)) - 1, self.lowest[total] - 1, -1):
+            s = self.sizes[j]
+            for k in range(min(self.free(s), total // s), 0, -1):
+                if self.lowest[total - k * s] < j:
+                    for rest in self.of_sum(total - k * s, j):
+                        yield (s,) * k + rest
+
+    def __iter__(self) -> Iterator[tuple[int, ...]]:
+        for total in range(self.room, -1, -1):
+            yield from self.of_sum(total, len(self.sizes))
+
+
+def _bits(n: int) -> Iterator[int]:
+    """Positions of the bits set in ``n``."""
+    text = bin(n)[:1:-1]
+    at = text.find("1")
+    while at >= 0:
+        yield at
+        at = text.find("1", at + 1)
 
 
 def plan(counts: dict[int, int], capacity: int = CAPACITY, max_nodes: int = 6_000) -> list[Block]:
@@ -178,13 +204,9 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY, max_nodes: int = 6_00
     left = {n: c for n, c in counts.items() if c}
 
     def frame(block: Block | None, lost: int, n: int) -> tuple:
-        """What one more level needs: the block that led here and its untried fillings."""
+        """What one more level needs: the block that led here, its fillings and those tried."""
         longest = max(left)
-        left[longest] -= 1
-        sizes = sorted(s for s, c in left.items() if c)
-        todo = iter(fillings(sizes, left, capacity - longest))
-        left[longest] += 1
-        return block, lost, n, longest, todo
+        return block, lost, n, longest, iter(Fillings(left, capacity - longest, longest)), []
 
     def apply(block: Block, sign: int) -> None:
         for s in block.lengths:
@@ -195,24 +217,29 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY, max_nodes: int = 6_00
     stack = [frame(None, 0, 0)]
     nodes = 0
     while stack and (best is None or nodes < max_nodes and best_n > bound):
-        block, lost, n, longest, todo = stack[-1]
+        block, lost, n, longest, todo, tried = stack[-1]
         filling = next(todo, None)
-        if filling is None:
+        # What the sequences of a plan that saves one may still waste.
+        spare = None if best is None else (best_n - 1) * capacity - total - lost
+        waste = capacity - longest - sum(filling) if filling is not None else 0
+        if filling is None or spare is not None and waste > spare:  # later fillings waste as much
             stack.pop()
             if block:
                 apply(block, -1)
             continue
-        nodes += 1
+        nodes += best is not None  # the first dive is never cut short
+        if any(dominates(k, filling) for k in tried):
+            continue
+        tried.append(filling)
         need = Counter((longest, *filling))
         most = min(left[s] // k for s, k in need.items())
         times = (most + 1) // 2  # the other half stays free to fit with others
-        lost += times * (capacity - longest - sum(filling))
-        if best is not None and total + lost > (best_n - 1) * capacity:
-            continue  # cannot save a sequence any more
+        if spare is not None and waste:
+            times = min(times, spare // waste)
         block = Block((longest, *filling), times)
         apply(block, 1)
         if left:
-            stack.append(frame(block, lost, n + times))
+            stack.append(frame(block, lost + times * waste, n + times))
         else:
             if best is None or n + times < best_n:
                 best_n, best = n + times, [f[0] for f in stack if f[0]] + [block]

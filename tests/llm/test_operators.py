@@ -180,6 +180,29 @@ def test_packing_plan_on_hard_lengths():
         assert sum(b.times for b in blocks) <= 1.05 * -(-sum(n * c for n, c in counts.items()) // 2048) + 1
 
 
+def test_packing_plan_meets_known_optimum_of_mid_lengths():
+    counts = {n: 30 for n in range(741, 761)} | {640: 1200}  # three to a sequence at most, 1800 pieces
+    blocks, used = pack.plan(counts), Counter()
+    for b in blocks:
+        assert sum(b.lengths) <= 2048
+        for n in b.lengths:
+            used[n] += b.times
+    assert used == counts and sum(b.times for b in blocks) == 600
+
+
+def test_fillings_are_all_found_best_first():
+    rng = np.random.default_rng(8)
+    for _ in range(30):
+        left = {int(s): int(rng.integers(1, 4)) for s in rng.choice(np.arange(2, 30), 9, replace=False)}
+        taken, room = max(left), int(rng.integers(20, 40))
+        want = {()}
+        for s in sorted(left, reverse=True):
+            want |= {f + (s,) * k for f in want for k in range(1, left[s] - (s == taken) + 1) if sum(f) + s * k <= room}
+        got = list(pack.Fillings(left, room, taken))
+        assert len(got) == len(set(got)) and set(got) == want
+        assert [sum(f) for f in got] == sorted((sum(f) for f in got), reverse=True)
+
+
 def test_secrets_against_plain_search(docs):
     rng = np.random.default_rng(5)
     bits = ["password", "Token", "=", ":", " ", "\"", "api_key", "apiKEY", "abcdefghijkl", "AKIA", "ABCDEFGH12345678",
