@@ -1,14 +1,18 @@
 """Substring dedup on sliding sentence spans.
 
-From every sentence of a text starts a span: the shortest run of consecutive
-sentences with at least ``least`` sentences and ``min_words`` words.  Spans
-are compared by a 128-bit hash of their words over all texts.  A span that
-occurs twice or more keeps its first occurrence, by id and then position;
-every sentence covered by any other occurrence is removed.
-
-A sentence ends at ``.``, ``!`` or ``?`` followed by white space, or at a line
-end; it carries the white space after it, so the sentences that stay join to
-the new text.  Edge cases: null texts stay null, empty and blank texts have
+From every sentence of a text starts a span and at every sentence ends one:
+the shortest run of consecutive sentences with at least ``least`` sentences
+and ``min_words`` words.  Together they cover every longer run, so a repeated
+run of any length goes whole.  Spans are compared by a 128-bit hash of their
+words over all texts.  A span that occurs twice or more keeps its first
+occurrence, by id and then position; every sentence covered by any other
+occurrence is removed.
+
+A sentence ends at ``.``, ``!`` or ``?`` followed by white space, at the full
+stop, question or exclamation mark of another script, or at a line end; it
+carries the closing quotes and white space after it, so the sentences that
+stay join to the new text.  In scripts written without spaces a character
+counts as a word.  Edge cases: null texts stay null, empty and blank texts have
 no sentences; a text too short for a span keeps all; of repeated rows the
 first stays whole; an empty table gives an empty result.  The input is read
 twice and must be a deterministic scan.
@@ -18,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -27,7 +32,16 @@ from pyspark.sql import functions as F
 from lingotile.llm.common import materialize
 
 LEAST, MIN_WORDS = 2, 20
-END = re.compile(r"[.!?]+\s+|\n\s*")
+# Full stops, question and exclamation marks that need no white space after
+# them: CJK, Devanagari, Arabic, Armenian, Ethiopic, Khmer, Burmese, Tibetan, Mongolian.
+MARKS = "\u3002\uff01\uff1f\uff61\u0964\u0965\u061f\u06d4\u0589\u1362\u1367\u1368\u17d4\u17d5\u104a\u104b\u0f0d\u0f0e\u1803\u1809"
+CLOSING = "\"')\\]\u2019\u201d\u300b\u300d\u300f\u3011\uff09"
+END = re.compile(rf"[.!?]+\s+|[{MARKS}][{MARKS}.!?]*[{CLOSING}]*\s*|\n\s*")
+# Thai, Lao, Tibetan, Burmese, Khmer, kana, Han.
+UNSPACED = ("\u0e01-\u0eff\u0f40-\u0fbc\u1000-\u1049\u1050-\u109f\u1780-\u17d3\u3005-\u3007\u3041-\u30ff\u31f0-\u31ff"
+            "\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff")
+HAS_UNSPACED = re.compile(f"[{UNSPACED}]")
+UNIT = re.compile(rf"[{UNSPACED}]|[^\W{UNSPACED}]+")
 
 
 def sentences_of(text: str | None) -> list[str]:
@@ -51,20 +65,35 @@ def sentences_of(text: str | None) -> list[str]:
     return joined if joined and joined[0].strip() else []
 
 
+def words_in(sentence: str) -> int:
+    """Words between white space; where words are not spaced, characters."""
+    words = sentence.split()
+    if sentence.isascii() or not HAS_UNSPACED.search(sentence):
+        return len(words)
+    return sum(len(UNIT.findall(w)) or 1 for w in words)
+
+
 def spans_of(sentences: list[str], least: int, min_words: int) -> list[tuple[int, int, bytes]]:
-    """``(first, count, hash)`` of the span from each sentence that has one."""
-    words = [s.split() for s in sentences]
-    length = np.cumsum([0, *map(len, words)])
-    out, end = [], 0
-    for i in range(len(words)):
+    """``(first, count, hash)`` of the spans that start or end at each sentence."""
+    lines = [" ".join(s.split()) for s in sentences]
+    length = [0, *accumulate(map(words_in, sentences))]
+    runs, end = [], 0
+    for i in range(len(lines)):
         end = max(end, i + least)
-        while end <= len(words) and length[end] - length[i] < min_words:
+        while end <= len(lines) and length[end] - length[i] < min_words:
             end += 1
-        if end > len(words):
+        if end > len(lines):
             break
-        text = "\n".join(" ".join(w) for w in words[i:end])
-        out.append((i, end - i, hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=16).digest()))
-    return out
+        runs.append((i, end))
+    start = 0
+    for end in range(least, len(lines) + 1):
+        while start < end - least and length[end] - length[start + 1] >= min_words:
+            start += 1
+        # A shortest run from ``start`` may end here too: it is there already.
+        if length[end] - length[start] >= min_words and runs[start] != (start, end):
+            runs.append((start, end))
+    return [(i, end - i, hashlib.blake2b("\n".join(lines[i:end]).encode("utf-8", "replace"), digest_size=16).digest())
+            for i, end in runs]
 
 
 def spans(text: Column, least: int, min_words: int) -> Column:
@@ -104,11 +133,12 @@ def trim(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least:
                        F.col(text_col).alias("text"))
     each = rows.select("doc_id", "_rid", spans(F.col("text"), least, min_words).alias("_s")).select(
         "doc_id", "_rid", F.explode(F.arrays_zip("_s.hash", "_s.first", "_s.n")).alias("_s")).select(
-        "_s.hash", F.struct("doc_id", "_rid", "_s.first").alias("at"), "_s.n")
+        "_s.hash", "doc_id", "_rid", "_s.first", "_s.n")
     # Copies of a span meet in a partial aggregation; only spans that repeat are joined back.
-    first = each.groupBy("hash").agg(F.min("at").alias("_first"), F.count(F.lit(1)).alias("_k")).where("_k > 1").drop("_k")
-    later = materialize(each.join(first, "hash").where(~F.col("at").eqNullSafe(F.col("_first"))).select(
-        "at._rid", "at.first", "n"), "spans")
+    first = each.groupBy("hash").agg(F.min(F.struct("doc_id", "_rid", "first")).alias("_at"), F.count(F.lit(1)).alias("_k")).where(
+        "_k > 1").select("hash", F.col("_at._rid").alias("_rid0"), F.col("_at.first").alias("_first0"))
+    later = materialize(each.join(first, "hash").where(
+        (F.col("_rid") != F.col("_rid0")) | (F.col("first") != F.col("_first0"))).select("_rid", "first", "n"), "spans")
     gone = later.groupBy("_rid").agg(F.collect_list("first").alias("_f"), F.collect_list("n").alias("_n"))
     return rows.join(gone, "_rid", "left").select(
         "doc_id", _trimmed(F.col("text"), F.col("_f"), F.col("_n")).alias("_t")).select("doc_id", "_t.*")

@@ -267,6 +267,51 @@ def test_sentence_spans_against_brute_force(spark, docs):
         assert r["text"] == want or not gone[r["doc_id"]]
 
 
+def trimmed_by_all_runs(texts):
+    """Sentences that stay, from every run of two and more sentences and 20 and more words."""
+    cut = {i: sentences.sentences_of(t) for i, t in texts}
+    first, gone = {}, {i: set() for i in cut}
+    for i in sorted(cut):
+        words = [s.split() for s in cut[i]]
+        size = [sentences.words_in(s) for s in cut[i]]
+        for a in range(len(words)):
+            for b in range(a + 2, len(words) + 1):
+                if sum(size[a:b]) >= 20 and first.setdefault(str(words[a:b]), (i, a)) != (i, a):
+                    gone[i] |= set(range(a, b))
+    return {i: "".join(s for k, s in enumerate(cut[i]) if k not in gone[i]) for i in cut}
+
+
+def test_sentence_spans_cover_every_repeated_run(spark):
+    rng = np.random.default_rng(9)
+
+    def sentence(n, tag):
+        return " ".join(f"{tag}{k}" for k in range(n)) + ". "
+
+    passage = sentence(30, "a") + sentence(14, "b") + sentence(5, "c")
+    rows = [(1, sentence(3, "x") + passage + sentence(25, "y")), (2, passage + sentence(25, "z"))]
+    made = [sentence(int(n), "pqr"[k % 3]) for k, n in enumerate(rng.integers(1, 26, 12))]
+    rows += [(3 + k, "".join(made[j] for j in rng.integers(0, 12, 15))) for k in range(40)]
+    got = {r["doc_id"]: r for r in sentences.trim(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got[2]["text"] == sentence(25, "z") and got[1]["n_removed"] == 0
+    assert {i: r["text"] for i, r in got.items()} == trimmed_by_all_runs(rows)
+
+
+def test_sentence_spans_against_all_runs(spark, docs):
+    got = {r["doc_id"]: r["text"] for r in catalog.op8_sentence_spans(spark, SF).collect()}
+    assert got == trimmed_by_all_runs([(i, t) for i, t, _ in docs])
+
+
+def test_sentence_spans_in_other_scripts(spark):
+    assert sentences.sentences_of("你好。「再见！」他说。") == ["你好。", "「再见！」", "他说。"]
+    assert sentences.sentences_of("यह है। वह था। ") == ["यह है। ", "वह था। "]
+    assert sentences.sentences_of("ما هذا؟ هذا كتاب۔ ") == ["ما هذا؟ ", "هذا كتاب۔ "]
+    assert sentences.words_in("你好 world。") == 3 and sentences.words_in("two words. ") == 2
+    same = "今天的天气非常好我们去公园。然后大家一起回家吃晚饭。"
+    rows = [(1, "第一篇文章的开头。" + same + "结尾不同。"), (2, "另外一个开头在这里。" + same + "别的结尾。")]
+    got = {r["doc_id"]: r for r in sentences.trim(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got[1]["n_removed"] == 0 and got[2]["text"] == "另外一个开头在这里。别的结尾。"
+
+
 def test_shards_move_only_into_the_new_one(spark, docs):
     rows = catalog.op9_hash_tree_shards(spark, SF).collect()
     text = {i: (t or "").encode() for i, t, _ in docs}
