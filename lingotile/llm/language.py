@@ -1,9 +1,10 @@
 """Language identification by words first, backing off to shorter character n-grams.
 
 Learning counts the words of every labelled document by language, and the
-character n-grams (n = 4 to 1) of those words.  The model keeps the most
-frequent words and n-grams of each language, ``VOCABULARY`` of a kind in all,
-so its size has a fixed bound.  A document's score for a language is the sum
+character n-grams (n = 4 to 1) of those words.  The model keeps the
+``VOCABULARY`` most frequent words, and n-grams of each length, of every
+language, each with its count in all languages, so its size is bounded by the
+languages alone.  A document's score for a language is the sum
 over its words of the word's log frequency there; a word that the model does
 not know is scored by the mean log frequency of its known n-grams of the
 greatest length that has any.
@@ -17,8 +18,9 @@ label do not teach; repeated rows teach once each.
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -78,39 +80,45 @@ _COUNTS = "lang string, item string, n bigint"
 
 
 def _kept(counts: DataFrame, each: int) -> DataFrame:
-    """The ``each`` most frequent items of a language (and length, for n-grams)."""
+    """All counts of the items that are among the ``each`` most frequent of a
+    language (and length, for n-grams)."""
     w = Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "item")
-    return counts.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= each).drop("_r")
+    items = counts.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= each).select("item", "kind").distinct()
+    return counts.join(items, ["item", "kind"], "left_semi")
 
 
 class Model:
     """Log frequencies by language of known words and n-grams."""
 
-    def __init__(self, langs: list[str], rows: list[tuple[str, str, int, int]], totals: dict[tuple[str, int], int]):
+    def __init__(self, langs: list[str], rows: Iterable[tuple[str, str, int, int]], totals: dict[tuple[str, int], int]):
         """``rows``: (language, item, n-gram length or 0 for words, count)."""
         self.langs = langs
         at = {lang: i for i, lang in enumerate(langs)}
-        self.known: list[dict[str, np.ndarray]] = [{} for _ in range(LONGEST + 1)]
+        # Rows of ``logs`` by item; one array a kind, as items may be many.
+        self.known: list[dict[str, int]] = [{} for _ in range(LONGEST + 1)]
+        self.logs: list[np.ndarray] = []
+        found = [(array("i"), array("i"), array("d")) for _ in self.known]
         for lang, item, kind, n in rows:
-            v = self.known[kind].get(item)
-            if v is None:
-                v = self.known[kind][item] = np.zeros(len(langs))
-            v[at[lang]] = n
-        for kind, items in enumerate(self.known):
+            row, col, count = found[kind]
+            row.append(self.known[kind].setdefault(item, len(self.known[kind])))
+            col.append(at[lang])
+            count.append(n)
+        for kind, (row, col, count) in enumerate(found):
             total = np.array([totals.get((lang, kind), 0) for lang in langs], float)
-            for v in items.values():
-                np.log((v + 0.5) / (total + 0.5 * (len(items) + 1)), out=v)
+            v = np.zeros((len(self.known[kind]), len(langs)))
+            v[np.array(row, int), np.array(col, int)] = count
+            self.logs.append(np.log((v + 0.5) / (total + 0.5 * (len(v) + 1)), out=v))
 
     def unseen(self, word: str) -> np.ndarray:
         for n in range(LONGEST, 0, -1):
-            found = [v for g in grams_of(word, n) if (v := self.known[n].get(g)) is not None]
+            found = [i for g in grams_of(word, n) if (i := self.known[n].get(g)) is not None]
             if found:
-                return np.mean(found, axis=0)
+                return self.logs[n][found].mean(0)
         return np.zeros(len(self.langs))
 
     def score(self, word: str) -> np.ndarray:
-        known = self.known[0].get(word)
-        return known if known is not None else self.unseen(word)
+        i = self.known[0].get(word)
+        return self.logs[0][i] if i is not None else self.unseen(word)
 
 
 class Scorer:
@@ -147,8 +155,8 @@ def learn(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", vocab
     both = materialize(words.withColumn("kind", F.lit(0)).union(grams.withColumn("kind", F.length("item"))), "counts")
     totals = {(r["lang"], r["kind"]): r["n"] for r in both.groupBy("lang", "kind").agg(F.sum("n").alias("n")).collect()}
     langs = sorted({lang for lang, _ in totals})
-    kept = _kept(both, max(1, vocabulary // max(1, len(langs))))
-    return Model(langs, [tuple(r) for r in kept.select("lang", "item", "kind", "n").collect()], totals)
+    kept = _kept(both, vocabulary)
+    return Model(langs, kept.select("lang", "item", "kind", "n").toLocalIterator(), totals)  # a partition at a time
 
 
 def predicted(text: Column, spark, model: Model) -> Column:

@@ -410,6 +410,16 @@ def test_language_accuracy_on_held_out(spark, docs):
     assert all(0 <= r["score"] <= 1 for r in rows)
 
 
+def test_language_model_holds_whole_counts_of_kept_items(spark):
+    rows = [("a", "shared " * 5 + "alone " * 9), ("b", "other " * 8 + "more " * 7 + "shared " * 6)]
+    model = language.learn(spark.createDataFrame(rows, "lang string, text string"), vocabulary=2)
+    scale = np.array([14, 21]) + 0.5 * (len(model.known[0]) + 1)
+    words = {w: np.exp(model.score(w)) * scale - 0.5 for w in model.known[0]}
+    # Two words of each language; "shared" is third in b, with its count there.
+    assert {w: [round(x) for x in n] for w, n in words.items()} == {
+        "alone": [9, 0], "shared": [5, 6], "other": [0, 8], "more": [0, 7]}
+
+
 def test_anchor_hit_in_every_window():
     rng = np.random.default_rng(7)
     data = bytes(rng.integers(97, 100, 3000, dtype=np.uint8))
