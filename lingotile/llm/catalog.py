@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lingotile.llm import (language, minhash, multi_index, pack, pieces, quality, secrets, sentences, shard,
-                            substrings)
+from lingotile.llm import (language, minhash, multi_index, pack, periodic, pieces, quality, repair, secrets, sentences,
+                            shard, substrings, urls)
 from lingotile.llm.common import table
 
 
@@ -62,6 +62,18 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=2)
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.report(table(spark, sf_dir, "conversations"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.report(table(spark, sf_dir, "documents"))
+
+
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_inverted_multi_index": op1_inverted_multi_index,
     "op2_word_backoff_language": op2_word_backoff_language,
@@ -73,8 +85,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sentence_spans": op8_sentence_spans,
     "op9_hash_tree_shards": op9_hash_tree_shards,
     "op10_minhash_dedup": op10_minhash_dedup,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_url_filter": op13_url_filter,
 }
 
 ORACLES: dict[str, str] = {
     "op7_host_quality": quality.REPORT_SQL,
+    "op13_url_filter": urls.JUDGE_SQL,
 }
