@@ -9,7 +9,7 @@ over its words of the word's log frequency there; a word that the model does
 not know is scored by the mean log frequency of its known n-grams of the
 greatest length that has any.
 
-Words are runs of letters, lower-cased.  Texts are read whole.  Edge cases: a
+Words are runs of letters with their marks, lower-cased.  Texts are read whole.  Edge cases: a
 null text, one without letters, or a model without languages gives ``und``
 with score 0; ties go to the first language by name; documents without a
 label do not teach; repeated rows teach once each.
@@ -17,13 +17,13 @@ label do not teach; repeated rows teach once each.
 
 from __future__ import annotations
 
-import re
 from array import array
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,7 +32,7 @@ from lingotile.llm.common import materialize
 VOCABULARY = 100_000
 LONGEST = 4
 UNKNOWN = "und"
-LETTERS = re.compile(r"[^\W\d_]+")
+LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 FLUSH = 300_000
 CACHE_WORDS = 800_000
 
@@ -81,9 +81,15 @@ _COUNTS = "lang string, item string, n bigint"
 
 def _kept(counts: DataFrame, each: int) -> DataFrame:
     """All counts of the items that are among the ``each`` most frequent of a
-    language (and length, for n-grams)."""
-    w = Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "item")
-    items = counts.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= each).select("item", "kind").distinct()
+    language (and length, for n-grams).  The least count that stays is read off
+    a histogram of counts, so no task sorts a language's items; items that tie
+    at it stay or go together."""
+    steps = counts.groupBy("lang", "kind", "n").agg(F.count(F.lit(1)).alias("_items"))
+    above = Window.partitionBy("lang", "kind").orderBy(F.desc("n"))
+    least = steps.withColumn("_sum", F.sum("_items").over(above)).where(F.col("_sum") <= each).groupBy(
+        "lang", "kind").agg(F.min("n").alias("_least"))
+    items = counts.join(F.broadcast(least), ["lang", "kind"]).where(F.col("n") >= F.col("_least")).select(
+        "item", "kind").distinct()  # ``least``: a row for each language and length
     return counts.join(items, ["item", "kind"], "left_semi")
 
 

@@ -17,8 +17,9 @@
 
 Edge cases: null, empty and blank texts have empty sets and link to nothing;
 a text of fewer words than a shingle has its whole sequence as one; repeated
-rows are copies; a null id takes its component's id (null if alone) and is
-kept only if alone; an empty table gives an empty result.  Set elements are 64-bit
+rows are copies; rows without an id link like others and take their
+component's smallest id (null, and kept, if no row of it has one); an empty
+table gives an empty result.  Set elements are 64-bit
 hashes, classes 128-bit hashes.
 """
 
@@ -192,23 +193,28 @@ def residual_links(members: DataFrame, stars: DataFrame, sets: DataFrame, labels
         _links_of_blocks(percent), "a binary, b binary").distinct()
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
-                    percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """``(doc_id, n_shingles, component_id, kept)`` per row of ``docs``."""
-    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    sigs = materialize(texts.select("doc_id", signed(F.col("text"), width, bands, rows).alias("_s")).select(
-        "doc_id", "_s.*"), "signatures")
+def _grouped(texts: DataFrame, width: int, percent: int, bands: int, rows: int) -> tuple[DataFrame, DataFrame]:
+    """For ``texts(doc_id, text)``: its rows as ``(doc_id, digest, n_shingles,
+    node)``, and the linked classes as ``(node, component)``, the component
+    named by its first row ``(none, doc_id, digest)``.  A row is told by its
+    id and its text's digest, so rows without an id are found again too."""
+    digest = F.md5(F.coalesce("text", F.lit("")).cast("binary"))
+    sigs = materialize(texts.select("doc_id", digest.alias("digest"), signed(F.col("text"), width, bands, rows).alias(
+        "_s")).select("doc_id", "digest", "_s.*"), "signatures")
+    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")
     classes = materialize(sigs.where(F.col("node").isNotNull()).groupBy("node").agg(
-        F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("buckets").alias("buckets")),
+        F.min(row).alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("buckets").alias("buckets")),
         "classes")
     keyed = classes.select("node", F.explode("buckets").alias("bucket"))
     shared = keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     members = materialize(central(materialize(keyed.join(shared, "bucket"), "buckets")), "stars")
     # Full sets of the classes that share a bucket, from one text of each.
-    involved = members.select("node").distinct().join(classes.select("node", "rep"), "node")
-    sets = texts.join(involved.withColumnRenamed("node", "_node"), F.col("doc_id") == F.col("rep")).select(
-        "_node", full_sets(F.col("text"), width).alias("_f")).where(F.col("_node") == F.col("_f.node"))
-    sets = materialize(sets.select("_f.*").dropDuplicates(["node"]), "sets")
+    involved = members.select("node").distinct().join(classes, "node").select(
+        F.col("node").alias("_node"), F.col("rep.doc_id").alias("_id"), F.col("rep.digest").alias("_digest"))
+    found = texts.withColumn("digest", digest).join(
+        involved, (F.col("digest") == F.col("_digest")) & F.col("doc_id").eqNullSafe(F.col("_id")))
+    one = found.groupBy("_node").agg(F.first("text").alias("text"))  # repeated rows are one text
+    sets = materialize(one.select(full_sets(F.col("text"), width).alias("_f")).select("_f.*"), "sets")
     stars = members.select(F.col("center").alias("a"), F.col("node").alias("b")).where("a != b").distinct()
     stars = materialize(compared(stars, sets, percent), "stars")
     edges = stars.where("linked").select("a", "b")
@@ -216,18 +222,35 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     more = materialize(residual_links(members, stars, sets, labels, percent), "links")
     if not more.isEmpty():
         labels = components(edges.union(more))
-    named = labels.join(classes.select("node", "rep", "copies"), "node")
-    ids = named.groupBy("label").agg(F.min("rep").alias("component_id"))
-    linked = named.join(ids, "label").select("node", "component_id").union(
-        classes.where("copies > 1").join(labels, "node", "left_anti").select("node", F.col("rep").alias("component_id")))
-    out = sigs.select("doc_id", "n_shingles", "node").join(linked, "node", "left")
-    component = F.coalesce("component_id", "doc_id")
+    named = labels.join(classes.select("node", "rep"), "node")
+    firsts = named.groupBy("label").agg(F.min("rep").alias("component"))
+    linked = named.join(firsts, "label").select("node", "component").union(
+        classes.where("copies > 1").join(labels, "node", "left_anti").select("node", F.col("rep").alias("component")))
+    return sigs.drop("buckets"), linked
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
+                    percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """``(doc_id, n_shingles, component_id, kept)`` per row of ``docs``."""
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    sigs, linked = _grouped(texts, width, percent, bands, rows)
+    out = sigs.join(linked, "node", "left")
+    component = F.coalesce("component.doc_id", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
                       F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
-def deduplicated(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The documents that stay: of each component the one with the smallest
-    id (rows that share this id stay together)."""
-    ids = near_duplicates(docs, id_col=id_col, **options).where("kept").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(ids, F.col(id_col).eqNullSafe(F.col("_id")), "left_semi")
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
+                 percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """The documents that stay: of each component the one with the smallest id
+    (without ids: the smallest text digest); rows that repeat its id and text
+    are that document again and stay too."""
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    sigs, linked = _grouped(texts, width, percent, bands, rows)
+    first = F.col("component.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("component.digest") == F.col("digest"))
+    stay = sigs.join(linked, "node", "left").where(F.col("component").isNull() | first).select(
+        F.col("doc_id").alias("_id"), F.col("digest").alias("_digest")).distinct()
+    whole = docs.select(F.struct("*").alias("_d"))  # one column, so that no name of theirs meets one of ours
+    mine = F.col("_d").getField(id_col).eqNullSafe(F.col("_id"))
+    text = F.md5(F.coalesce(F.col("_d").getField(text_col), F.lit("")).cast("binary"))
+    return whole.join(stay, mine & (text == F.col("_digest")), "left_semi").select("_d.*")

@@ -18,8 +18,11 @@ fitted to at most ``SAMPLE`` rows chosen by hash; every row is indexed.
 
 Cells of one first-half centroid form a tile; tiles and their queries meet in
 blocks of bounded size, so a hot cell is many tasks, and only the ``k`` nearest
-of a block leave it.  Of equal vectors only the ``k + 1`` smallest ids can be results, so
-further copies are not searched; equal query vectors are searched once.
+of a block leave it.  Rows that repeat an id and its vector are searched once
+and counted: such copies fill as many ranks.  Of equal vectors only the
+``k + 1`` smallest ids can be results, so further ones are not searched; equal
+query vectors are searched once.  A search returns ``k + 1`` distinct ids, so
+``k`` are left when a query's own rows, however often repeated, go.
 
 Edge cases: vectors that are null, zero, hold null or non-finite components,
 or have another length than most (ties: the longer), take no part; rows with
@@ -173,6 +176,7 @@ def _nearest(k: int):
         found = []
         if len(queries) and len(points):
             x, ids, inner = np.stack(points["embedding"]), points["vec_id"].to_numpy(), points["inner"].to_numpy()
+            copies = points["copies"].to_numpy()
             for query, cells, q, radius in queries[["query", "inner", "embedding", "radius"]].itertuples(index=False):
                 wanted = np.zeros(max(int(inner.max()), int(cells.max())) + 1, bool)
                 wanted[cells] = True
@@ -183,8 +187,9 @@ def _nearest(k: int):
                     near = d <= np.partition(d, min(k, len(d)) - 1)[min(k, len(d)) - 1]
                     at, d = at[near], d[near]
                     best = np.lexsort((ids[at], d))[:k]
-                    found.append(pd.DataFrame({"query": query, "vec_id": ids[at[best]], "score": d[best]}))
-        return pd.concat(found) if found else pd.DataFrame({"query": [], "vec_id": [], "score": []})
+                    found.append(pd.DataFrame({"query": query, "vec_id": ids[at[best]], "score": d[best],
+                                               "copies": copies[at[best]]}))
+        return pd.concat(found) if found else pd.DataFrame({"query": [], "vec_id": [], "score": [], "copies": []})
 
     return run
 
@@ -200,8 +205,8 @@ def _rerank(probes: DataFrame, entries: DataFrame, k: int) -> DataFrame:
     asked, held = (x.withColumn("block", F.col("block").cast("bigint")).withColumn("part", F.col("part").cast("bigint"))
                    for x in (asked, held))
     return asked.select(*keys, "query", "inner", "embedding", "radius").groupBy(*keys).cogroup(
-        held.select(*keys, "vec_id", "inner", "embedding").groupBy(*keys)).applyInPandas(
-        _nearest(k), "query bigint, vec_id bigint, score double")
+        held.select(*keys, "vec_id", "inner", "embedding", "copies").groupBy(*keys)).applyInPandas(
+        _nearest(k), "query bigint, vec_id bigint, score double, copies bigint")
 
 
 def valid_points(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -225,10 +230,11 @@ def search(vectors: DataFrame, every: int = 100, k: int = 10, centroids: int = 6
     if not len(sample):
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     both = tuple(fit_half(h, centroids, s) for s, h in enumerate(halves(np.stack(sample["embedding"]))))
-    copies = Window.partitionBy("embedding").orderBy("vec_id")
-    searched = points.withColumn("_copy", F.row_number().over(copies)).where(F.col("_copy") <= k + 1).drop("_copy")
+    equal = Window.partitionBy("embedding").orderBy("vec_id")
+    searched = points.groupBy("vec_id", "embedding").agg(F.least(F.count(F.lit(1)), F.lit(k)).alias("copies"))
+    searched = searched.withColumn("_e", F.row_number().over(equal)).where(F.col("_e") <= k + 1).drop("_e")
     coded = materialize(searched.mapInPandas(
-        _quantised(both), POINTS + ", c0 bigint, r0 double, c1 bigint, r1 double"), "coded")
+        _quantised(both), POINTS + ", copies bigint, c0 bigint, r0 double, c1 bigint, r1 double"), "coded")
     shape = [len(c) for c in both]
     stats = []
     for side in (0, 1):
@@ -243,7 +249,7 @@ def search(vectors: DataFrame, every: int = 100, k: int = 10, centroids: int = 6
     index = Index(both, (stats[0][0], stats[1][0]), (stats[0][1], stats[1][1]), counts)
     blocks = np.maximum(-(-counts.sum(1) // TILE_BLOCK), 1)
     block = F.pmod(F.xxhash64("vec_id"), F.get(F.array(*[F.lit(int(b)) for b in blocks]), F.col("c0").cast("int")))
-    entries = coded.select("vec_id", "embedding", F.col("c0").alias("tile"), F.col("c1").alias("inner"),
+    entries = coded.select("vec_id", "embedding", "copies", F.col("c0").alias("tile"), F.col("c1").alias("inner"),
                            block.cast("bigint").alias("block"))
     # Equal query vectors share one search, named by their smallest id.
     asking = points.where(F.col("vec_id") % every == 0)
@@ -261,5 +267,7 @@ def search(vectors: DataFrame, every: int = 100, k: int = 10, centroids: int = 6
     ids = points.where(F.col("vec_id") % every == 0).join(asking, "embedding").select(
         F.col("vec_id").alias("query_id"), "query").distinct()
     mine = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    return top.join(ids, "query").where(F.col("query_id") != F.col("vec_id")).withColumn(
+    top = top.join(ids, "query").where(F.col("query_id") != F.col("vec_id")).withColumn(
+        "_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))))
+    return top.withColumn(
         "rank", F.row_number().over(mine)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -36,7 +36,8 @@ def edge(spark):
     from pyspark.sql import functions as F
 
     df = spark.createDataFrame(EDGE, SCHEMA)
-    for name in ("row", "node", "label", "bucket", "n", "n_words", "kept", "shard", "_t", "_w", "tile", "pos", "fp", "length"):
+    for name in ("row", "node", "label", "bucket", "n", "n_words", "kept", "shard", "_t", "_w", "tile", "pos", "fp", "length",
+                 "_id", "_d", "digest", "_digest", "rep", "component"):
         df = df.withColumn(name, F.lit(name))
     return df
 
@@ -251,25 +252,10 @@ def test_sentence_spans_keep_the_first(spark):
     assert got[3]["text"] is None and got[4]["n_removed"] == 0
 
 
-def test_sentence_spans_against_brute_force(spark, docs):
-    cut = {i: sentences.sentences_of(t) for i, t, _ in docs}
-    first, gone = {}, {i: set() for i in cut}
-    for i in sorted(cut):
-        assert "".join(cut[i]) in ((docs[0][1] and dict((d, t) for d, t, _ in docs)[i]), "")
-        words = [s.split() for s in cut[i]]
-        for a in range(len(words)):
-            b = next((b for b in range(a + 2, len(words) + 1) if sum(map(len, words[a:b])) >= 20), None)
-            if b is not None and first.setdefault(str(words[a:b]), (i, a)) != (i, a):
-                gone[i] |= set(range(a, b))
-    for r in catalog.op8_sentence_spans(spark, SF).collect():
-        want = "".join(s for k, s in enumerate(cut[r["doc_id"]]) if k not in gone[r["doc_id"]])
-        assert r["n_removed"] == len(gone[r["doc_id"]])
-        assert r["text"] == want or not gone[r["doc_id"]]
-
-
 def trimmed_by_all_runs(texts):
     """Sentences that stay, from every run of two and more sentences and 20 and more words."""
     cut = {i: sentences.sentences_of(t) for i, t in texts}
+    assert all("".join(cut[i]) in (t, "") for i, t in texts)
     first, gone = {}, {i: set() for i in cut}
     for i in sorted(cut):
         words = [s.split() for s in cut[i]]
@@ -364,6 +350,50 @@ def test_residual_links_join_what_stars_miss(spark):
     assert {r["component_id"] for r in got.collect()} == {0}
 
 
+def test_rows_without_id_link_like_others(spark):
+    base = [f"w{i}" for i in range(200)]
+    near = [" ".join(base[:100] + [f"x{k}"] + base[101:]) for k in range(3)]
+    schema = "doc_id bigint, text string, _id int"
+    rows = [(1, near[0], 0), (3, near[1], 1), (None, near[2], 2), (None, near[2], 3), (None, "other words altogether here", 4),
+            (None, " ".join(base[::-1]), 5), (None, " ".join(base[::-1] + ["end"]), 6), (5, None, 7), (5, "", 8)]
+    docs = spark.createDataFrame(rows, schema)
+    got = minhash.near_duplicates(docs, width=2).collect()
+    assert sorted(((r["doc_id"] or 0, r["component_id"] or 0) for r in got)) == [
+        (0, 0), (0, 0), (0, 0), (0, 1), (0, 1), (1, 1), (3, 1), (5, 5), (5, 5)]
+    kept = minhash.deduplicated(docs, width=2)
+    assert kept.columns == docs.columns
+    left = {r["_id"] for r in kept.collect()}
+    assert left - {5, 6} == {0, 4, 7, 8} and len(left & {5, 6}) == 1
+
+
+def test_multi_index_with_repeated_rows(spark):
+    rng = np.random.default_rng(11)
+    points = [(i, rng.random(4).tolist()) for i in range(101, 131)]
+    own = (100, rng.random(4).tolist())
+    for times in (1, 3, 12, 40):
+        rows = points + [own] * times + [points[0]] * 3
+        got = multi_index.search(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")).orderBy("rank").collect()
+        d = sorted((float(np.sqrt(((np.array(x) - own[1]) ** 2).sum())), i) for i, x in rows if i != 100)[:10]
+        assert [(r["rank"], r["vec_id"]) for r in got] == [(n + 1, i) for n, (_, i) in enumerate(d)]
+
+
+def test_multi_index_recall_where_the_probe_prunes(spark):
+    """Few first entries, so that most cells stay closed: clusters and a sphere."""
+    rng = np.random.default_rng(12)
+    centers = rng.normal(size=(60, 16))
+    for x in (centers[rng.integers(0, 60, 6000)] + 0.15 * rng.normal(size=(6000, 16)), rng.normal(size=(6000, 16))):
+        rows = [(i, v.tolist()) for i, v in enumerate(x)]
+        got = multi_index.search(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"), first=100).collect()
+        found = {}
+        for r in got:
+            found.setdefault(r["query_id"], set()).add(r["vec_id"])
+        hits = 0
+        for q in range(0, 6000, 100):
+            order = np.argsort(((x - x[q]) ** 2).sum(1))
+            hits += len(found[q] & set(order[order != q][:10].tolist()))
+        assert len(found) == 60 and hits >= 0.9 * 600, hits
+
+
 def test_multi_index_recall_and_order(spark):
     r = duckdb.sql(f"select vec_id, embedding from '{SF}/embeddings.parquet' order by 1").fetchnumpy()
     ids, x = r["vec_id"], np.stack(r["embedding"]).astype(float)
@@ -410,6 +440,49 @@ def test_language_accuracy_on_held_out(spark, docs):
     assert all(0 <= r["score"] <= 1 for r in rows)
 
 
+def test_words_are_letters_and_their_marks():
+    assert language.words_of("हिन्दी ไทยที่ naïve x²y ½ ٣ _a1") == ["हिन्दी", "ไทยที่", "naïve", "x", "y", "a"]
+    assert language.words_of("² ½ \u0301 123") == [] and language.words_of(None) == []
+    scorer = language.Scorer(language.Model(["en"], [("en", "a", 0, 1)], {("en", 0): 1}))
+    assert scorer("² ½") == ("und", 0.0) and scorer("a")[0] == "en"
+
+
+def test_language_against_a_plain_scorer(spark, docs):
+    """Whole predictions from whole counts, without the library's model."""
+    words, grams = {}, {}
+    for i, t, lang in docs:
+        if lang is not None and zlib.crc32(str(i).encode()) % 4 != 2:
+            words.setdefault(lang, Counter()).update(language.words_of(t))
+    langs = sorted(words)
+    for lang in langs:
+        for w, k in words[lang].items():
+            for n in (1, 2, 3, 4):
+                for g in language.grams_of(w, n):
+                    grams.setdefault((lang, n), Counter())[g] += k
+    table = {0: words} | {n: {lang: grams[lang, n] for lang in langs} for n in (1, 2, 3, 4)}
+    known = {k: set().union(*(c.keys() for c in v.values())) for k, v in table.items()}
+    log = lambda kind, item: np.array([np.log((table[kind][x][item] + 0.5) / (table[kind][x].total() + 0.5 * (len(known[kind]) + 1))) for x in langs])
+
+    def score(w):
+        if w in known[0]:
+            return log(0, w)
+        for n in (4, 3, 2, 1):
+            hit = [g for g in language.grams_of(w, n) if g in known[n]]
+            if hit:
+                return np.mean([log(n, g) for g in hit], axis=0)
+        return np.zeros(len(langs))
+
+    cache = {}
+    for r in catalog.op2_word_backoff_language(spark, SF).collect():
+        text = next(t for i, t, _ in docs if i == r["doc_id"])
+        total = sum((cache.setdefault(w, score(w)) if w not in cache else cache[w] for w in language.words_of(text)), np.zeros(len(langs)))
+        if not language.words_of(text):
+            assert r["lang_pred"] == "und"
+            continue
+        p = np.exp(total - total.max())
+        assert r["lang_pred"] == langs[int(total.argmax())] and abs(r["score"] - p.max() / p.sum()) < 1e-9
+
+
 def test_language_model_holds_whole_counts_of_kept_items(spark):
     rows = [("a", "shared " * 5 + "alone " * 9), ("b", "other " * 8 + "more " * 7 + "shared " * 6)]
     model = language.learn(spark.createDataFrame(rows, "lang string, text string"), vocabulary=2)
