@@ -88,7 +88,7 @@ def run_training(spark: SparkSession, cfg: clf.TrainConfig | None = None,
                                       csv_language_col, csv_label_col, cfg.sample_multiplier,
                                       cfg.language_map)
     if corpus.isEmpty():
-        raise ValueError("No texts provided.")
+        raise ValueError("the corpus is empty: nothing to train on")
     if "doc_ord" not in corpus.columns:
         corpus = corpus.withColumn("doc_ord", F.monotonically_increasing_id())
     if "doc_id" not in corpus.columns:
