@@ -1,192 +1,114 @@
-"""Language classifier on ``pyspark.ml``.
-
-Features reproduce padding-aware mean pooling of token embeddings: the
-mean of the embeddings of a text's first ``max_length`` tokens equals a
-linear layer applied to the L1-normalised token-count vector, so the
-feature pipeline is ``SQLTransformer`` (tokenise + truncate) ->
-``CountVectorizerModel`` (fixed vocabulary) -> ``Normalizer(p=1)``, and the
-network is a ``MultilayerPerceptronClassifier`` whose first layer plays the
-embedding.  All stages are row-wise JVM transformers: the fitted
-``PipelineModel`` scores batch and streaming DataFrames alike and saves
-with ``write().save``.
-
-Training runs in rounds ("epochs"): each round fits ``iters_per_epoch``
-optimizer iterations warm-started from the previous weights, then scores
-train and validation data to record loss (mean of per-batch mean
-cross-entropy) and accuracy.  Early stopping keeps the best round
-(strictly lower validation loss); with ``solver="gd"`` the step size is
-halved after ``lr_patience`` rounds without improvement.
-
-Not reproduced (single-machine training internals): ReLU hidden units and
-dropout (MLPC uses sigmoid units), Adam with gradient clipping, Xavier
-initialisation; weight decay exists only in the logistic-regression
-baseline (``regParam``).
+"""Language classifier: a tokenizer stage and a network stage in one ``PipelineModel``.
+
+Tokenising is a persistable stage (any named tokenizer, see ``tokens``), the
+network is trained in distributed rounds (see ``network``): hidden layers with
+ReLU and dropout, mean-pooled or flattened embeddings, Adam with clipping and
+weight decay, a step size halved on a plateau, early stopping, the best round
+kept.  Every token counts: none is outside a vocabulary.  The fitted
+``PipelineModel`` scores batch and streaming DataFrames alike and saves with
+``write().save``.
 """
 
 from __future__ import annotations
 
+import json
 from dataclasses import asdict, dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
-from pyspark.ml.feature import CountVectorizerModel, Normalizer, SQLTransformer
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import HashingTF, Normalizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lingotile.functions.text import FAST_WORD_RE, PY_ONLY_WS_RE
+from lingotile.operators import network
 from lingotile.operators.nn import evaluate_predictions, evaluation_summary
 from lingotile.operators.split import DEFAULT_LANGUAGE_MAP, assign_batches, decode_label
+from lingotile.operators.tokens import Tokens
+from lingotile.operators.vocab import materialize
+
+MODES = ("mean", "flatten")
 
 
 @dataclass
 class TrainConfig:
-    """Training job configuration (defaults follow the reference job)."""
+    """Training job configuration (defaults follow the reference job).
+    ``slots`` hashed embedding rows and ``embedding_dim`` give the model's
+    size; ``shards`` None lets the number of training rows decide."""
     max_length: int = 100
     batch_size: int = 16
     train_ratio: float = 0.8
     seed: int = 42
+    shuffle: bool = True
     stratify: bool = True
+    vocab_scope: str = "all"
+    tokenizer: str = "edgegram"
+    ngram: int = 3
+    tokenizer_options: dict = field(default_factory=dict)
+    mode: str = "mean"
+    slots: int = 1 << 16
+    shards: int | None = None
     embedding_dim: int = 64
     hidden_dim: int = 128
     num_layers: int = 2
+    dropout: float = 0.3
     epochs: int = 20
     early_stopping: int = 5
     lr: float = 1e-3
     weight_decay: float = 1e-5
-    iters_per_epoch: int = 8
-    solver: str = "l-bfgs"
     lr_patience: int = 3
     lr_factor: float = 0.5
-    max_features: int = 20000
-    ngram: int = 3
     sample_multiplier: int = 10
     language_map: dict = field(default_factory=lambda: dict(DEFAULT_LANGUAGE_MAP))
 
 
-def tokenizer_sql(ngram: int, max_length: int | None, text_col: str = "text") -> str:
-    """Edgegram tokens as a Spark SQL expression (raw literal for the regex)."""
-    spaced = f"regexp_replace(coalesce({text_col}, ''), R'{PY_ONLY_WS_RE}', ' ')"
-    words = f"regexp_extract_all({spaced}, R'{FAST_WORD_RE}', 0)"
-    grams = (f"flatten(transform({words}, w -> CASE WHEN length(w) < {ngram} THEN array(w) "
-             f"ELSE array(substring(w, 1, {ngram}), substring(w, -{ngram}, {ngram})) END))")
-    return f"slice({grams}, 1, {max_length})" if max_length else grams
-
-
-def feature_vocabulary(vocab: DataFrame, max_features: int) -> list[str]:
-    """Non-special tokens for the count vector, in id order: all of them, or
-    the ``max_features`` most frequent (bounded driver-side list: it sizes
-    the model's first layer)."""
-    body = vocab.where(~F.col("is_special"))
-    top = body.orderBy(F.col("freq").desc_nulls_last(), F.col("id")).limit(max_features)
-    return [r.token for r in top.orderBy("id").select("token").collect()]
-
-
-def feature_pipeline(vocabulary: list[str], max_length: int, ngram: int,
-                     text_col: str = "text") -> list:
-    tok = SQLTransformer(statement=f"SELECT *, {tokenizer_sql(ngram, max_length, text_col)} AS _tokens "
-                                   f"FROM __THIS__")
-    cv = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="_tokens", outputCol="_counts")
-    norm = Normalizer(p=1.0, inputCol="_counts", outputCol="features")
-    return [tok, cv, norm]
-
-
-def _layers(n_features: int, n_classes: int, cfg: TrainConfig) -> list[int]:
-    return [n_features, cfg.embedding_dim] + [cfg.hidden_dim] * cfg.num_layers + [n_classes]
-
-
-def _mlp(cfg: TrainConfig, layers: list[int], iters: int, step: float, init=None):
-    m = MultilayerPerceptronClassifier(layers=layers, maxIter=iters, seed=cfg.seed, solver=cfg.solver,
-                                       stepSize=step, blockSize=128, labelCol="label",
-                                       featuresCol="features")
-    if init is not None:
-        m.setInitialWeights(init)
-    return m
-
-
-def _epoch_metrics(scored: DataFrame) -> dict[str, tuple[float, float]]:
-    """Per part (``_part``): loss (mean of per-batch mean cross-entropy) and
-    accuracy, in one job; rows carry their ``batch_id`` (assigned once)."""
-    p = vector_to_array("probability")
-    s = scored.withColumn("loss", -F.log(F.greatest(F.element_at(p, F.col("label").cast("int") + 1),
-                                                    F.lit(1e-15))))
-    s = s.withColumn("pred", F.col("prediction").cast("int"))
-    per_batch = s.groupBy("_part", "batch_id").agg(
-        F.avg("loss").alias("_bl"), F.count(F.lit(1)).alias("_n"),
-        F.sum(F.when(F.col("pred") == F.col("label"), 1).otherwise(0)).alias("_c"))
-    rows = per_batch.groupBy("_part").agg(F.avg("_bl").alias("loss"),
-                                          (F.sum("_c") / F.sum("_n")).alias("accuracy")).collect()
-    return {r["_part"]: (float(r.loss), float(r.accuracy)) for r in rows}
-
-
-def train_with_history(train: DataFrame, val: DataFrame, vocab: DataFrame,
-                       cfg: TrainConfig, n_train: int | None = None,
-                       n_val: int | None = None) -> tuple[PipelineModel, DataFrame]:
-    """Warm-started rounds with history and early stopping; returns the best
-    model and ``history(epoch, train_loss, val_loss, train_accuracy,
-    val_accuracy, step_size)``.  Known part sizes skip the emptiness jobs."""
-    spark = train.sparkSession
-    if (n_train == 0) if n_train is not None else train.isEmpty():
+def tokens_stage(cfg: TrainConfig, vocab: DataFrame | None = None) -> Tokens:
+    """The configured tokenizer; ``vocab`` is a WordPiece vocabulary."""
+    options = {"n": cfg.ngram, **cfg.tokenizer_options} if cfg.tokenizer == "edgegram" else cfg.tokenizer_options
+    return Tokens(tokenizer=cfg.tokenizer, options=json.dumps(options), vocab=vocab)
+
+
+def features(rows: DataFrame, stage: Tokens, cfg: TrainConfig) -> DataFrame:
+    """``(doc_id, label, ids)``: a slot for each of the first ``max_length`` tokens."""
+    made = stage.transform(rows)
+    ids = network.slot_ids(F.col(stage.getOutputCol()), cfg.slots, cfg.max_length)
+    return made.select("doc_id", F.col("label").cast("int").alias("label"), ids.alias("ids"))
+
+
+def train_with_history(train: DataFrame, val: DataFrame, cfg: TrainConfig, n_train: int | None = None,
+                       n_val: int | None = None, wordpiece_vocab: DataFrame | None = None,
+                       rounds_dir: str | None = None) -> tuple[PipelineModel, DataFrame]:
+    """Rounds with history and early stopping; returns the best model and
+    ``history(epoch, train_loss, val_loss, train_accuracy, val_accuracy,
+    step_size)``.  A run over a ``rounds_dir`` with finished rounds goes on
+    after them."""
+    if cfg.mode not in MODES:
+        raise ValueError(f"the mode is one of {MODES}, not {cfg.mode!r}")
+    n_train = train.count() if n_train is None else n_train
+    if n_train == 0:
         raise ValueError("train set is empty")
     if (n_val == 0) if n_val is not None else val.isEmpty():
         raise ValueError("validation set is empty")
-    vocabulary = feature_vocabulary(vocab, cfg.max_features)
-    feats = PipelineModel(feature_pipeline(vocabulary, cfg.max_length, cfg.ngram))
-    # Batches are fixed once (training batches shuffled with the seed,
-    # validation batches in corpus order), then features are cached.
+    stage = tokens_stage(cfg, wordpiece_vocab)
     order = "doc_ord" if "doc_ord" in val.columns else "doc_id"
-    # Only ids are ranked, and only features are kept.
-    def part(rows: DataFrame, name: str, **how) -> DataFrame:
-        made = feats.transform(rows).select("doc_id", "label", "features", F.lit(name).alias("_part"))
-        keys = rows.select(*dict.fromkeys(["doc_id", order]))
-        return made.join(assign_batches(keys, cfg.batch_size, **how).select("doc_id", "batch_id"), "doc_id").persist()
-
-    tr = part(train, "train", shuffle_seed=cfg.seed)
-    va = part(val, "val", order_col=order)
-    layers = _layers(len(vocabulary), len(cfg.language_map), cfg)
-
-    history, best, best_loss, bad, plateau = [], None, float("inf"), 0, 0
-    step, weights = cfg.lr, None
-    try:
-        for epoch in range(1, cfg.epochs + 1):
-            model = _mlp(cfg, layers, cfg.iters_per_epoch, step, weights).fit(tr)
-            weights = model.weights
-            m = _epoch_metrics(model.transform(tr.unionByName(va)))
-            (tr_loss, tr_acc), (va_loss, va_acc) = m["train"], m["val"]
-            history.append((epoch, tr_loss, va_loss, tr_acc, va_acc, step))
-            if va_loss < best_loss:
-                best_loss, best, bad, plateau = va_loss, model, 0, 0
-            else:
-                bad += 1
-                plateau += 1
-                if cfg.solver == "gd" and plateau > cfg.lr_patience:
-                    step, plateau = step * cfg.lr_factor, 0
-                if bad >= cfg.early_stopping:
-                    break
-    finally:
-        tr.unpersist()
-        va.unpersist()
-    hist = spark.createDataFrame(history, "epoch int, train_loss double, val_loss double, "
-                                          "train_accuracy double, val_accuracy double, step_size double")
-    return PipelineModel(feats.stages + [best]), hist
-
-
-def fit_language_classifier(train: DataFrame, vocab: DataFrame, cfg: TrainConfig) -> PipelineModel:
-    """One fit of the full pipeline (no history)."""
-    vocabulary = feature_vocabulary(vocab, cfg.max_features)
-    stages = feature_pipeline(vocabulary, cfg.max_length, cfg.ngram)
-    mlp = _mlp(cfg, _layers(len(vocabulary), len(cfg.language_map), cfg),
-               cfg.iters_per_epoch * cfg.epochs, cfg.lr)
-    return Pipeline(stages=stages + [mlp]).fit(train)
-
-
-def fit_baseline(train: DataFrame, vocab: DataFrame, cfg: TrainConfig) -> PipelineModel:
-    """Multinomial logistic regression on the same features (weight decay
-    as L2 ``regParam``)."""
-    vocabulary = feature_vocabulary(vocab, cfg.max_features)
+    keys = assign_batches(val.select(*dict.fromkeys(["doc_id", order])), cfg.batch_size, order_col=order)
+    tr = materialize(features(train, stage, cfg))
+    va = materialize(features(val, stage, cfg).join(keys.select("doc_id", "batch_id"), "doc_id"))
+    settings = {k: v for k, v in asdict(cfg).items() if k not in ("language_map", "tokenizer_options")}
+    weights, history = network.fit_rounds(tr, va, settings, n_train, len(cfg.language_map), rounds_dir)
+    scoring = {k: settings[k] for k in ("slots", "max_length", "mode")}
+    return PipelineModel([stage, network.NetworkModel(weights, scoring, stage.getOutputCol())]), history
+
+
+def fit_baseline(train: DataFrame, cfg: TrainConfig) -> PipelineModel:
+    """Multinomial logistic regression on hashed token shares of whole texts
+    (weight decay as L2 ``regParam``)."""
+    stage = tokens_stage(cfg)
+    counts = HashingTF(numFeatures=cfg.slots, inputCol=stage.getOutputCol(), outputCol="_counts")
+    shares = Normalizer(p=1.0, inputCol="_counts", outputCol="features")
     lr = LogisticRegression(family="multinomial", regParam=cfg.weight_decay, maxIter=100,
                             labelCol="label", featuresCol="features")
-    return Pipeline(stages=feature_pipeline(vocabulary, cfg.max_length, cfg.ngram) + [lr]).fit(train)
+    return Pipeline(stages=[stage, counts, shares, lr]).fit(train)
 
 
 def predict_language(model: PipelineModel, df: DataFrame,
@@ -194,8 +116,8 @@ def predict_language(model: PipelineModel, df: DataFrame,
     """Adds ``pred`` (int), ``proba`` (array) and ``predicted_language``;
     works on streaming DataFrames too (all stages are row-wise)."""
     out = model.transform(df)
-    out = out.withColumn("pred", F.col("prediction").cast("int")) \
-             .withColumn("proba", vector_to_array("probability"))
+    if "prediction" in out.columns:  # the baseline's names
+        out = out.withColumn("pred", F.col("prediction").cast("int")).withColumn("proba", vector_to_array("probability"))
     out = decode_label(out, language_map or DEFAULT_LANGUAGE_MAP, "pred", "predicted_language")
     return out.drop("_tokens", "_counts", "features", "rawPrediction", "probability", "prediction")
 

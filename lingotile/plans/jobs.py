@@ -57,30 +57,53 @@ def run_comparison(spark: SparkSession, corpus: DataFrame, languages: list[str]
 
 def pipeline_info(cfg: clf.TrainConfig, vocab_size: int, n_train: int, n_val: int) -> dict:
     return {"vocab_size": vocab_size, "max_length": cfg.max_length, "batch_size": cfg.batch_size,
-            "train_ratio": cfg.train_ratio, "shuffle": True, "stratify_split": cfg.stratify,
+            "train_ratio": cfg.train_ratio, "shuffle": cfg.shuffle, "stratify_split": cfg.stratify,
             "language_map": cfg.language_map, "train_samples": n_train, "val_samples": n_val,
             "vocab_built": True, "seed": cfg.seed}
 
 
 def split_corpus(df: DataFrame, cfg: clf.TrainConfig) -> DataFrame:
-    """Stratified when possible, else the clamped random split."""
-    if cfg.stratify:
+    """Stratified when possible, else the clamped random split; without
+    ``shuffle`` a cut in corpus order."""
+    if cfg.stratify and cfg.shuffle:
         ok = sp.can_stratify(df).first()
         if ok is not None and ok.can_stratify:
             return sp.stratified_split(df, cfg.train_ratio, cfg.seed)
-    return sp.random_split(df, cfg.train_ratio, cfg.seed, clamp=True)
+    return sp.random_split(df, cfg.train_ratio, cfg.seed, clamp=True, shuffle=cfg.shuffle)
+
+
+def prepare_training(corpus: DataFrame, cfg: clf.TrainConfig, wordpiece_vocab: DataFrame | None = None) -> dict:
+    """Split and vocabulary of a labelled corpus ``(doc_id, doc_ord, text,
+    label, ...)`` and what is known before training.  Only ids, labels and
+    parts are written; texts are read again from the corpus."""
+    keys = corpus.select("doc_id", "doc_ord", "label")
+    parts = vb.materialize(split_corpus(keys, cfg).select("doc_id", "split"))
+    split = corpus.join(parts, "doc_id")
+    if cfg.vocab_scope not in ("all", "train"):
+        raise ValueError(f"the vocabulary's scope is 'all' or 'train', not {cfg.vocab_scope!r}")
+    scope = corpus if cfg.vocab_scope == "all" else split.where(F.col("split") == "train")
+    if wordpiece_vocab is not None:
+        vocab = wordpiece_vocab
+    else:
+        stage = clf.tokens_stage(cfg)
+        vocab = vb.materialize(vb.build_vocab(vb.token_rows(stage.transform(scope), F.col(stage.getOutputCol())),
+                                              specials=tx.SPECIALS_SHORT))
+    sizes = {r["split"]: r["n"] for r in parts.groupBy("split").agg(F.count(F.lit(1)).alias("n")).collect()}
+    info = pipeline_info(cfg, vb.vocab_size(vocab), sizes.get("train", 0), sizes.get("val", 0))
+    return {"vocab": vocab, "split": split, "pipeline_info": info}
 
 
 def run_training(spark: SparkSession, cfg: clf.TrainConfig | None = None,
                  corpus: DataFrame | None = None, csv_path: str | None = None,
                  data_dir: str | None = None, txt_files: dict | None = None,
                  csv_text_col: str = "text", csv_language_col: str = "language",
-                 csv_label_col: str | None = None,
-                 artifacts_dir: str | None = None) -> dict:
-    """Load (or take) a labelled corpus, build the growing edgegram
-    vocabulary over all texts, split, train with history and early stopping,
-    evaluate on the validation part, and optionally write the model and a
-    JSON run summary under ``artifacts_dir``."""
+                 csv_label_col: str | None = None, artifacts_dir: str | None = None,
+                 wordpiece_vocab: DataFrame | None = None, rounds_dir: str | None = None) -> dict:
+    """Load (or take) a labelled corpus, build the vocabulary, split, train
+    with history and early stopping, evaluate on the validation part, and
+    optionally write the model and a JSON run summary under
+    ``artifacts_dir``.  The tokenizer, the mode and all else are in ``cfg``;
+    ``rounds_dir`` makes the training resumable."""
     cfg = cfg or clf.TrainConfig()
     source = "given"
     if corpus is None:
@@ -89,26 +112,23 @@ def run_training(spark: SparkSession, cfg: clf.TrainConfig | None = None,
                                       cfg.language_map)
     if corpus.isEmpty():
         raise ValueError("the corpus is empty: nothing to train on")
-    if "doc_ord" not in corpus.columns:
-        corpus = corpus.withColumn("doc_ord", F.monotonically_increasing_id())
     if "doc_id" not in corpus.columns:
-        corpus = corpus.withColumn("doc_id", F.col("doc_ord"))
-    vocab = vb.materialize(vb.build_vocab(vb.token_rows(corpus, tx.edgegrams("text", cfg.ngram)),
-                                          specials=tx.SPECIALS_SHORT))
-    parts = vb.materialize(split_corpus(corpus, cfg))
-    sizes = {r["split"]: r["n"] for r in parts.groupBy("split").agg(F.count(F.lit(1)).alias("n")).collect()}
-    n_train, n_val = sizes.get("train", 0), sizes.get("val", 0)
-    train = parts.where(F.col("split") == "train")
-    val = parts.where(F.col("split") == "val")
-    model, history = clf.train_with_history(train, val, vocab, cfg, n_train, n_val)
+        raise ValueError("the corpus has no doc_id: splits need ids that do not depend on partitioning")
+    if "doc_ord" not in corpus.columns:
+        corpus = corpus.withColumn("doc_ord", F.col("doc_id"))
+    ready = prepare_training(corpus, cfg, wordpiece_vocab)
+    info, split = ready["pipeline_info"], ready["split"]
+    train = split.where(F.col("split") == "train")
+    val = split.where(F.col("split") == "val")
+    model, history = clf.train_with_history(train, val, cfg, info["train_samples"], info["val_samples"],
+                                            wordpiece_vocab, rounds_dir)
     per_class, evaluation = clf.evaluate_model(model, val, cfg.language_map)
-    info = pipeline_info(cfg, vb.vocab_size(vocab), n_train, n_val)
     if artifacts_dir:
         clf.save_model(model, f"{artifacts_dir.rstrip('/')}/model")
         sk.write_run_summary(spark, f"{artifacts_dir.rstrip('/')}/training_summary",
                              clf.config_dict(cfg), info, history, evaluation)
     return {"source": source, "model": model, "history": history, "per_class": per_class,
-            "evaluation": evaluation, "pipeline_info": info, "vocab": vocab, "split": parts}
+            "evaluation": evaluation, **ready}
 
 
 def info_frame(spark: SparkSession, info: dict) -> DataFrame:

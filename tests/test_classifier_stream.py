@@ -8,8 +8,7 @@ from lingotile.sources.readers import sample_corpus
 
 
 def test_training_job_on_sample_corpus(spark):
-    cfg = clf.TrainConfig(embedding_dim=16, hidden_dim=16, num_layers=1, epochs=4, iters_per_epoch=10,
-                          early_stopping=2, max_features=500)
+    cfg = clf.TrainConfig(embedding_dim=16, hidden_dim=16, num_layers=1, epochs=4, lr=2e-2, early_stopping=2)
     out = tempfile.mkdtemp(prefix="lingotile-art-")
     res = jobs.run_training(spark, cfg, corpus=sample_corpus(spark, 10), artifacts_dir=out)
     hist = res["history"].orderBy("epoch").collect()
@@ -32,8 +31,7 @@ def test_streaming_predict_and_encode(spark):
     from lingotile.operators import vocab as vb
     from lingotile.streaming import stream as st
 
-    cfg = clf.TrainConfig(embedding_dim=8, hidden_dim=8, num_layers=1, epochs=1, iters_per_epoch=5,
-                          max_features=500)
+    cfg = clf.TrainConfig(embedding_dim=8, hidden_dim=8, num_layers=1, epochs=1)
     res = jobs.run_training(spark, cfg, corpus=sample_corpus(spark, 3))
     s = st.read_table_stream(spark, "/root/testdata/sf0.001", "documents.parquet")
     q = (st.predict_stream(res["model"], s).select("doc_id", "pred").writeStream.format("memory")
