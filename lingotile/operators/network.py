@@ -1,7 +1,8 @@
 """The classifier's network: token embeddings, hidden layers, training in rounds.
 
 Every token of a text counts: tokens are hashed into ``slots`` embedding rows,
-so no vocabulary is cut and a token never seen in training has a row too.  The
+so no vocabulary is cut; a token never seen in training has the zero row, which
+counts in the mean as an unknown token would.  The
 embeddings of a text's first ``max_length`` tokens are averaged (``mean``), or
 laid out one after the other with zeros for padding (``flatten``), and pass
 ``num_layers`` hidden layers (linear, ReLU, dropout) and a linear output.
@@ -12,9 +13,10 @@ rows in the round's seeded order through mini-batches of Adam, starting from
 the weights of the round before.  The gradient of the embeddings is sparse:
 only the rows of a batch's tokens are touched, and only touched rows leave the
 task.  Row by row, the shards' results are averaged by the batches that
-touched them (in shard order, so sums are exact repeats).  A model has
+touched them (in shard order, so sums are exact repeats).  A model has at most
 ``slots * embedding_dim`` numbers and those of the layers, whatever the
-corpus, so its size is a parameter; it is what the driver holds and sends.
+corpus, so its size is bounded by parameters; the driver holds it, and sends
+the embedding rows that were ever touched.
 
 Each round's weights and metrics are written below ``rounds_dir``; Spark's
 success mark makes a round count.  A run that finds finished rounds there goes
@@ -46,11 +48,15 @@ def slot_ids(tokens: Column, slots: int, max_length: int) -> Column:
     return F.transform(F.slice(tokens, 1, max_length), lambda t: (F.pmod(F.xxhash64(t), F.lit(slots)) + 1).cast("int"))
 
 
+STARTS = 1021  # distinct starting rows of the embeddings
+
+
 def initial(slots: int, embedding_dim: int, hidden_dim: int, num_layers: int, classes: int, mode: str,
             max_length: int, seed: int) -> dict[str, np.ndarray]:
     """Weights before training; the padding row is zero and stays so."""
     rng = np.random.default_rng(seed)
-    weights = {"embedding": rng.normal(0, 0.1, (slots + 1, embedding_dim)).astype(np.float32)}
+    starts = rng.normal(0, 0.1, (STARTS, embedding_dim)).astype(np.float32)
+    weights = {"embedding": starts[np.arange(slots + 1) % STARTS]}
     weights["embedding"][0] = 0
     width = embedding_dim * (max_length if mode == "flatten" else 1)
     for k, size in enumerate([*[hidden_dim] * num_layers, classes]):
@@ -61,6 +67,22 @@ def initial(slots: int, embedding_dim: int, hidden_dim: int, num_layers: int, cl
     return weights
 
 
+def packed(state: dict[str, tuple], seen: np.ndarray) -> dict:
+    """The layers, and the embedding rows that were touched with their numbers."""
+    at = np.flatnonzero(seen)
+    return {**{k: v for k, v in state.items() if k != "embedding"}, "slots": at,
+            "embedding": tuple(x[at] for x in state["embedding"])}
+
+
+def unpacked(sent: dict, cfg: dict, classes: int) -> dict[str, tuple]:
+    shape = {k: cfg[k] for k in ("slots", "embedding_dim", "hidden_dim", "num_layers", "mode", "max_length", "seed")}
+    state = _state(initial(classes=classes, **shape))
+    for name, parts in state.items():
+        for x, y in zip(parts, sent[name]):
+            x[sent["slots"] if name == "embedding" else slice(None)] = y
+    return state
+
+
 class Network:
     """Forward and backward passes over a mini-batch of id lists."""
 
@@ -147,7 +169,7 @@ class Adam:
             w[at] -= self.lr * (m[at] / (1 - BETA1 ** self.t)) / (np.sqrt(v[at] / (1 - BETA2 ** self.t)) + EPSILON)
 
 
-def _round(shared, cfg: dict, epoch: int, steps: int, lr: float):
+def _round(shared, cfg: dict, classes: int, epoch: int, steps: int, lr: float):
     """mapInPandas function over rows sorted by (shard, order): each shard's trained rows and its loss."""
     def finished(shard, opt, touched, stats):
         out = [(STATS, 0, shard, 1.0, np.array(stats, np.float64).tobytes())]
@@ -180,7 +202,7 @@ def _round(shared, cfg: dict, epoch: int, steps: int, lr: float):
                             trained()
                         yield finished(shard, opt, touched, stats)
                     shard, stats = int(s), [0.0, 0.0, 0.0, 0.0]
-                    state = {k: tuple(x.copy() for x in v) for k, v in shared.value.items()}
+                    state = unpacked(shared.value, cfg, classes)
                     opt = Adam(state, steps, lr, cfg["weight_decay"])
                     net = Network({k: v[0] for k, v in state.items()}, cfg["mode"], cfg["max_length"])
                     rng = np.random.default_rng([cfg["seed"], epoch, shard])
@@ -218,9 +240,10 @@ def _state(weights: dict[str, np.ndarray]) -> dict[str, tuple]:
     return {k: (w, np.zeros_like(w), np.zeros_like(w)) for k, w in weights.items()}
 
 
-def _loaded(spark: SparkSession, path: str, state: dict[str, tuple]) -> np.ndarray:
-    """Puts a round's written rows into ``state``; returns its statistics.
-    The rows are those of the model, whose size is a parameter."""
+def _loaded(spark: SparkSession, path: str, state: dict[str, tuple], seen: np.ndarray) -> np.ndarray:
+    """Puts a round's written rows into ``state`` and marks the embedding rows
+    ``seen``; returns its statistics.  The rows are those of the model, whose
+    size is bounded by parameters."""
     stats = np.zeros(4)
     rows = spark.read.parquet(path).select("name", "idx", "vec").toPandas()
     for name, idx, vec in zip(rows["name"], rows["idx"], rows["vec"]):
@@ -229,9 +252,18 @@ def _loaded(spark: SparkSession, path: str, state: dict[str, tuple]) -> np.ndarr
         else:
             for part, x in zip(state[name], np.split(np.frombuffer(vec, np.float32), 3)):
                 part[idx] = x
+            if name == "embedding":
+                seen[idx] = True
     return stats
 
 
+def scoring_weights(state: dict[str, tuple], seen: np.ndarray) -> dict[str, np.ndarray]:
+    """What a model keeps: the layers and the seen embedding rows with their slots."""
+    at = np.flatnonzero(seen)
+    layers = {k: v[0].copy() for k, v in state.items() if k != "embedding"}
+    return {**layers, "seen": at.astype(np.float64)[:, None], "embedding": state["embedding"][0][at]}
+
+
 class NetworkModel(Model, MLReadable, MLWritable):
     """Scores token arrays: adds ``proba`` (array) and ``pred``; row-wise, so
     it runs on streams too."""
@@ -250,7 +282,10 @@ class NetworkModel(Model, MLReadable, MLWritable):
 
         @F.pandas_udf("array<double>")
         def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            net = Network(shared.value, cfg["mode"], cfg["max_length"])
+            weights = dict(shared.value)
+            table = np.zeros((cfg["slots"] + 1, weights["embedding"].shape[1]), np.float32)
+            table[weights["seen"][:, 0].astype(np.int64)] = weights["embedding"]
+            net = Network({**{k: w for k, w in weights.items() if k != "seen"}, "embedding": table}, cfg["mode"], cfg["max_length"])
             for ids in batches:
                 yield pd.Series(list(softmax(net.forward([np.asarray(x) for x in ids])[0])) if len(ids) else [], dtype=object)
 
@@ -279,7 +314,7 @@ class _Writer(MLWriter):
     def saveImpl(self, path: str) -> None:
         DefaultParamsWriter.saveMetadata(self.model, path, self.sparkSession)
         rows = [(name, i, row.tolist()) for name, w in self.model.weights.items() for i, row in enumerate(w)]
-        self.sparkSession.createDataFrame(rows, "name string, idx int, vec array<float>").write.parquet(
+        self.sparkSession.createDataFrame(rows, "name string, idx int, vec array<double>").write.parquet(
             f"{path.rstrip('/')}/weights")
 
 
@@ -297,7 +332,7 @@ class _Reader(MLReader):
         rows = self.sparkSession.read.parquet(f"{path.rstrip('/')}/weights").select("name", "idx", "vec").toPandas()
         for name, idx, vec in zip(rows["name"], rows["idx"], rows["vec"]):
             parts.setdefault(name, {})[idx] = vec
-        model.weights = {k: np.array([v[i] for i in range(len(v))], np.float32) for k, v in parts.items()}
+        model.weights = {k: np.array([v[i] for i in range(len(v))], np.float64 if k == "seen" else np.float32) for k, v in parts.items()}
         return model
 
 
@@ -316,7 +351,7 @@ def fit_rounds(train: DataFrame, val: DataFrame, cfg: dict, n_train: int, classe
     ship_package(spark)
     rounds_dir = (rounds_dir or scratch_path(spark, "rounds")).rstrip("/")
     shape = {k: cfg[k] for k in ("slots", "embedding_dim", "hidden_dim", "num_layers", "mode", "max_length", "seed")}
-    state = _state(initial(classes=classes, **shape))
+    state, seen = _state(initial(classes=classes, **shape)), np.zeros(cfg["slots"] + 1, bool)
     shards = cfg["shards"] or shards_for(n_train)
     key = F.xxhash64(F.lit(cfg["seed"]), F.col("doc_id"))
     dealt = train.select("doc_id", "label", "ids", F.pmod(key, F.lit(shards)).cast("int").alias("shard"))
@@ -341,20 +376,20 @@ def fit_rounds(train: DataFrame, val: DataFrame, cfg: dict, n_train: int, classe
         history.append(tuple(spark.read.schema(columns).parquet(f"{rounds_dir}/metrics={k}").first()))
     if history:
         for k in range(1, len(history) + 1):  # a row keeps the last round that touched it
-            _loaded(spark, f"{rounds_dir}/weights={k}", state)
+            _loaded(spark, f"{rounds_dir}/weights={k}", state, seen)
     while len(history) < cfg["epochs"]:
         lr, bad, steps = ahead()
         if bad >= cfg["early_stopping"]:
             break
         epoch = len(history) + 1
         order = F.xxhash64(F.lit(cfg["seed"]), F.lit(epoch), F.col("doc_id")) if cfg["shuffle"] else F.col("doc_id")
-        shared = spark.sparkContext.broadcast(state)
+        shared = spark.sparkContext.broadcast(packed(state, seen))
         rows = dealt.withColumn("_o", order).repartition(shards, "shard").sortWithinPartitions("shard", "_o", "doc_id")
-        parts = rows.select("shard", "label", "ids").mapInPandas(_round(shared, cfg, epoch, steps, lr), ROWS)
+        parts = rows.select("shard", "label", "ids").mapInPandas(_round(shared, cfg, classes, epoch, steps, lr), ROWS)
         _averaged(parts).write.mode("overwrite").parquet(f"{rounds_dir}/weights={epoch}")
-        stats = _loaded(spark, f"{rounds_dir}/weights={epoch}", state)
+        stats = _loaded(spark, f"{rounds_dir}/weights={epoch}", state, seen)
         shared.unpersist()
-        scorer = NetworkModel({k: v[0] for k, v in state.items()}, cfg)
+        scorer = NetworkModel(scoring_weights(state, seen), cfg)
         scored = val.select("label", "batch_id", scorer.score(F.col("ids"), spark).alias("p"))
         scored = scored.select("batch_id", (-F.log(F.greatest(F.element_at("p", F.col("label") + 1), F.lit(1e-12)))).alias("loss"),
                                (F.array_position("p", F.array_max("p")) - 1 == F.col("label")).cast("int").alias("hit"))
@@ -362,11 +397,12 @@ def fit_rounds(train: DataFrame, val: DataFrame, cfg: dict, n_train: int, classe
             F.avg("loss"), F.sum("hits") / F.sum("n")).first()
         made = (epoch, float(stats[0] / stats[1]), float(v[0]), float(stats[2] / stats[3]), float(v[1]), lr,
                 steps + -(-int(stats[1]) // shards))
-        spark.createDataFrame([made], columns).coalesce(1).write.mode("overwrite").parquet(f"{rounds_dir}/metrics={epoch}")
+        fields = [F.lit(x).cast(c.split()[1]).alias(c.split()[0]) for x, c in zip(made, columns.split(", "))]
+        spark.range(1).select(*fields).coalesce(1).write.mode("overwrite").parquet(f"{rounds_dir}/metrics={epoch}")
         history.append(made)
     best = min(history, key=lambda h: h[2])[0]
     if best < len(history):
-        state = _state(initial(classes=classes, **shape))
+        state, seen = _state(initial(classes=classes, **shape)), np.zeros(cfg["slots"] + 1, bool)
         for k in range(1, best + 1):
-            _loaded(spark, f"{rounds_dir}/weights={k}", state)
-    return {k: v[0] for k, v in state.items()}, spark.createDataFrame(history, columns).drop("steps")
+            _loaded(spark, f"{rounds_dir}/weights={k}", state, seen)
+    return scoring_weights(state, seen), spark.createDataFrame(history, columns).drop("steps")
