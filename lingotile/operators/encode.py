@@ -8,11 +8,15 @@ vocabulary the only exchange moves one id array per document, never the
 text or the token rows.  Small key columns named in ``keep`` travel with
 the rows; other columns are joined back only when asked for.
 
-Vocabulary sides are broadcast only behind a row-count check.  Larger
-vocabularies take the hot/cold path: the most frequent tokens (a bounded
-set) are still broadcast, the rest go through a shuffle join in which no
-key can be heavier than the lightest hot token, so a token that holds a
-third of the corpus never lands in a single task.
+A vocabulary is broadcast if its measured bytes are within the session's
+``spark.sql.autoBroadcastJoinThreshold``.  Beyond, token rows are joined by
+(salt, token), the salt a hash of the document: the distinct pairs of the
+rows meet the vocabulary first (a token has one pair a salt there, however
+often it occurs), then the rows meet their pairs, where a token is spread over
+all salts.  So no task gets one token's rows, be the token in the vocabulary
+or not.
+
+Keys of a vocabulary must be unique; a repeated one raises.
 """
 
 from __future__ import annotations
@@ -21,17 +25,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lingotile.functions.text import PAD, UNK
-from lingotile.operators.ranking import broadcast_if_small
+from lingotile.operators.ranking import broadcast_limit, measured
 
-BROADCAST_VOCAB_ROWS = 2_000_000
-HOT_TOKENS = 1_000_000
-# Vocabularies up to this size are also turned into dense array literals
-# (model constants, like a lookup table compiled into the plan): a
-# single-character vocabulary indexed by code point for encoding, and any
-# small vocabulary indexed by id for decoding.  No explode, join or
-# regroup: a pure projection.
-LITERAL_VOCAB_ROWS = 4096
-MAX_LITERAL_CODE_POINT = 65535
+SALTS_PER_PARTITION = 32
 
 
 def _col(c: Column | str) -> Column:
@@ -63,60 +59,43 @@ def _attach(df: DataFrame, grouped: DataFrame, key: str, keep: list[str] | None)
     return grouped
 
 
-def _lookup(rows: DataFrame, rows_key: str, vocab: DataFrame, vocab_key: str, value: str,
-            out: str, broadcast_rows: int | None = None, hot_rows: int | None = None) -> DataFrame:
-    """Left-join ``rows`` to ``vocab(vocab_key -> value)`` as column ``out``
-    (null when absent)."""
-    broadcast_rows = BROADCAST_VOCAB_ROWS if broadcast_rows is None else broadcast_rows
-    hot_rows = HOT_TOKENS if hot_rows is None else hot_rows
-    side = vocab.select(F.col(vocab_key).alias("_k"), F.col(value).alias(out))
-    small, is_small = broadcast_if_small(side, broadcast_rows)
-    if is_small:
-        return rows.join(small, rows[rows_key] == small["_k"], "left").drop("_k")
-    if "freq" not in vocab.columns or hot_rows <= 0:
-        return rows.join(side, rows[rows_key] == side["_k"], "left").drop("_k")
-    # Hot/cold split: the specials (no frequency) and the top ``hot_rows`` tokens by frequency (bounded) are
-    # broadcast; only the remaining, lighter keys are shuffled.
-    hot = (vocab.orderBy(F.col("freq").desc_nulls_first(), F.col(vocab_key)).limit(hot_rows)
-           .select(F.col(vocab_key).alias("_k"), F.col(value).alias("_hot")))
-    probed = rows.join(F.broadcast(hot), rows[rows_key] == hot["_k"], "left").drop("_k")
-    known = F.col("_hot").isNotNull() | F.col(rows_key).isNull()   # empty documents match nothing
-    hit = probed.where(known).withColumnRenamed("_hot", out)
-    miss = probed.where(~known).drop("_hot")
-    cold = miss.join(side, miss[rows_key] == side["_k"], "left").drop("_k")
-    return hit.unionByName(cold)
+def lookup(rows: DataFrame, rows_key: str, table: DataFrame, table_key: str, value: str,
+           out: str, salt_by: str) -> DataFrame:
+    """Left-join ``rows`` to ``table(table_key -> value)`` as column ``out``
+    (null when absent); ``salt_by`` is a column that spreads a key's rows."""
+    side = table.select(F.col(table_key).alias("_k"), F.col(value).alias(out))
+    size, most = measured(side, "_k")
+    if most > 1:
+        raise ValueError(f"the lookup table holds a value of {table_key} {most} times")
+    if size <= broadcast_limit(rows):
+        return rows.join(F.broadcast(side), rows[rows_key] == side["_k"], "left").drop("_k")
+    salts = SALTS_PER_PARTITION * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(salt_by), F.lit(salts)))
+    pairs = salted.where(F.col(rows_key).isNotNull()).select(
+        F.col("_salt").alias("_salt_of"), F.col(rows_key).alias("_probe")).distinct()
+    found = pairs.join(side, pairs["_probe"] == side["_k"]).select("_salt_of", "_k", out)
+    return salted.join(found, (salted["_salt"] == found["_salt_of"]) & (salted[rows_key] == found["_k"]), "left").drop(
+        "_salt", "_salt_of", "_k")
 
 
-def _small_vocab_rows(vocab: DataFrame) -> list | None:
-    """The (id, token) rows of a vocabulary proven to be small, else None."""
-    from lingotile.operators.ranking import row_count_at_most
+# A vocabulary made from an alphabet in the program is an array literal,
+# indexed by code point for encoding and by id for decoding: no explode, join
+# or regroup.  ``vocab.char_vocab`` leaves its entries on the table it returns.
+ENTRIES = "_alphabet_entries"
 
-    if not row_count_at_most(vocab, LITERAL_VOCAB_ROWS):
-        return None
-    return [(int(r[0]), r[1]) for r in vocab.select("id", "token").collect()]
 
+def _entries(vocab: DataFrame) -> list | None:
+    return vocab.__dict__.get(ENTRIES)
 
-MAX_MULTI_CHAR_LITERALS = 64
 
-
-def char_id_table(rows: list) -> tuple[list, dict] | None:
+def char_id_table(rows: list) -> tuple[list, dict]:
     """Dense code point -> id list for the single-character entries, plus the
-    (few) multi-character entries (the specials); None when the vocabulary
-    is not character-like."""
-    if not rows or any(t is None or t == "" for _, t in rows):
-        return None
-    single = [(i, t) for i, t in rows if len(t) == 1]
-    multi = {t: i for i, t in rows if len(t) != 1}
-    if not single or len(multi) > MAX_MULTI_CHAR_LITERALS:
-        return None
-    top = max(ord(t) for _, t in single)
-    if top > MAX_LITERAL_CODE_POINT:
-        return None
-    table = [None] * (top + 1)
-    for i, t in single:
-        if table[ord(t)] is None:
-            table[ord(t)] = i
-    return table, multi
+    specials."""
+    single = {t: i for i, t in rows if len(t) == 1}
+    table = [None] * (max(map(ord, single), default=0) + 1)
+    for t, i in single.items():
+        table[ord(t)] = i
+    return table, {t: i for i, t in rows if len(t) != 1}
 
 
 def encode_with_table(tokens: Column, table: tuple[list, dict], unk_id: int = 1) -> Column:
@@ -128,13 +107,13 @@ def encode_with_table(tokens: Column, table: tuple[list, dict], unk_id: int = 1)
         m = F.create_map(*[x for t, i in multi.items() for x in (F.lit(t), F.lit(i).cast("bigint"))])
     unk = F.lit(unk_id).cast("bigint")
 
-    def lookup(c):
+    def id_of(c):
         one = F.try_element_at(arr, F.ascii(c) + 1)
         if not multi:
             return F.coalesce(F.when(F.length(c) == 1, one), unk)
         return F.coalesce(F.when(F.length(c) == 1, one).otherwise(F.element_at(m, c)), unk)
 
-    return F.transform(tokens, lookup)
+    return F.transform(F.coalesce(tokens, F.array().cast("array<string>")), id_of)
 
 
 def decode_with_table(ids: Column, rows: list, unk_token: str | None, drop: list[str]) -> Column:
@@ -145,7 +124,7 @@ def decode_with_table(ids: Column, rows: list, unk_token: str | None, drop: list
     for i, t in rows:
         table[i] = t
     arr = F.array(*[F.lit(t).cast("string") for t in table])
-    looked = F.transform(ids, lambda i: F.when((i >= 0) & (i <= top), F.try_element_at(arr, (i + 1).cast("int"))))
+    looked = F.transform(F.coalesce(ids, F.array().cast("array<bigint>")), lambda i: F.when((i >= 0) & (i <= top), F.try_element_at(arr, (i + 1).cast("int"))))
     if unk_token is not None:
         looked = F.transform(looked, lambda t: F.coalesce(t, F.lit(unk_token)))
     else:
@@ -157,23 +136,21 @@ def decode_with_table(ids: Column, rows: list, unk_token: str | None, drop: list
 
 def encode(df: DataFrame, tokens: Column | str, vocab: DataFrame, key: str = "doc_id",
            out: str = "ids", unk_id: int = 1, lowercase: bool = False,
-           keep: list[str] | None = None,
-           broadcast_rows: int | None = None, hot_rows: int | None = None) -> DataFrame:
+           keep: list[str] | None = None) -> DataFrame:
     """Adds ``out ARRAY<BIGINT>``: token ids in order, unknown -> ``unk_id``.
-    ``key`` must be unique per row; rows with no tokens get ``[]``.  The
+    ``key`` must be unique per row; rows with no (or null) tokens get ``[]``.  The
     result has ``key``, the ``keep`` columns and ``out`` (``keep=None``:
     all input columns, joined back)."""
     toks = _col(tokens)
     if lowercase:
         toks = F.transform(toks, F.lower)
-    small = _small_vocab_rows(vocab)
-    table = char_id_table(small) if small is not None else None
-    if table is not None:
-        res = df.withColumn(out, encode_with_table(toks, table, unk_id))
+    entries = _entries(vocab)
+    if entries is not None:
+        res = df.withColumn(out, encode_with_table(toks, char_id_table(entries), unk_id))
         return res if keep is None else res.select(key, *_carried(df, key, keep), out)
     carry = _carried(df, key, keep)
     rows = df.select(key, *carry, F.posexplode_outer(toks).alias("pos", "token"))
-    looked = _lookup(rows, "token", vocab, "token", "id", "_id", broadcast_rows, hot_rows)
+    looked = lookup(rows, "token", vocab, "token", "id", "_id", key)
     looked = looked.withColumn(
         "_id", F.when(F.col("pos").isNotNull(), F.coalesce(F.col("_id"), F.lit(unk_id).cast("bigint"))))
     return _attach(df, _regroup(looked, key, "_id", out, carry), key, keep)
@@ -182,21 +159,19 @@ def encode(df: DataFrame, tokens: Column | str, vocab: DataFrame, key: str = "do
 def decode_tokens(df: DataFrame, ids: Column | str, vocab: DataFrame, key: str = "doc_id",
                   out: str = "tokens", unk_token: str = UNK, drop_pad: bool = False,
                   skip: list[str] | None = None, unknown_dropped: bool = False,
-                  keep: list[str] | None = None,
-                  broadcast_rows: int | None = None,
-                  hot_rows: int | None = None) -> DataFrame:
+                  keep: list[str] | None = None) -> DataFrame:
     """Adds ``out ARRAY<STRING>``: ids mapped back through the vocabulary;
     unknown ids become ``unk_token`` (or are dropped), optionally the
     padding token and other listed tokens are dropped."""
     drop = list(skip or []) + ([PAD] if drop_pad else [])
-    small = _small_vocab_rows(vocab)
-    if small:
-        res = df.withColumn(out, decode_with_table(_col(ids), small,
+    entries = _entries(vocab)
+    if entries is not None:
+        res = df.withColumn(out, decode_with_table(_col(ids), entries,
                                                    None if unknown_dropped else unk_token, drop))
         return res if keep is None else res.select(key, *_carried(df, key, keep), out)
     carry = _carried(df, key, keep)
     rows = df.select(key, *carry, F.posexplode_outer(_col(ids)).alias("pos", "_i"))
-    looked = _lookup(rows, "_i", vocab, "id", "token", "_t", broadcast_rows, hot_rows)
+    looked = lookup(rows, "_i", vocab, "id", "token", "_t", key)
     tok = F.col("_t") if unknown_dropped else F.coalesce(F.col("_t"), F.lit(unk_token))
     looked = looked.withColumn("_t", F.when(F.col("pos").isNotNull(), tok))
     if drop:

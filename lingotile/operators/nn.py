@@ -18,44 +18,40 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lingotile.operators.ranking import broadcast_if_small
-
-BROADCAST_EMBEDDING_ROWS = 2_000_000
+from lingotile.operators.encode import lookup
 
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _emb_side(emb: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    side = emb.select(F.col(id_col).cast("bigint").alias("_eid"),
-                      F.col(vec_col).cast("array<double>").alias("_vec"))
-    side, _ = broadcast_if_small(side, BROADCAST_EMBEDDING_ROWS)
-    return side
+def _with_vectors(rows: DataFrame, emb: DataFrame, id_col: str, vec_col: str, key: str) -> DataFrame:
+    """``rows`` with the vector of their ``id`` as ``_vec`` (null: not in the table)."""
+    side = emb.select(F.col(id_col).cast("bigint").alias("_eid"), F.col(vec_col).cast("array<double>").alias("_v"))
+    return lookup(rows, "id", side, "_eid", "_v", "_vec", key)
 
 
 def lookup_embeddings(df: DataFrame, ids: Column | str, emb: DataFrame, key: str = "doc_id",
                       id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """``(key, pos, id, vec)`` for every position (null vec: id not in table)."""
     rows = df.select(key, F.posexplode(_col(ids)).alias("pos", "id"))
-    side = _emb_side(emb, id_col, vec_col)
-    return rows.join(side, rows["id"] == side["_eid"], "left").select(key, "pos", "id", F.col("_vec").alias("vec"))
+    return _with_vectors(rows, emb, id_col, vec_col, key).select(key, "pos", "id", F.col("_vec").alias("vec"))
 
 
 def mean_pool(df: DataFrame, ids: Column | str, emb: DataFrame, dim: int, key: str = "doc_id",
               pad_id: int = 0, out: str = "pooled", id_col: str = "vec_id",
               vec_col: str = "embedding") -> DataFrame:
     """Adds ``out ARRAY<DOUBLE>``: mean embedding over the non-padding ids;
-    a row with only padding gets the zero vector."""
+    a row with only padding gets the zero vector.  Ids that the table lacks
+    count as zero vectors."""
     counts = (df.select(key, F.explode(_col(ids)).alias("id"))
               .where(F.col("id") != pad_id)
               .groupBy(key, "id").agg(F.count(F.lit(1)).cast("double").alias("_w")))
-    side = _emb_side(emb, id_col, vec_col)
-    weighted = counts.join(side, counts["id"] == side["_eid"], "inner")
+    zero = F.array_repeat(F.lit(0.0), dim)
+    weighted = _with_vectors(counts, emb, id_col, vec_col, key).withColumn("_vec", F.coalesce("_vec", zero))
     pooled = (weighted.groupBy(key)
               .agg(Summarizer.mean(array_to_vector("_vec"), F.col("_w")).alias("_m"))
               .select(key, vector_to_array("_m", "float64").alias("_pooled")))
-    zero = F.array_repeat(F.lit(0.0), dim)
     return (df.join(pooled, key, "left")
             .withColumn(out, F.coalesce(F.col("_pooled"), zero)).drop("_pooled"))
 
@@ -67,15 +63,15 @@ def flatten_embeddings(df: DataFrame, ids: Column | str, emb: DataFrame, seq_len
     position order; padding ids map to the zero vector, a sequence of
     another length raises."""
     checked = df.withColumn("_len_ok", F.when(F.size(_col(ids)) == seq_len, F.lit(True)).otherwise(
-        F.raise_error(F.concat(F.lit(f"Expected seq_len={seq_len} for flatten mode, got "),
-                               F.size(_col(ids)).cast("string")))))
+        F.raise_error(F.concat(F.lit(f"flattening takes sequences of {seq_len} ids, this one has "),
+                               F.coalesce(F.size(_col(ids)).cast("string"), F.lit("none"))))))
     rows = lookup_embeddings(checked.where(F.col("_len_ok")), ids, emb, key, id_col, vec_col)
     zero = F.array_repeat(F.lit(0.0), dim)
     packed = rows.groupBy(key).agg(
         F.array_sort(F.collect_list(F.struct("pos", F.when(F.col("id") == pad_id, zero).otherwise(
             F.coalesce("vec", zero)).alias("vec")))).alias("_s"))
     flat = packed.select(key, F.flatten(F.transform("_s", lambda s: s["vec"])).alias(out))
-    return df.join(flat, key, "inner")
+    return df.join(flat, key, "left")
 
 
 def flatten_chunks(df: DataFrame, ids: Column | str, emb: DataFrame, seq_len: int, dim: int,
@@ -90,9 +86,8 @@ def flatten_chunks(df: DataFrame, ids: Column | str, emb: DataFrame, seq_len: in
     rows = df.repartition(key).select(key, F.posexplode(_col(ids)).alias("pos", "id"))
     rows = rows.select(key, F.floor(F.col("pos") / seq_len).alias("chunk"),
                        (F.col("pos") % seq_len).alias("slot"), "id")
-    side = _emb_side(emb, id_col, vec_col)
     zero = F.array_repeat(F.lit(0.0), dim)
-    looked = rows.join(side, rows["id"] == side["_eid"], "left")
+    looked = _with_vectors(rows, emb, id_col, vec_col, key)
     vec = F.when(F.col("id") == pad_id, zero).otherwise(F.coalesce(F.col("_vec"), zero))
     grouped = looked.groupBy(key, "chunk").agg(
         F.array_sort(F.collect_list(F.struct("slot", vec.alias("v")))).alias("_s"))

@@ -1,4 +1,4 @@
-"""Dense, consecutive ranks without a single-task window, and size-checked broadcast.
+"""Dense, consecutive ranks without a single-task window, and sizes of lookup tables.
 
 ``row_number() over (order by k)`` with no partition runs in one task.  The
 two-level rank here gives the same numbers in parallel: rows are put in
@@ -22,16 +22,25 @@ ROWS_PER_BUCKET = 500_000
 MAX_BUCKETS = 8192
 
 
-def row_count_at_most(df: DataFrame, limit: int) -> bool:
-    """True when ``df`` has at most ``limit`` rows (reads at most limit+1)."""
-    return df.limit(limit + 1).count() <= limit
+def _bytes(c: str, kind: str) -> Column:
+    if kind == "string":
+        return F.coalesce(F.octet_length(c), F.lit(0)) + 16
+    if kind == "array<string>":
+        return F.aggregate(F.coalesce(c, F.array().cast(kind)), F.lit(16), lambda n, x: n + F.coalesce(F.octet_length(x), F.lit(0)) + 16)
+    return F.coalesce(F.size(c), F.lit(0)) * 8 + 16 if kind.startswith("array") else F.lit(8)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
-    """Broadcast hint only behind a proven row bound."""
-    if row_count_at_most(df, max_rows):
-        return F.broadcast(df), True
-    return df, False
+def measured(df: DataFrame, key: str) -> tuple[int, int]:
+    """``(bytes, most rows of one key)`` of a lookup table."""
+    size = sum((_bytes(c, kind) for c, kind in df.dtypes), F.lit(16)).cast("bigint")
+    each = df.groupBy(key).agg(F.sum(size).alias("_b"), F.count(F.lit(1)).alias("_n"))
+    total, most = each.agg(F.sum("_b"), F.max("_n")).first()
+    return int(total or 0), int(most or 0)
+
+
+def broadcast_limit(df: DataFrame) -> int:
+    """Bytes up to which the session broadcasts a side of a join."""
+    return int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
 
 
 def quantile_buckets(df: DataFrame, key: str, n_buckets: int,

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from lingotile.functions.text import SPECIALS_SHORT, SPECIALS_WORD, lowered_words, words
 from lingotile.operators.ranking import global_rank
+from lingotile.session import written
 
 VOCAB_SCHEMA = T.StructType([
     T.StructField("id", T.LongType(), False),
@@ -41,11 +42,8 @@ DEFAULT_ALPHABET = (
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage: reliable checkpoint into the shared checkpoint folder."""
-    from lingotile.session import checkpoint_dir
-
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut lineage: written to the shared checkpoint folder and read back."""
+    return written(df)
 
 
 def specials_frame(spark: SparkSession, specials: list[str]) -> DataFrame:
@@ -144,12 +142,16 @@ def extend_vocab(vocab: DataFrame, tokens_df: DataFrame) -> DataFrame:
 
 def char_vocab(spark: SparkSession, alphabet: str | None = None) -> DataFrame:
     """Fixed-alphabet vocabulary: ``<pad>``, ``<unk>``, then the alphabet's
-    characters de-duplicated in order."""
+    characters de-duplicated in order.  Encoders take its entries as a literal
+    (alphabets beyond the basic plane: by a join, like any table)."""
     alphabet = DEFAULT_ALPHABET if alphabet is None else alphabet
     seen: dict[str, None] = dict.fromkeys(alphabet)
     rows = [(i, t, None, True) for i, t in enumerate(SPECIALS_SHORT)]
     rows += [(i + len(SPECIALS_SHORT), c, None, False) for i, c in enumerate(seen)]
-    return spark.createDataFrame(rows, VOCAB_SCHEMA)
+    made = spark.createDataFrame(rows, VOCAB_SCHEMA)
+    if all(ord(c) <= 0xFFFF for c in seen):
+        made._alphabet_entries = [(i, t) for i, t, _, _ in rows]
+    return made
 
 
 def vocab_size(vocab: DataFrame) -> int:

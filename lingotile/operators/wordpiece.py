@@ -1,16 +1,21 @@
 """WordPiece: greedy longest-match-first subwords with ``##`` continuations.
 
 The vocabulary is an input table (no pretrained files are fetched).  The
-match runs on *distinct* pre-tokens only:
+match is one relational plan for vocabularies of any size and runs on
+*distinct* pre-tokens only:
 
 1. every candidate ``(word, start, length)`` up to the longest vocabulary
-   piece becomes a row and is semi-joined to the vocabulary;
+   piece becomes a row and is looked up in the vocabulary;
 2. the longest hit per ``(word, start)`` is kept;
-3. a per-word ``aggregate`` walks from position 0 along the longest hits;
-   a word that cannot be covered, or is longer than ``max_chars``, becomes
-   ``[UNK]``;
-4. the pieces are joined back to the exploded corpus words (broadcast when
-   small, hot/cold split otherwise) and regrouped per document.
+3. each word follows its longest hits from position 0; one that cannot be
+   covered, or is longer than ``max_chars``, becomes ``[UNK]``;
+4. the pieces are looked up for the exploded corpus words and regrouped per
+   document.
+
+A vocabulary learned from a corpus has pieces of any length.  Its candidates
+grow by doubling: a piece of ``n + 1`` to ``2 n`` characters is counted only
+where the ``n`` characters at its start and those at its end are frequent
+pieces, which a frequent piece's always are.
 """
 
 from __future__ import annotations
@@ -19,9 +24,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lingotile.functions.text import TokenizerSpec
-from lingotile.operators import encode as enc
-from lingotile.operators.encode import _attach, _carried, _lookup, _regroup
-from lingotile.operators.ranking import broadcast_if_small, global_rank, md5_bucket
+from lingotile.operators.encode import _attach, _carried, _regroup, lookup
+from lingotile.operators.ranking import global_rank, md5_bucket
+from lingotile.operators.vocab import materialize, specials_frame
 
 # ---------------------------------------------------------------------------
 # Fixed values (BERT-style basic tokenisation, cased; public algorithm).
@@ -66,97 +71,28 @@ def _candidates(words: DataFrame, max_piece: int | Column) -> DataFrame:
     return w.withColumn("piece", _piece(F.col("word"), F.col("s"), F.col("l")))
 
 
-# Vocabularies up to this size are shipped to the tasks as a set and the
-# greedy match runs per distinct word inside ``mapInPandas``; larger ones use
-# the relational plan below.
-SET_MATCH_VOCAB_ROWS = 500_000
-
-
-def greedy_pieces(word: str, vocab: set, max_piece: int, max_chars: int, unk: str) -> list:
-    """Greedy longest-match-first split of one word (``##`` continuations)."""
-    if len(word) > max_chars:
-        return [unk]
-    out, start, n = [], 0, len(word)
-    while start < n:
-        end = min(n, start + max_piece)
-        piece = None
-        while end > start:
-            cand = word[start:end] if start == 0 else "##" + word[start:end]
-            if cand in vocab:
-                piece = cand
-                break
-            end -= 1
-        if piece is None:
-            return [unk]
-        out.append(piece)
-        start = end
-    return out
-
-
-def _set_match_table(words: DataFrame, vocab: DataFrame, max_piece: int, max_chars: int,
-                     unk: str) -> DataFrame:
-    from lingotile.session import ship_package
-
-    spark = words.sparkSession
-    ship_package(spark)
-    tokens = spark.sparkContext.broadcast(frozenset(r[0] for r in vocab.select("token").collect()))
-
-    def match(batches):
-        import pandas as pd
-
-        v = tokens.value
-        for pdf in batches:
-            pieces = [greedy_pieces(w, v, max_piece, max_chars, unk) for w in pdf["word"]]
-            yield pd.DataFrame({"word": pdf["word"], "freq": pdf["freq"], "pieces": pieces})
-
-    return words.select("word", F.col("freq").cast("bigint").alias("freq")).mapInPandas(
-        match, "word string, freq bigint, pieces array<string>")
-
-
 def wordpiece_table(words: DataFrame, vocab: DataFrame, max_chars: int = MAX_CHARS_PER_WORD,
                     unk: str = WP_UNK) -> DataFrame:
     """``words(word, ...)`` (distinct) -> adds ``pieces ARRAY<STRING>``."""
-    from lingotile.operators.ranking import row_count_at_most
-
-    if row_count_at_most(vocab, SET_MATCH_VOCAB_ROWS):
-        max_piece = vocab.select(F.max(F.length(F.regexp_replace("token", "^##", "")))).first()[0] or 1
-        return _set_match_table(words, vocab, int(max_piece), max_chars, unk)
-    return relational_wordpiece_table(words, vocab, max_chars, unk)
-
-
-def relational_wordpiece_table(words: DataFrame, vocab: DataFrame, max_chars: int = MAX_CHARS_PER_WORD,
-                               unk: str = WP_UNK) -> DataFrame:
-    """Catalyst-only plan for vocabularies too large to ship as a set."""
-    max_piece = vocab.select(F.max(F.length(F.regexp_replace("token", "^##", "")))).first()[0] or 1
+    longest = vocab.select(F.max(F.length(F.regexp_replace("token", "^##", "")))).first()[0] or 1
     fit = words.where(F.length("word") <= max_chars).select("word")
-    cands = _candidates(fit, int(max_piece))
-    toks, _ = broadcast_if_small(vocab.select(F.col("token").alias("piece")), enc.BROADCAST_VOCAB_ROWS)
-    hits = cands.join(toks, "piece", "left_semi")
-    best = hits.groupBy("word", "s").agg(F.max(F.col("s") + F.col("l")).alias("e"))
-    ends = best.groupBy("word").agg(F.map_from_entries(F.collect_list(F.struct("s", "e"))).alias("_m"))
-
-    w = words.join(ends, "word", "left").withColumn("_len", F.length("word"))
-    init = F.struct(F.lit(0).alias("pos"), F.lit(True).alias("ok"),
-                    F.array().cast("array<int>").alias("cuts"))
-
-    def step(acc, i):
-        e = F.element_at(F.col("_m"), i)
-        active = acc["ok"] & (acc["pos"] == i)
-        failed = F.struct(acc["pos"].alias("pos"), F.lit(False).alias("ok"), acc["cuts"].alias("cuts"))
-        moved = F.struct(e.alias("pos"), F.lit(True).alias("ok"),
-                         F.concat(acc["cuts"], F.array(e)).alias("cuts"))
-        return F.when(~active, acc).when(e.isNull(), failed).otherwise(moved)
-
-    walked = w.withColumn("_walk", F.when(
-        (F.col("_len") <= max_chars) & F.col("_m").isNotNull(),
-        F.aggregate(F.sequence(F.lit(0), F.col("_len") - 1), init, step)))
+    cands = _candidates(fit, int(longest))
+    hits = lookup(cands, "piece", vocab, "token", "id", "_id", "word").where(F.col("_id").isNotNull())
+    best = hits.groupBy("word", "s").agg(F.max("l").alias("l"))
+    ends = best.groupBy("word").agg(F.array_sort(F.collect_list(F.struct("s", "l"))).alias("_h"))
+    init = F.struct(F.lit(0).alias("pos"), F.array().cast("array<int>").alias("cuts"))
+
+    def step(acc, hit):
+        end = hit["s"] + hit["l"]
+        return F.when(hit["s"] == acc["pos"], F.struct(end.alias("pos"), F.concat(acc["cuts"], F.array(end)).alias("cuts"))).otherwise(acc)
+
+    walked = words.join(ends, "word", "left").withColumn("_walk", F.aggregate(
+        F.coalesce("_h", F.array().cast("array<struct<s:int,l:int>>")), init, step))
     cuts = F.col("_walk.cuts")
-    pieces = F.transform(
-        cuts, lambda e, k: _piece(F.col("word"), F.when(k == 0, F.lit(0)).otherwise(F.element_at(cuts, k)),
-                                  e - F.when(k == 0, F.lit(0)).otherwise(F.element_at(cuts, k))))
-    covered = F.col("_walk.ok") & (F.col("_walk.pos") == F.col("_len"))
-    return walked.withColumn("pieces", F.when(covered, pieces).otherwise(F.array(F.lit(unk)))) \
-        .drop("_m", "_len", "_walk")
+    begin = lambda k: F.when(k == 0, F.lit(0)).otherwise(F.element_at(cuts, k))
+    pieces = F.transform(cuts, lambda e, k: _piece(F.col("word"), begin(k), e - begin(k)))
+    covered = (F.col("_walk.pos") == F.length("word")) & (F.length("word") <= max_chars)
+    return walked.withColumn("pieces", F.when(covered, pieces).otherwise(F.array(F.lit(unk)))).drop("_h", "_walk")
 
 
 def wordpiece_tokenize(df: DataFrame, vocab: DataFrame, text_col: str = "text", key: str = "doc_id",
@@ -166,10 +102,9 @@ def wordpiece_tokenize(df: DataFrame, vocab: DataFrame, text_col: str = "text",
     (result columns: ``key``, ``keep``, ``out``; ``keep=None`` = all)."""
     carry = _carried(df, key, keep)
     rows = df.select(key, *carry, F.posexplode_outer(pretokenize(text_col)).alias("pos", "word"))
-    words = (rows.where(F.col("word").isNotNull()).groupBy("word")
-             .agg(F.count(F.lit(1)).alias("freq")))
-    table = wordpiece_table(words, vocab, max_chars)
-    looked = _lookup(rows, "word", table, "word", "pieces", "_p")
+    words = df.select(F.explode(pretokenize(text_col)).alias("word")).distinct()
+    table = materialize(wordpiece_table(words, vocab, max_chars).select("word", "pieces"))
+    looked = lookup(rows, "word", table, "word", "pieces", "_p", key)
     grouped = _regroup(looked, key, "_p", "_pp", carry)
     grouped = grouped.select(key, *carry, F.flatten("_pp").alias(out))
     return _attach(df, grouped, key, keep)
@@ -194,22 +129,41 @@ def decode_wordpiece(tokens: Column | str, cleanup: bool = True) -> Column:
     return F.trim(s)
 
 
-def wordpiece_vocab_from_corpus(df: DataFrame, text_col: str = "text", max_piece: int = 4,
-                                min_freq: int = 2) -> DataFrame:
+def frequent_pieces(words: DataFrame, min_freq: int, max_chars: int = MAX_CHARS_PER_WORD) -> DataFrame:
+    """``(piece, freq)`` of all pieces of ``words(word, wf)`` that occur
+    ``min_freq`` times and more; longer words than ``max_chars`` have none."""
+    own = words.where((F.length("word") <= max_chars) & (F.length("word") > 0)).select(
+        "word", "wf", F.length("word").alias("len"))
+    spot = own.select("*", F.explode(F.sequence(F.lit(0), F.col("len") - 1)).alias("s")).withColumn("l", F.lit(1))
+    n, found = 0, None
+    while True:
+        spot = spot.withColumn("piece", _piece(F.col("word"), F.col("s"), F.col("l")))
+        kept = materialize(spot.groupBy("piece").agg(F.sum("wf").alias("freq")).where(F.col("freq") >= min_freq))
+        found = kept if found is None else found.unionByName(kept)
+        n = max(1, 2 * n)
+        # Where a frequent piece of n characters begins, by word.
+        at = lookup(spot.where(F.col("l") == n), "piece", kept, "piece", "freq", "_f", "word").where(F.col("_f").isNotNull())
+        starts = materialize(at.groupBy("word").agg(F.first("wf").alias("wf"), F.first("len").alias("len"),
+                                                    F.collect_list("s").alias("_at")))
+        if n >= max_chars or starts.isEmpty():
+            return found
+        more = starts.select("word", "wf", "len", "_at", F.explode("_at").alias("s"))
+        more = more.where(F.col("s") + n < F.col("len")).select(
+            "*", F.explode(F.sequence(F.lit(n + 1), F.least(F.lit(2 * n), F.col("len") - F.col("s")))).alias("l"))
+        spot = more.where(F.array_contains("_at", F.col("s") + F.col("l") - n)).drop("_at")
+
+
+def wordpiece_vocab_from_corpus(df: DataFrame, text_col: str = "text", min_freq: int = 2) -> DataFrame:
     """A WordPiece vocabulary derived from a corpus: word-initial pieces and
-    ``##`` continuations of up to ``max_piece`` characters occurring at
-    least ``min_freq`` times.  Ids: the 5 specials, then pieces in
-    ``md5(piece)`` order (deterministic, parallel rank)."""
-    words = (df.select(F.explode(pretokenize(text_col)).alias("word"))
-             .groupBy("word").agg(F.count(F.lit(1)).alias("wf")))
-    cands = _candidates(words, max_piece)
-    pieces = (cands.groupBy("piece").agg(F.sum("wf").alias("freq"))
-              .where((F.col("freq") >= min_freq) & ~F.col("piece").isin(*WP_SPECIALS)))
-    from lingotile.operators.vocab import materialize, specials_frame
-
+    ``##`` continuations of any length that occur at least ``min_freq``
+    times.  Ids: the 5 specials, then pieces in ``md5(piece)`` order
+    (deterministic, parallel rank)."""
+    words = materialize(df.select(F.explode(pretokenize(text_col)).alias("word"))
+                        .groupBy("word").agg(F.count(F.lit(1)).alias("wf")))
+    pieces = frequent_pieces(words, min_freq).where(~F.col("piece").isin(*WP_SPECIALS))
     pieces = materialize(pieces.withColumn("_key", F.md5("piece")))
     ranked = global_rank(pieces, ["_key", "piece"], out="id", start=len(WP_SPECIALS),
                          bucket=md5_bucket(F.col("_key")))
     body = ranked.select("id", F.col("piece").alias("token"), F.col("freq").cast("bigint").alias("freq"),
                          F.lit(False).alias("is_special"))
-    return specials_frame(df.sparkSession, WP_SPECIALS).unionByName(body)
+    return materialize(specials_frame(df.sparkSession, WP_SPECIALS).unionByName(body))

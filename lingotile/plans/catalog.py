@@ -955,13 +955,14 @@ def q_per_class_accuracy(spark, sf_dir):
 
 from lingotile.operators import wordpiece as wpc  # noqa: E402
 
+WP_MIN_FREQ = 20
 WP_VOCAB_SQL = f"""(
   WITH w AS (SELECT word, count(*) AS wf FROM (SELECT unnest({S.pretokenize_sql('text')}) AS word FROM documents) GROUP BY word),
-  c1 AS (SELECT word, wf, unnest(range(0, length(word))) AS s FROM w),
-  c2 AS (SELECT word, wf, s, unnest(range(1, least(4, length(word) - s) + 1)) AS l FROM c1),
+  c1 AS (SELECT word, wf, unnest(range(0, length(word))) AS s FROM w WHERE length(word) <= {wpc.MAX_CHARS_PER_WORD}),
+  c2 AS (SELECT word, wf, s, unnest(range(1, length(word) - s + 1)) AS l FROM c1),
   p AS (SELECT CASE WHEN s = 0 THEN substr(word, 1, l) ELSE '##' || substr(word, s + 1, l) END AS piece,
                sum(wf) AS freq FROM c2 GROUP BY 1),
-  k AS (SELECT piece, freq FROM p WHERE freq >= 2 AND piece NOT IN {_specials_in(wpc.WP_SPECIALS)})
+  k AS (SELECT piece, freq FROM p WHERE freq >= {WP_MIN_FREQ} AND piece NOT IN {_specials_in(wpc.WP_SPECIALS)})
   SELECT CAST(row_number() OVER (ORDER BY md5(piece), piece) + {len(wpc.WP_SPECIALS) - 1} AS BIGINT) AS id,
          piece AS token, CAST(freq AS BIGINT) AS freq, false AS is_special FROM k
   UNION ALL {_specials_values(wpc.WP_SPECIALS)})"""
@@ -993,14 +994,14 @@ dt AS (SELECT d.doc_id, coalesce(toks.t, CAST([] AS VARCHAR[])) AS t FROM docume
 
 def _wp(spark, sf_dir):
     docs = documents(spark, sf_dir)
-    v = wpc.wordpiece_vocab_from_corpus(docs)
+    v = wpc.wordpiece_vocab_from_corpus(docs, min_freq=WP_MIN_FREQ)
     return wpc.wordpiece_tokenize(docs, v, keep=[]), v
 
 
 @register("wordpiece_vocab", f"SELECT * FROM {WP_VOCAB_SQL}")
 def q_wordpiece_vocab(spark, sf_dir):
-    """A WordPiece vocabulary derived from the corpus (pieces up to 4 chars)."""
-    return wpc.wordpiece_vocab_from_corpus(documents(spark, sf_dir))
+    """A WordPiece vocabulary derived from the corpus (pieces of any length)."""
+    return wpc.wordpiece_vocab_from_corpus(documents(spark, sf_dir), min_freq=WP_MIN_FREQ)
 
 
 @register("wordpiece_tokens", WP_TOKENS_SQL + f"""
@@ -1349,7 +1350,7 @@ def q_run_comparison(spark, sf_dir):
     """The comparison job over the whole documents table (summary output)."""
     docs = documents(spark, sf_dir)
     out = jobs.run_comparison(spark, docs, languages=LANGS_SORTED,
-                              wordpiece_vocab=wpc.wordpiece_vocab_from_corpus(docs))
+                              wordpiece_vocab=wpc.wordpiece_vocab_from_corpus(docs, min_freq=WP_MIN_FREQ))
     return out["summary"]
 
 

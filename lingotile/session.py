@@ -7,11 +7,12 @@ session has none (tests, bench).
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(master: str | None = None, shuffle_partitions: int = 8,
@@ -32,6 +33,8 @@ def local_session(master: str | None = None, shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # Vocabularies of some million entries are still broadcast here.
+        .config("spark.sql.autoBroadcastJoinThreshold", "128m")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         # Regroups (collect_list per document) keep hashing instead of
         # falling back to sort-based aggregation after 128 keys per task.
@@ -70,6 +73,33 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex}"
 
 
+_written: list[str] = []
+
+
+def _clear(spark: SparkSession) -> None:
+    try:
+        jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for path in _written:
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(conf).delete(p, True)
+    except Exception:  # the session is already gone: the cluster's own clean-up applies
+        pass
+
+
+def written(df: DataFrame, name: str = "table") -> DataFrame:
+    """``df`` written once as Parquet below the shared checkpoint folder and
+    read back: no later step computes it again or depends on the executor
+    that made it (a checkpoint would compute its last stage twice).  The
+    files go when the session ends."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    if not _written:
+        atexit.register(lambda: _clear(spark))
+    _written.append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def ship_package(spark: SparkSession | None = None) -> None:
     """Make ``lingotile`` importable in the Python workers (needed by the
     pandas UDFs): the package is zipped once per SparkContext, written into

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from fixtures import SPANISH_BATCH, sample_corpus_df, texts_df
@@ -59,17 +60,54 @@ def test_fixed_length_and_pad(spark):
     assert got == [[5, 6, 7, 0], list(range(10, 20))]
 
 
-def test_hot_cold_and_shuffle_paths_equal_broadcast(spark, monkeypatch):
+@pytest.fixture
+def no_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_salted_join_equals_broadcast(spark, no_broadcast):
     from lingotile.plans.common import documents
 
     docs = documents(spark, "/root/testdata/sf0.01")
     v = vb.build_vocab(vb.token_rows(docs, tx.words("text")), min_freq=2)
-    want = _ids(en.encode(docs, tx.words("text"), v))
-    monkeypatch.setattr(en, "BROADCAST_VOCAB_ROWS", 10)
-    monkeypatch.setattr(en, "HOT_TOKENS", 50)
-    assert _ids(en.encode(docs, tx.words("text"), v)) == want
-    monkeypatch.setattr(en, "HOT_TOKENS", 0)
-    assert _ids(en.encode(docs, tx.words("text"), v)) == want
+    salted = _ids(en.encode(docs, tx.words("text"), v))
+    back = en.decode(en.encode(docs, tx.words("text"), v, keep=[]), "ids", v, keep=[])
+    decoded = [r.decoded for r in back.orderBy("doc_id").collect()]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1g")
+    assert salted == _ids(en.encode(docs, tx.words("text"), v))
+    again = en.decode(en.encode(docs, tx.words("text"), v, keep=[]), "ids", v, keep=[])
+    assert decoded == [r.decoded for r in again.orderBy("doc_id").collect()]
+
+
+def test_one_token_in_half_of_all_rows_is_spread(spark, no_broadcast):
+    """The token is not in the vocabulary, so no count there tells that it is hot."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rows = spark.range(40_000).select(F.col("id").alias("doc_id"), F.explode(F.concat(
+            F.array_repeat(F.lit("hot"), 5), F.transform(F.sequence(F.lit(1), F.lit(5)), lambda k: F.concat(F.lit("w"), (F.col("id") * 7 + k) % 5000)))).alias("token"))
+        v = spark.range(5000).select(F.concat(F.lit("w"), "id").alias("token"), F.col("id"))
+        looked = en.lookup(rows, "token", v, "token", "id", "_id", "doc_id")
+        assert looked.where(F.col("_id").isNull()).count() == 200_000
+        sizes = sorted(r["count"] for r in looked.groupBy(F.spark_partition_id()).count().collect())
+        assert sum(sizes) == 400_000 and len(sizes) == 8 and sizes[-1] <= 2 * sizes[len(sizes) // 2]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_repeated_vocabulary_keys_raise_and_nulls_are_empty(spark):
+    v = spark.createDataFrame([(1, "<unk>", None, True), (2, "a", 1, False), (3, "a", 1, False)], vb.VOCAB_SCHEMA)
+    df = spark.createDataFrame([(0, ["a"], [2]), (1, None, None)], "doc_id bigint, t array<string>, ids array<bigint>")
+    with pytest.raises(ValueError, match="token 2 times"):  # a hidden choice otherwise
+        en.encode(df, "t", v)
+    chars = vb.char_vocab(spark, "ab")
+    table = vb.materialize(chars)   # the same entries as a plain table: the join path
+    for c in (chars, table):
+        assert _ids(en.encode(df.drop("ids"), "t", c)) == [[2], []]
+        assert [r.tokens for r in en.decode_tokens(df, "ids", c).orderBy("doc_id").collect()] == [["a"], []]
+    far = vb.char_vocab(spark, "a\U0001F600")
+    assert _ids(en.encode(spark.createDataFrame([(0, ["\U0001F600", "b"])], "doc_id bigint, t array<string>"), "t", far)) == [[3, 1]]
 
 
 def test_encode_plan_single_exchange_with_broadcast(spark):

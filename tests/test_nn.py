@@ -50,3 +50,14 @@ def test_flatten_chunks_whole_text(spark):
     df = spark.createDataFrame([(0, [1, 2, 0, 2, 1])], "doc_id bigint, ids array<bigint>")
     got = {r.chunk: list(r.flat) for r in nn.flatten_chunks(df, "ids", emb, 2, 2).collect()}
     assert got == {0: [1.0, 2.0, 3.0, 4.0], 1: [0.0, 0.0, 3.0, 4.0], 2: [1.0, 2.0, 0.0, 0.0]}
+
+
+def test_ids_outside_the_table_count_as_zero_vectors(spark):
+    from lingotile.operators import nn
+
+    emb = spark.createDataFrame([(1, [2.0, 4.0])], "vec_id bigint, embedding array<double>")
+    df = spark.createDataFrame([(0, [1, 9, 0]), (1, [0, 0, 0])], "doc_id bigint, ids array<bigint>")
+    got = {r.doc_id: list(r.pooled) for r in nn.mean_pool(df, "ids", emb, 2).collect()}
+    assert got == {0: [1.0, 2.0], 1: [0.0, 0.0]}
+    flat = {r.doc_id: list(r.flat) for r in nn.flatten_embeddings(df, "ids", emb, 3, 2).collect()}
+    assert flat == {0: [2.0, 4.0, 0.0, 0.0, 0.0, 0.0], 1: [0.0] * 6}

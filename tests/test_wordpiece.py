@@ -27,19 +27,49 @@ def test_decode_wordpiece(spark):
     assert F is not None
 
 
-def test_set_and_relational_paths_agree(spark):
+def greedy(word, vocab):
+    out, start = [], 0
+    while start < len(word):
+        end = next((e for e in range(len(word), start, -1) if ("##" if start else "") + word[start:e] in vocab), None)
+        if end is None:
+            return ["[UNK]"]
+        out.append(("##" if start else "") + word[start:end])
+        start = end
+    return out if len(word) <= wp.MAX_CHARS_PER_WORD else ["[UNK]"]
+
+
+def test_match_is_the_greedy_one(spark, monkeypatch):
     from lingotile.plans.common import documents
     from pyspark.sql import functions as F
 
     docs = documents(spark, "/root/testdata/sf0.001")
-    v = vb.materialize(wp.wordpiece_vocab_from_corpus(docs))
-    words = (docs.select(F.explode(wp.pretokenize("text")).alias("word")).groupBy("word")
-             .agg(F.count(F.lit(1)).alias("freq")))
-    a = {r.word: list(r.pieces) for r in wp.wordpiece_table(words, v).collect()}
-    b = {r.word: list(r.pieces) for r in wp.relational_wordpiece_table(words, v).collect()}
-    assert a == b and len(a) > 1000
-    thin = v.where(F.col("is_special") | (F.col("freq") >= 200))
-    a = {r.word: list(r.pieces) for r in wp.wordpiece_table(words, thin).collect()}
-    b = {r.word: list(r.pieces) for r in wp.relational_wordpiece_table(words, thin).collect()}
-    assert a == b
-    assert any(p == ["[UNK]"] for p in a.values())
+    full = vb.materialize(wp.wordpiece_vocab_from_corpus(docs))
+    words = docs.select(F.explode(wp.pretokenize("text")).alias("word")).distinct().unionByName(
+        spark.createDataFrame([("x" * 101,), ("e" * 100,)], "word string"))
+    assert full.where(F.length(F.regexp_replace("token", "^##", "")) >= 5).count() > 100
+    for v in (full, full.where(F.col("is_special") | (F.col("freq") >= 200))):
+        tokens = {r.token for r in v.collect()}
+        for limit in ("10m", "-1"):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+            got = {r.word: list(r.pieces) for r in wp.wordpiece_table(words, v).collect()}
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+            assert got == {w: greedy(w, tokens) for w in got} and len(got) > 1000
+    assert any(p == ["[UNK]"] for p in got.values())
+
+
+def test_frequent_pieces_are_all_found(spark):
+    import random
+    from collections import Counter
+
+    rng = random.Random(3)
+    rows = [("".join(rng.choice("abcd") for _ in range(rng.randrange(1, 9))), rng.randrange(1, 4)) for _ in range(150)]
+    rows = [(w, f) for w, f in {w: f for w, f in rows}.items()] + [("abcabcabcabcabcabcabc", 5), ("", 3), ("q" * 101, 9)]
+    want = Counter()
+    for w, f in rows:
+        if len(w) <= 100:
+            for s in range(len(w)):
+                for e in range(s + 1, len(w) + 1):
+                    want[("##" if s else "") + w[s:e]] += f
+    for floor in (2, 5, 20):
+        got = {r.piece: r.freq for r in wp.frequent_pieces(spark.createDataFrame(rows, "word string, wf bigint"), floor).collect()}
+        assert got == {p: n for p, n in want.items() if n >= floor}
