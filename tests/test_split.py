@@ -72,5 +72,5 @@ def test_can_stratify_and_labels(spark):
     bad = spark.createDataFrame([("xx",)], "lang string")
     import pytest
 
-    with pytest.raises(Exception, match="Unknown language label"):
+    with pytest.raises(Exception, match="no label is mapped to language"):
         sp.encode_label(bad).collect()
