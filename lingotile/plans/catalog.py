@@ -16,7 +16,7 @@ from lingotile.functions import text as tx
 from lingotile.operators import vocab as vb
 from lingotile.operators.compare import summarize_tokenizers
 from lingotile.plans import sqltext as S
-from lingotile.plans.common import documents, conversations, joined
+from lingotile.plans.common import conversations, documents, joined, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -728,7 +728,6 @@ def q_default_labels(spark, sf_dir):
 
 from lingotile.operators import compare as cmp  # noqa: E402
 from lingotile.operators import nn  # noqa: E402
-from lingotile.plans.common import table  # noqa: E402
 
 VOCAB_EDGE_SQL = _vocab_cte(_exploded_sql(S.edgegrams_sql("text", 3)), tx.SPECIALS_SHORT)
 
@@ -1385,6 +1384,23 @@ def q_stream_vocab_growth(spark, sf_dir):
     return st.vocab_from_versions(spark, root)
 
 
+@register("stream_vocab_arrivals", _vocab_oracle(_exploded_sql(S.words_sql("text")), tx.SPECIALS_SHORT))
+def q_stream_vocab_arrivals(spark, sf_dir):
+    """Word vocabulary of a folder that files arrive in: the documents come
+    in ten ranges of their id, the stream is stopped and taken up again after
+    each, and the log of its batches is merged on the way."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    cuts = docs.approxQuantile("doc_id", [k / 10 for k in range(1, 10)], 0.01)
+    part = sum((F.when(F.col("doc_id") > c, 1).otherwise(0) for c in sorted(set(cuts))), F.lit(0))
+    folder, root, ckpt = (scratch_path(spark, f"arrivals-{n}") for n in ("in", "vocab", "ckpt"))
+    for k in range(len(set(cuts)) + 1):
+        docs.where(part == k).write.mode("append").parquet(folder)
+        stream = spark.readStream.schema(docs.schema).parquet(folder).select(
+            F.col("doc_id").alias("doc_ord"), F.coalesce("text", F.lit("")).alias("text"))
+        st.grow_vocab_batches(stream, lambda b: tx.words("text"), root, ckpt).awaitTermination()
+    return st.vocab_from_versions(spark, root)
+
+
 @register("stream_predict")
 def q_stream_predict(spark, sf_dir):
     """A fitted classifier scoring a documents stream (parquet sink)."""

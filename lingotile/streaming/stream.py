@@ -4,10 +4,10 @@ Tokenizers, fixed-vocabulary lookups with small vocabularies and the
 fitted classifier are row-wise and run on streaming DataFrames unchanged.
 Operators that regroup rows (encode with a table-sized vocabulary, growing
 a vocabulary) run per micro-batch in ``foreachBatch``, where each batch is
-an ordinary DataFrame.  Vocabulary growth writes a new version per batch
-(``<root>/v=<batch_id>``) and skips batches already written, so a
-restarted query is idempotent; micro-batches of one query never run
-concurrently, which keeps the id order deterministic.
+an ordinary DataFrame.  Vocabulary growth appends to a log of segments
+(``vocab_log``) and skips batches already written, so a restarted query is
+idempotent; micro-batches of one query never run concurrently, which keeps
+the id order deterministic.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lingotile.operators import encode as en
 from lingotile.operators import vocab as vb
-from lingotile.sources.readers import path_exists
+from lingotile.streaming import vocab_log
 
 
 def read_table_stream(spark: SparkSession, directory: str, file_name: str,
@@ -47,38 +47,15 @@ def encode_batches(stream: DataFrame, tokens_fn, vocab: DataFrame, out_path: str
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
-def latest_vocab_version(spark: SparkSession, root: str) -> tuple[int, str] | None:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(root)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(p):
-        return None
-    versions = [int(s.getPath().getName().split("=", 1)[1]) for s in fs.listStatus(p)
-                if s.getPath().getName().startswith("v=")
-                and fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))]
-    if not versions:
-        return None
-    v = max(versions)
-    return v, f"{root.rstrip('/')}/v={v}"
-
-
 def grow_vocab_batches(stream: DataFrame, tokens_fn, root: str, checkpoint: str,
                        n_special: int = 2, order_col: str = "doc_ord"):
-    """Growing vocabulary over a stream: batch ``b`` extends the newest
-    version with its unseen tokens and writes version ``b``."""
+    """Growing vocabulary over a stream: batch ``b`` appends its unseen tokens
+    and its counts to the log below ``root`` (see ``vocab_log``)."""
     from lingotile.functions.text import SPECIALS_WORD
-    from lingotile.sources.sinks import read_vocab, write_vocab
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        target = f"{root.rstrip('/')}/v={batch_id}"
-        if path_exists(spark, f"{target}/_SUCCESS"):
-            return  # already written by an earlier attempt
-        latest = latest_vocab_version(spark, root)
-        current = (read_vocab(spark, latest[1]) if latest
-                   else vb.specials_frame(spark, SPECIALS_WORD[:n_special]))
-        grown = vb.extend_vocab(current, vb.token_rows(batch, tokens_fn(batch), order_col))
-        write_vocab(grown, target)
+        vocab_log.add_batch(vb.token_rows(batch, tokens_fn(batch), order_col), root, batch_id,
+                            SPECIALS_WORD[:n_special])
 
     return (stream.writeStream.foreachBatch(handle)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
@@ -98,9 +75,5 @@ def tokens_stream(stream: DataFrame, spec, text_col: str = "text", lang_col: str
 
 
 def vocab_from_versions(spark: SparkSession, root: str) -> DataFrame:
-    from lingotile.sources.sinks import read_vocab
-
-    latest = latest_vocab_version(spark, root)
-    if latest is None:
-        raise FileNotFoundError(f"no vocabulary version under {root}")
-    return read_vocab(spark, latest[1])
+    """The vocabulary of all batches written below ``root`` so far."""
+    return vocab_log.read(spark, root)
