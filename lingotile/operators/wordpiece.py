@@ -23,6 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lingotile.functions import accents
 from lingotile.functions.text import TokenizerSpec
 from lingotile.operators.encode import _attach, _carried, _regroup, lookup
 from lingotile.operators.ranking import global_rank, md5_bucket
@@ -50,10 +51,13 @@ CLEANUP_REPLACEMENTS = [(" .", "."), (" ?", "?"), (" !", "!"), (" ,", ","), (" '
 # ---------------------------------------------------------------------------
 
 
-def pretokenize(text: Column | str) -> Column:
-    """Cleaned text split on whitespace, punctuation and CJK characters."""
+def pretokenize(text: Column | str, uncased: bool = False) -> Column:
+    """Cleaned text split on whitespace, punctuation and CJK characters;
+    ``uncased`` lower-cases it and takes accents off before the split."""
     t = F.col(text) if isinstance(text, str) else text
     cleaned = F.regexp_replace(F.coalesce(t, F.lit("")), CONTROL_RE, "")
+    if uncased:
+        cleaned = accents.uncased(cleaned)
     return F.regexp_extract_all(cleaned, F.lit(PRETOKEN_RE), F.lit(0))
 
 
@@ -97,12 +101,13 @@ def wordpiece_table(words: DataFrame, vocab: DataFrame, max_chars: int = MAX_CHA
 
 def wordpiece_tokenize(df: DataFrame, vocab: DataFrame, text_col: str = "text", key: str = "doc_id",
                        out: str = "tokens", max_chars: int = MAX_CHARS_PER_WORD,
-                       keep: list[str] | None = None) -> DataFrame:
+                       keep: list[str] | None = None, uncased: bool = False) -> DataFrame:
     """Adds ``out ARRAY<STRING>``: the WordPiece tokens of ``text_col``
     (result columns: ``key``, ``keep``, ``out``; ``keep=None`` = all)."""
     carry = _carried(df, key, keep)
-    rows = df.select(key, *carry, F.posexplode_outer(pretokenize(text_col)).alias("pos", "word"))
-    words = df.select(F.explode(pretokenize(text_col)).alias("word")).distinct()
+    split = pretokenize(text_col, uncased)
+    rows = df.select(key, *carry, F.posexplode_outer(split).alias("pos", "word"))
+    words = df.select(F.explode(split).alias("word")).distinct()
     table = materialize(wordpiece_table(words, vocab, max_chars).select("word", "pieces"))
     looked = lookup(rows, "word", table, "word", "pieces", "_p", key)
     grouped = _regroup(looked, key, "_p", "_pp", carry)
@@ -110,12 +115,13 @@ def wordpiece_tokenize(df: DataFrame, vocab: DataFrame, text_col: str = "text",
     return _attach(df, grouped, key, keep)
 
 
-def wordpiece_spec(vocab: DataFrame, name: str = "wordpiece") -> TokenizerSpec:
+def wordpiece_spec(vocab: DataFrame, name: str = "wordpiece", uncased: bool = False) -> TokenizerSpec:
     """A comparison spec; its tokens are prepared by a join (not a pure
     column expression), see ``TokenizerSpec.prepare``."""
     col = f"_{name}_tokens"
     return TokenizerSpec(name, lambda t, lg: F.col(col), n_special=0, sep=" ",
-                         prepare=lambda df, text_col, key: wordpiece_tokenize(df, vocab, text_col, key, col))
+                         prepare=lambda df, text_col, key: wordpiece_tokenize(df, vocab, text_col, key, col,
+                                                                               uncased=uncased))
 
 
 def decode_wordpiece(tokens: Column | str, cleanup: bool = True) -> Column:
@@ -153,12 +159,13 @@ def frequent_pieces(words: DataFrame, min_freq: int, max_chars: int = MAX_CHARS_
         spot = more.where(F.array_contains("_at", F.col("s") + F.col("l") - n)).drop("_at")
 
 
-def wordpiece_vocab_from_corpus(df: DataFrame, text_col: str = "text", min_freq: int = 2) -> DataFrame:
+def wordpiece_vocab_from_corpus(df: DataFrame, text_col: str = "text", min_freq: int = 2,
+                                uncased: bool = False) -> DataFrame:
     """A WordPiece vocabulary derived from a corpus: word-initial pieces and
     ``##`` continuations of any length that occur at least ``min_freq``
     times.  Ids: the 5 specials, then pieces in ``md5(piece)`` order
     (deterministic, parallel rank)."""
-    words = materialize(df.select(F.explode(pretokenize(text_col)).alias("word"))
+    words = materialize(df.select(F.explode(pretokenize(text_col, uncased)).alias("word"))
                         .groupBy("word").agg(F.count(F.lit(1)).alias("wf")))
     pieces = frequent_pieces(words, min_freq).where(~F.col("piece").isin(*WP_SPECIALS))
     pieces = materialize(pieces.withColumn("_key", F.md5("piece")))

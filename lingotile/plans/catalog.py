@@ -991,10 +991,10 @@ dt AS (SELECT d.doc_id, coalesce(toks.t, CAST([] AS VARCHAR[])) AS t FROM docume
 """
 
 
-def _wp(spark, sf_dir):
+def _wp(spark, sf_dir, uncased: bool = False):
     docs = documents(spark, sf_dir)
-    v = wpc.wordpiece_vocab_from_corpus(docs, min_freq=WP_MIN_FREQ)
-    return wpc.wordpiece_tokenize(docs, v, keep=[]), v
+    v = wpc.wordpiece_vocab_from_corpus(docs, min_freq=WP_MIN_FREQ, uncased=uncased)
+    return wpc.wordpiece_tokenize(docs, v, keep=[], uncased=uncased), v
 
 
 @register("wordpiece_vocab", f"SELECT * FROM {WP_VOCAB_SQL}")
@@ -1011,6 +1011,15 @@ def q_wordpiece_tokens(spark, sf_dir):
     return t.select("doc_id", F.size("tokens").cast("bigint").alias("n_tokens"), joined("tokens").alias("tokens"))
 
 
+@register("wordpiece_uncased", WP_TOKENS_SQL.replace(S.pretokenize_sql("text"), S.pretokenize_sql("text", True)) + f"""
+SELECT doc_id, CAST(len(t) AS BIGINT) AS n_tokens, {S.join_list('t')} AS tokens FROM dt
+""")
+def q_wordpiece_uncased(spark, sf_dir):
+    """WordPiece on lower-cased text without accents, with a vocabulary of the same."""
+    t, _ = _wp(spark, sf_dir, uncased=True)
+    return t.select("doc_id", F.size("tokens").cast("bigint").alias("n_tokens"), joined("tokens").alias("tokens"))
+
+
 @register("encode_wordpiece", WP_TOKENS_SQL + """,
 x AS (SELECT doc_id, unnest(t) AS token, generate_subscripts(t, 1) AS pos FROM dt),
 e AS (SELECT x.doc_id, string_agg(CAST(coalesce(v.id, 1) AS VARCHAR), ',' ORDER BY x.pos) AS ids, count(*) AS n

@@ -62,8 +62,10 @@ def join_ids(expr: str) -> str:
     return f"array_to_string(list_transform({expr}, lambda i: CAST(i AS VARCHAR)), ',')"
 
 
-def pretokenize_sql(text: str) -> str:
+def pretokenize_sql(text: str, uncased: bool = False) -> str:
     from lingotile.operators.wordpiece import CONTROL_RE, PRETOKEN_RE
 
-    return (f"regexp_extract_all(regexp_replace(coalesce({text}, ''), {q(CONTROL_RE)}, '', 'g'), "
-            f"{q(PRETOKEN_RE)})")
+    cleaned = f"regexp_replace(coalesce({text}, ''), {q(CONTROL_RE)}, '', 'g')"
+    if uncased:
+        cleaned = f"strip_accents(lower({cleaned}))"
+    return f"regexp_extract_all({cleaned}, {q(PRETOKEN_RE)})"
