@@ -99,6 +99,7 @@ class Model:
     def __init__(self, langs: list[str], rows: Iterable[tuple[str, str, int, int]], totals: dict[tuple[str, int], int]):
         """``rows``: (language, item, n-gram length or 0 for words, count)."""
         self.langs = langs
+        self.scorer: Scorer | None = None
         at = {lang: i for i, lang in enumerate(langs)}
         # Rows of ``logs`` by item; one array a kind, as items may be many.
         self.known: list[dict[str, int]] = [{} for _ in range(LONGEST + 1)]
@@ -171,7 +172,10 @@ def predicted(text: Column, spark, model: Model) -> Column:
 
     @F.pandas_udf("lang_pred string, score double")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        scorer = Scorer(shared.value)
+        model = shared.value    # one object for all tasks of a worker: they share the scored words
+        if model.scorer is None:
+            model.scorer = Scorer(model)
+        scorer = model.scorer
         for texts in batches:
             yield pd.DataFrame([scorer(t) for t in texts], columns=["lang_pred", "score"])
 
