@@ -116,6 +116,40 @@ def q_tokenizer_summary_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
                                 vocab_sizes={"char": CHAR_VOCAB_SIZE}, round_digits=None)
 
 
+from lingotile.operators import sketch  # noqa: E402
+
+
+@register("tokenizer_summary_merged", f"""
+SELECT language, tokenizer, num_samples, avg_tokens, min_tokens, max_tokens, observed_vocab_size, tokenizer_vocab_size,
+       true AS observed_close, true AS size_close
+FROM ({_summary_oracle("SELECT lang, text FROM documents", "lang", _summary_specs_sql(), {"char": CHAR_VOCAB_SIZE})})
+""")
+def q_tokenizer_summary_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches of short and of long documents, stored apart and merged, beside
+    the exact summary: are both sizes within five standard errors?"""
+    docs = documents(spark, sf_dir)
+    short = F.length(F.coalesce("text", F.lit(""))) < 1000
+    stored = []
+    for part in (docs.where(short), docs.where(~short)):
+        path = scratch_path(spark, "sketches")
+        sketch.sketch_tokenizers(part, SUMMARY_SPECS).write.parquet(path)
+        stored.append(spark.read.parquet(path))
+    sizes = {"char": CHAR_VOCAB_SIZE}
+    near = sketch.sketched_summary(sketch.merge_sketches(*stored), SUMMARY_SPECS, sizes)
+    exact = summarize_tokenizers(docs, SUMMARY_SPECS, vocab_sizes=sizes, round_digits=None)
+    names = ["observed_vocab_size", "tokenizer_vocab_size"]
+    exact = exact.select(F.col("language").alias("_l"), F.col("tokenizer").alias("_t"), *names)
+    same = F.col("language").eqNullSafe(F.col("_l")) & (F.col("tokenizer") == F.col("_t"))
+
+    def close(name: str):
+        gap = F.abs(F.coalesce(near[name], F.lit(0)) - F.coalesce(exact[name], F.lit(0)))
+        return gap <= 5 * sketch.error() * F.coalesce(exact[name], F.lit(0)) + 1
+
+    return near.join(exact, same, "left").select(
+        *[near[c] for c in near.columns if c not in names], *[exact[n] for n in names],
+        close(names[0]).alias("observed_close"), close(names[1]).alias("size_close"))
+
+
 # ---------------------------------------------------------------------------
 # T1-T4 tokenizers (per document, tokens joined with U+001F)
 # ---------------------------------------------------------------------------
