@@ -18,7 +18,7 @@ label do not teach; repeated rows teach once each.
 from __future__ import annotations
 
 from array import array
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -47,31 +47,37 @@ def grams_of(word: str, n: int) -> list[str]:
     return [w[i:i + n] for i in range(len(w) - n + 1)]
 
 
-def _flushed(counts: Counter) -> pd.DataFrame:
-    rows = [(*k, n) for k, n in counts.items()]
+def _flushed(counts: dict[str, Counter]) -> pd.DataFrame:
+    rows = [(lang, item, n) for lang, found in counts.items() for item, n in found.items()]
     counts.clear()
     return pd.DataFrame(rows, columns=["lang", "item", "n"])
 
 
+def _full(counts: dict[str, Counter]) -> bool:
+    return sum(map(len, counts.values())) > FLUSH
+
+
 def _count_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    counts: Counter = Counter()
+    counts: dict[str, Counter] = defaultdict(Counter)
     for b in batches:
         for lang, texts in b.groupby("lang")["text"]:
-            for w, n in Counter(w for t in texts for w in words_of(t)).items():
-                counts[lang, w] += n
-        if len(counts) > FLUSH:
+            for t in texts:
+                counts[lang].update(words_of(t))
+        if _full(counts):
             yield _flushed(counts)
     yield _flushed(counts)
 
 
 def _count_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    counts: Counter = Counter()
+    counts: dict[str, Counter] = defaultdict(Counter)
     for b in batches:
-        for lang, word, n in b.itertuples(index=False):
-            for size in range(1, LONGEST + 1):
-                for g in grams_of(word, size):
-                    counts[lang, g] += n
-        if len(counts) > FLUSH:
+        for lang, found in b.groupby("lang"):
+            mine = counts[lang]
+            for word, n in zip(found["item"].tolist(), found["n"].tolist()):
+                for size in range(1, LONGEST + 1):
+                    for g in grams_of(word, size):
+                        mine[g] += n
+        if _full(counts):
             yield _flushed(counts)
     yield _flushed(counts)
 
@@ -120,12 +126,19 @@ class Model:
         for n in range(LONGEST, 0, -1):
             found = [i for g in grams_of(word, n) if (i := self.known[n].get(g)) is not None]
             if found:
-                return self.logs[n][found].mean(0)
+                return self.logs[n][found].sum(0) / len(found)
         return np.zeros(len(self.langs))
 
     def score(self, word: str) -> np.ndarray:
-        i = self.known[0].get(word)
-        return self.logs[0][i] if i is not None else self.unseen(word)
+        return self.scores([word])[0]
+
+    def scores(self, words: list[str]) -> np.ndarray:
+        at = [self.known[0].get(w, -1) for w in words]
+        made = self.logs[0][at] if self.known[0] else np.zeros((len(words), len(self.langs)))
+        for k, i in enumerate(at):
+            if i < 0:
+                made[k] = self.unseen(words[k])
+        return made
 
 
 class Scorer:
@@ -146,9 +159,10 @@ class Scorer:
             if len(self.row) + len(new) > CACHE_WORDS:
                 self.row.clear()
                 new = set(part)
-            for w in new:
-                self.row[w] = i = len(self.row)
-                self.table[i] = self.model.score(w)
+            if new:
+                first = len(self.row)
+                self.row.update(zip(new, range(first, first + len(new))))
+                self.table[first:first + len(new)] = self.model.scores(list(new))
             total += self.table[[self.row[w] for w in part]].sum(0)
         best = int(total.argmax())
         return langs[best], float(1 / np.exp(np.minimum(total - total[best], 0)).sum())
