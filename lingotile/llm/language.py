@@ -17,6 +17,7 @@ label do not teach; repeated rows teach once each.
 
 from __future__ import annotations
 
+import re
 from array import array
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
@@ -33,12 +34,20 @@ VOCABULARY = 100_000
 LONGEST = 4
 UNKNOWN = "und"
 LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
+# Latin letters and general punctuation alone, but for the digits and fractions
+# that a plain class takes as letters: there both patterns find the same.
+OTHER = re.compile("[\u00b2\u00b3\u00b9\u00bc-\u00be\u0300-\u200f\u2028-\U0010ffff]")
+LATIN_LETTERS = re.compile(r"[^\W\d_]+")
 FLUSH = 300_000
+GRAM_WORDS = 100_000
 CACHE_WORDS = 800_000
 
 
 def words_of(text: str | None) -> list[str]:
-    return LETTERS.findall(text.lower()) if text else []
+    if not text:
+        return []
+    text = text.lower()
+    return (LETTERS if OTHER.search(text) else LATIN_LETTERS).findall(text)
 
 
 def grams_of(word: str, n: int) -> list[str]:
@@ -68,18 +77,46 @@ def _count_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield _flushed(counts)
 
 
+def grams_with_counts(words: list[str], n: np.ndarray) -> Iterator[tuple[list[str], np.ndarray]]:
+    """For each length the n-grams of ``words`` and how often they occur, word
+    ``i`` counting ``n[i]`` times.  A gram is a number whose digits are its
+    characters, numbered among those of the batch, so that equal ones are
+    found by a sort; alphabets too large for that go by the strings."""
+    text = "_" + "__".join(words) + "_"
+    size = np.array([len(w) + 2 for w in words])
+    alphabet, code = np.unique(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4"), return_inverse=True)
+    weight, ends = np.repeat(n, size), np.repeat(size.cumsum(), size)
+    at, base = np.arange(len(code)), len(alphabet)
+    for length in range(1, LONGEST + 1):
+        starts = at[at + length <= ends]
+        if base ** length < 1 << 62:
+            key = np.zeros(len(starts), np.int64)
+            for k in range(length):
+                key = key * base + code[starts + k]
+        else:
+            key = np.array([text[i:i + length] for i in starts.tolist()], object)
+        _, first, group = np.unique(key, return_index=True, return_inverse=True)
+        total = np.zeros(len(first), np.int64)
+        np.add.at(total, group, weight[starts])
+        yield [text[i:i + length] for i in starts[first].tolist()], total
+
+
 def _count_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    counts: dict[str, Counter] = defaultdict(Counter)
+    def counted(held: list[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for lang, found in pd.concat(held).groupby("lang"):
+            for grams, n in grams_with_counts(found["item"].tolist(), found["n"].to_numpy()):
+                yield pd.DataFrame({"lang": lang, "item": grams, "n": n})
+
+    held, rows = [], 0
     for b in batches:
-        for lang, found in b.groupby("lang"):
-            mine = counts[lang]
-            for word, n in zip(found["item"].tolist(), found["n"].tolist()):
-                for size in range(1, LONGEST + 1):
-                    for g in grams_of(word, size):
-                        mine[g] += n
-        if _full(counts):
-            yield _flushed(counts)
-    yield _flushed(counts)
+        if len(b):
+            held.append(b)
+            rows += len(b)
+        if rows >= GRAM_WORDS:
+            yield from counted(held)
+            held, rows = [], 0
+    if held:
+        yield from counted(held)
 
 
 _COUNTS = "lang string, item string, n bigint"
@@ -155,15 +192,17 @@ class Scorer:
         total = np.zeros(len(langs))
         for lo in range(0, len(words), CACHE_WORDS // 2):
             part = words[lo:lo + CACHE_WORDS // 2]
-            new = {w for w in part if w not in self.row}
-            if len(self.row) + len(new) > CACHE_WORDS:
-                self.row.clear()
-                new = set(part)
-            if new:
+            at = list(map(self.row.get, part))
+            if None in at:
+                new = {w for w, i in zip(part, at) if i is None}
+                if len(self.row) + len(new) > CACHE_WORDS:
+                    self.row.clear()
+                    new = set(part)
                 first = len(self.row)
                 self.row.update(zip(new, range(first, first + len(new))))
                 self.table[first:first + len(new)] = self.model.scores(list(new))
-            total += self.table[[self.row[w] for w in part]].sum(0)
+                at = list(map(self.row.__getitem__, part))
+            total += self.table[at].sum(0)
         best = int(total.argmax())
         return langs[best], float(1 / np.exp(np.minimum(total - total[best], 0)).sum())
 
