@@ -99,23 +99,31 @@ def beta_prior(hosts: DataFrame) -> tuple[float, float]:
     return m * k, (1 - m) * k
 
 
+def rejected_hosts(scored: DataFrame, max_rate: float) -> DataFrame:
+    """``(_bad)``: the hosts whose shrunk rate and own rate are both over ``max_rate``."""
+    hosts = materialize(scored.where(F.col("_host").isNotNull()).groupBy("_host").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("base_failed").cast("bigint")).alias("f")), "hosts")
+    alpha, beta = beta_prior(hosts)
+    shrunk = (F.col("f") + alpha) / (F.col("n") + (alpha + beta))
+    return hosts.where((shrunk > max_rate) & (F.col("f") > max_rate * F.col("n"))).select(F.col("_host").alias("_bad"))
+
+
+def with_verdict(scored: DataFrame, max_rate: float) -> DataFrame:
+    """``scored`` plus ``kept``.  Only rejected hosts are joined; a hot one is
+    split by the adaptive skew join."""
+    out = scored.join(rejected_hosts(scored, max_rate), F.col("_host") == F.col("_bad"), "left")
+    return out.withColumn("kept", ~F.col("base_failed") & F.col("_bad").isNull()).drop("_host", "_bad")
+
+
 def judge(docs: DataFrame, text_col: str = "text", host_col: str = "source", max_rate: float = 0.6,
           **rules) -> DataFrame:
     """``(row, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     base_failed, kept)`` per document, ``row`` holding the input's columns
-    untouched (so no name can clash)."""
+    untouched (so no name can clash).  The rules run twice, for the hosts and
+    for the rows, as whole rows are not written in between."""
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
                        F.col(text_col).alias("_text"), F.col(host_col).alias("_host"))
-    scored = with_rules(rows, "_text", **rules)
-    hosts = materialize(scored.where(F.col("_host").isNotNull()).groupBy("_host").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.col("base_failed").cast("bigint")).alias("f")), "hosts")
-    alpha, beta = beta_prior(hosts)
-    shrunk = (F.col("f") + alpha) / (F.col("n") + (alpha + beta))
-    bad = hosts.where((shrunk > max_rate) & (F.col("f") > max_rate * F.col("n"))).select(
-        F.col("_host").alias("_bad"))
-    # Rejected hosts only; a hot host is split by the adaptive skew join.
-    out = scored.join(bad, F.col("_host") == F.col("_bad"), "left")
-    return out.withColumn("kept", ~F.col("base_failed") & F.col("_bad").isNull()).drop("_text", "_host", "_bad")
+    return with_verdict(with_rules(rows, "_text", **rules), max_rate).drop("_text")
 
 
 def accepted(docs: DataFrame, **options) -> DataFrame:
@@ -123,11 +131,13 @@ def accepted(docs: DataFrame, **options) -> DataFrame:
     return judge(docs, **options).where("kept").select("row.*")
 
 
-def quality_report(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """One row per document: id, the rule counts and the verdict."""
-    return judge(docs, **options).select(
-        F.col("row")[id_col].alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines",
-        "n_repeat_words", "base_failed", "kept")
+def quality_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
+                   max_rate: float = 0.6, **rules) -> DataFrame:
+    """One row per document: id, the rule counts and the verdict.  Texts are
+    scored once; what is written for the verdicts are ids, hosts and counts."""
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"), F.col(host_col).alias("_host"))
+    scored = materialize(with_rules(rows, "_text", **rules).drop("_text"), "scored")
+    return with_verdict(scored, max_rate)
 
 
 REPORT_SQL = """
