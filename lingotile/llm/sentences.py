@@ -8,7 +8,7 @@ words over all texts.  A span that occurs twice or more keeps its first
 occurrence, by id and then position; every sentence covered by any other
 occurrence is removed.
 
-A sentence ends at ``.``, ``!`` or ``?`` followed by white space, at the full
+A sentence ends at ``.``, ``!`` or ``?`` (and closing quotes) followed by white space, at the full
 stop, question or exclamation mark of another script, or at a line end; it
 carries the closing quotes and white space after it, so the sentences that
 stay join to the new text.  In scripts written without spaces a character
@@ -32,11 +32,13 @@ from pyspark.sql import functions as F
 from lingotile.llm.common import materialize
 
 LEAST, MIN_WORDS = 2, 20
+# A span with over one in so many of all repeated occurrences is hot: fewer spans than this can be.
+HOT_SHARE = 1000
 # Full stops, question and exclamation marks that need no white space after
 # them: CJK, Devanagari, Arabic, Armenian, Ethiopic, Khmer, Burmese, Tibetan, Mongolian.
 MARKS = "\u3002\uff01\uff1f\uff61\u0964\u0965\u061f\u06d4\u0589\u1362\u1367\u1368\u17d4\u17d5\u104a\u104b\u0f0d\u0f0e\u1803\u1809"
 CLOSING = "\"')\\]\u2019\u201d\u300b\u300d\u300f\u3011\uff09"
-END = re.compile(rf"[.!?]+\s+|[{MARKS}][{MARKS}.!?]*[{CLOSING}]*\s*|\n\s*")
+END = re.compile(rf"[.!?]+[{CLOSING}]*\s+|[{MARKS}][{MARKS}.!?]*[{CLOSING}]*\s*|\n\s*")
 # Thai, Lao, Tibetan, Burmese, Khmer, kana, Han.
 UNSPACED = ("\u0e01-\u0eff\u0f40-\u0fbc\u1000-\u1049\u1050-\u109f\u1780-\u17d3\u3005-\u3007\u3041-\u30ff\u31f0-\u31ff"
             "\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff")
@@ -135,10 +137,20 @@ def trim(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least:
         "doc_id", "_rid", F.explode(F.arrays_zip("_s.hash", "_s.first", "_s.n")).alias("_s")).select(
         "_s.hash", "doc_id", "_rid", "_s.first", "_s.n")
     # Copies of a span meet in a partial aggregation; only spans that repeat are joined back.
-    first = each.groupBy("hash").agg(F.min(F.struct("doc_id", "_rid", "first")).alias("_at"), F.count(F.lit(1)).alias("_k")).where(
-        "_k > 1").select("hash", F.col("_at._rid").alias("_rid0"), F.col("_at.first").alias("_first0"))
-    later = materialize(each.join(first, "hash").where(
-        (F.col("_rid") != F.col("_rid0")) | (F.col("first") != F.col("_first0"))).select("_rid", "first", "n"), "spans")
+    first = materialize(each.groupBy("hash").agg(F.min(F.struct("doc_id", "_rid", "first")).alias("_at"), F.count(F.lit(1)).alias(
+        "_k")).where("_k > 1").select("hash", "_k", F.col("_at._rid").alias("_rid0"), F.col("_at.first").alias("_first0")), "repeated")
+    # Hot spans, fewer than HOT_SHARE whatever the corpus, are looked up in each
+    # task; their rows take a key of their own that nothing else has, so the
+    # join of the others has no hot key.
+    hot = F.col("_k") * HOT_SHARE > (first.agg(F.sum("_k")).first()[0] or 0)
+    known = each.join(F.broadcast(first.where(hot).select("hash", F.col("_rid0").alias("_rid1"), F.col("_first0").alias(
+        "_first1"))), "hash", "left")
+    own = F.unhex(F.md5(F.concat_ws(":", "_rid", "first").cast("binary")))
+    known = known.withColumn("_key", F.when(F.col("_rid1").isNull(), F.col("hash")).otherwise(own))
+    met = known.join(first.where(~hot).withColumnRenamed("hash", "_key").drop("_k"), "_key", "left").select(
+        "_rid", "first", "n", F.coalesce("_rid1", "_rid0").alias("_rid0"), F.coalesce("_first1", "_first0").alias("_first0"))
+    later = materialize(met.where((F.col("_rid") != F.col("_rid0")) | (F.col("first") != F.col("_first0"))).select(
+        "_rid", "first", "n"), "spans")
     gone = later.groupBy("_rid").agg(F.collect_list("first").alias("_f"), F.collect_list("n").alias("_n"))
     return rows.join(gone, "_rid", "left").select(
         "doc_id", _trimmed(F.col("text"), F.col("_f"), F.col("_n")).alias("_t")).select("doc_id", "_t.*")
