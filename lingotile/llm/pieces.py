@@ -13,7 +13,8 @@ while they stay in a bounded cache; and pieces made of space marks only rank
 below all others, so a run of marks is merged after its word.
 
 Null texts count as empty.  Characters without a piece become byte pieces.
-Texts are encoded whole, however long.
+Texts are encoded whole, however long; repeated rows are encoded each; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -31,6 +32,8 @@ from pyspark.sql import functions as F
 MARK = "▁"
 CACHE_WORDS = 1_000_000      # words kept per worker; a full cache is emptied
 CACHE_WORD_LENGTH = 64     # longer words are encoded without being kept
+CACHE_PAIRS = 600_000      # pair tests kept per worker; a full table is emptied
+CACHE_RUN_LENGTH = 1000    # longer runs of spaces are merged without being kept
 _INF = float("inf")
 
 
@@ -143,6 +146,8 @@ class PieceModel:
                 i += 1
             else:
                 j += 1
+        if len(self.pairs) >= CACHE_PAIRS:
+            self.pairs.clear()
         self.pairs[a, b] = ok
         return ok
 
@@ -181,9 +186,11 @@ class PieceModel:
 
     def run_ids(self, n: int) -> list[int]:
         """Ids of ``n`` space marks that no word has taken."""
-        if n not in self.runs:
-            self.runs[n] = [self.id[p] for p in self.merge(MARK * n, words_only=False)]
-        return self.runs[n]
+        if (ids := self.runs.get(n)) is None:
+            ids = [self.id[p] for p in self.merge(MARK * n, words_only=False)]
+            if n <= CACHE_RUN_LENGTH:
+                self.runs[n] = ids
+        return ids
 
     def decode(self, ids: list[int]) -> str:
         """Surface text of ids, space marks as spaces; byte pieces are joined."""
