@@ -13,8 +13,11 @@ plan has at most a few thousand blocks at any size.  Depth-first search keeps th
 plan as incumbent, starting from the first (best-fit) dive, and leaves a
 branch once its waste exceeds what a better plan may waste.  It ends when the
 lower bound ceil(total / capacity) is met or ``max_nodes`` fillings were
-looked at after the first dive; that bound limits the proof of optimality, not
-what is packed or which fillings can be found.
+looked at after the first dive.  A plan above the bound is then improved part
+by part: sequences that waste most, with full ones drawn at random, are planned
+anew by the same search, and a part that needs fewer sequences, or gathers its
+waste in fewer, takes the place of the old one.  That ends at the bound or
+after ``rounds`` parts.
 
 Edge cases: a null or empty text still has its closing id; repeated rows are
 packed each; an empty table gives an empty plan and result.
@@ -23,6 +26,8 @@ packed each; an empty table gives an empty plan and result.
 from __future__ import annotations
 
 import bisect
+import json
+import random
 import re
 import struct
 import zlib
@@ -58,6 +63,11 @@ class TokenIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        made = json.loads(self.tokenizer.to_str())
+        before = made["pre_tokenizer"] or {}
+        if made["normalizer"] or (before.get("type"), before.get("add_prefix_space"), before.get("use_regex", True)) != (
+                "ByteLevel", False, True):
+            raise ValueError("this file's normalizer or pre-tokenizer is not that of plain byte-level words")
         added = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
         self.special = list(added)
         # Byte-level files write each byte as a printable character: those
@@ -193,8 +203,44 @@ def _bits(n: int) -> Iterator[int]:
         at = text.find("1", at + 1)
 
 
-def plan(counts: dict[int, int], capacity: int = CAPACITY, max_nodes: int = 6_000) -> list[Block]:
+def plan(counts: dict[int, int], capacity: int = CAPACITY, max_nodes: int = 6_000, rounds: int = 600) -> list[Block]:
     """Blocks that pack ``counts[length]`` pieces of every length."""
+    blocks = Counter()
+    for b in searched(counts, capacity, max_nodes):
+        blocks[b.lengths] += b.times
+    bound = -(-sum(n * c for n, c in counts.items()) // capacity)
+    rng, n = random.Random(5), blocks.total()
+    for _ in range(rounds):
+        if n <= bound:
+            break
+        # Wasted squares grow as waste is gathered in fewer sequences.
+        waste = {f: capacity - sum(f) for f in blocks}
+        loose = sorted((f for f in blocks if waste[f]), key=lambda f: (-waste[f], f))
+        part = Counter()
+        for f in loose[:1] + rng.sample(loose[1:], min(LOOSE - 1, len(loose) - 1)):
+            part[f] += 1
+        full = sorted(f for f in blocks if not waste[f])
+        for f in rng.sample(full, min(FULL, len(full))):
+            part[f] += 1
+        pieces = Counter()
+        for f, k in part.items():
+            for s in f:
+                pieces[s] += k
+        made = Counter()
+        for b in searched(pieces, capacity, PART_NODES):
+            made[b.lengths] += b.times
+        gathered = lambda p: sum((capacity - sum(f)) ** 2 * k for f, k in p.items())
+        if (made.total(), -gathered(made)) < (part.total(), -gathered(part)):
+            blocks = blocks - part + made
+            n += made.total() - part.total()
+    return [Block(f, k) for f, k in blocks.items()]
+
+
+LOOSE, FULL, PART_NODES = 6, 6, 400
+
+
+def searched(counts: dict[int, int], capacity: int, max_nodes: int) -> list[Block]:
+    """The best plan that the search finds within ``max_nodes`` fillings."""
     total = sum(n * c for n, c in counts.items())
     if not total:
         return []
