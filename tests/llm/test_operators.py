@@ -144,6 +144,17 @@ def test_pieces_equal_the_library(spark, docs):
         assert [x[0] for x in struct.iter_unpack("<I", ids)] == want and back == sp.decode(want)
 
 
+def test_pieces_with_bounded_tables(docs, monkeypatch):
+    path = catalog.tokenizer_file("piece_bpe_32k.model")
+    whole = pieces.Codec(path)
+    monkeypatch.setattr(pieces, "CACHE_PAIRS", 3)
+    monkeypatch.setattr(pieces, "CACHE_RUN_LENGTH", 1)
+    small = pieces.Codec(path)
+    for t in ["a    b  c", *[t for _, t, _ in docs[:50]]]:
+        assert small.encode(t) == whole.encode(t)
+    assert len(small.model.pairs) <= 3 and set(small.model.runs) <= {1}
+
+
 def test_packing_is_whole_and_gapless(spark, docs):
     from tokenizers import Tokenizer
 
@@ -191,6 +202,36 @@ def test_packing_plan_meets_known_optimum_of_mid_lengths():
     assert used == counts and sum(b.times for b in blocks) == 600
 
 
+def test_packing_plan_of_full_sequences_cut_in_three():
+    def thirds(n, low, high):
+        while n:
+            a, b = (int(x) for x in rng.integers(low, high, 2))
+            if low <= 2048 - a - b < high:
+                n -= 1
+                yield from (a, b, 2048 - a - b)
+
+    for n, low, high, most in ((20, 513, 1024, 20), (500, 1, 2046, 500), (500, 513, 1024, 503)):
+        rng = np.random.default_rng(n + low)
+        counts, used = Counter(thirds(n, low, high)), Counter()
+        blocks = pack.plan(counts)
+        for b in blocks:
+            assert sum(b.lengths) <= 2048
+            for x in b.lengths:
+                used[x] += b.times
+        assert used == counts and sum(b.times for b in blocks) <= most
+
+
+def test_other_tokenizer_files_are_refused(tmp_path):
+    import json
+
+    made = json.load(open(catalog.tokenizer_file("byte_bpe_50k.json")))
+    for key, other in (("normalizer", {"type": "Lowercase"}), ("pre_tokenizer", {"type": "Whitespace"})):
+        path = tmp_path / f"{key}.json"
+        path.write_text(json.dumps(made | {key: other}))
+        with pytest.raises(ValueError):
+            pack.TokenIds(str(path))
+
+
 def test_fillings_are_all_found_best_first():
     rng = np.random.default_rng(8)
     for _ in range(30):
@@ -227,6 +268,25 @@ def test_checked_tokens_need_their_checksum():
     assert not [s for s in secrets.scan(f"see ghp_{body}AAAAAA here") if s[1] == 3]
 
 
+def test_embedded_checks_decide():
+    import base64
+
+    def kinds(text):
+        return [(secrets.KINDS[k], text[s:e]) for s, k, e in secrets.scan(text)]
+
+    head = base64.urlsafe_b64encode(b'{"alg":"HS256","typ":"JWT"}').rstrip(b"=").decode()
+    bare = base64.urlsafe_b64encode(b'{"typ":"none at all"}').rstrip(b"=").decode()
+    assert kinds(f"see {head}.e30.c2ln end") == [("signed", f"{head}.e30.c2ln")]
+    assert not kinds(f"see {bare}.e30.c2ln x{head}.e30.c2ln eyJ####.e30.") and not kinds("eyJhbGci.e30.")
+    good = "GB82 WEST 1234 5698 7654 32"
+    for text in (f"IBAN: {good}", f"é iban {good} THEN MORE", f"Iban={good.replace(' ', '')}, paid"):
+        assert [k for k, _ in kinds(text)] == ["account"] and kinds(text)[0][1].replace(" ", "") == good.replace(" ", "")
+    assert not kinds("IBAN: GB83 WEST 1234 5698 7654 32") and not kinds(good)
+    assert kinds("Card number: 4111 1111 1111 1111.") == [("card", "4111 1111 1111 1111")]
+    assert not kinds("card 4111 1111 1111 1112") and not kinds("card 0000 0000 0000 0000") and not kinds("discard 4 cards")
+    assert secrets.mask("my card 4111-1111-1111-1111, thanks") == "my card [SECRET], thanks"
+
+
 def test_quality_equals_sql(spark):
     con = duckdb.connect()
     con.execute(f"create view documents as select * from '{SF}/documents.parquet'")
@@ -287,6 +347,24 @@ def test_sentence_spans_against_all_runs(spark, docs):
     assert got == trimmed_by_all_runs([(i, t) for i, t, _ in docs])
 
 
+def test_sentence_spans_that_are_hot(spark, docs, monkeypatch):
+    """Every repeated span is hot, none is, or those in between: the same sentences go."""
+    passage = " ".join(f"w{k}" for k in range(30)) + ". Then five words follow here. "
+    other = " ".join(f"v{k}" for k in range(30)) + ". And five words end it. "
+    rows = [(i, f"Own start {i}. " + passage * (1 + i % 2) + other * (i % 7 == 0) + f"Own end {i}.") for i in range(300)]
+    want = trimmed_by_all_runs(rows)
+    for share in (10 ** 9, 5, 0):
+        monkeypatch.setattr(sentences, "HOT_SHARE", share)
+        got = sentences.trim(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+        assert {r["doc_id"]: r["text"] for r in got} == want
+
+
+def test_sentences_take_their_closing_quotes():
+    assert sentences.sentences_of('He said "Go now." Then he left. (So.) Yes') == [
+        'He said "Go now." ', "Then he left. ", "(So.) ", "Yes"]
+    assert sentences.sentences_of('Version 1.2 "a.b" c') == ['Version 1.2 "a.b" c']
+
+
 def test_sentence_spans_in_other_scripts(spark):
     assert sentences.sentences_of("你好。「再见！」他说。") == ["你好。", "「再见！」", "他说。"]
     assert sentences.sentences_of("यह है। वह था। ") == ["यह है। ", "वह था। "]
@@ -310,6 +388,28 @@ def test_shards_move_only_into_the_new_one(spark, docs):
     assert {r["grown_shard"] for r in rows} == set(range(9))
 
 
+def test_shards_are_the_draws_of_the_tree(spark):
+    """Places from hashes of the xxhash library, level by level."""
+    import math
+
+    import xxhash
+
+    def descend(key, node, path=""):
+        while node.children:
+            def lot(c):
+                h = 42 if key is None else xxhash.xxh64_intdigest(struct.pack("<q", key), 42)
+                h = xxhash.xxh64_intdigest(f"0/{path}/{c.name}".encode(), h)
+                return -math.log(((h >> 12) + 0.5) / 2 ** 52) / c.weight
+
+            node = min(node.children, key=lot) if len(node.children) > 1 else node.children[0]
+            path += f"/{node.name}"
+        return node.shard
+
+    for r in catalog.op9_hash_tree_shards(spark, SF).collect():
+        assert r["shard"] == descend(r["doc_id"], shard.layout(8))
+        assert r["grown_shard"] == descend(r["doc_id"], shard.layout(9, 8))
+
+
 def test_shard_weights_decide_shares(spark):
     from pyspark.sql import functions as F
 
@@ -447,6 +547,25 @@ def test_words_are_letters_and_their_marks():
     assert scorer("² ½") == ("und", 0.0) and scorer("a")[0] == "en"
 
 
+def test_both_word_patterns_agree():
+    for code in (*range(0xD800), *range(0xE000, 0x3000)):
+        t = f"a{chr(code)}b"
+        assert language.words_of(t) == language.LETTERS.findall(t.lower()), hex(code)
+
+
+@pytest.mark.parametrize("letters", ["abcdé", "".join(map(chr, range(0x4E00, 0x9E00)))])  # few, and too many for a code
+def test_gram_counts_are_the_plain_ones(letters):
+    rng = np.random.default_rng(13)
+    words = ["".join(rng.choice(list(letters), int(rng.integers(1, 9)))) for _ in range(4000)]
+    n = rng.integers(1, 9, len(words))
+    for size, (grams, counts) in enumerate(language.grams_with_counts(words, n), 1):
+        want = Counter()
+        for w, k in zip(words, n.tolist()):
+            for g in language.grams_of(w, size):
+                want[g] += k
+        assert dict(zip(grams, counts.tolist())) == want and len(grams) == len(want)
+
+
 def test_language_against_a_plain_scorer(spark, docs):
     """Whole predictions from whole counts, without the library's model."""
     words, grams = {}, {}
