@@ -131,3 +131,45 @@ def test_char_literal_path_with_multichar_tokens(spark):
     assert _ids(e) == [[2, 0, 1, 4, 1, 1]]
     plan = e._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lists_are_looked_up_in_blocks_without_token_rows(spark):
+    texts = ["a b a c", "", None, "c c zz <pad>", "b", "zz", "a b c d e f g h"]
+    rows = [(i, f"l{i % 2}", t) for i, t in enumerate(texts)] + [(6, "again", "h a x"), (None, "n", "a b"), (None, "m", "c")]
+    d = spark.createDataFrame(rows, "doc_id bigint, lang string, text string")
+    v = vb.word_vocab(texts_df(spark, ["a b c d e f g h"]), lowercase=False)
+    want = {r.token: r.id for r in v.collect()}
+    out = {}
+    for limit in ("10m", "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        try:
+            e = en.encode(d, tx.words("text"), v, keep=["lang"])
+            back = en.decode_tokens(e, "ids", v, skip=["c"], unknown_dropped=True, keep=["lang"])
+            assert ("MapInArrow" in _plan(e)) == (limit == "-1")
+            out[limit] = [sorted((str(r.doc_id), list(r[c])) for r in x.collect()) for x, c in ((e, "ids"), (back, "tokens"))]
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert out["10m"] == out["-1"]
+    got = dict(out["-1"][0])
+    assert got["0"] == [want["a"], want["b"], want["a"], want["c"]] and got["1"] == got["2"] == [] and got["5"] == [1]
+    assert len(got["6"]) == 11 and got["None"] == sorted([want["a"], want["c"]]) + [want["b"]]
+
+
+def test_block_lookup_keeps_a_key_whole_across_batches(spark):
+    rows = [(k // 3, [k % 5, 7]) for k in range(300)]
+    d = spark.createDataFrame(rows, "doc_id bigint, ids array<bigint>")
+    v = spark.createDataFrame([(i, f"t{i}") for i in range(5)], "id bigint, token string")
+    got = []
+    for limit, size in (("10m", "10000"), ("-1", "7")):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        try:
+            got.append(sorted((r.doc_id, list(r.tokens)) for r in en.decode_tokens(d, "ids", v, keep=[]).collect()))
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got[0] == got[1] and len(got[0]) == 100
