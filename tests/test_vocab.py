@@ -125,3 +125,16 @@ def test_first_occurrence_packed_and_unpacked_agree(spark):
     df = spark.createDataFrame(rows, "doc_ord bigint, pos int, token string")
     got = {r.token: (r.first_doc, r.first_pos, r.freq) for r in vb._first_occurrence(df).collect()}
     assert got == {"a": (2, 9, 2), "b": (5, 1, 1), "c": ((1 << 43), 4, 2), "d": (7, 2, 2), "e": (3, 0, 2)}
+
+
+def test_first_occurrence_hashes_and_keeps_the_order(spark):
+    import random
+
+    rng = random.Random(5)
+    docs = [-(1 << 63), -7, 0, 5, 1 << 41, (1 << 42) + 1, (1 << 63) - 1]
+    rows = [(rng.choice(docs), rng.choice([0, 1, 9, 1 << 21, (1 << 31) - 1]), rng.choice("abcdefgh")) for _ in range(200)]
+    rows += [((1 << 63) - 1, (1 << 31) - 1, "last"), (-(1 << 63), 1 << 21, "low")]
+    got = vb._first_occurrence(spark.createDataFrame(rows, "doc_ord bigint, pos int, token string"))
+    assert "SortAggregate" not in got._jdf.queryExecution().executedPlan().toString()
+    assert {r.token: (r.first_doc, r.first_pos) for r in got.collect()} == {
+        t: min((d, p) for d, p, x in rows if x == t) for t in {r[2] for r in rows}}
