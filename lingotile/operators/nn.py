@@ -25,17 +25,47 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _with_vectors(rows: DataFrame, emb: DataFrame, id_col: str, vec_col: str, key: str) -> DataFrame:
-    """``rows`` with the vector of their ``id`` as ``_vec`` (null: not in the table)."""
+def _vectors(df: DataFrame, ids: Column, emb: DataFrame, id_col: str, vec_col: str) -> tuple[DataFrame, int, int]:
+    """The embedding table as ``(_eid, _v)``, only what lies between the least
+    and the greatest of ``ids``, and these two: a corpus of characters needs a
+    few rows of a table of any size.  An id that the table holds twice raises."""
     side = emb.select(F.col(id_col).cast("bigint").alias("_eid"), F.col(vec_col).cast("array<double>").alias("_v"))
+    most = side.groupBy("_eid").agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0
+    if most > 1:
+        raise ValueError(f"the lookup table holds a value of _eid {most} times")
+    low, high = df.select(ids.alias("_l")).agg(F.min(F.array_min("_l")), F.max(F.array_max("_l"))).first()
+    low, high = (0, -1) if low is None else (int(low), int(high))
+    return side.where(F.col("_eid").between(low, high)), low, high
+
+
+def _with_vectors(rows: DataFrame, side: DataFrame, key: str) -> DataFrame:
+    """``rows`` with the vector of their ``id`` as ``_vec`` (null: not in the table)."""
     return lookup(rows, "id", side, "_eid", "_v", "_vec", key)
 
 
+# Vectors of up to this many numbers are one constant, indexed by id.
+LITERAL_NUMBERS = 1 << 18
+
+
+def _constant(side: DataFrame, low: int, high: int, dim: int) -> Column | None:
+    """The table as an array constant (place ``id - low + 1``, null where the
+    table has no row), if it is small enough."""
+    if high < low or (high - low + 1) * max(dim, 1) > LITERAL_NUMBERS:
+        return None
+    rows: list = [None] * (high - low + 1)
+    for r in side.where(F.size("_v") <= dim).collect():
+        rows[r["_eid"] - low] = r["_v"]
+    if side.where(F.size("_v") > dim).limit(1).count():   # vectors of another width
+        return None
+    return F.from_json(F.lit(json.dumps(rows)), "array<array<double>>")
+
+
 def lookup_embeddings(df: DataFrame, ids: Column | str, emb: DataFrame, key: str = "doc_id",
                       id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """``(key, pos, id, vec)`` for every position (null vec: id not in table)."""
+    side, _, _ = _vectors(df, _col(ids), emb, id_col, vec_col)
     rows = df.select(key, F.posexplode(_col(ids)).alias("pos", "id"))
-    return _with_vectors(rows, emb, id_col, vec_col, key).select(key, "pos", "id", F.col("_vec").alias("vec"))
+    return _with_vectors(rows, side, key).select(key, "pos", "id", F.col("_vec").alias("vec"))
 
 
 def mean_pool(df: DataFrame, ids: Column | str, emb: DataFrame, dim: int, key: str = "doc_id",
@@ -47,8 +77,11 @@ def mean_pool(df: DataFrame, ids: Column | str, emb: DataFrame, dim: int, key: s
     counts = (df.select(key, F.explode(_col(ids)).alias("id"))
               .where(F.col("id") != pad_id)
               .groupBy(key, "id").agg(F.count(F.lit(1)).cast("double").alias("_w")))
+    # Counts are dealt by row: the means of a row are then made in one task,
+    # and neither vectors nor unfinished means (several vectors each) shuffled.
+    side, _, _ = _vectors(df, _col(ids), emb, id_col, vec_col)
     zero = F.array_repeat(F.lit(0.0), dim)
-    weighted = _with_vectors(counts, emb, id_col, vec_col, key).withColumn("_vec", F.coalesce("_vec", zero))
+    weighted = _with_vectors(counts.repartition(key), side, key).withColumn("_vec", F.coalesce("_vec", zero))
     pooled = (weighted.groupBy(key)
               .agg(Summarizer.mean(array_to_vector("_vec"), F.col("_w")).alias("_m"))
               .select(key, vector_to_array("_m", "float64").alias("_pooled")))
@@ -81,19 +114,33 @@ def flatten_chunks(df: DataFrame, ids: Column | str, emb: DataFrame, seq_len: in
     of ``seq_len`` (the last one padded), and each window becomes one
     ``seq_len x dim`` vector -> rows ``(key, chunk, out)``.  Padding ids map
     to the zero vector.  Each group holds at most ``seq_len`` vectors."""
+    zero = F.array_repeat(F.lit(0.0), dim)
+    side, low, high = _vectors(df, _col(ids), emb, id_col, vec_col)
+    known = _constant(side, low, high, dim)
+    if known is not None:
+        # A window's vectors are put together in its row: nothing is shuffled.
+        windows = F.transform(F.sequence(F.lit(0), F.floor((F.size("_l") - 1) / seq_len).cast("int")),
+                              lambda c: F.struct(c.cast("bigint").alias("chunk"), F.slice("_l", c * seq_len + 1, seq_len).alias("own")))
+        cut = df.select(key, _col(ids).alias("_l")).where(F.size("_l") > 0).select(key, F.explode(windows).alias("_w"))
+        vec = lambda i: F.when(i == pad_id, zero).otherwise(
+            F.coalesce(F.try_element_at(known, (i - low + 1).cast("int")), zero))
+        made = cut.select(key, F.col("_w.chunk").alias("chunk"), F.flatten(F.transform("_w.own", vec)).alias("_f"))
+        return made.select(key, "chunk", _filled_up("_f", seq_len * dim).alias(out))
     # Documents are hash-partitioned by key first: the (key, chunk) regroup
     # then needs no exchange, so embedding vectors are never shuffled.
     rows = df.repartition(key).select(key, F.posexplode(_col(ids)).alias("pos", "id"))
     rows = rows.select(key, F.floor(F.col("pos") / seq_len).alias("chunk"),
                        (F.col("pos") % seq_len).alias("slot"), "id")
-    zero = F.array_repeat(F.lit(0.0), dim)
-    looked = _with_vectors(rows, emb, id_col, vec_col, key)
+    looked = _with_vectors(rows, side, key)
     vec = F.when(F.col("id") == pad_id, zero).otherwise(F.coalesce(F.col("_vec"), zero))
     grouped = looked.groupBy(key, "chunk").agg(
         F.array_sort(F.collect_list(F.struct("slot", vec.alias("v")))).alias("_s"))
-    flat = F.flatten(F.transform("_s", lambda s: s["v"]))
-    padded = F.concat(flat, F.array_repeat(F.lit(0.0), F.lit(seq_len * dim) - F.size(flat)))
-    return grouped.select(key, F.col("chunk").cast("bigint").alias("chunk"), padded.alias(out))
+    made = grouped.select(key, F.col("chunk").cast("bigint").alias("chunk"), F.flatten(F.transform("_s", lambda s: s["v"])).alias("_f"))
+    return made.select(key, "chunk", _filled_up("_f", seq_len * dim).alias(out))
+
+
+def _filled_up(flat: str, width: int) -> Column:
+    return F.concat(flat, F.array_repeat(F.lit(0.0), F.lit(width) - F.size(flat)))
 
 
 def _dot(a: Column, b: Column) -> Column:

@@ -61,3 +61,22 @@ def test_ids_outside_the_table_count_as_zero_vectors(spark):
     assert got == {0: [1.0, 2.0], 1: [0.0, 0.0]}
     flat = {r.doc_id: list(r.flat) for r in nn.flatten_embeddings(df, "ids", emb, 3, 2).collect()}
     assert flat == {0: [2.0, 4.0, 0.0, 0.0, 0.0, 0.0], 1: [0.0] * 6}
+
+
+def test_few_ids_take_few_vectors_of_a_large_table(spark):
+    emb = spark.range(3000).selectExpr("id AS vec_id", "transform(sequence(0, 63), k -> CAST(id + k / 64 AS float)) AS embedding")
+    df = spark.createDataFrame([(0, [1, 2, 0, 2, 1]), (1, [0]), (2, []), (3, [3, 9])], "doc_id bigint, ids array<bigint>")
+    plan = lambda d: d._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64k")   # far below the table
+    try:
+        looked, flat, pooled = (nn.lookup_embeddings(df, "ids", emb), nn.flatten_chunks(df, "ids", emb, 2, 64),
+                                nn.mean_pool(df, "ids", emb, 64))
+        assert "SortMergeJoin" not in plan(looked) and "Exchange" not in plan(flat)
+        assert {(r.doc_id, r.pos): r.vec[0] for r in looked.collect()} == {
+            (k, p): float(i) for k, ids in [(0, [1, 2, 0, 2, 1]), (1, [0]), (3, [3, 9])] for p, i in enumerate(ids)}
+        got = {(r.doc_id, r.chunk): (r.flat[0], r.flat[64], len(r.flat)) for r in flat.collect()}
+        assert got == {(0, 0): (1.0, 2.0, 128), (0, 1): (0.0, 2.0, 128), (0, 2): (1.0, 0.0, 128), (1, 0): (0.0, 0.0, 128),
+                       (3, 0): (3.0, 9.0, 128)}
+        assert {r.doc_id: round(r.pooled[0], 9) for r in pooled.collect()} == {0: 1.5, 1: 0.0, 2: 0.0, 3: 6.0}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
