@@ -264,6 +264,18 @@ def scoring_weights(state: dict[str, tuple], seen: np.ndarray) -> dict[str, np.n
     return {**layers, "seen": at.astype(np.float64)[:, None], "embedding": state["embedding"][0][at]}
 
 
+# Rows that are scored together: the vectors of their tokens are in memory at
+# once, however many rows an Arrow batch has.
+SCORED_AT_ONCE = 256
+
+
+def scored(net: Network, ids: pd.Series) -> list[np.ndarray]:
+    made: list = []
+    for k in range(0, len(ids), SCORED_AT_ONCE):
+        made += list(softmax(net.forward([np.asarray(x) for x in ids.iloc[k:k + SCORED_AT_ONCE]])[0]))
+    return made
+
+
 class NetworkModel(Model, MLReadable, MLWritable):
     """Scores token arrays: adds ``proba`` (array) and ``pred``; row-wise, so
     it runs on streams too."""
@@ -287,7 +299,7 @@ class NetworkModel(Model, MLReadable, MLWritable):
             table[weights["seen"][:, 0].astype(np.int64)] = weights["embedding"]
             net = Network({**{k: w for k, w in weights.items() if k != "seen"}, "embedding": table}, cfg["mode"], cfg["max_length"])
             for ids in batches:
-                yield pd.Series(list(softmax(net.forward([np.asarray(x) for x in ids])[0])) if len(ids) else [], dtype=object)
+                yield pd.Series(scored(net, ids), dtype=object)
 
         return run(ids)
 

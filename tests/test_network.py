@@ -139,3 +139,21 @@ def test_baseline(spark):
     corpus = sample_corpus(spark, 3)
     model = clf.fit_baseline(corpus, clf.TrainConfig(slots=4096))
     assert clf.predict_language(model, corpus).where(F.col("pred") == F.col("label")).count() == 90
+
+
+def test_scoring_holds_the_vectors_of_few_rows():
+    import numpy as np
+    import pandas as pd
+
+    from lingotile.operators import network
+
+    sizes = []
+
+    class Net:
+        def forward(self, ids):
+            sizes.append(len(ids))
+            return np.array([[float(x[0]), 0.0] for x in ids]), None, None
+
+    got = network.scored(Net(), pd.Series([[k % 3] for k in range(1000)]))
+    assert len(got) == 1000 and max(sizes) <= 256 and np.allclose(got[5], network.softmax(np.array([[2.0, 0.0]]))[0])
+    assert network.scored(Net(), pd.Series([], dtype=object)) == []
