@@ -138,3 +138,10 @@ def test_first_occurrence_hashes_and_keeps_the_order(spark):
     assert "SortAggregate" not in got._jdf.queryExecution().executedPlan().toString()
     assert {r.token: (r.first_doc, r.first_pos) for r in got.collect()} == {
         t: min((d, p) for d, p, x in rows if x == t) for t in {r[2] for r in rows}}
+
+
+def test_tokens_without_a_place_come_in_their_own_order(spark):
+    rows = [(None, k, t) for k, t in enumerate(["pear", "fig", "apple", "zest", "Bean"])] + [(3, 0, "corn")]
+    d = spark.createDataFrame(rows, "doc_ord bigint, pos int, token string").repartition(5)
+    got = [r.token for r in vb.build_vocab(d, specials=[]).orderBy("id").collect()]
+    assert [t for t in got if t != "corn"] == ["Bean", "apple", "fig", "pear", "zest"]
