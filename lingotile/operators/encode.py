@@ -1,12 +1,9 @@
 """Encode / decode / pad / batch as dictionary joins and array expressions.
 
-Encoding explodes ``(key, pos, token)``, looks each token up in the
-vocabulary with a join, and regroups per key ordered by ``pos``.  All
-tokens of a document are produced by one task, so the map-side partial
-``collect_list`` already completes each document: with a broadcast
-vocabulary the only exchange moves one id array per document, never the
-text or the token rows.  Small key columns named in ``keep`` travel with
-the rows; other columns are joined back only when asked for.
+A list of tokens is looked up in Arrow batches and stays one row.  With a
+broadcast vocabulary the only exchange moves the rows before their lists are
+made, so that rows of one key meet.  Small key columns named in ``keep``
+travel with the rows; other columns are joined back only when asked for.
 
 A vocabulary is broadcast if its measured bytes are within the session's
 ``spark.sql.autoBroadcastJoinThreshold``.  Beyond, whole rows are dealt into
@@ -33,7 +30,7 @@ from pyspark.sql import types as T
 
 from lingotile.functions.text import PAD, UNK
 from lingotile.operators.ranking import broadcast_limit, measured
-from lingotile.session import ship_package
+from lingotile.session import ship_package, written
 
 SALTS_PER_PARTITION = 32
 BLOCKS_PER_PARTITION = 4   # evens out the blocks that one partition gets
@@ -43,19 +40,6 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _regroup(rows: DataFrame, key: str, value: str, out: str,
-             carry: list[str] | None = None) -> DataFrame:
-    """``(key, pos, value)`` rows -> ``(key, *carry, out ARRAY)`` ordered by
-    pos.  Rows with null ``pos`` (from ``posexplode_outer``) keep empty docs.
-    A document's rows all come from one task, so the partial aggregation
-    completes it map-side: the exchange moves one array per document."""
-    carry = list(carry or [])
-    packed = F.when(F.col("pos").isNotNull(), F.struct(F.col("pos"), F.col(value).alias("v")))
-    agg = rows.groupBy(key).agg(F.array_sort(F.collect_list(packed)).alias("_s"),
-                                *[F.first(c).alias(c) for c in carry])
-    return agg.select(key, *carry, F.transform("_s", lambda s: s["v"]).alias(out))
-
-
 def _carried(df: DataFrame, key: str, keep: list[str] | None) -> list[str]:
     return [c for c in (keep or []) if c != key]
 
@@ -99,7 +83,7 @@ def lookup(rows: DataFrame, rows_key: str, table: DataFrame, table_key: str, val
 
 def _one_row_a_key(made: pa.Table, key: str, out: str) -> pa.Table:
     """Rows of one key, which are adjacent, as one: their list elements by
-    position, then value; the other columns as in the first (``_regroup``'s result)."""
+    position, then value; the other columns as in the first."""
     keys = made[key].to_pylist()
     first = [i for i, k in enumerate(keys) if not i or k != keys[i - 1]]
     if len(first) == len(keys):
@@ -112,27 +96,35 @@ def _one_row_a_key(made: pa.Table, key: str, out: str) -> pa.Table:
     return kept.set_column(kept.column_names.index(out), out, pa.array(merged, made.schema.field(out).type))
 
 
+def _looked(rows: pa.Table, known: pa.Table | None, kind: pa.DataType, columns: list[str], out: str) -> pa.Table:
+    """``columns`` of rows, and the values of ``known(_k, _v)`` for their ``_list``."""
+    lists = rows["_list"].combine_chunks()
+    flat = lists.flatten()
+    if known is not None:
+        at = pc.index_in(flat, value_set=known["_k"].combine_chunks())
+        values = known["_v"].combine_chunks().take(at)
+    else:
+        values = pa.nulls(len(flat), kind)
+    size = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
+    offsets = pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32())
+    return rows.select(columns).append_column(out, pa.ListArray.from_arrays(offsets, values))
+
+
+def _last_held(made: pa.Table, held: pa.Table | None, key: str) -> tuple[pa.Table, pa.Table]:
+    """What is complete, and the last key's rows, which may go on in the next batch."""
+    made = made if held is None else pa.concat_tables([held, made])
+    last, n = made[key][-1].as_py(), made.num_rows - 1
+    while n and made[key][n - 1].as_py() == last:
+        n -= 1
+    return made.slice(0, n), made.slice(n)
+
+
 def _block_lookup(key: str, columns: list[str], out: str):
     """mapInArrow function over rows sorted by (block, kind, key): a block's
     dictionary (kind 0), then its rows (kind 1), whose lists are looked up.
     Held are one block's dictionary and one batch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, found, held = None, [], None
-
-        def looked(rows: pa.Table) -> pa.Table:
-            lists = rows["_list"].combine_chunks()
-            flat = lists.flatten()
-            if found:
-                known = pa.Table.from_batches(found).combine_chunks()
-                found[:] = known.to_batches()
-                at = pc.index_in(flat, value_set=known["_k"].combine_chunks())
-                values = known["_v"].combine_chunks().take(at)
-            else:
-                values = pa.nulls(len(flat), rows.schema.field("_v").type)
-            size = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
-            offsets = pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32())
-            return rows.select(columns).append_column(out, pa.ListArray.from_arrays(offsets, values))
-
         for batch in batches:
             blocks, kinds = batch.column("_block").to_numpy(), batch.column("_kind").to_numpy()
             cuts = np.flatnonzero((np.diff(blocks) != 0) | (np.diff(kinds) != 0)) + 1
@@ -148,24 +140,72 @@ def _block_lookup(key: str, columns: list[str], out: str):
                 if kinds[a] == 0:
                     found.append(part.select(["_k", "_v"]))
                     continue
-                made = looked(pa.Table.from_batches([part]))
-                made = made if held is None else pa.concat_tables([held, made])
-                # The last key's rows may go on in the next batch.
-                last, n = made[key][-1].as_py(), made.num_rows - 1
-                while n and made[key][n - 1].as_py() == last:
-                    n -= 1
-                held = made.slice(n)
-                if n:
-                    yield from _one_row_a_key(made.slice(0, n), key, out).combine_chunks().to_batches()
+                known = pa.Table.from_batches(found).combine_chunks() if found else None
+                if found:
+                    found[:] = known.to_batches()
+                made = _looked(pa.Table.from_batches([part]), known, batch.schema.field("_v").type, columns, out)
+                whole, held = _last_held(made, held, key)
+                if whole.num_rows:
+                    yield from _one_row_a_key(whole, key, out).combine_chunks().to_batches()
+        if held is not None:
+            yield from _one_row_a_key(held, key, out).combine_chunks().to_batches()
+
+    return run
+
+
+def _known_lookup(shared, key: str, columns: list[str], out: str):
+    """mapInArrow function over rows sorted by key, whose lists are looked up
+    in the broadcast table.  Held are that table and one batch."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, held = pa.ipc.open_stream(shared.value).read_all().combine_chunks(), None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            made = _looked(pa.Table.from_batches([batch]), known, known.schema.field("_v").type, columns, out)
+            whole, held = _last_held(made, held, key)
+            if whole.num_rows:
+                yield from _one_row_a_key(whole, key, out).combine_chunks().to_batches()
         if held is not None:
             yield from _one_row_a_key(held, key, out).combine_chunks().to_batches()
 
     return run
 
 
-def _in_blocks(df: DataFrame, lists: Column, side: DataFrame, key: str, carry: list[str], out: str) -> DataFrame:
+def _none(df: DataFrame, lists: Column) -> Column:
+    # No null arrays: the Arrow writer goes over a batch's null lists again at every row.
+    return F.array().cast(df.select(lists.alias("_l")).schema["_l"].dataType)
+
+
+def _values(side: DataFrame, value: Column, out: str) -> Column:
+    kind = side.schema[out].dataType
+    return F.coalesce(value, F.array().cast(kind)) if isinstance(kind, T.ArrayType) else value
+
+
+def _lists_schema(df: DataFrame, side: DataFrame, key: str, carry: list[str], out: str) -> T.StructType:
+    kind = {f.name: f for f in df.schema.fields}
+    return T.StructType([kind[key], *[kind[c] for c in carry], T.StructField(out, T.ArrayType(side.schema[out].dataType))])
+
+
+def _broadcast_lookup(df: DataFrame, lists: Column, side: DataFrame, key: str, carry: list[str], out: str) -> DataFrame:
+    """The table goes to every task, within the session's broadcast limit; rows
+    of a key meet before their lists are made, and a list stays one row."""
+    ship_package(df.sparkSession)
+    known = side.where(F.col("_k").isNotNull()).select("_k", _values(side, F.col(out), out).alias("_v")).toArrow()
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, known.schema) as w:
+        w.write_table(known)
+    shared = df.sparkSession.sparkContext.broadcast(sink.getvalue().to_pybytes())
+    schema = _lists_schema(df, side, key, carry, out)
+    rows = df.repartition(F.col(key)).sortWithinPartitions(key)
+    rows = rows.select(key, *carry, F.coalesce(lists, _none(df, lists)).alias("_list"))
+    return rows.mapInArrow(_known_lookup(shared, key, [key, *carry], out), schema)
+
+
+def _in_blocks(df: DataFrame, lists: Column, side: DataFrame, key: str, carry: list[str], out: str, stored: bool) -> DataFrame:
     ship_package(df.sparkSession)
     parts = _shuffle_partitions(df)
+    if not stored:   # read twice below: whatever makes the lists runs once
+        df, lists = written(df.select(key, *carry, lists.alias("_lists"))), F.col("_lists")
     block = F.pmod(F.xxhash64(key), F.lit(BLOCKS_PER_PARTITION * parts)).cast("int")
     own = df.withColumn("_block", block)
     pairs = own.repartition(parts, "_block").select(F.col("_block").alias("_of"), F.explode(lists).alias("_probe")).distinct()
@@ -173,28 +213,22 @@ def _in_blocks(df: DataFrame, lists: Column, side: DataFrame, key: str, carry: l
         F.col("_of").alias("_block"), F.lit(0).alias("_kind"), "_k", F.col(out).alias("_v"))
     rows = own.withColumn("_kind", F.lit(1)).unionByName(found, allowMissingColumns=True)
     rows = rows.repartition(parts, "_block").sortWithinPartitions("_block", "_kind", key)
-    kind = {f.name: f for f in df.schema.fields}
-    schema = T.StructType([kind[key], *[kind[c] for c in carry], T.StructField(out, T.ArrayType(side.schema[out].dataType))])
-    # No null arrays: the Arrow writer goes over a batch's null lists again at every row.
-    none = F.array().cast(df.select(lists.alias("_l")).schema["_l"].dataType)
-    values = F.col("_v")
-    if isinstance(side.schema[out].dataType, T.ArrayType):
-        values = F.coalesce(values, F.array().cast(side.schema[out].dataType))
+    schema = _lists_schema(df, side, key, carry, out)
+    none, values = _none(df, lists), _values(side, F.col("_v"), out)
     rows = rows.select("_block", "_kind", "_k", values.alias("_v"), key, *carry,
                        F.when(F.col("_kind") == 1, F.coalesce(lists, none)).otherwise(none).alias("_list"))
     return rows.mapInArrow(_block_lookup(key, [key, *carry], out), schema)
 
 
 def lookup_lists(df: DataFrame, lists: Column, table: DataFrame, table_key: str, value: str, key: str,
-                 carry: list[str], out: str) -> DataFrame:
+                 carry: list[str], out: str, stored: bool = False) -> DataFrame:
     """``(key, *carry, out ARRAY)``: the values of ``table(table_key -> value)``
-    for the elements of ``lists`` (null when absent), one row a key."""
+    for the elements of ``lists`` (null when absent), one row a key.  ``stored``
+    says that ``df`` is a written table, which need not be written again."""
     side, fits = _side(table, table_key, value, out)
     if not fits:
-        return _in_blocks(df, lists, side, key, carry, out)
-    rows = df.select(key, *carry, F.posexplode_outer(lists).alias("pos", "_e"))
-    looked = rows.join(F.broadcast(side), rows["_e"] == side["_k"], "left").drop("_k")
-    return _regroup(looked, key, out, out, carry)
+        return _in_blocks(df, lists, side, key, carry, out, stored)
+    return _broadcast_lookup(df, lists, side, key, carry, out)
 
 
 # A vocabulary made from an alphabet in the program is an array literal,

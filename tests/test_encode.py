@@ -173,3 +173,22 @@ def test_block_lookup_keeps_a_key_whole_across_batches(spark):
             spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
             spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert got[0] == got[1] and len(got[0]) == 100
+
+
+def test_lists_are_looked_up_without_a_row_a_token(spark):
+    """A list stays one row; rows of one key, null ones too, are put together."""
+    v = spark.createDataFrame([(0, "<pad>"), (1, "<unk>"), (2, "a"), (3, "b"), (None, "n")], "id bigint, token string")
+    rows = [(1, ["a", "b", "z"]), (2, []), (3, None), (4, ["n", None, "b"]), (5, ["b"]), (5, ["a", "a"]), (None, ["a"]), (None, ["b", "b"])]
+    df = spark.createDataFrame(rows, "doc_id bigint, t array<string>")
+    e = en.encode(df, "t", v, keep=[])
+    plan = e._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "Aggregate" not in plan
+    got = {r.doc_id: list(r.ids) for r in e.collect()}
+    assert got == {1: [2, 3, 1], 2: [], 3: [], 4: [1, 1, 3], 5: [2, 3, 2], None: [2, 3, 3]}
+    back = {r.doc_id: list(r.tokens) for r in en.decode_tokens(e, "ids", v, keep=[]).collect()}
+    assert back[4] == ["<unk>", "<unk>", "b"] and back[None] == ["a", "b", "b"]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert {r.doc_id: list(r.ids) for r in en.encode(df, "t", v, keep=[]).collect()} == got
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
