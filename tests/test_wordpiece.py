@@ -73,3 +73,44 @@ def test_frequent_pieces_are_all_found(spark):
     for floor in (2, 5, 20):
         got = {r.piece: r.freq for r in wp.frequent_pieces(spark.createDataFrame(rows, "word string, wf bigint"), floor).collect()}
         assert got == {p: n for p, n in want.items() if n >= floor}
+
+
+def test_a_place_is_one_row_and_all_pieces_are_found(spark):
+    """Marks, short pieces, characters beyond the basic plane; few blocks and many."""
+    tokens = ["a", "ab", "abc", "##b", "##bc", "##bcd", "#", "##", "###", "##a", "##abcd", "##d", "\U0001f600", "##\U0001f600x", "##x"]
+    words = ["a", "ab", "abcd", "abcbcd", "##abcd", "###", "#a", "aab", "\U0001f600\U0001f600x", "xa", "dabcdd", "ad"]
+    v = spark.createDataFrame([(i, t) for i, t in enumerate(tokens)] + [(None, "xa"), (99, None)], "id bigint, token string")
+    w = spark.createDataFrame([(x,) for x in words], "word string")
+    longest = max(len(t.removeprefix("##")) for t in tokens)
+
+    def piece(x, s, n):
+        return x[s:s + n] if s == 0 else "##" + x[s:s + n]
+
+    want = {}
+    for x in words:
+        for s in range(len(x)):
+            fits = [n for n in range(1, min(longest, len(x) - s) + 1) if piece(x, s, n) in tokens]
+            if fits:
+                want[x, s] = max(fits)
+    for parts in ("1", "7"):
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        try:
+            got = wp._hits(w, v, longest).collect()
+        finally:
+            spark.conf.unset("spark.sql.shuffle.partitions")
+        assert len(got) == len(want) and {(r.word, r.s): r.l for r in got} == want
+
+
+def test_texts_are_split_once(spark):
+    """The distinct words and the lookups read the split lists, not the texts."""
+    from lingotile.plans.common import documents
+
+    docs = documents(spark, "/root/testdata/sf0.001").where("doc_id < 20")
+    v = vb.materialize(wp.wordpiece_vocab_from_corpus(docs))
+    for limit in ("10m", "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        try:
+            made = wp.wordpiece_tokenize(docs, v, keep=[])
+            assert "text:string" not in made._jdf.queryExecution().executedPlan().toString()
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
