@@ -1,8 +1,8 @@
 """Encode / decode / pad / batch as dictionary joins and array expressions.
 
 A list of tokens is looked up in Arrow batches and stays one row.  With a
-broadcast vocabulary the only exchange moves the rows before their lists are
-made, so that rows of one key meet.  Small key columns named in ``keep``
+broadcast vocabulary the only exchange moves one id array per document, never
+the text or a row per token.  Small key columns named in ``keep``
 travel with the rows; other columns are joined back only when asked for.
 
 A vocabulary is broadcast if its measured bytes are within the session's
@@ -96,9 +96,8 @@ def _one_row_a_key(made: pa.Table, key: str, out: str) -> pa.Table:
     return kept.set_column(kept.column_names.index(out), out, pa.array(merged, made.schema.field(out).type))
 
 
-def _looked(rows: pa.Table, known: pa.Table | None, kind: pa.DataType, columns: list[str], out: str) -> pa.Table:
-    """``columns`` of rows, and the values of ``known(_k, _v)`` for their ``_list``."""
-    lists = rows["_list"].combine_chunks()
+def _looked(lists: pa.Array, known: pa.Table | None, kind: pa.DataType) -> pa.ListArray:
+    """The values of ``known(_k, _v)`` for the elements of lists."""
     flat = lists.flatten()
     if known is not None:
         at = pc.index_in(flat, value_set=known["_k"].combine_chunks())
@@ -107,7 +106,7 @@ def _looked(rows: pa.Table, known: pa.Table | None, kind: pa.DataType, columns:
         values = pa.nulls(len(flat), kind)
     size = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
     offsets = pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32())
-    return rows.select(columns).append_column(out, pa.ListArray.from_arrays(offsets, values))
+    return pa.ListArray.from_arrays(offsets, values)
 
 
 def _last_held(made: pa.Table, held: pa.Table | None, key: str) -> tuple[pa.Table, pa.Table]:
@@ -143,7 +142,8 @@ def _block_lookup(key: str, columns: list[str], out: str):
                 known = pa.Table.from_batches(found).combine_chunks() if found else None
                 if found:
                     found[:] = known.to_batches()
-                made = _looked(pa.Table.from_batches([part]), known, batch.schema.field("_v").type, columns, out)
+                lists = _looked(part.column("_list"), known, batch.schema.field("_v").type)
+                made = pa.Table.from_batches([part]).select(columns).append_column(out, lists)
                 whole, held = _last_held(made, held, key)
                 if whole.num_rows:
                     yield from _one_row_a_key(whole, key, out).combine_chunks().to_batches()
@@ -153,24 +153,6 @@ def _block_lookup(key: str, columns: list[str], out: str):
     return run
 
 
-def _known_lookup(shared, key: str, columns: list[str], out: str):
-    """mapInArrow function over rows sorted by key, whose lists are looked up
-    in the broadcast table.  Held are that table and one batch."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, held = pa.ipc.open_stream(shared.value).read_all().combine_chunks(), None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            made = _looked(pa.Table.from_batches([batch]), known, known.schema.field("_v").type, columns, out)
-            whole, held = _last_held(made, held, key)
-            if whole.num_rows:
-                yield from _one_row_a_key(whole, key, out).combine_chunks().to_batches()
-        if held is not None:
-            yield from _one_row_a_key(held, key, out).combine_chunks().to_batches()
-
-    return run
-
-
 def _none(df: DataFrame, lists: Column) -> Column:
     # No null arrays: the Arrow writer goes over a batch's null lists again at every row.
     return F.array().cast(df.select(lists.alias("_l")).schema["_l"].dataType)
@@ -181,24 +163,28 @@ def _values(side: DataFrame, value: Column, out: str) -> Column:
     return F.coalesce(value, F.array().cast(kind)) if isinstance(kind, T.ArrayType) else value
 
 
-def _lists_schema(df: DataFrame, side: DataFrame, key: str, carry: list[str], out: str) -> T.StructType:
-    kind = {f.name: f for f in df.schema.fields}
-    return T.StructType([kind[key], *[kind[c] for c in carry], T.StructField(out, T.ArrayType(side.schema[out].dataType))])
-
-
 def _broadcast_lookup(df: DataFrame, lists: Column, side: DataFrame, key: str, carry: list[str], out: str) -> DataFrame:
-    """The table goes to every task, within the session's broadcast limit; rows
-    of a key meet before their lists are made, and a list stays one row."""
+    """The table goes to every task, within the session's broadcast limit; a
+    list is looked up and moved as one row.  Rows of a key become one, their
+    elements by position, then value."""
     ship_package(df.sparkSession)
     known = side.where(F.col("_k").isNotNull()).select("_k", _values(side, F.col(out), out).alias("_v")).toArrow()
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, known.schema) as w:
         w.write_table(known)
     shared = df.sparkSession.sparkContext.broadcast(sink.getvalue().to_pybytes())
-    schema = _lists_schema(df, side, key, carry, out)
-    rows = df.repartition(F.col(key)).sortWithinPartitions(key)
-    rows = rows.select(key, *carry, F.coalesce(lists, _none(df, lists)).alias("_list"))
-    return rows.mapInArrow(_known_lookup(shared, key, [key, *carry], out), schema)
+
+    @F.arrow_udf(T.ArrayType(side.schema[out].dataType))
+    def found(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        table = pa.ipc.open_stream(shared.value).read_all().combine_chunks()
+        for batch in batches:
+            yield _looked(batch, table, table.schema.field("_v").type)
+
+    rows = df.select(key, *carry, found(F.coalesce(lists, _none(df, lists))).alias("_own"))
+    met = rows.groupBy(key).agg(F.collect_list("_own").alias("_all"), *[F.first(c).alias(c) for c in carry])
+    placed = F.flatten(F.transform("_all", lambda own: F.transform(own, lambda v, p: F.struct(p.alias("p"), v.alias("v")))))
+    merged = F.when(F.size("_all") == 1, F.col("_all")[0]).otherwise(F.transform(F.array_sort(placed), lambda x: x["v"]))
+    return met.select(key, *carry, merged.alias(out))
 
 
 def _in_blocks(df: DataFrame, lists: Column, side: DataFrame, key: str, carry: list[str], out: str, stored: bool) -> DataFrame:
@@ -213,7 +199,8 @@ def _in_blocks(df: DataFrame, lists: Column, side: DataFrame, key: str, carry: l
         F.col("_of").alias("_block"), F.lit(0).alias("_kind"), "_k", F.col(out).alias("_v"))
     rows = own.withColumn("_kind", F.lit(1)).unionByName(found, allowMissingColumns=True)
     rows = rows.repartition(parts, "_block").sortWithinPartitions("_block", "_kind", key)
-    schema = _lists_schema(df, side, key, carry, out)
+    kind = {f.name: f for f in df.schema.fields}
+    schema = T.StructType([kind[key], *[kind[c] for c in carry], T.StructField(out, T.ArrayType(side.schema[out].dataType))])
     none, values = _none(df, lists), _values(side, F.col("_v"), out)
     rows = rows.select("_block", "_kind", "_k", values.alias("_v"), key, *carry,
                        F.when(F.col("_kind") == 1, F.coalesce(lists, none)).otherwise(none).alias("_list"))
