@@ -75,6 +75,19 @@ def words(col: Column | str) -> Column:
     return F.regexp_extract_all(t, F.lit(FAST_WORD_RE), F.lit(0))
 
 
+# A run of whitespace in Python's sense, and any other run, never given back.
+_GAP, _RUN = r"[\s\x{1c}-\x{1f}]++", r"[^\s\x{1c}-\x{1f}]++"
+
+
+def first_words(col: Column | str, k: int) -> Column:
+    """The text up to the end of its ``k``-th word (all of it, if it has
+    fewer): what follows is not read.  Java's matcher nests once for each
+    word, so a larger ``k`` takes the whole text."""
+    if k > 500:
+        return _text(col)
+    return F.regexp_extract(_text(col), f"(?U)^(?:{_GAP})?(?:{_RUN}(?:{_GAP})?){{0,{k}}}", 0)
+
+
 def chars(col: Column | str) -> Column:
     """Python ``list(text)``: one element per code point, spaces included
     (``split`` with an empty pattern splits by code point; ``""`` -> [])."""
@@ -146,6 +159,12 @@ class TokenizerSpec:
     # True when ``fn`` yields ``struct<tokens, error>`` (a Python tokenizer
     # that may raise): summaries then stop at the first failing text.
     safe: bool = False
+    # ``head(text, k)``: a part of the text whose first ``k`` tokens are those
+    # of the whole text.
+    head: Callable[[Column, int], Column] | None = None
+    # For tokenizers that take 1 to 2 pieces of each word: ``(n, use_prefix,
+    # use_suffix)``; n None is the word itself (see ``vocab.counted``).
+    edges: tuple | None = None
 
     def tokens(self, text: Column | str, lang: Column | str | None = None) -> Column:
         t = F.col(text) if isinstance(text, str) else text
@@ -178,17 +197,19 @@ def python_tokenizer_spec(name: str, tokenize, n_special: int = 2, sep: str = "
 
 
 def char_spec() -> TokenizerSpec:
-    return TokenizerSpec("char", lambda t, lg: chars(t), n_special=2, sep="")
+    return TokenizerSpec("char", lambda t, lg: chars(t), n_special=2, sep="",
+                         head=lambda t, k: F.substring(_text(t), 1, k))
 
 
 def word_spec() -> TokenizerSpec:
-    return TokenizerSpec("word", lambda t, lg: words(t), n_special=4, sep=" ")
+    return TokenizerSpec("word", lambda t, lg: words(t), n_special=4, sep=" ", head=first_words,
+                         edges=(None, True, False))
 
 
 def edgegram_spec(n: int = 3, use_prefix: bool = True, use_suffix: bool = True,
                   name: str = "edgegram") -> TokenizerSpec:
     return TokenizerSpec(name, lambda t, lg: edgegrams(t, n, use_prefix, use_suffix),
-                         n_special=2, sep=" ", growing=True)
+                         n_special=2, sep=" ", growing=True, head=first_words, edges=(n, use_prefix, use_suffix))
 
 
 def rule_spec(lang: str | None = None, name: str | None = None) -> TokenizerSpec:

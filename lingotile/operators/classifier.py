@@ -62,17 +62,22 @@ class TrainConfig:
     language_map: dict = field(default_factory=lambda: dict(DEFAULT_LANGUAGE_MAP))
 
 
-def tokens_stage(cfg: TrainConfig, vocab: DataFrame | None = None) -> Tokens:
-    """The configured tokenizer; ``vocab`` is a WordPiece vocabulary."""
+def tokens_stage(cfg: TrainConfig, vocab: DataFrame | None = None, limit: int = 0) -> Tokens:
+    """The configured tokenizer; ``vocab`` is a WordPiece vocabulary, ``limit``
+    the tokens that the network takes of a text (0: all)."""
     options = {"n": cfg.ngram, **cfg.tokenizer_options} if cfg.tokenizer == "edgegram" else cfg.tokenizer_options
-    return Tokens(tokenizer=cfg.tokenizer, options=json.dumps(options), vocab=vocab)
+    return Tokens(tokenizer=cfg.tokenizer, options=json.dumps(options), limit=limit, vocab=vocab)
 
 
 def features(rows: DataFrame, stage: Tokens, cfg: TrainConfig) -> DataFrame:
-    """``(doc_id, label, ids)``: a slot for each of the first ``max_length`` tokens."""
+    """``(doc_id, label, ids)``: a slot for each of the first ``max_length``
+    tokens; ``doc_ord`` is kept.  Rows with ids in place of a text stay."""
+    label, kept = F.col("label").cast("int").alias("label"), [c for c in ("doc_ord",) if c in rows.columns]
+    if "ids" in rows.columns and stage.getInputCol() not in rows.columns:
+        return rows.select("doc_id", *kept, label, "ids")
     made = stage.transform(rows)
     ids = network.slot_ids(F.col(stage.getOutputCol()), cfg.slots, cfg.max_length)
-    return made.select("doc_id", F.col("label").cast("int").alias("label"), ids.alias("ids"))
+    return made.select("doc_id", *kept, label, ids.alias("ids"))
 
 
 def train_with_history(train: DataFrame, val: DataFrame, cfg: TrainConfig, n_train: int | None = None,
@@ -81,7 +86,7 @@ def train_with_history(train: DataFrame, val: DataFrame, cfg: TrainConfig, n_tra
     """Rounds with history and early stopping; returns the best model and
     ``history(epoch, train_loss, val_loss, train_accuracy, val_accuracy,
     step_size)``.  A run over a ``rounds_dir`` with finished rounds goes on
-    after them."""
+    after them.  Both parts are texts, or ``features`` of them."""
     if cfg.mode not in MODES:
         raise ValueError(f"the mode is one of {MODES}, not {cfg.mode!r}")
     n_train = train.count() if n_train is None else n_train
@@ -89,11 +94,11 @@ def train_with_history(train: DataFrame, val: DataFrame, cfg: TrainConfig, n_tra
         raise ValueError("train set is empty")
     if (n_val == 0) if n_val is not None else val.isEmpty():
         raise ValueError("validation set is empty")
-    stage = tokens_stage(cfg, wordpiece_vocab)
+    stage = tokens_stage(cfg, wordpiece_vocab, cfg.max_length)
     order = "doc_ord" if "doc_ord" in val.columns else "doc_id"
     keys = assign_batches(val.select(*dict.fromkeys(["doc_id", order])), cfg.batch_size, order_col=order)
     tr = materialize(features(train, stage, cfg))
-    va = materialize(features(val, stage, cfg).join(keys.select("doc_id", "batch_id"), "doc_id"))
+    va = materialize(features(val, stage, cfg).drop("doc_ord").join(keys.select("doc_id", "batch_id"), "doc_id"))
     settings = {k: v for k, v in asdict(cfg).items() if k not in ("language_map", "tokenizer_options")}
     weights, history = network.fit_rounds(tr, va, settings, n_train, len(cfg.language_map), rounds_dir)
     scoring = {k: settings[k] for k in ("slots", "max_length", "mode")}

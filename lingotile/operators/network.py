@@ -138,12 +138,14 @@ class Network:
         if not len(flat):
             return loss, logits.argmax(1), dense, flat, np.zeros((0, self.w["embedding"].shape[1]), np.float32)
         if self.mode == "flatten":
-            each = g.reshape(len(ids), self.max_length, -1)[row, place]
+            order = np.argsort(flat, kind="stable")
+            each = g.reshape(len(ids), self.max_length, -1)[row[order], place[order]]
         else:
-            each = (g / np.maximum(size, 1)[:, None])[row]
-        order = np.argsort(flat, kind="stable")
-        slots, first = np.unique(flat[order], return_index=True)
-        return loss, logits.argmax(1), dense, slots, np.add.reduceat(each[order], first)
+            order = np.argsort(flat, kind="stable")
+            each = (g / np.maximum(size, 1)[:, None])[row[order]]
+        sorted_slots = flat[order]
+        first = np.flatnonzero(np.append(True, sorted_slots[1:] != sorted_slots[:-1]))
+        return loss, logits.argmax(1), dense, sorted_slots[first], np.add.reduceat(each, first)
 
 
 def softmax(z: np.ndarray) -> np.ndarray:
@@ -162,11 +164,27 @@ class Adam:
         norm = np.sqrt(sum(float((g ** 2).sum()) for g in dense.values()) + float((rows ** 2).sum()))
         scale = min(1.0, CLIP / (norm + 1e-6))
         for name, g, at in [*((k, g, slice(None)) for k, g in dense.items()), ("embedding", rows, slots)]:
-            w, m, v = self.state[name]
-            g = g * scale + self.decay * w[at]
-            m[at] = BETA1 * m[at] + (1 - BETA1) * g
-            v[at] = BETA2 * v[at] + (1 - BETA2) * g * g
-            w[at] -= self.lr * (m[at] / (1 - BETA1 ** self.t)) / (np.sqrt(v[at] / (1 - BETA2 ** self.t)) + EPSILON)
+            # Each row is taken once and put back once (a layer is worked on in place).
+            own = [x[at] for x in self.state[name]]
+            w, m, v = own
+            g = g * scale
+            g += self.decay * w
+            m *= BETA1
+            m += (1 - BETA1) * g
+            v *= BETA2
+            grown = (1 - BETA2) * g
+            grown *= g
+            v += grown
+            change = m / (1 - BETA1 ** self.t)
+            change *= self.lr
+            root = v / (1 - BETA2 ** self.t)
+            np.sqrt(root, out=root)
+            root += EPSILON
+            change /= root
+            w -= change
+            if name == "embedding":
+                for x, made in zip(self.state[name], own):
+                    x[at] = made
 
 
 def _round(shared, cfg: dict, classes: int, epoch: int, steps: int, lr: float):

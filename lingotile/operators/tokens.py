@@ -9,7 +9,8 @@ from pyspark.ml import Transformer
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from lingotile.functions import text as tx
 
@@ -37,21 +38,23 @@ class Tokens(Transformer, HasInputCol, HasOutputCol, MLReadable, MLWritable):
     """Adds the token array of a named tokenizer.  All but ``wordpiece`` are
     row-wise expressions and run on streams; ``wordpiece`` matches distinct
     words by a join and needs ``keyCol`` to be unique.  Saved with its options
-    and, for ``wordpiece``, its vocabulary table."""
+    and, for ``wordpiece``, its vocabulary table.  With a ``limit`` above 0
+    the first so many tokens are made, and a text's rest is not tokenised."""
 
     tokenizer = Param(Params._dummy(), "tokenizer", "name of the tokenizer", TypeConverters.toString)
     options = Param(Params._dummy(), "options", "its options as JSON", TypeConverters.toString)
     langCol = Param(Params._dummy(), "langCol", "the row's language, for the rule tokenizer", TypeConverters.toString)
     keyCol = Param(Params._dummy(), "keyCol", "unique key, for the wordpiece tokenizer", TypeConverters.toString)
+    limit = Param(Params._dummy(), "limit", "tokens made of a text, 0: all", TypeConverters.toInt)
 
     @keyword_only
     def __init__(self, *, tokenizer="edgegram", options="{}", inputCol="text", outputCol="_tokens", langCol="lang",
-                 keyCol="doc_id", vocab=None):
+                 keyCol="doc_id", limit=0, vocab=None):
         super().__init__()
         kwargs = dict(self._input_kwargs)
         self.vocab = kwargs.pop("vocab", None)
         self._setDefault(tokenizer="edgegram", options="{}", inputCol="text", outputCol="_tokens", langCol="lang",
-                         keyCol="doc_id")
+                         keyCol="doc_id", limit=0)
         self._set(**kwargs)
 
     def spec(self) -> tx.TokenizerSpec:
@@ -62,8 +65,15 @@ class Tokens(Transformer, HasInputCol, HasOutputCol, MLReadable, MLWritable):
         if spec.prepare is not None:
             made = spec.prepare(df, text, self.getOrDefault("keyCol"))
             own = [c for c in made.columns if c not in df.columns]
-            return made.withColumn(self.getOutputCol(), spec.tokens(text)).drop(*own)
-        return df.withColumn(self.getOutputCol(), spec.tokens(text, lang if lang in df.columns else None))
+            return made.withColumn(self.getOutputCol(), self._cut(spec.tokens(text))).drop(*own)
+        limit = self.getOrDefault("limit")
+        head = spec.head(F.col(text), limit) if limit and spec.head is not None else F.col(text)
+        tokens = spec.tokens(head, lang if lang in df.columns else None)
+        return df.withColumn(self.getOutputCol(), self._cut(tokens))
+
+    def _cut(self, tokens: Column) -> Column:
+        limit = self.getOrDefault("limit")
+        return F.slice(tokens, 1, limit) if limit else tokens
 
     def write(self) -> MLWriter:
         return _Writer(self)

@@ -10,11 +10,16 @@ id assignment is the parallel two-level rank from ``ranking``.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lingotile.functions.text import SPECIALS_SHORT, SPECIALS_WORD, lowered_words, words
+from lingotile.functions.text import SPECIALS_SHORT, SPECIALS_WORD, TokenizerSpec, lowered_words, words
 from lingotile.operators.ranking import global_rank
 from lingotile.session import written
 
@@ -64,6 +69,69 @@ def token_rows(df: DataFrame, tokens: Column, order_col: str = "doc_ord",
                      F.posexplode(tokens).alias("pos", "token"))
 
 
+def counted(df: DataFrame, spec: TokenizerSpec, text_col: str = "text", lang_col: str | None = "lang",
+            order_col: str = "doc_ord") -> DataFrame:
+    """``token_rows`` of a tokenizer that takes words apart, counted in their
+    task: ``(doc_ord, pos, token, n)``, a row for each distinct token of an
+    Arrow batch, with its first place there.  Other tokenizers: a row per token."""
+    if spec.edges is None:
+        return token_rows(df, spec.tokens(text_col, lang_col), order_col)
+    from lingotile.session import ship_package
+
+    ship_package(df.sparkSession)
+    edges = spec.edges
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield _counted_batch(batch.column(0), batch.column(1), *edges)
+
+    rows = df.select(F.col(order_col).cast("bigint").alias("doc_ord"), F.make_valid_utf8(text_col).alias("text"))
+    return rows.mapInArrow(run, "doc_ord bigint, pos int, token string, n bigint")
+
+
+_NOWHERE = np.iinfo(np.int64).max   # no place: the row's ordinal is null
+
+
+def _counted_batch(ords: pa.Array, texts: pa.Array, n: int | None, use_prefix: bool, use_suffix: bool) -> pa.RecordBatch:
+    """The distinct pieces of the texts' words with their counts and the least (ordinal, place) of each."""
+    lists = pc.utf8_split_whitespace(pc.cast(texts, pa.large_string()))
+    words, row = lists.flatten(), pc.list_parent_indices(lists)
+    real = pc.not_equal(words, "")
+    words, row = words.filter(real), row.filter(real).to_numpy(zero_copy_only=False)
+    two = np.zeros(len(words), bool)
+    parts = [words]
+    if n is not None:
+        if use_prefix and use_suffix:
+            two = pc.greater_equal(pc.utf8_length(words), n).to_numpy(zero_copy_only=False)
+        # Of a word shorter than n, both ends are the word.
+        parts = [pc.utf8_slice_codeunits(words, 0, n) if use_prefix else pc.utf8_slice_codeunits(words, -n, None)]
+        if use_prefix and use_suffix:
+            parts.append(pc.utf8_slice_codeunits(words.filter(pa.array(two)), -n, None))
+    end = np.cumsum(1 + two)
+    start = end - 1 - two
+    first_of_row = np.flatnonzero(np.append(True, row[1:] != row[:-1])) if len(row) else np.zeros(0, np.int64)
+    place = start - np.repeat(start[first_of_row], np.diff(np.append(first_of_row, len(row))))
+    has_ord = ords.is_valid().to_numpy(zero_copy_only=False)
+    values, rank = np.unique(ords.fill_null(0).to_numpy(zero_copy_only=False), return_inverse=True)
+    at = np.where(has_ord[row], (rank[row].astype(np.int64) << 32) + place, _NOWHERE)
+    places = [at]
+    if len(parts) == 2:
+        places.append(np.where(at[two] == _NOWHERE, _NOWHERE, at[two] + 1))
+    coded = pc.dictionary_encode(pa.chunked_array(parts)).combine_chunks()
+    coded = coded.chunk(0) if isinstance(coded, pa.ChunkedArray) else coded
+    codes, size = coded.indices.to_numpy(zero_copy_only=False), len(coded.dictionary)
+    least = np.full(size, _NOWHERE)
+    np.minimum.at(least, codes, np.concatenate(places))
+    known = least != _NOWHERE
+    ordinal = np.zeros(size, np.int64)
+    ordinal[known] = values[least[known] >> 32]
+    # Without an ordinal there is no place (null), but the token counts.
+    return pa.RecordBatch.from_arrays(
+        [pa.array(ordinal, mask=~known), pa.array(np.where(known, least & 0xFFFFFFFF, 0).astype(np.int32), mask=~known),
+         coded.dictionary.cast(pa.string()), pa.array(np.bincount(codes, minlength=size).astype(np.int64))],
+        names=["doc_ord", "pos", "token", "n"])
+
+
 POS_BITS = 21   # positions below 2^21 and ordinals below 2^42 pack into 63 bits
 ORD_LIMIT = 1 << 42
 
@@ -90,7 +158,7 @@ def _first_occurrence(tokens_df: DataFrame) -> DataFrame:
     fits = (d >= 0) & (d < ORD_LIMIT) & (p >= 0) & (p < (1 << POS_BITS))
     ints = isinstance(tokens_df.schema["pos"].dataType, T.IntegerType)
     agg = tokens_df.groupBy("token").agg(
-        F.count(F.lit(1)).alias("freq"),
+        (F.sum("n") if "n" in tokens_df.columns else F.count(F.lit(1))).alias("freq"),
         F.min(F.when(fits, F.shiftleft(d, POS_BITS) + p)).alias("_packed"),
         F.min(F.when(~fits, _wide(d, p) if ints else F.struct(d.alias("doc_ord"), p.alias("pos")))).alias("_other"))
     packed = F.struct(F.shiftright("_packed", POS_BITS).alias("doc_ord"),
@@ -115,7 +183,8 @@ def build_vocab(tokens_df: DataFrame, min_freq: int = 1,
     """Corpus vocabulary: tokens with ``freq >= min_freq`` that are not
     special, ids in first-occurrence order after the specials.
 
-    ``tokens_df`` has ``(doc_ord, pos, token)`` (see ``token_rows``)."""
+    ``tokens_df`` has ``(doc_ord, pos, token)`` (see ``token_rows``), and ``n``
+    where a row stands for so many (see ``counted``)."""
     specials = SPECIALS_WORD if specials is None else specials
     spark = tokens_df.sparkSession
     agg = _first_occurrence(tokens_df.where(~F.col("token").isin(*specials)))

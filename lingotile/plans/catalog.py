@@ -1448,7 +1448,7 @@ def q_stream_vocab_arrivals(spark, sf_dir):
 def q_stream_predict(spark, sf_dir):
     """A fitted classifier scoring a documents stream (parquet sink)."""
     res, cfg = _train(spark, sf_dir)
-    stream = st.read_table_stream(spark, sf_dir, "documents.parquet")
+    stream = st.read_table_stream(spark, sf_dir, "documents.parquet", max_files_per_trigger=None)   # scored row by row
     out = scratch_path(spark, "stream-pred")
     pred = st.predict_stream(res["model"], stream, cfg.language_map).select("doc_id", "lang", "pred")
     q = (pred.writeStream.format("parquet").option("path", out)

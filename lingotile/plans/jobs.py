@@ -85,12 +85,12 @@ def prepare_training(corpus: DataFrame, cfg: clf.TrainConfig, wordpiece_vocab: D
     if wordpiece_vocab is not None:
         vocab = wordpiece_vocab
     else:
-        stage = clf.tokens_stage(cfg)
-        vocab = vb.materialize(vb.build_vocab(vb.token_rows(stage.transform(scope), F.col(stage.getOutputCol())),
-                                              specials=tx.SPECIALS_SHORT))
+        spec = clf.tokens_stage(cfg).spec()
+        lang = "lang" if "lang" in scope.columns else None
+        vocab = vb.build_vocab(vb.counted(scope, spec, lang_col=lang), specials=tx.SPECIALS_SHORT)
     sizes = {r["split"]: r["n"] for r in parts.groupBy("split").agg(F.count(F.lit(1)).alias("n")).collect()}
     info = pipeline_info(cfg, vb.vocab_size(vocab), sizes.get("train", 0), sizes.get("val", 0))
-    return {"vocab": vocab, "split": split, "pipeline_info": info}
+    return {"vocab": vocab, "split": split, "parts": parts, "pipeline_info": info}
 
 
 def run_training(spark: SparkSession, cfg: clf.TrainConfig | None = None,
@@ -118,10 +118,13 @@ def run_training(spark: SparkSession, cfg: clf.TrainConfig | None = None,
         corpus = corpus.withColumn("doc_ord", F.col("doc_id"))
     ready = prepare_training(corpus, cfg, wordpiece_vocab)
     info, split = ready["pipeline_info"], ready["split"]
-    train = split.where(F.col("split") == "train")
     val = split.where(F.col("split") == "val")
-    model, history = clf.train_with_history(train, val, cfg, info["train_samples"], info["val_samples"],
-                                            wordpiece_vocab, rounds_dir)
+    rows = split
+    if wordpiece_vocab is None:   # features are smaller than texts: they are made once and meet their part
+        stage = clf.tokens_stage(cfg, limit=cfg.max_length)
+        rows = vb.materialize(clf.features(corpus, stage, cfg)).join(ready["parts"], "doc_id")
+    model, history = clf.train_with_history(rows.where(F.col("split") == "train"), rows.where(F.col("split") == "val"), cfg,
+                                            info["train_samples"], info["val_samples"], wordpiece_vocab, rounds_dir)
     per_class, evaluation = clf.evaluate_model(model, val, cfg.language_map)
     if artifacts_dir:
         clf.save_model(model, f"{artifacts_dir.rstrip('/')}/model")

@@ -20,9 +20,13 @@ from lingotile.streaming import vocab_log
 
 
 def read_table_stream(spark: SparkSession, directory: str, file_name: str,
-                      max_files_per_trigger: int = 1) -> DataFrame:
+                      max_files_per_trigger: int | None = 1) -> DataFrame:
     """Stream a parquet table: the part files of the folder ``file_name``, or
-    the files of that name (glob) if it is no folder."""
+    the files of that name (glob) if it is no folder.  A micro-batch takes
+    ``max_files_per_trigger`` files; None (for row-wise work, whose rows do not
+    depend on the batches): as many as there are cores, so that all have work."""
+    if max_files_per_trigger is None:
+        max_files_per_trigger = max(1, spark.sparkContext.defaultParallelism)
     path = f"{directory.rstrip('/')}/{file_name}"
     reader = (spark.readStream.schema(spark.read.parquet(path).schema)
               .option("maxFilesPerTrigger", max_files_per_trigger))

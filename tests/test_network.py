@@ -157,3 +157,17 @@ def test_scoring_holds_the_vectors_of_few_rows():
     got = network.scored(Net(), pd.Series([[k % 3] for k in range(1000)]))
     assert len(got) == 1000 and max(sizes) <= 256 and np.allclose(got[5], network.softmax(np.array([[2.0, 0.0]]))[0])
     assert network.scored(Net(), pd.Series([], dtype=object)) == []
+
+
+def test_only_the_tokens_the_network_takes_are_made(spark):
+    """The limited stage makes the same features and reads no text beyond them; a fitted model has it."""
+    docs = spark.createDataFrame([(k, 9 - k, "uno dos tres " * k, k % 2) for k in range(5)], "doc_id bigint, doc_ord bigint, text string, label int")
+    for name, options in (("edgegram", {}), ("word", {}), ("char", {}), ("rule", {"lang": "en"})):
+        cfg = clf.TrainConfig(tokenizer=name, tokenizer_options=options, max_length=4, slots=64)
+        short = clf.tokens_stage(cfg, limit=4)
+        assert max(len(r._tokens) for r in short.transform(docs).collect()) == 4
+        some, whole = clf.features(docs, short, cfg), clf.features(docs, clf.tokens_stage(cfg), cfg)
+        assert sorted(some.collect()) == sorted(whole.collect())
+        assert sorted(clf.features(some, short, cfg).collect()) == sorted(whole.collect())
+    out = jobs.run_training(spark, clf.TrainConfig(epochs=1, slots=64, embedding_dim=4, hidden_dim=4), corpus=sample_corpus(spark, 2))
+    assert out["model"].stages[0].getOrDefault("limit") == 100 and out["model"].stages[0].spec().head is not None

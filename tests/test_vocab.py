@@ -145,3 +145,24 @@ def test_tokens_without_a_place_come_in_their_own_order(spark):
     d = spark.createDataFrame(rows, "doc_ord bigint, pos int, token string").repartition(5)
     got = [r.token for r in vb.build_vocab(d, specials=[]).orderBy("id").collect()]
     assert [t for t in got if t != "corn"] == ["Bean", "apple", "fig", "pear", "zest"]
+
+
+def test_counted_tokens_give_the_vocabulary_of_token_rows(spark):
+    """Tokens of words are counted in their task; ties, nulls and odd spaces as with a row per token."""
+    rows = [(3, " El perro\u00a0come \x1cun hueso "), (1, "a ab abc\u2003\u00e1rbol 😀😀😀😀 a"), (3, "hueso El"), (None, "nuevo a"), (2, ""), (5, "  "), (1, "abc <unk> zz")]
+    docs = spark.createDataFrame(rows, "doc_ord bigint, text string").coalesce(2)
+    for spec in (tx.word_spec(), tx.edgegram_spec(3), tx.edgegram_spec(1), tx.edgegram_spec(4, True, False), tx.edgegram_spec(2, False, True), tx.char_spec(), tx.rule_spec("en")):
+        made = vb.build_vocab(vb.counted(docs, spec, lang_col=None), specials=tx.SPECIALS_SHORT)
+        want = vb.build_vocab(vb.token_rows(docs, spec.tokens("text")), specials=tx.SPECIALS_SHORT)
+        assert sorted(made.collect()) == sorted(want.collect()), spec.name
+    some = vb.counted(docs.where("doc_ord = 1").coalesce(1), tx.word_spec(), lang_col=None)
+    assert {r.token: (r.n, r.pos) for r in some.collect()}["a"] == (2, 0)
+
+
+def test_first_words_hold_the_first_tokens(spark):
+    texts = ["", "   ", "\x1c a\u00a0b\x85 c", "one two three four five", " x", "a" * 3000, None]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    for k in (1, 2, 3, 100, 501):
+        for r in df.select(tx.words(tx.first_words("text", k)).alias("some"), tx.words("text").alias("whole")).collect():
+            assert r.some[:k] == r.whole[:k]
+    assert df.select(tx.first_words("text", 2)).collect()[3][0] == "one two "
