@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lingotile.functions.text import SPECIALS_WORD, TokenizerSpec
+from lingotile.operators.tokensets import token_sets
 
 LOG_K = 14
 
@@ -39,18 +40,14 @@ def sketch_tokenizers(df: DataFrame, specs: list[TokenizerSpec], text_col: str =
     for s in specs:
         if s.prepare is not None:
             df = s.prepare(df, text_col, key)
-    made = [F.struct(F.lit(s.name).alias("tokenizer"), F.lit(s.n_special).alias("k"),
-                     s.tokens(text_col, lang_col).alias("t")) for s in specs]
-    docs = df.select(F.col(group_col or lang_col).alias("language"), F.explode(F.array(*made)).alias("x")).select(
-        "language", "x.tokenizer", F.size("x.t").cast("bigint").alias("n"),
-        F.slice(F.array(*map(F.lit, SPECIALS_WORD)), F.lit(1), F.col("x.k")).alias("k"), F.array_distinct("x.t").alias("d"))
-    # A document's first row carries its token count, so one pass makes both.
-    rows = docs.select("language", "tokenizer", "k", "n", F.posexplode_outer("d").alias("at", "token"))
-    own = F.coalesce(F.col("at"), F.lit(0)) == 0
-    special = F.array_contains("k", F.col("token"))
+    # Header rows carry the token counts, so one pass makes both.
+    rows = token_sets(df, specs, text_col, lang_col, group_col or lang_col)
+    special = F.lit(False)
+    for s in specs:
+        special = F.when(F.col("tokenizer") == s.name, F.col("token").isin(*SPECIALS_WORD[:s.n_special])).otherwise(special)
     return rows.groupBy("language", "tokenizer").agg(
-        F.count(F.when(own, 1)).alias("num_samples"), F.sum(F.when(own, F.col("n"))).alias("sum_tokens"),
-        F.min("n").alias("min_tokens"), F.max("n").alias("max_tokens"),
+        F.coalesce(F.sum("docs"), F.lit(0)).alias("num_samples"), F.sum("sum_n").alias("sum_tokens"),
+        F.min("min_n").alias("min_tokens"), F.max("max_n").alias("max_tokens"),
         F.array_sort(F.collect_set(F.when(special, F.col("token")))).alias("specials_seen"),
         F.hll_sketch_agg(F.when(~special, F.col("token")), log_k).alias("sketch"))
 

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from lingotile.functions import text as tx
 from lingotile.operators import sketch as sk
@@ -44,3 +45,32 @@ def test_merging_again_changes_nothing(spark):
 def test_failing_tokenizers_are_refused(spark):
     with pytest.raises(ValueError):
         sk.sketch_tokenizers(documents(spark, "/root/testdata/sf0.001"), [tx.python_tokenizer_spec("p", str.split)])
+
+
+def test_sets_of_batches_are_those_of_rows(spark):
+    """Words are split once a batch and tokenised once each; what is counted and seen is as row by row."""
+    from dataclasses import replace
+
+    from lingotile.operators import tokensets as ts
+
+    texts = ["Don't! L'été 3.14 qu'il ain't\x1cx", "  ", None, "a ab abc <unk> <pad> a b", "Don't can't 1,000 x-y d'où 😀n't", "múy n’t ’s", "a\x01b\x00c", "DIDN'T in't"]
+    df = spark.createDataFrame([(k, ("en", "fr", None)[k % 3], t) for k, t in enumerate(texts * 3)], "doc_id bigint, lang string, text string").coalesce(2)
+    specs = [tx.char_spec(), tx.word_spec(), tx.edgegram_spec(3), tx.edgegram_spec(2, True, False, "p"), tx.edgegram_spec(2, False, True, "s"),
+             tx.rule_spec("es"), tx.rule_spec("en"), tx.rule_spec("fr"), tx.rule_spec(None)]
+
+    def read(rows):
+        got = rows.groupBy("language", "tokenizer").agg(F.sum("docs"), F.sum("sum_n"), F.min("min_n"), F.max("max_n"), F.array_sort(F.collect_set("token")))
+        return {(r[0], r[1]): tuple(r)[2:] for r in got.collect()}
+
+    made = ts.token_sets(df, specs, "text", "lang", "lang")
+    plain = ts.token_sets(df, [replace(s, kind=None) for s in specs], "text", "lang", "lang")
+    want = read(plain)
+    assert read(made) == want and len(want) == 27
+    assert made.count() < plain.count()
+    flags, ts.FLAGS = ts.FLAGS, 0   # many languages: pairs by sorting
+    try:
+        import pyarrow as pa
+        rows = [b for b in ts._batch_sets(pa.array(["a", "b", "a"]), pa.array(["x y", "y", "z x"]), [("word", ("word",))])]
+        assert sorted((r["language"], r["token"]) for r in rows[1].to_pylist()) == [("a", "x"), ("a", "y"), ("a", "z"), ("b", "y")]
+    finally:
+        ts.FLAGS = flags
