@@ -192,3 +192,23 @@ def test_lists_are_looked_up_without_a_row_a_token(spark):
         assert {r.doc_id: list(r.ids) for r in en.encode(df, "t", v, keep=[]).collect()} == got
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_lists_cross_once_as_numbers_into_their_chunk(spark, monkeypatch):
+    """Beyond the broadcast limit the rows are shuffled once, as codes, in chunks of any size."""
+    texts = ["a b a c", "", None, "c c zz", "b", "zz", "a b c d e f g h"] * 3
+    d = spark.createDataFrame([(i, f"l{i}", t, [f"x{i}"] if i % 2 else None) for i, t in enumerate(texts)],
+                              "doc_id bigint, lang string, text string, tags array<string>")
+    v = vb.word_vocab(texts_df(spark, ["a b c d e f g h"]), lowercase=False)
+    ids = {r.token: r.id for r in v.collect()}
+    want = {i: ([ids.get(w, 1) for w in (t or "").split()], f"l{i}", [f"x{i}"] if i % 2 else None) for i, t in enumerate(texts)}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for most in (1, 5):
+            monkeypatch.setattr(en, "CHUNK_ELEMENTS", most)
+            e = en.encode(d, tx.words("text"), v, keep=["lang", "tags"])
+            plan = _plan(e)
+            assert plan.count("Exchange hashpartitioning(_chunk") == 1 and "_list" not in plan
+            assert {r.doc_id: (list(r.ids), r.lang, r.tags) for r in e.collect()} == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

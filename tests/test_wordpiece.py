@@ -114,3 +114,38 @@ def test_texts_are_split_once(spark):
             assert "text:string" not in made._jdf.queryExecution().executedPlan().toString()
         finally:
             spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_runs_between_ascii_whitespace_give_the_same_tokens(spark):
+    """Words are cut inside distinct runs; rows of one key are still put together word by word."""
+    from collections import Counter
+
+    from pyspark.sql import functions as F
+
+    texts = ["un\x0bable, a\x0cb", "a b　un able", None, "", " \t\r\n", "x​y\x85z unable", "unable unable,unable",
+             "你好 a�b ÉTUDE", "a b " * 50]
+    toks = ["[UNK]", "un", "##able", "a", "##b", "b", ",", "x", "##y", "##z", "e", "##tude"]
+    v = spark.createDataFrame([(i, t, None, False) for i, t in enumerate(toks)], vb.VOCAB_SCHEMA)
+    d = texts_df(spark, texts)
+    for uncased in (False, True):
+        words = {r.doc_id: list(r.w) for r in d.select("doc_id", wp.pretokenize("text", uncased).alias("w")).collect()}
+        made = wp.wordpiece_tokenize(d, v, keep=[], uncased=uncased)
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert "_codes" in plan and "_words" not in plan
+        assert {r.doc_id: list(r.tokens) for r in made.collect()} == {
+            k: [p for w in ws for p in greedy(w, toks)] for k, ws in words.items()}
+        counts = Counter(w for ws in words.values() for w in ws)
+        assert {r.word: r.wf for r in wp.counted_words(d, uncased=uncased).collect()} == counts
+    again = d.where("doc_id = 6").unionByName(d.where("doc_id = 6"))
+    assert [list(r.tokens) for r in wp.wordpiece_tokenize(again, v, keep=[]).collect()] == [
+        ["un", "##able", "un", "##able", "un", "##able", "un", "##able", ",", ",", "un", "##able", "un", "##able"]]
+
+
+def test_words_of_many_pieces_are_followed_to_their_end(spark):
+    words = ["ab" * n for n in range(1, 12)] + ["a", "abz", "ababababz", "zab"]
+    toks = ["a", "ab", "##a", "##ab", "##b"]
+    v = spark.createDataFrame([(i, t, None, False) for i, t in enumerate(toks)], vb.VOCAB_SCHEMA)
+    w = spark.createDataFrame([(x,) for x in words], "word string")
+    assert {r.word: list(r.pieces) for r in wp.wordpiece_table(w, v).collect()} == {x: greedy(x, toks) for x in words}
+    # Places that no walk comes to are not looked up.
+    assert wp._path_hits(w.where("length(word) <= 2"), v, 2).count() == 2
