@@ -281,6 +281,7 @@ def lookup_lists(df: DataFrame, lists: Column, table: DataFrame, table_key: str,
 # indexed by code point for encoding and by id for decoding: no explode, join
 # or regroup.  ``vocab.char_vocab`` leaves its entries on the table it returns.
 ENTRIES = "_alphabet_entries"
+ID_RANGE = "_id_range"   # on what such an encode returns: column -> (least, greatest) id that it can hold
 
 
 def _entries(vocab: DataFrame) -> list | None:
@@ -346,7 +347,10 @@ def encode(df: DataFrame, tokens: Column | str, vocab: DataFrame, key: str = "do
     entries = _entries(vocab)
     if entries is not None:
         res = df.withColumn(out, encode_with_table(toks, char_id_table(entries), unk_id))
-        return res if keep is None else res.select(key, *_carried(df, key, keep), out)
+        res = res if keep is None else res.select(key, *_carried(df, key, keep), out)
+        every = [unk_id, *[i for i, _ in entries]]
+        res._id_range = {out: (min(every), max(every))}
+        return res
     looked = lookup_lists(df, toks, vocab, "token", "id", key, _carried(df, key, keep), out)
     unk = F.lit(unk_id).cast("bigint")
     return _attach(df, looked.withColumn(out, F.transform(out, lambda i: F.coalesce(i, unk))), key, keep)

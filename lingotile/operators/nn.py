@@ -4,6 +4,9 @@
   first counted per ``(doc, id)`` (partial aggregation), joined to the
   embedding table (broadcast behind a row-count check), and averaged with a
   weighted ``Summarizer.mean`` per document.
+* ``flatten_chunks`` puts a window's vectors together in Arrow batches, from a
+  matrix of the few vectors that ids can reach; a summary of the vectors is
+  taken where they are made, so that they need not leave the task.
 * Scoring with an MLP uses the weights as array literals (the weights are a
   model of bounded size, not data), evaluated with higher-order array
   functions per row: no Python, no shuffle.
@@ -12,20 +15,26 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from lingotile.operators.encode import lookup
+from lingotile.operators.encode import ID_RANGE, lookup
+from lingotile.session import ship_package
 
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _vectors(df: DataFrame, ids: Column, emb: DataFrame, id_col: str, vec_col: str) -> tuple[DataFrame, int, int]:
+def _vectors(df: DataFrame, ids: Column | str, emb: DataFrame, id_col: str, vec_col: str) -> tuple[DataFrame, int, int]:
     """The embedding table as ``(_eid, _v)``, only what lies between the least
     and the greatest of ``ids``, and these two: a corpus of characters needs a
     few rows of a table of any size.  An id that the table holds twice raises."""
@@ -33,7 +42,9 @@ def _vectors(df: DataFrame, ids: Column, emb: DataFrame, id_col: str, vec_col: s
     most = side.groupBy("_eid").agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0
     if most > 1:
         raise ValueError(f"the lookup table holds a value of _eid {most} times")
-    low, high = df.select(ids.alias("_l")).agg(F.min(F.array_min("_l")), F.max(F.array_max("_l"))).first()
+    # An alphabet's ids are known without a look at the texts.
+    known = df.__dict__.get(ID_RANGE, {}).get(ids) if isinstance(ids, str) else None
+    low, high = known or df.select(_col(ids).alias("_l")).agg(F.min(F.array_min("_l")), F.max(F.array_max("_l"))).first()
     low, high = (0, -1) if low is None else (int(low), int(high))
     return side.where(F.col("_eid").between(low, high)), low, high
 
@@ -60,10 +71,62 @@ def _constant(side: DataFrame, low: int, high: int, dim: int) -> Column | None:
     return F.from_json(F.lit(json.dumps(rows)), "array<array<double>>")
 
 
+WINDOWS = 128   # whose vectors are made at a time: they stay in a core's cache
+
+
+def _matrix(side: DataFrame, low: int, high: int, dim: int, pad_id: int) -> np.ndarray | None:
+    """The table as rows of a matrix (place ``id - low``; zero where there is no
+    vector, for the padding id, and in one more row at the end), if it is small
+    enough and all vectors are whole."""
+    if high < low or (high - low + 1) * max(dim, 1) > LITERAL_NUMBERS:
+        return None
+    whole = (F.size("_v") == dim) & ~F.exists("_v", lambda x: x.isNull())
+    if side.where(F.col("_v").isNotNull() & ~whole).limit(1).count():
+        return None
+    made = np.zeros((high - low + 2, dim))
+    for r in side.where(F.col("_v").isNotNull() & (F.col("_eid") != pad_id)).collect():
+        made[r["_eid"] - low] = r["_v"]
+    return made
+
+
+def _windows(matrix: np.ndarray, low: int, seq_len: int, summary: list | None):
+    """mapInArrow function over ``(key, ids)``: windows of ``seq_len`` ids as
+    vectors, or what ``summary`` makes of them.  Held are one batch of ids and
+    the vectors of ``WINDOWS`` windows."""
+    none = len(matrix) - 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, lists = batch.column(0), batch.column(1)
+            size = pc.fill_null(pc.list_value_length(lists), 0).to_numpy().astype(np.int64)
+            ids = pc.fill_null(lists.flatten(), low - 1).to_numpy() - low
+            count = -(-size // seq_len)
+            first = np.cumsum(count) - count
+            row = np.repeat(np.arange(len(size)), count)
+            chunk = np.arange(len(row)) - first[row]
+            starts = np.cumsum(size) - size
+            places = np.full(len(row) * seq_len, none, np.int64)
+            places[np.repeat(first * seq_len - starts, size) + np.arange(len(ids))] = np.where((ids >= 0) & (ids < none), ids, none)
+            places = places.reshape(len(row), seq_len)
+            vectors = (np.take(matrix, places[a:a + WINDOWS].ravel(), axis=0).reshape(-1, seq_len * matrix.shape[1]) for a in range(0, len(row), WINDOWS))
+            if summary is not None:
+                made = [[f(v) for f in summary] for v in vectors]
+                if made:
+                    yield pa.RecordBatch.from_arrays(
+                        [keys.take(pa.array(row)), pa.array(chunk), *[pa.array(np.concatenate(x)) for x in zip(*made)]],
+                        names=[str(i) for i in range(2 + len(summary))])
+                continue
+            for a, v in zip(range(0, len(row), WINDOWS), vectors):
+                flat = pa.ListArray.from_arrays(pa.array(np.arange(len(v) + 1) * v.shape[1], pa.int32()), pa.array(v.reshape(-1)))
+                yield pa.RecordBatch.from_arrays([keys.take(pa.array(row[a:a + WINDOWS])), pa.array(chunk[a:a + WINDOWS]), flat], names=["0", "1", "2"])
+
+    return run
+
+
 def lookup_embeddings(df: DataFrame, ids: Column | str, emb: DataFrame, key: str = "doc_id",
                       id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """``(key, pos, id, vec)`` for every position (null vec: id not in table)."""
-    side, _, _ = _vectors(df, _col(ids), emb, id_col, vec_col)
+    side, _, _ = _vectors(df, ids, emb, id_col, vec_col)
     rows = df.select(key, F.posexplode(_col(ids)).alias("pos", "id"))
     return _with_vectors(rows, side, key).select(key, "pos", "id", F.col("_vec").alias("vec"))
 
@@ -79,7 +142,7 @@ def mean_pool(df: DataFrame, ids: Column | str, emb: DataFrame, dim: int, key: s
               .groupBy(key, "id").agg(F.count(F.lit(1)).cast("double").alias("_w")))
     # Counts are dealt by row: the means of a row are then made in one task,
     # and neither vectors nor unfinished means (several vectors each) shuffled.
-    side, _, _ = _vectors(df, _col(ids), emb, id_col, vec_col)
+    side, _, _ = _vectors(df, ids, emb, id_col, vec_col)
     zero = F.array_repeat(F.lit(0.0), dim)
     weighted = _with_vectors(counts.repartition(key), side, key).withColumn("_vec", F.coalesce("_vec", zero))
     pooled = (weighted.groupBy(key)
@@ -109,13 +172,35 @@ def flatten_embeddings(df: DataFrame, ids: Column | str, emb: DataFrame, seq_len
 
 def flatten_chunks(df: DataFrame, ids: Column | str, emb: DataFrame, seq_len: int, dim: int,
                    key: str = "doc_id", pad_id: int = 0, out: str = "flat", id_col: str = "vec_id",
-                   vec_col: str = "embedding") -> DataFrame:
+                   vec_col: str = "embedding", summary: dict[str, tuple[T.DataType, Callable, Callable]] | None = None) -> DataFrame:
     """Whole-text flatten: the id sequence is cut into consecutive windows
     of ``seq_len`` (the last one padded), and each window becomes one
     ``seq_len x dim`` vector -> rows ``(key, chunk, out)``.  Padding ids map
-    to the zero vector.  Each group holds at most ``seq_len`` vectors."""
+    to the zero vector.  Each group holds at most ``seq_len`` vectors.
+
+    ``summary`` gives columns to return instead of the vectors: ``name ->
+    (type, of a matrix of some windows' vectors, the same of a Column)``."""
     zero = F.array_repeat(F.lit(0.0), dim)
-    side, low, high = _vectors(df, _col(ids), emb, id_col, vec_col)
+    side, low, high = _vectors(df, ids, emb, id_col, vec_col)
+    matrix = _matrix(side, low, high, dim, pad_id)
+    if matrix is not None:
+        ship_package(df.sparkSession)
+        rows = df.select(key, F.coalesce(_col(ids).cast("array<bigint>"), F.array().cast("array<bigint>")).alias("_l"))
+        made = {out: T.ArrayType(T.DoubleType())} if summary is None else {n: kind for n, (kind, _, _) in summary.items()}
+        schema = T.StructType([rows.schema[key], T.StructField("chunk", T.LongType()), *[T.StructField(n, kind) for n, kind in made.items()]])
+        named = T.StructType([T.StructField(str(i), f.dataType) for i, f in enumerate(schema.fields)])
+        got = rows.mapInArrow(_windows(matrix, low, seq_len, None if summary is None else [f for _, f, _ in summary.values()]), named)
+        return got.toDF(*schema.names)
+    made = _flatten_rows(df, ids, side, low, high, seq_len, dim, key, pad_id, zero)
+    if summary is None:
+        return made.withColumnRenamed("_flat", out)
+    return made.select(key, "chunk", *[f("_flat").cast(kind).alias(n) for n, (kind, _, f) in summary.items()])
+
+
+def _flatten_rows(df: DataFrame, ids: Column | str, side: DataFrame, low: int, high: int, seq_len: int, dim: int, key: str,
+                  pad_id: int, zero: Column) -> DataFrame:
+    """``flatten_chunks`` for tables of any size and vectors of any width."""
+    out = "_flat"
     known = _constant(side, low, high, dim)
     if known is not None:
         # A window's vectors are put together in its row: nothing is shuffled.

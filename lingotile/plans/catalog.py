@@ -9,8 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lingotile.functions import text as tx
 from lingotile.operators import vocab as vb
@@ -923,9 +925,10 @@ def q_flatten_embeddings(spark, sf_dir):
     each flattened to a 16 x 64 vector (summarised per window)."""
     docs = documents(spark, sf_dir)
     e = en.encode(docs, tx.chars("text"), vb.char_vocab(spark), keep=[])
-    f = nn.flatten_chunks(e, "ids", table(spark, sf_dir, "embeddings"), FLAT_T, EMB_DIM)
-    return f.select("doc_id", "chunk", F.size("flat").alias("n_values"),
-                    F.round(F.aggregate("flat", F.lit(0.0), lambda acc, x: acc + x), 3).alias("total"))
+    f = nn.flatten_chunks(e, "ids", table(spark, sf_dir, "embeddings"), FLAT_T, EMB_DIM, summary={
+        "n_values": (T.IntegerType(), lambda m: np.full(len(m), m.shape[1], np.int32), F.size),
+        "total": (T.DoubleType(), lambda m: m.sum(axis=1), lambda v: F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x))})
+    return f.select("doc_id", "chunk", "n_values", F.round("total", 3).alias("total"))
 
 
 @register("mlp_logits", LOGITS_SQL + """

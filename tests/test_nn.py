@@ -80,3 +80,31 @@ def test_few_ids_take_few_vectors_of_a_large_table(spark):
         assert {r.doc_id: round(r.pooled[0], 9) for r in pooled.collect()} == {0: 1.5, 1: 0.0, 2: 0.0, 3: 6.0}
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_windows_are_summarised_where_they_are_made(spark):
+    """Vectors need not leave their task; odd vectors take the slower way to the same figures."""
+    from pyspark.sql import types as T
+
+    rows = [(0, [1, 2, 0, 2, 1, 7, None]), (None, [2]), (2, []), (3, None), (4, [1] * 900), (4, [2, 2])]
+    df = spark.createDataFrame(rows, "doc_id bigint, ids array<bigint>")
+    vec = {0: [9.0, 9.0], 1: [1.0, 2.0], 2: [3.0, 4.0], 5: None}
+    summary = {"n": (T.IntegerType(), lambda m: np.full(len(m), m.shape[1], np.int32), F.size),
+               "total": (T.DoubleType(), lambda m: m.sum(axis=1), lambda v: F.aggregate(v, F.lit(0.0), lambda a, x: a + x))}
+    want = {}
+    for k, ids in rows:
+        for c in range(0, len(ids or []), 2):
+            own = [x for i in ids[c:c + 2] for x in (vec.get(i) or [0.0, 0.0]) if i != 0] + [0.0] * 2 * ids[c:c + 2].count(0)
+            want.setdefault((k, c // 2), []).append(sum(own))
+    for extra, fast in (([], True), ([(3, [5.0, None])], False)):
+        emb = spark.createDataFrame([*vec.items(), *extra], "vec_id bigint, embedding array<double>")
+        made = nn.flatten_chunks(df, "ids", emb, 2, 2, summary=summary)
+        assert made.columns == ["doc_id", "chunk", "n", "total"]
+        assert ("MapInArrow" in made._jdf.queryExecution().executedPlan().toString()) == fast
+        got = {}
+        for r in made.collect():
+            assert r.n == 4
+            got.setdefault((r.doc_id, r.chunk), []).append(r.total)
+        assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items()}
+        flat = nn.flatten_chunks(df, "ids", emb, 2, 2).collect()
+        assert sorted((str(r.doc_id), r.chunk, sum(r.flat)) for r in flat) == sorted((str(k), c, t) for (k, c), v in want.items() for t in v)
