@@ -44,3 +44,22 @@ def test_parquet_projection_is_pruned(spark):
     docs = documents(spark, "/root/testdata/sf0.001")
     plan = _plan(docs.select(F.size(tx.words("text")).alias("n")))
     assert "ReadSchema: struct<text:string>" in plan
+
+
+def test_prepared_tokenizers_do_not_move_texts(spark):
+    """What a tokenizer is prepared by meets keys and languages, not the texts, and gives the same summary."""
+    from lingotile.operators import vocab as vb
+    from lingotile.operators import wordpiece as wp
+
+    rows = [(1, 1, "a", "un able un"), (2, 2, "b", "able"), (2, 2, "b", "un x"), (3, 3, None, ""), (None, 4, "a", "un un")]
+    d = spark.createDataFrame(rows, "doc_id bigint, doc_ord bigint, lang string, text string")
+    v = spark.createDataFrame([(i, t, None, False) for i, t in enumerate(["[UNK]", "un", "able"])], vb.VOCAB_SCHEMA)
+    made = cmp.summarize_tokenizers(d, [tx.word_spec(), wp.wordpiece_spec(v)], round_digits=None)
+    exchanges = [x for x in _plan(made).splitlines() if "Exchange" in x]
+    assert exchanges and not any("text" in x for x in exchanges)
+    assert {(r.language, r.tokenizer): (r.num_samples, r.avg_tokens, r.min_tokens, r.max_tokens, r.observed_vocab_size)
+            for r in made.collect()} == {
+        ("a", "word"): (1, 3.0, 3, 3, 2), ("b", "word"): (2, 1.5, 1, 2, 3), ("a", "wordpiece"): (1, 3.0, 3, 3, 2),
+        ("b", "wordpiece"): (2, 3.0, 3, 3, 3), (None, "word"): (1, 0.0, 0, 0, None), (None, "wordpiece"): (1, 0.0, 0, 0, None)}
+    # Each text's tokens are taken by batches: no row for each of them.
+    assert "Generate" not in _plan(made)

@@ -166,3 +166,15 @@ def test_first_words_hold_the_first_tokens(spark):
         for r in df.select(tx.words(tx.first_words("text", k)).alias("some"), tx.words("text").alias("whole")).collect():
             assert r.some[:k] == r.whole[:k]
     assert df.select(tx.first_words("text", 2)).collect()[3][0] == "one two "
+
+
+def test_rule_tokens_are_counted_by_distinct_words(spark):
+    """A row for each distinct token of a batch, with the counts and first places of a row per token."""
+    texts = ["don't l'eau qu'il a-b 3,5%", "l'eau l'eau don't", None, "", "  ¡a! a a", "x\x1cy ...", "aujourd'hui qu'il"]
+    rows = [(i, o, t) for i, (o, t) in enumerate(zip([5, 3, 2, 1, None, 4, 3], texts))]
+    d = spark.createDataFrame(rows, "doc_id bigint, doc_ord bigint, text string").withColumn("lang", F.lit("en"))
+    for spec in (tx.rule_spec("en"), tx.rule_spec("fr"), tx.rule_spec("es"), tx.word_spec()):
+        made = vb.counted(d.coalesce(1), spec)
+        assert made.count() == made.select("token").distinct().count()
+        want = vb._first_occurrence(vb.token_rows(d, spec.tokens("text", "lang")))
+        assert sorted(map(str, vb._first_occurrence(made).collect())) == sorted(map(str, want.collect()))
